@@ -12,7 +12,11 @@ other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import sys
+import types
+import unicodedata
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +28,17 @@ from pyspark.sql import functions as F
 from .common import map_rows, materialise, texts
 
 END = 1
-CACHE = 300_000  # chunks kept per task; a full cache is emptied, so this bounds memory and nothing else
-_MARK = "\x01"
+CACHE = 600_000  # chunks kept per Python worker; a full cache is emptied, so this bounds memory and nothing else
+_MARKS = b".,;:!?&$%#*|"
+
+
+def _byte_letters() -> dict[int, int]:
+    """How byte-level vocabularies spell bytes: printable ones as themselves, the rest from 256 on, in order."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: b if b in shown else 256 + sum(x not in shown for x in range(b)) for b in range(256)}
+
+
+_BYTE_LETTERS = _byte_letters()
 
 
 class ChunkEncoder:
@@ -42,41 +55,63 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.mark = self.tok.encode(_MARK, add_special_tokens=False).ids
         self.known: dict[bytes, bytes] = {}
+        self.tails: dict[bytes, bytes] = {}
+
+    def _plain(self, chunk: str) -> list[int] | None:
+        """Ids of a run of letters that normalising leaves as it is, by the model alone; None for anything else."""
+        if not chunk.isalpha() or not chunk.isascii() and (chunk != chunk.lower() or not unicodedata.is_normalized("NFC", chunk)):
+            return None
+        spelt = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return [t.id for t in self.tok.model.tokenize(spelt)]
 
     def _learn(self, new: list[bytes]) -> None:
         if len(self.known) > CACHE:
             self.known.clear()
-        plain = [w for w in new if b"\x01" not in w]
-        for at in range(0, len(plain), 5000):
-            part = plain[at : at + 5000]
-            ids = np.array(self.tok.encode(f" {_MARK} ".join([w.decode("utf-8", "surrogatepass") for w in part]), add_special_tokens=False).ids, np.uint32)
-            ends = np.flatnonzero(ids == self.mark[0]) if len(self.mark) == 1 else []
-            if len(ends) == len(part) - 1:
-                raw, edges = ids.astype("<u4").tobytes(), [-1, *ends.tolist(), len(ids)]
-                self.known.update((w, raw[4 * (edges[i] + 1) : 4 * edges[i + 1]]) for i, w in enumerate(part))
-            else:
-                new = [*new, *part]
-        for w in new:
-            if w not in self.known:
-                self.known[w] = np.array(self.tok.encode(w.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids, "<u4").tobytes()
+        rest = []
+        known = self.known
+        for raw in new:
+            word = raw.rstrip(_MARKS)  # a run of marks after a letter is a token of its own
+            tail = raw[len(word) :]
+            if tail and (not word or word[-1] > 127):
+                rest.append(raw)
+                continue
+            ids = known.get(word)
+            if ids is None:
+                if (made := self._plain(word.decode("utf-8", "surrogatepass"))) is None:
+                    rest.append(raw)
+                    continue
+                ids = known[word] = array("I", made).tobytes()
+            if tail:
+                if tail not in self.tails:
+                    self.tails[tail] = array("I", self.tok.encode(tail.decode(), add_special_tokens=False).ids).tobytes()
+                known[raw] = ids + self.tails[tail]
+        for at in range(0, len(rest), 500):
+            part = rest[at : at + 500]
+            for raw, got in zip(part, self.tok.encode_batch([x.decode("utf-8", "surrogatepass") for x in part], add_special_tokens=False), strict=True):
+                known[raw] = array("I", got.ids).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = []
         for text in texts:
             raw = text.encode("utf-8", "surrogatepass")
             split.append((raw if b"<|" in raw else raw.lower()).split())
-        known = self.known
-        new = {w for chunks in split for w in chunks if w not in known}
+        found = [list(map(self.known.get, chunks)) for chunks in split]
+        new = {w for chunks, parts in zip(split, found, strict=True) if None in parts for w, part in zip(chunks, parts, strict=True) if part is None}
         if new:
             self._learn(list(new))
-            if len(self.known) < len(new):
-                known = self.known
-            missing = [w for chunks in split for w in chunks if w not in known]
-            if missing:
-                self._learn(list(set(missing)))
-        return [b"".join([known[w] for w in chunks]) for chunks in split]
+            for chunks, parts in zip(split, found, strict=True):
+                if None in parts:
+                    parts[:] = [self.known[w] if part is None else part for w, part in zip(chunks, parts, strict=True)]
+        return [b"".join(parts) for parts in found]
+
+
+def shared_encoder(path: str) -> ChunkEncoder:
+    """One encoder, with its cache, for all tasks that a Python worker runs."""
+    held = vars(sys.modules.setdefault("_tabularium_encoders", types.ModuleType("_tabularium_encoders")))
+    if path not in held:
+        held[path] = ChunkEncoder(path)
+    return held[path]
 
 
 def best_two_fit(counts: dict[int, int], size: int) -> list[tuple[int, int, int, int, int]]:
@@ -149,7 +184,7 @@ def pieces_of(docs: DataFrame, path: str, size: int) -> DataFrame:
     """A row per piece: doc_id, piece, start, length, ids_crc32, and its task's number and rank within the task."""
 
     def make():
-        encode, seen = ChunkEncoder(path), np.zeros(size + 1, np.int64)
+        encode, seen = shared_encoder(path), np.zeros(size + 1, np.int64)
         part, end = TaskContext.get().partitionId(), np.array([END], "<u4").tobytes()
 
         def step(batch: pa.RecordBatch):
