@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import fold_of, map_rows, materialise, texts
 
-HEAD, SPELT, LEXICON = 160, 224, 200_000
-CONTEXT, DIM, NOISE, BATCH = 4, 24, 48, 1024
+HEAD, SPELT, LEXICON = 128, 176, 200_000
+CONTEXT, DIM, NOISE, BATCH = 4, 16, 32, 2048
 FLUSH = 300_000  # distinct words a task holds before it hands on partial counts
 SYMBOLS = HEAD + SPELT + 1  # the last is the padding before a text; it is never predicted
 
@@ -144,23 +144,26 @@ class Nce:
     def batch(self, ctx: np.ndarray, target: np.ndarray) -> None:
         p, n = self.p, len(target)
         noise = np.minimum(np.searchsorted(self.cum, self.rng.random(NOISE) * self.cum[-1]), SYMBOLS - 2)
-        rows = [p["r"][c] for c in ctx]
-        hidden = sum(row * p["c"][j] for j, row in enumerate(rows))
-        s_data = np.einsum("nd,nd->n", hidden, p["q"][target]) + p["b"][target] - self.log_kp[target]
-        s_noise = hidden @ p["q"][noise].T + (p["b"] - self.log_kp)[noise]
-        e_data = -1 / (1 + np.exp(np.clip(s_data, -30, 30)))
-        e_noise = 1 / (1 + np.exp(-np.clip(s_noise, -30, 30)))
-        g_hidden = e_data[:, None] * p["q"][target] + e_noise @ p["q"][noise]
+        # Columns first: every operation below runs along contiguous memory.
+        rows = [p["r"].T[:, c] for c in ctx]
+        hidden = sum(row * p["c"][j][:, None] for j, row in enumerate(rows))
+        q_data = p["q"].T[:, target]
+        s_data = (hidden * q_data).sum(axis=0) + (p["b"] - self.log_kp)[target]
+        s_noise = p["q"][noise] @ hidden + (p["b"] - self.log_kp)[noise][:, None]
+        e_data = -1 / (1 + np.exp(np.minimum(s_data, 30)))
+        e_noise = 1 / (1 + np.exp(-np.maximum(s_noise, -30)))
+        g_hidden = e_data * q_data + p["q"][noise].T @ e_noise
+        given = (e_data * hidden).astype(np.float64)
+        wide = np.concatenate([g_hidden * p["c"][j][:, None] for j in range(CONTEXT)], axis=1).astype(np.float64)
+        every = np.concatenate(list(ctx))
         g = {k: np.zeros_like(v) for k, v in p.items()}
-        flat = np.concatenate(ctx) * DIM
-        g_rows = np.concatenate([g_hidden * p["c"][j] for j in range(CONTEXT)])
-        g["r"] = np.bincount((flat[:, None] + np.arange(DIM)).ravel(), g_rows.ravel(), SYMBOLS * DIM).reshape(SYMBOLS, DIM).astype(np.float32)
         for j, row in enumerate(rows):
-            g["c"][j] = np.einsum("nd,nd->d", g_hidden, row)
-        g["q"] = np.bincount((target[:, None] * DIM + np.arange(DIM)).ravel(), (e_data[:, None] * hidden).ravel(), SYMBOLS * DIM).reshape(SYMBOLS, DIM).astype(np.float32)
-        np.add.at(g["q"], noise, e_noise.T @ hidden)
+            g["c"][j] = (g_hidden * row).sum(axis=1)
+        g["r"] = np.array([np.bincount(every, x, SYMBOLS) for x in wide]).T.astype(np.float32)
+        g["q"] = np.array([np.bincount(target, x, SYMBOLS) for x in given]).T.astype(np.float32)
+        np.add.at(g["q"], noise, e_noise @ hidden.T)
         g["b"] = np.bincount(target, e_data, SYMBOLS).astype(np.float32)
-        np.add.at(g["b"], noise, e_noise.sum(axis=0))
+        np.add.at(g["b"], noise, e_noise.sum(axis=1))
         for k, v in g.items():
             self._step(k, v / n)
         self.seen += n
@@ -220,17 +223,16 @@ def symbol_log10(p: dict[str, np.ndarray], sym: np.ndarray, begins: np.ndarray)
     """Normalised log10 probability of each token's symbol."""
     tables = [p["r"] * p["c"][j] for j in range(CONTEXT)]
     ctx, out = contexts(sym, begins), np.empty(len(sym))
-    q, b = np.ascontiguousarray(p["q"][:-1].T), p["b"][:-1]
-    for at in range(0, len(sym), 4096):
-        part = slice(at, at + 4096)
+    q, b, ones = np.ascontiguousarray(p["q"][:-1].T), p["b"][:-1], np.ones(SYMBOLS - 1, np.float32)
+    for at in range(0, len(sym), 512):  # so many rows of logits fit a core's cache
+        part = slice(at, at + 512)
         hidden = sum(t[c] for t, c in zip(tables, ctx[:, part], strict=True))
         logits = hidden @ q
         logits += b
         chosen = logits[np.arange(len(logits)), sym[part]]
-        top = logits.max(axis=1, keepdims=True)
-        np.subtract(logits, top, out=logits)
+        np.minimum(logits, 80, out=logits)  # no overflow; scores this large don't come out of training
         np.exp(logits, out=logits)
-        out[part] = (chosen - top[:, 0] - np.log(logits.sum(axis=1))) / math.log(10)
+        out[part] = (np.minimum(chosen, 80) - np.log(logits @ ones)) / math.log(10)
     return out
 
 
