@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import fold_of, map_rows, materialise, texts
 
 HEAD, SPELT, LEXICON = 128, 176, 200_000
-CONTEXT, DIM, NOISE, BATCH = 4, 16, 32, 2048
+CONTEXT, DIM, NOISE, BATCH = 4, 16, 32, 1024
 FLUSH = 300_000  # distinct words a task holds before it hands on partial counts
 SYMBOLS = HEAD + SPELT + 1  # the last is the padding before a text; it is never predicted
 
@@ -134,6 +134,7 @@ class Nce:
     def __init__(self, p: dict[str, np.ndarray], unigram: np.ndarray, seed: int, rate: float = 0.15):
         self.p, self.rate, self.seen = {k: v.copy() for k, v in p.items()}, rate, 0
         self.g2 = {k: np.full_like(v, 1e-2) for k, v in self.p.items()}
+        self.wide = np.empty((DIM, CONTEXT * BATCH))  # kept, as fresh pages cost more than the arithmetic
         self.rng, self.cum = np.random.default_rng(seed), np.cumsum(unigram)
         self.log_kp = np.log(np.maximum(unigram, 1e-12) * NOISE).astype(np.float32)
 
@@ -154,7 +155,9 @@ class Nce:
         e_noise = 1 / (1 + np.exp(-np.maximum(s_noise, -30)))
         g_hidden = e_data * q_data + p["q"][noise].T @ e_noise
         given = (e_data * hidden).astype(np.float64)
-        wide = np.concatenate([g_hidden * p["c"][j][:, None] for j in range(CONTEXT)], axis=1).astype(np.float64)
+        wide = self.wide[:, : CONTEXT * n]
+        for j in range(CONTEXT):
+            np.multiply(g_hidden, p["c"][j][:, None], out=wide[:, j * n : (j + 1) * n])
         every = np.concatenate(list(ctx))
         g = {k: np.zeros_like(v) for k, v in p.items()}
         for j, row in enumerate(rows):
@@ -224,10 +227,11 @@ def symbol_log10(p: dict[str, np.ndarray], sym: np.ndarray, begins: np.ndarray)
     tables = [p["r"] * p["c"][j] for j in range(CONTEXT)]
     ctx, out = contexts(sym, begins), np.empty(len(sym))
     q, b, ones = np.ascontiguousarray(p["q"][:-1].T), p["b"][:-1], np.ones(SYMBOLS - 1, np.float32)
-    for at in range(0, len(sym), 512):  # so many rows of logits fit a core's cache
-        part = slice(at, at + 512)
+    room = np.empty((1024, SYMBOLS - 1), np.float32)
+    for at in range(0, len(sym), 1024):
+        part = slice(at, at + 1024)
         hidden = sum(t[c] for t, c in zip(tables, ctx[:, part], strict=True))
-        logits = hidden @ q
+        logits = np.matmul(hidden, q, out=room[: len(hidden)])
         logits += b
         chosen = logits[np.arange(len(logits)), sym[part]]
         np.minimum(logits, 80, out=logits)  # no overflow; scores this large don't come out of training
