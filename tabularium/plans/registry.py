@@ -1,4 +1,419 @@
-"""Named queries over the standard tables, and the SQL that each must agree with."""
+"""Named queries over the standard tables, each with the SQL that it must agree with."""
 
-QUERIES = {}
-ORACLE_SQL = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from tabularium.functions import chem
+from tabularium.functions import text as X
+from tabularium.operators import match, outcomes, pages, series
+from tabularium.sources.io import table
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE_SQL: dict[str, str] = {}
+ASCII = "rlike(text, '^[\\\\x00-\\\\x7f]*$')"
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+@query("SELECT p_partkey, upper(trim(p_name)) AS name, p_brand AS brand, CAST(NULL AS VARCHAR) AS note FROM part")
+def scan_project_trim(spark, d):
+    df = outcomes.trim_header(table(spark, d, "part").withColumnsRenamed({"p_brand": " brand ", "p_name": "name "}))
+    return outcomes.reindex(df.withColumn("name", F.upper(F.trim("name"))), {"p_partkey": "long", "name": "string", "brand": "string", "note": "string"})
+
+
+@query("SELECT p_partkey, p_name, p_type FROM part WHERE p_type = 'PROMO' OR contains(upper(p_name), 'GEAR')")
+def filter_gas_like(spark, d):
+    return table(spark, d, "part").where((F.col("p_type") == "PROMO") | F.upper("p_name").contains("GEAR")).select("p_partkey", "p_name", "p_type")
+
+
+@query("""SELECT o_orderkey, o_orderstatus, nullif(o_orderpriority, '5-LOW') AS priority FROM orders
+WHERE o_orderstatus IN ('F', 'P') AND NOT coalesce(nullif(o_orderpriority, '5-LOW') = '1-URGENT', false)""")
+def filter_in_and_nulls(spark, d):
+    df = table(spark, d, "orders").withColumn("priority", F.nullif("o_orderpriority", F.lit("5-LOW")))
+    return df.where(F.col("o_orderstatus").isin("F", "P") & ~F.coalesce(F.col("priority") == "1-URGENT", F.lit(False))).select("o_orderkey", "o_orderstatus", "priority")
+
+
+@query("""SELECT p.p_partkey, p.p_name, f.first_key, f.first_brand FROM part p
+JOIN (SELECT p_name, min(p_partkey) AS first_key, arg_min(p_brand, p_partkey) AS first_brand FROM part GROUP BY p_name) f USING (p_name)""")
+def first_match_join(spark, d):
+    part = table(spark, d, "part").select("p_partkey", "p_name", "p_brand")
+    first = match.first_per_key(part, "p_name", "p_partkey").withColumnsRenamed({"p_partkey": "first_key", "p_brand": "first_brand"})
+    return part.join(first, "p_name").select("p_partkey", "p_name", "first_key", "first_brand")
+
+
+@query("""WITH n AS (SELECT DISTINCT p_name FROM part), t AS (SELECT DISTINCT reverse(substr(p_name, 3)) AS bad FROM part),
+b AS (SELECT bad, min((levenshtein(bad, p_name), p_name)) AS m FROM t, n GROUP BY bad)
+SELECT p_partkey, bad, m[2] AS nearest, CAST(m[1] AS INTEGER) AS distance FROM (SELECT p_partkey, reverse(substr(p_name, 3)) AS bad FROM part) JOIN b USING (bad)""")
+def nearest_string_join(spark, d):
+    part = table(spark, d, "part")
+    read = part.select("p_partkey", F.reverse(F.expr("substring(p_name, 3)")).alias("bad"))
+    return match.nearest_string(read, "bad", part, "p_name").select("p_partkey", "bad", "nearest", "distance")
+
+
+@query("""SELECT p_partkey, p_name, CAST(coalesce(list_filter(flatten(list_transform(range(greatest(4 - 1, 1), 4 + 2), lambda n: list_transform(
+range(0, greatest(length(p_name) - n + 1, 0)), lambda s: {'n': n, 's': s}))), lambda x: levenshtein(substr(p_name, CAST(x.s + 1 AS BIGINT), CAST(x.n AS BIGINT)), 'bold') <= 1)[1].s, -1) AS INTEGER) AS at FROM part""")
+def fuzzy_find_window(spark, d):
+    return table(spark, d, "part").select("p_partkey", "p_name", X.fuzzy_find(F.lit("bold"), F.col("p_name"), 1).cast("int").alias("at"))
+
+
+@query("""SELECT o_orderkey, arg_min(l_linenumber, (l_extendedprice, l_linenumber)) AS line, min(l_extendedprice) AS price
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey""")
+def key_equi_join_top1(spark, d):
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.min(F.struct("l_extendedprice", "l_linenumber")).alias("m"))
+    orders = table(spark, d, "orders").select("o_orderkey")
+    return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_orderkey").agg(F.min("m").alias("m")).select("o_orderkey", F.col("m.l_linenumber").alias("line"), F.col("m.l_extendedprice").alias("price"))
+
+
+@query("""SELECT c_nationkey, c_custkey, n_orders, c_acctbal FROM (SELECT c_nationkey, c_custkey, n_orders, c_acctbal,
+row_number() OVER (PARTITION BY c_nationkey ORDER BY n_orders DESC, c_acctbal ASC NULLS LAST, c_custkey) AS rn
+FROM customer JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey) WHERE rn = 1""")
+def top1_mixed_direction(spark, d):
+    n = table(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("n_orders"))
+    rows = table(spark, d, "customer").join(n, F.col("c_custkey") == F.col("o_custkey"))
+    key = F.struct((-F.col("n_orders")).alias("a"), F.coalesce("c_acctbal", F.lit(float("inf"))).alias("b"), F.col("c_custkey").alias("c"))
+    return rows.groupBy("c_nationkey").agg(F.min_by(F.struct("c_custkey", "n_orders", "c_acctbal"), key).alias("t")).select("c_nationkey", "t.*")
+
+
+@query("""SELECT n_nationkey, arg_min(s_suppkey, (abs(s_acctbal - 5000), CASE WHEN s_suppkey % 2 = 0 THEN 0 ELSE 1 END, s_suppkey)) AS s_suppkey,
+round(min(abs(s_acctbal - 5000)), 4) AS err FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_nationkey""")
+def tuple_top1(spark, d):
+    rows = table(spark, d, "supplier").join(F.broadcast(table(spark, d, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
+    key = F.struct(F.abs(F.col("s_acctbal") - 5000).alias("err"), F.when(F.col("s_suppkey") % 2 == 0, 0).otherwise(1).alias("flag"), "s_suppkey")
+    return rows.groupBy("n_nationkey").agg(F.min(key).alias("m")).select("n_nationkey", "m.s_suppkey", F.round("m.err", 4).alias("err"))
+
+
+@query("SELECT n_nationkey, n_name, r_name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey")
+def dict_lookup_join(spark, d):
+    return table(spark, d, "nation").join(F.broadcast(table(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"), "left").select("n_nationkey", "n_name", "r_name")
+
+
+@query("""WITH k AS (SELECT l_orderkey, array_to_string(list_sort(list(DISTINCT l_returnflag || l_linestatus)), '-') AS elements FROM lineitem GROUP BY l_orderkey),
+n AS (SELECT elements, count(*) AS alike, min(l_orderkey) AS first_order FROM k GROUP BY elements) SELECT l_orderkey, elements, alike, first_order FROM k JOIN n USING (elements)""")
+def set_key_join(spark, d):
+    keys = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_set(F.concat("l_returnflag", "l_linestatus"))), "-").alias("elements"))
+    sets = keys.groupBy("elements").agg(F.count("*").alias("alike"), F.min("l_orderkey").alias("first_order"))
+    return keys.join(sets, "elements").select("l_orderkey", "elements", "alike", "first_order")
+
+
+_SHARES = """SELECT l_suppkey, sum(l_quantity) FILTER (l_returnflag = 'A') / sum(l_quantity) AS a, sum(l_quantity) FILTER (l_returnflag = 'N') / sum(l_quantity) AS n,
+sum(l_quantity) FILTER (l_returnflag = 'R') / sum(l_quantity) AS r FROM lineitem GROUP BY l_suppkey"""
+
+
+@query(f"""WITH v AS ({_SHARES}), p AS (SELECT x.l_suppkey AS id, y.l_suppkey AS other, round(greatest(abs(x.a - y.a), abs(x.n - y.n), abs(x.r - y.r)), 9) AS err
+FROM v x JOIN v y ON x.l_suppkey % 10 = y.l_suppkey % 10 AND x.l_suppkey <> y.l_suppkey), b AS (SELECT id, min((err, other)) AS m FROM p WHERE err <= 0.02 GROUP BY id)
+SELECT v.l_suppkey AS id, coalesce(m[2], -1) AS other, m[1] AS err FROM v LEFT JOIN b ON v.l_suppkey = b.id""")
+def ratio_tolerance_join(spark, d):
+    sums = table(spark, d, "lineitem").groupBy("l_suppkey").agg(*[F.sum(F.when(F.col("l_returnflag") == x, F.col("l_quantity"))).alias(x) for x in "ANR"])
+    comp = F.create_map(*[y for x in "ANR" for y in (F.lit(x), F.col(x))])
+    rows = sums.select(F.col("l_suppkey").alias("id"), (F.col("l_suppkey") % 10).alias("block"), comp.alias("comp"))
+    right = rows.select("block", F.col("id").alias("other"), F.col("comp").alias("other_comp"))
+    err = F.when(F.col("id") != F.col("other"), F.round(chem.ratio_error(F.col("comp"), F.col("other_comp")), 9))
+    best = match.tolerance_match(rows, right, "block", err, 0.02, "id", [F.col("other").alias("_o")], ["other"])
+    return best.select("id", F.coalesce("other", F.lit(-1).cast("long")).alias("other"), "err")
+
+
+@query("""SELECT k.o_orderkey, CAST(coalesce(arg_min(g.o_orderkey, CASE WHEN g.o_orderkey <= k.o_orderkey THEN 2 * (k.o_orderkey - g.o_orderkey) - CASE WHEN g.o_orderkey = k.o_orderkey THEN 0 ELSE 1 END
+ELSE 2 * (g.o_orderkey - k.o_orderkey) END), k.o_orderkey) AS BIGINT) AS page_used, count(g.o_orderkey) > 0 AS verified FROM orders k
+LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 250000) g ON g.o_orderkey BETWEEN k.o_orderkey - 3 AND k.o_orderkey + 3 AND g.o_orderkey >= 1 GROUP BY k.o_orderkey""")
+def band_search(spark, d):
+    orders = table(spark, d, "orders")
+    held = orders.select(F.col("o_orderkey").alias("page"), "o_orderstatus", "o_totalprice")
+    return match.band_search(orders.select("o_orderkey"), "o_orderkey", held, "page", (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 250000))
+
+
+@query("""SELECT item_id, count(*) AS documents, min(doc_id) AS first_doc FROM (SELECT item_id, lower(array_to_string(string_split(text, ' ')[1:6], ' ')) AS needle, lower(string_split(text, ' ')[1]) AS word FROM benchmark) b
+JOIN documents ON contains(lower(text), needle) GROUP BY item_id""")
+def substring_join(spark, d):
+    # A document can only hold the needle if it has its second word: that is the equality that keeps the join a hash join.
+    words = F.split("text", " ")
+    needles = table(spark, d, "benchmark").select("item_id", F.lower(F.array_join(F.slice(words, 1, 6), " ")).alias("needle"))
+    needles = needles.withColumn("word", F.get(F.split("needle", r"[\x20\n]"), F.lit(1)))
+    docs = table(spark, d, "documents").select("doc_id", F.lower("text").alias("body"))
+    each = docs.select("doc_id", "body", F.explode(F.array_distinct(F.split("body", r"[\x20\n]"))).alias("word"))
+    kept = each.join(match.small(needles), "word").where(F.col("body").contains(F.col("needle")))
+    return kept.groupBy("item_id").agg(F.countDistinct("doc_id").alias("documents"), F.min("doc_id").alias("first_doc"))
+
+
+@query("""WITH t AS (SELECT p_partkey, p_brand, string_split(p_name, ' ')[1] AS token FROM part), w AS (SELECT p_brand, list(DISTINCT string_split(p_name, ' ')[2]) AS notes FROM part GROUP BY p_brand)
+SELECT p_partkey, len(list_filter(notes, lambda n: contains(n, token) OR contains(token, n))) > 0 AS noticed FROM t JOIN w USING (p_brand)""")
+def either_contains_join(spark, d):
+    part = table(spark, d, "part").withColumn("w", F.split("p_name", " "))
+    notes = part.groupBy("p_brand").agg(F.collect_set(F.get("w", F.lit(1))).alias("notes"))
+    token = F.get("w", F.lit(0))
+    says = F.exists("notes", lambda n: n.contains(token) | token.contains(n))
+    return part.join(notes, "p_brand").select("p_partkey", F.coalesce(says, F.lit(False)).alias("noticed"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_name LIKE 'small%' OR p_name LIKE '% small%' THEN 'S' WHEN p_name LIKE 'red%' OR p_name LIKE '% red%' THEN 'R' END AS named,
+CASE WHEN string_split(p_name, ' ')[-1] LIKE '%ing' THEN 'ing' WHEN string_split(p_name, ' ')[-1] LIKE '%g' THEN 'g' WHEN string_split(p_name, ' ')[-1] LIKE '%t' THEN 't' END AS ending FROM part""")
+def prefix_suffix_dict(spark, d):
+    words = F.split("p_name", " ")
+    starts = F.array(F.struct(F.lit("small").alias("k"), F.lit("S").alias("v")), F.struct(F.lit("red").alias("k"), F.lit("R").alias("v")))
+    ends = F.array(F.lit("ing"), F.lit("g"), F.lit("t"))
+    named = F.get(F.filter(starts, lambda s: F.exists(words, lambda w: w.startswith(s["k"]))), F.lit(0))["v"]
+    return table(spark, d, "part").select("p_partkey", named.alias("named"), F.get(F.filter(ends, lambda e: F.element_at(words, -1).endswith(e)), F.lit(0)).alias("ending"))
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)")
+def semi_filter(spark, d):
+    big = table(spark, d, "orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
+    return table(spark, d, "customer").select("c_custkey", "c_name").join(big, "c_custkey", "left_semi")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def anti_resume(spark, d):
+    done = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return outcomes.unfinished(table(spark, d, "customer").select("c_custkey", "c_name"), done, "c_custkey")
+
+
+@query("SELECT event_type, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY event_type ORDER BY n DESC, event_type")
+def value_counts_desc(spark, d):
+    return outcomes.value_counts(table(spark, d, "events"), "event_type")
+
+
+@query("""SELECT l_returnflag, count(*) AS n, count(*) FILTER (l_discount > 0.05) AS discounted, count(DISTINCT l_partkey) AS parts, min(l_quantity) AS least, max(l_quantity) AS most, round(avg(l_quantity), 6) AS mean
+FROM lineitem GROUP BY l_returnflag""")
+def conditional_counts(spark, d):
+    aggs = (F.count("*").alias("n"), F.count_if(F.col("l_discount") > 0.05).alias("discounted"), F.countDistinct("l_partkey").alias("parts"), F.min("l_quantity").alias("least"), F.max("l_quantity").alias("most"), F.round(F.avg("l_quantity"), 6).alias("mean"))
+    return table(spark, d, "lineitem").groupBy("l_returnflag").agg(*aggs)
+
+
+@query("SELECT conv_id, count(*) AS turns, md5(string_agg(role || ':' || text, ' ' ORDER BY turn, role, text)) AS digest FROM conversations GROUP BY conv_id")
+def ordered_list_agg(spark, d):
+    rows = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+    said = F.array_join(F.transform("t", lambda x: F.concat(x["role"], F.lit(":"), x["text"])), " ")
+    return rows.select("conv_id", F.size("t").cast("long").alias("turns"), F.md5(said.cast("binary")).alias("digest"))
+
+
+@query("""SELECT conv_id, turn, md5(coalesce(string_agg(text, ' ') OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), '')) AS context FROM conversations""")
+def lookback_context(spark, d):
+    before = W.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(-3, -1)
+    return table(spark, d, "conversations").select("conv_id", "turn", F.md5(F.array_join(F.collect_list("text").over(before), " ").cast("binary")).alias("context"))
+
+
+_LINES = "SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents"
+
+
+@query(f"""WITH l AS ({_LINES}), t AS (SELECT doc_id, line_no, CASE WHEN contains(line, 'Licensed') THEN 1 WHEN contains(line, ' token ') THEN 2 END AS tier FROM l)
+SELECT doc_id, CAST(min((tier, line_no))[1] AS INTEGER) AS tier, CAST(min((tier, line_no))[2] AS INTEGER) AS line_no FROM t WHERE tier IS NOT NULL GROUP BY doc_id""")
+def header_first_tier(spark, d):
+    lines = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    tier = F.when(F.col("line").contains("Licensed"), 1).when(F.col("line").contains(" token "), 2)
+    return lines.withColumn("tier", tier).where("tier is not null").groupBy("doc_id").agg(F.min(F.struct("tier", "line_no")).alias("m")).select("doc_id", "m.tier", "m.line_no")
+
+
+@query("""WITH e AS (SELECT *, event_type = 'signup' AS base, lag(event_type) OVER w = 'view' AS near FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+f AS (SELECT *, min(CASE WHEN base AND near THEN (ts, event_id) END) OVER (PARTITION BY user_id) AS first, min(CASE WHEN event_type = 'error' AND value > 480 THEN (ts, event_id) END) OVER (PARTITION BY user_id) AS fin FROM e),
+s AS (SELECT *, sum(CASE WHEN base AND (ts, event_id) >= first THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM f WHERE first IS NOT NULL AND (fin IS NULL OR (ts, event_id) < fin)),
+k AS (SELECT *, max(run) OVER (PARTITION BY user_id) AS top FROM s) SELECT user_id, CAST(run AS BIGINT) AS run, count(*) AS n, min(event_id) AS opened FROM k WHERE run > 0 AND (fin IS NOT NULL OR run < top) GROUP BY user_id, run""")
+def segment_runs(spark, d):
+    w, whole = W.partitionBy("user_id").orderBy("ts", "event_id"), W.partitionBy("user_id")
+    at = F.struct("ts", "event_id")
+    e = table(spark, d, "events").withColumns({"at": at, "base": F.col("event_type") == "signup", "near": F.lag("event_type").over(w) == "view"})
+    e = e.withColumns({"first": F.min(F.when(F.col("base") & F.col("near"), F.col("at"))).over(whole), "fin": F.min(F.when((F.col("event_type") == "error") & (F.col("value") > 480), F.col("at"))).over(whole)})
+    e = e.where("first is not null and (fin is null or at < fin)")
+    e = e.withColumn("run", F.sum(F.when(F.col("base") & (F.col("at") >= F.col("first")), 1).otherwise(0)).over(w.rowsBetween(W.unboundedPreceding, 0)))
+    e = e.withColumn("top", F.max("run").over(whole)).where("run > 0 and (fin is not null or run < top)")
+    return e.groupBy("user_id", "run").agg(F.count("*").alias("n"), F.min("event_id").alias("opened"))
+
+
+_FOLD = """SELECT user_id, list_reduce(list({'i': event_id, 'k': hour(ts) * 1.0, 'v': value, 'n': 0, 't': NULL::DOUBLE, 'g': NULL::DOUBLE} ORDER BY ts, event_id), lambda a, x: CASE WHEN a.n = 0 OR NOT (x.k < a.t - 0.01 OR x.v > a.g + 100.0)
+THEN {'i': x.i, 'k': x.k, 'v': x.v, 'n': a.n + 1, 't': x.k, 'g': x.v} ELSE a END, {'i': -1, 'k': 0.0, 'v': 0.0, 'n': 0, 't': NULL::DOUBLE, 'g': NULL::DOUBLE}) AS r FROM events GROUP BY user_id"""
+
+
+def _gated(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events").select("user_id", F.struct("ts", "event_id").alias("at"), "event_id", F.hour("ts").cast("double").alias("t"), F.lit(1.0).alias("s"), F.col("value").alias("g"))
+    return series.monotone_gate(e, "user_id", "at", "t", "s", "g", g_slack=100.0)
+
+
+@query(f"SELECT user_id, CAST(r.n AS BIGINT) AS accepted, r.i AS last_event FROM ({_FOLD})")
+def monotone_gate(spark, d):
+    rows = _gated(spark, d).where("accepted")
+    return rows.groupBy("user_id").agg(F.count("*").alias("accepted"), F.max_by("event_id", "at").alias("last_event"))
+
+
+@query()
+def series_quality(spark, d):
+    """Flagship: each user's series gated, its slopes checked, and the flags counted."""
+    rows = _gated(spark, d).where("accepted").select("user_id", "at", (F.col("t") + 273.15).alias("t"), (F.col("g") / 10).alias("cp"), "s", F.col("g").alias("h"))
+    flags = series.consistency_flags(rows, ["user_id"], "at", F.lit(True))
+    return flags.groupBy("user_id").agg(F.count("*").alias("n"), F.count_if("cp_wrong").alias("cp_wrong"), F.count_if("s_sign_wrong").alias("s_sign_wrong")).orderBy("user_id")
+
+
+_SERIES = "SELECT user_id, event_id, ts, event_id * 0.5 + 300.0 AS t, value AS cp, value / 10 - CASE WHEN event_id % 97 = 0 THEN 49 ELSE 0 END AS s, event_id * 0.05 + value / 100 AS h FROM events"
+
+
+def _series(spark: SparkSession, d: str) -> DataFrame:
+    e = F.col("event_id")
+    s = F.col("value") / 10 - F.when(e % 97 == 0, 49).otherwise(0)
+    return table(spark, d, "events").select("user_id", "event_id", "ts", (e * 0.5 + 300.0).alias("t"), F.col("value").alias("cp"), s.alias("s"), (e * 0.05 + F.col("value") / 100).alias("h"))
+
+
+_SLOPES = f"""WITH b AS ({_SERIES}), l AS (SELECT *, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n, lag(t) OVER w AS t1, lag(t, 2) OVER w AS t2, lead(t) OVER w AS t3, lag(cp) OVER w AS c1, lag(cp, 2) OVER w AS c2,
+lag(s) OVER w AS s1, lag(s, 2) OVER w AS s2, lead(s) OVER w AS s3, lag(h) OVER w AS h1, lag(h, 2) OVER w AS h2, lead(h) OVER w AS h3, count(*) FILTER (s > 0) OVER (PARTITION BY user_id) AS pos FROM b WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+raw AS (SELECT *, CASE WHEN t > t1 THEN 1000.0 * (h - h1) / (t - t1) END AS ha, CASE WHEN t3 > t THEN 1000.0 * (h3 - h) / (t3 - t) END AS hb, CASE WHEN t > t2 THEN 1000.0 * (h - h2) / (t - t2) END AS hc,
+CASE WHEN t > t1 THEN (s - s1) / (ln(t) - ln(t1)) END AS sa, CASE WHEN t3 > t THEN (s3 - s) / (ln(t3) - ln(t)) END AS sb, CASE WHEN t > t2 THEN (s - s2) / (ln(t) - ln(t2)) END AS sc FROM l),
+e AS (SELECT *, CASE WHEN ha BETWEEN -20 AND 900 THEN ha END AS xa, CASE WHEN hb BETWEEN -20 AND 900 THEN hb END AS xb, CASE WHEN hc BETWEEN -20 AND 900 THEN hc END AS xc,
+CASE WHEN sa BETWEEN -20 AND 900 THEN sa END AS ya, CASE WHEN sb BETWEEN -20 AND 900 THEN sb END AS yb, CASE WHEN sc BETWEEN -20 AND 900 THEN sc END AS yc FROM raw),
+f AS (SELECT *, coalesce(i > 0 AND i < n - 1 AND xa IS NOT NULL AND xb IS NOT NULL AND ya IS NOT NULL AND yb IS NOT NULL AND NOT (cp BETWEEN least(xa, xb) - 5 AND greatest(xa, xb) + 5) AND NOT (cp BETWEEN least(ya, yb) - 5 AND greatest(ya, yb) + 5), false) AS inside,
+coalesce(i = n - 1 AND n > 2 AND xa IS NOT NULL AND xc IS NOT NULL AND ya IS NOT NULL AND yc IS NOT NULL AND NOT (cp BETWEEN least(xa, xc) - 5 AND greatest(xa, xc) + 5) AND NOT (cp BETWEEN least(ya, yc) - 5 AND greatest(ya, yc) + 5)
+AND (i < 2 OR abs((cp - c1) / (t - t1) - (c1 - c2) / (t1 - t2)) > greatest(0.02, 0.4 * abs((c1 - c2) / (t1 - t2)))), false) AS fin,
+coalesce(s < 0 AND pos >= n - 1 AND pos > 0 AND (i < 2 OR abs(-s - (s1 + (s1 - s2) / (t1 - t2) * (t - t1))) < abs(s - (s1 + (s1 - s2) / (t1 - t2) * (t - t1)))), false) AS flip FROM e)"""
+
+
+@query(f"{_SLOPES} SELECT event_id, round(xa * 0.2390057, 4) AS from_h, round(ya * 0.2390057, 4) AS from_s FROM f")
+def secant_slopes(spark, d):
+    rows, one = _series(spark, d), series.Series(["user_id"], "event_id")
+    h, s = one.slopes(-1, 0)
+    return rows.select("event_id", F.round(h * 0.2390057, 4).alias("from_h"), F.round(s * 0.2390057, 4).alias("from_s"))
+
+
+@query(f"{_SLOPES} SELECT event_id, inside OR fin AS cp_wrong, flip AS s_sign_wrong FROM f")
+def consistency_flags(spark, d):
+    return series.consistency_flags(_series(spark, d), ["user_id"], "event_id", F.lit(True)).select("event_id", "cp_wrong", "s_sign_wrong")
+
+
+@query()
+def two_pass_correction(spark, d):
+    rows = series.corrections(_series(spark, d), ["user_id"], "event_id", F.lit(True))
+    return rows.select("event_id", F.round("cp_fixed", 3).alias("cp_fixed"), F.round("s_fixed", 6).alias("s_fixed"), "reasons")
+
+
+@query("""WITH v AS (SELECT o_orderkey, printf('%.3f', o_totalprice) AS p, o_totalprice + (o_orderkey % 9) * 100.0 + 0.04 AS est FROM orders),
+c AS (SELECT o_orderkey, est, i, d, CAST(substr(p, 1, CAST(i - 1 AS BIGINT)) || d || substr(p, CAST(i + 1 AS BIGINT)) AS DOUBLE) AS x FROM v, range(1, 16) r(i), range(0, 10) s(d) WHERE i <= length(p) AND regexp_matches(substr(p, CAST(i AS BIGINT), 1), '[0-9]') AND substr(p, CAST(i AS BIGINT), 1) <> CAST(d AS VARCHAR)),
+b AS (SELECT o_orderkey, arg_min(x, (abs(x - est), i, d)) AS x FROM c WHERE abs(x - est) < 0.1 GROUP BY o_orderkey) SELECT v.o_orderkey, round(x, 3) AS snapped FROM v LEFT JOIN b USING (o_orderkey)""")
+def digit_snap(spark, d):
+    est = F.col("o_totalprice") + (F.col("o_orderkey") % 9) * 100.0 + 0.04
+    return table(spark, d, "orders").select("o_orderkey", F.round(X.snap_digit(F.col("o_totalprice"), est, fallback=False), 3).alias("snapped"))
+
+
+@query()
+def column_sieve(spark, d):
+    """Orders of nine to fifteen numbers, six of their prices among them, put through the column recovery."""
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_quantity", "l_discount"))).alias("x"))
+    flat = F.flatten(F.transform("x", lambda x: F.array(x["l_quantity"], x["l_discount"] * 10, x["l_quantity"] / 7)))
+    rows = pages.recover_columns(lines.select("l_orderkey", F.slice(flat, 1, 15).alias("numbers")))
+    told = F.array_join(F.transform("fit", lambda v: F.format_string("%.4f", v)), " ")
+    return rows.select("l_orderkey", F.size("numbers").alias("n"), "used_fallback", F.md5(told.cast("binary")).alias("fit"))
+
+
+@query("SELECT o_orderkey, o_orderkey + CASE WHEN o_orderkey <= 924 THEN 114 WHEN o_orderkey <= 1200 THEN 115 ELSE 116 END AS page FROM orders")
+def piecewise_offset(spark, d):
+    return table(spark, d, "orders").select("o_orderkey", pages.page_offset(F.col("o_orderkey")).alias("page"))
+
+
+@query(r"""WITH t AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '(\.)\s+([0-9])', '\1\2', 'g'), '([-~])\s+([0-9])', '\1\2', 'g'), '([0-9])([-~])', '\1 \2', 'g') AS x FROM documents WHERE regexp_full_match(text, '[\x00-\x7f]*'))
+SELECT doc_id, length(x) AS n, CAST(len(regexp_extract_all(x, '-?[0-9]+\.[0-9]+')) AS INTEGER) AS numbers, nullif(regexp_extract(x, '-?[0-9]+\.[0-9]+'), '') AS first_number FROM t""")
+def text_repair_chain(spark, d):
+    docs = table(spark, d, "documents").where(ASCII).select("doc_id", X.page_repair(F.col("text")).alias("x"))
+    found = F.regexp_extract_all("x", F.lit(X.NUMBER), F.lit(0))
+    return docs.select("doc_id", F.length("x").cast("long").alias("n"), F.size(found).alias("numbers"), F.get(found, F.lit(0)).alias("first_number"))
+
+
+_TOKEN = "CAST(o_orderkey * 37 AS VARCHAR)"
+
+
+@query(f"""SELECT o_orderkey, CASE WHEN regexp_full_match({_TOKEN}, '[0-9]{{4,7}}') THEN left({_TOKEN}, -2) || '.' || right({_TOKEN}, 2) ELSE {_TOKEN} END AS first_token,
+CASE WHEN regexp_full_match({_TOKEN}, '[0-9]{{4,7}}') THEN left({_TOKEN}, -3) || '.' || right({_TOKEN}, 3) ELSE {_TOKEN} END AS later_token FROM orders""")
+def missing_decimal(spark, d):
+    token = (F.col("o_orderkey") * 37).cast("string")
+    return table(spark, d, "orders").select("o_orderkey", X.missing_decimal(token, F.lit(True)).alias("first_token"), X.missing_decimal(token, F.lit(False)).alias("later_token"))
+
+
+@query(r"""SELECT page_id, translate(regexp_replace(regexp_replace(upper(regexp_replace(url, '[^A-Za-z0-9\[\]]', '', 'g')), '\[+', '[', 'g'), '\]+', ']', 'g'), 'OL', '0I') AS match_key,
+regexp_replace(url, '[^A-Za-z0-9_.()\[\]*-]', '_', 'g') AS stem FROM pages""")
+def normalise_key(spark, d):
+    return table(spark, d, "pages").select("page_id", X.match_key(F.col("url")).alias("match_key"), X.file_stem(F.col("url")).alias("stem"))
+
+
+@query(r"""WITH f AS (SELECT p_partkey, p_brand || CASE p_partkey % 4 WHEN 0 THEN '[A]' WHEN 1 THEN '[A][b]' WHEN 2 THEN '[]' ELSE '' END AS f FROM part)
+SELECT p_partkey, regexp_replace(f, '\[[^\]]*\]$', '') AS bare, CASE WHEN regexp_matches(f, '\[[^\]]*\]$') THEN regexp_extract(f, '\[([^\]]*)\]$', 1) END AS tag, regexp_replace(f, '(\[[^\]]*\])+$', '') AS untagged FROM f""")
+def strip_tags(spark, d):
+    tag = F.when(F.col("p_partkey") % 4 == 0, "[A]").when(F.col("p_partkey") % 4 == 1, "[A][b]").when(F.col("p_partkey") % 4 == 2, "[]").otherwise("")
+    f = F.concat("p_brand", tag)
+    bare, found = X.strip_tag(f)
+    return table(spark, d, "part").select("p_partkey", bare.alias("bare"), found.alias("tag"), X.strip_all_tags(f).alias("untagged"))
+
+
+@query("""SELECT CAST(bin AS INTEGER) AS bin, count(*) AS n FROM (SELECT list_sum(list_transform([0.08, 0.17, 0.27, 0.38, 0.48, 0.58, 0.69, 0.80, 0.90], lambda e: CASE WHEN l_quantity / 50.0 >= CAST(e AS DOUBLE) THEN 1 ELSE 0 END)) AS bin FROM lineitem) GROUP BY bin""")
+def decimal_bins(spark, d):
+    share = F.col("l_quantity") / 50.0
+    return table(spark, d, "lineitem").select(sum((F.when(share >= e, 1).otherwise(0) for e in pages.EDGES), F.lit(0)).alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
+
+
+@query("""WITH c AS (SELECT l_suppkey AS row_id, p_partkey AS id, p_brand, p_size, p_retailprice AS energy, p_type, s_nationkey, count(*) OVER (PARTITION BY l_suppkey) AS n FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_quantity > 48) JOIN part ON l_partkey = p_partkey JOIN supplier ON s_suppkey = l_suppkey),
+t AS (SELECT row_id, id, energy, CASE WHEN n = 1 THEN 30 WHEN p_brand = 'Brand#' || s_nationkey THEN 40 WHEN p_type = 'PROMO' THEN 60 ELSE 70 END AS tier FROM c)
+SELECT row_id, CAST(min((tier, energy, id))[1] AS INTEGER) AS tier, min((tier, energy, id))[3] AS id FROM t GROUP BY row_id""")
+def tier_select(spark, d):
+    lines = table(spark, d, "lineitem").where("l_quantity > 48").select("l_suppkey", "l_partkey").distinct()
+    c = lines.join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    c = c.withColumn("n", F.count("*").over(W.partitionBy("l_suppkey")))
+    tier = F.when(F.col("n") == 1, 30).when(F.col("p_brand") == F.concat(F.lit("Brand#"), F.col("s_nationkey").cast("string")), 40).when(F.col("p_type") == "PROMO", 60).otherwise(70)
+    best = c.groupBy(F.col("l_suppkey").alias("row_id")).agg(F.min(F.struct(tier.alias("tier"), F.col("p_retailprice").alias("energy"), F.col("p_partkey").alias("id"))).alias("b"))
+    return best.select("row_id", "b.tier", "b.id")
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_totalprice > 300000 THEN 'matched' WHEN o_orderpriority = '5-LOW' THEN 'gas' WHEN o_orderstatus = 'P' THEN 'amorphous' ELSE 'unmatched' END AS outcome,
+CASE WHEN o_orderstatus = 'F' AND o_totalprice > 300000 THEN CAST(o_custkey AS VARCHAR) END AS pick FROM orders""")
+def outcome_partition(spark, d):
+    cases = [("matched", (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 300000)), ("gas", F.col("o_orderpriority") == "5-LOW"), ("amorphous", F.col("o_orderstatus") == "P")]
+    rows = outcomes.label(table(spark, d, "orders"), cases, "unmatched")
+    matched = rows.where("outcome = 'matched'").select("o_orderkey", "outcome", F.col("o_custkey").cast("string").alias("pick"))
+    return outcomes.stack(matched, rows.where("outcome <> 'matched'").select("o_orderkey", "outcome"))
+
+
+@query("SELECT c_custkey, CAST((row_number() OVER (ORDER BY c_custkey) - 1) // 100 AS BIGINT) AS batch FROM customer")
+def batch_ids(spark, d):
+    return outcomes.batch_ids(table(spark, d, "customer"), "c_custkey", 100)
+
+
+_FLAT = "concat('Ca', p_size, 'Si', 1 + p_partkey % 7, 'O', 2 + p_partkey % 5)"
+
+
+@query("""SELECT p_partkey, CAST(p_size AS DOUBLE) AS ca, 1.0 + p_partkey % 7 AS si, 2.0 + p_partkey % 5 AS o, 'Ca-O-Si' AS elements FROM part WHERE p_size > 0""".replace("1.0 + p_partkey % 7", "CAST(1 + p_partkey % 7 AS DOUBLE)").replace("2.0 + p_partkey % 5", "CAST(2 + p_partkey % 5 AS DOUBLE)"))
+def formula_parse(spark, d):
+    rows = table(spark, d, "part").where("p_size > 0").select("p_partkey", chem.parse_column(F.expr(_FLAT)).alias("c"))
+    return rows.select("p_partkey", *[F.element_at("c", x).alias(x.lower()) for x in ("Ca", "Si", "O")], chem.element_key(F.col("c")).alias("elements"))
+
+
+@query()
+def formula_reduce_and_repair(spark, d):
+    """Formulas with misreadings, made from part keys: repaired by their names and reduced."""
+    bad = F.concat(F.lit("Al"), (F.col("p_partkey") % 8 + 2).cast("string"), F.lit("B2"), F.lit("0"), (F.col("p_partkey") % 9 + 1).cast("string"))
+    rows = table(spark, d, "part").select("p_partkey", bad.alias("formula"))
+    fixed = rows.withColumn("repaired", chem.repair_column(X.fix_water(X.fix_letters(F.col("formula"))), F.lit("ALUMINIUM BORATE")))
+    return fixed.withColumn("reduced", chem.reduced_column(F.col("repaired")))
+
+
+@query("""SELECT p_partkey, round(greatest(abs(p_size / (p_size + 3.0) - 2.0 / 5), abs(3.0 / (p_size + 3.0) - 3.0 / 5)), 9) AS err, p_size % 2 = 0 AND p_size > 0 AND 3 % (p_size / 2) = 0 AND p_size = 2 AS whole FROM part WHERE p_size > 0""")
+def composition_ratios(spark, d):
+    listed = chem.parse_spaced(F.concat(F.lit("- Al"), F.col("p_size").cast("string"), F.lit(" O3 -")))
+    target = F.create_map(F.lit("Al"), F.lit(2.0), F.lit("O"), F.lit(3.0))
+    rows = table(spark, d, "part").where("p_size > 0").select("p_partkey", listed.alias("c"))
+    return rows.select("p_partkey", F.round(chem.ratio_error(F.col("c"), target), 9).alias("err"), chem.whole_multiple(target, F.col("c")).alias("whole"))
+
+
+@query("""SELECT user_id, event_type, CAST(count(*) AS BIGINT) AS n, round(sum(value), 4) AS total, CAST(sum(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS BIGINT) AS k FROM events GROUP BY user_id, event_type""")
+def nested_json_roundtrip(spark, d):
+    """Rows nested into one document per user, written to JSON text, read back with a fixed schema, and flattened."""
+    item = F.struct("value", F.from_json("props", "k int")["k"].alias("k"))
+    each = table(spark, d, "events").groupBy("user_id", "event_type").agg(F.collect_list(item).alias("v"))
+    entry = F.struct(F.col("event_type").alias("key"), F.col("v").alias("value"))
+    doc = each.groupBy("user_id").agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("doc"))
+    back = doc.select("user_id", F.explode(F.from_json("doc", "map<string, array<struct<value: double, k: int>>>")).alias("event_type", "v"))
+    rows = back.select("user_id", "event_type", F.explode("v").alias("x"))
+    return rows.groupBy("user_id", "event_type").agg(F.count("*").alias("n"), F.round(F.sum("x.value"), 4).alias("total"), F.sum("x.k").alias("k"))
