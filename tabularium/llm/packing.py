@@ -115,7 +115,11 @@ def shared_encoder(path: str) -> ChunkEncoder:
 
 
 def best_two_fit(counts: dict[int, int], size: int) -> list[tuple[int, int, int, int, int]]:
-    """Runs (length, first rank, copies, first sequence, offset) that place every piece of the histogram."""
+    """Runs (length, first rank, pieces per sequence, first sequence, offset) that place every piece of the histogram.
+
+    A pattern has at most some 90 distinct lengths and leaves one of them too scarce for another copy, so the runs
+    are bounded by ``size``, not by the documents.
+    """
     left = [0] * (size + 1)
     mask = 0
     for length, n in counts.items():
@@ -172,10 +176,10 @@ def best_two_fit(counts: dict[int, int], size: int) -> list[tuple[int, int, int,
             if not left[length]:
                 mask &= ~(1 << length)
         offset = 0
-        for length in bin_:
-            runs.append((length, rank[length], copies, sequence, offset))
-            rank[length] += copies
-            offset += length
+        for length, n in use.items():
+            runs.append((length, rank[length], n, sequence, offset))
+            rank[length] += copies * n
+            offset += length * n
         sequence += copies
     return runs
 
@@ -225,7 +229,8 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 4096) -> DataFrame:
             length, rank = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 5))
             run = np.searchsorted(keys, (length << 44) | rank, side="right") - 1
             out = {n: batch.column(n) for n in ("doc_id", "piece", "start", "length", "ids_crc32")}
-            return out | {"sequence_id": table[run, 3] + rank - table[run, 1], "offset": table[run, 4]}
+            nth = rank - table[run, 1]
+            return out | {"sequence_id": table[run, 3] + nth // table[run, 2], "offset": table[run, 4] + nth % table[run, 2] * length}
 
         return step
 
