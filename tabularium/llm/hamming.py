@@ -125,6 +125,8 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 10, key: str = "vec_id",
                 out += [(own, i, d) for d, i in index.search(code, own, k)]
         return pd.DataFrame(out, columns=["query_id", "neighbour_id", "distance"]).astype({"query_id": "int64", "neighbour_id": "int64", "distance": "int32"})
 
+    # As many tasks as pairs of blocks: the rows are few bytes, but each pair is a search of its own.
+    index, queries = index.repartition(blocks * asks, "block", "ask"), queries.repartition(blocks * asks, "held", "asked")
     near = index.groupBy("block", "ask").cogroup(queries.groupBy("held", "asked")).applyInPandas(search, "query_id long, neighbour_id long, distance int")
     best = W.partitionBy("query_id").orderBy("distance", "neighbour_id")
     return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "neighbour_id", "distance")
