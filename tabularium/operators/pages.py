@@ -122,7 +122,8 @@ def phase_rows(lines: DataFrame, entries: DataFrame) -> DataFrame:
 def material_documents(rows: DataFrame) -> DataFrame:
     """(entry_id, phases): a map from phase to its columns; of repeated phase names the last block stays."""
     each = rows.groupBy("entry_id", "phase_seq", "phase").agg(F.array_sort(F.collect_list(F.struct("row_idx", *COLUMNS))).alias("r"))
-    block = F.struct(*[F.transform("r", lambda x, c=c: x[c]).alias(c) for c in COLUMNS])
+    column = lambda c: F.transform("r", lambda x: x[c]).alias(c)
+    block = F.struct(*map(column, COLUMNS))
     last = each.groupBy("entry_id", "phase").agg(F.max_by(block, "phase_seq").alias("block"))
     return last.groupBy("entry_id").agg(F.map_from_entries(F.collect_list(F.struct(F.col("phase").alias("key"), F.col("block").alias("value")))).alias("phases"))
 
