@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import map_rows, materialise, texts
 
 END = 1
-CACHE = 600_000  # chunks kept per Python worker; a full cache is emptied, so this bounds memory and nothing else
+CACHE = 400_000  # chunks kept per Python worker; a full cache is emptied, so this bounds memory and nothing else
 _MARKS = b".,;:!?&$%#*|"
 
 
