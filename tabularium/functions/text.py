@@ -139,13 +139,24 @@ def digit_run_positions(text: Column) -> Column:
 def snap_digit(old: Column, estimate: Column, tolerance: float = 0.1, fallback: bool = True) -> Column:
     """The single-digit change of ``old`` (three decimals) that comes strictly nearest to the estimate within the
     tolerance, the earliest on ties; else the rounded estimate, or null without fallback."""
-    text = F.format_string("%.3f", old)
-    at = F.filter(F.sequence(F.lit(1), F.length(text)), lambda i: F.substr(text, i, F.lit(1)).rlike(r"\d"))
-
-    def changed(i: Column, d: Column) -> Column:
-        value = F.concat(F.substr(text, F.lit(1), i - 1), d.cast("string"), F.substr(text, i + 1, F.length(text))).cast("double")
-        return F.struct(F.abs(value - estimate).alias("off"), i.alias("i"), d.alias("d"), value.alias("v"))
-
-    every = F.flatten(F.transform(at, lambda i: F.transform(F.sequence(F.lit(0), F.lit(9)), lambda d: changed(i, d))))
-    kept = F.filter(every, lambda x: (x["off"] < tolerance) & (x["d"].cast("string") != F.substr(text, x["i"], F.lit(1))))
-    return F.coalesce(F.array_min(kept)["v"], F.round(estimate, 3) if fallback else F.lit(None).cast("double"))
+    digits = F.sequence(F.lit(0), F.lit(9))
+
+    def best(text: Column) -> Column:
+        dot, value = F.instr(text, "."), text.cast("double")
+        sign = F.when(text.startswith("-"), -1.0).otherwise(1.0)
+        # A digit's change moves the value by whole places: no candidate's text need be made.
+        place = lambda i: F.pow(F.lit(10.0), dot - i - F.when(i < dot, 1).otherwise(0))
+        spots = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.struct(i.alias("i"), (F.ascii(F.substr(text, i, F.lit(1))) - 48).alias("digit"), (sign * place(i)).alias("place")))
+        spots = F.filter(spots, lambda x: x["digit"].between(0, 9))
+
+        def changed(x: Column, d: Column) -> Column:
+            made = value + (d - x["digit"]) * x["place"]
+            off = F.floor(F.abs(made - estimate) * 1e9 + 0.5) / 1e9
+            return F.struct(off.alias("off"), x["i"].alias("i"), d.alias("d"), made.alias("v"))
+
+        near = lambda x, d: (d != x["digit"]) & (F.abs(value + (d - x["digit"]) * x["place"] - estimate) < tolerance + 1e-6)
+        every = F.flatten(F.transform(spots, lambda x: F.transform(F.filter(digits, lambda d: near(x, d)), lambda d: changed(x, d))))
+        return F.array_min(F.filter(every, lambda c: c["off"] < tolerance))["v"]
+
+    found = F.get(F.transform(F.array(F.format_string("%.3f", old)), best), F.lit(0))
+    return F.coalesce(F.round(found, 3), F.round(estimate, 3) if fallback else F.lit(None).cast("double"))
