@@ -124,7 +124,7 @@ def test_loser_tree():
 
 def test_top_k(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    same = df.limit(1).select(F.explode(F.sequence(F.lit(100_000), F.lit(101_000), F.lit(25))).cast("long").alias("vec_id"), "embedding")
+    same = spark.range(100_000, 101_001, 25).toDF("vec_id").crossJoin(df.select("embedding").limit(1))
     odd = spark.createDataFrame([(50_000_000, None), (None, [1.0] * 64), (50_000_050, []), (50_000_100, [1.0])], "vec_id long, embedding array<float>")
     df = df.select("vec_id", "embedding").unionByName(same).unionByName(odd)
     rows = [(r["vec_id"], np.array(r["embedding"]) > 0) for r in df.collect() if r["vec_id"] is not None and r["embedding"] and len(r["embedding"]) == 64]
