@@ -9,15 +9,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import tabularium
-
-# Executors need not find this package on their path: its functions travel with the task.
-cloudpickle.register_pickle_by_value(tabularium)
-
 HOT_KEYS = 1000  # a key is hot when it holds over 1/HOT_KEYS of the rows, so there are fewer hot keys than this
 
 
