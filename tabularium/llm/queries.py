@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hamming, lm_nce, media, mixing, neardup, packing, pii, secrets, toxicity, warc
+from . import hamming, lm_nce, media, mixing, neardup, oracle, packing, pii, secrets, toxicity, warc
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -65,4 +65,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_media_columns, op4_toxicity, op5_near_duplicates, op6_packing, op7_pii, op8_mixing, op9_warc, op10_binary_search)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_near_duplicates": oracle.NEAR_DUPLICATES, "op8_mixing": oracle.MIXING, "op10_binary_search": oracle.BINARY_SEARCH}
