@@ -30,3 +30,13 @@ links AS (SELECT a, b FROM shared WHERE 100 * m >= 85 * (n - m)), edges AS (SELE
 reach AS (SELECT DISTINCT a AS id, a AS other FROM edges UNION SELECT r.id, e.b FROM reach r JOIN edges e ON r.other = e.a),
 roots AS (SELECT id, min(other) AS root FROM reach GROUP BY id)
 SELECT doc_id, n AS n_shingles, coalesce(root, rep) AS component_id, doc_id = coalesce(root, rep) AS kept FROM named LEFT JOIN roots ON rep = id"""
+
+CAPTURES = r"""WITH given AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+parts AS (SELECT *, regexp_extract(url, '^[A-Za-z]+://([^/?#:]*)', 1) AS host, regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '^[^?#]*[?]([^#]*)', 1) AS asked FROM given),
+keyed AS (SELECT *, array_to_string(list_reverse(string_split(regexp_replace(lower(host), '^www[.]', ''), '.')), ',') || ')' || CASE WHEN path = '' THEN '/' ELSE lower(path) END
+|| CASE WHEN asked = '' THEN '' ELSE '?' || array_to_string(list_sort(string_split(lower(asked), '&')), '&') END AS url_key,
+strftime(TIMESTAMP '2024-01-01' + to_seconds(coalesce(page_id, 0)), '%Y-%m-%dT%H:%M:%SZ') AS stamp, CASE WHEN page_id IS NOT NULL THEN min(page_id) OVER (PARTITION BY hex) END AS first FROM parts)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes, array_to_string(flatten(list_transform(range(8), lambda j: list_transform([15, 10, 5, 0], lambda b:
+substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(hex, CAST(5 * j + 1 AS BIGINT), 5) AS BIGINT) >> b) & 31 AS BIGINT), 1)))), '') AS payload_digest,
+CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to, url_key, stamp,
+row_number() OVER (ORDER BY url_key, stamp, page_id NULLS FIRST) - 1 AS history_rank FROM keyed"""

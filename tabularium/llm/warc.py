@@ -25,7 +25,7 @@ from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import lookup, map_rows, materialise
@@ -252,3 +252,16 @@ def capture_histories(pages: DataFrame, least: int = 0, timestamp: str = "timest
     index = materialise(read(archives), "index")
     merged = merge(index, index.count())
     return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "stamp", "archive", "offset", "length", "history_part", "history_place")
+
+
+def ranked(histories: DataFrame) -> DataFrame:
+    """``histories`` with history_rank, from 0 over all captures, in place of history_part and history_place.
+
+    Parts are ``RANGE`` rows each, so their counts are a table of that much fewer rows.
+    """
+    rows = materialise(histories, "histories")
+    counts = rows.groupBy("history_part").count()
+    before = F.sum("count").over(Window.orderBy("history_part").rowsBetween(Window.unboundedPreceding, -1))
+    begins = counts.select("history_part", F.coalesce(before, F.lit(0)).alias("_begin"))
+    rank = F.col("_begin") + F.col("history_place")
+    return rows.join(F.broadcast(begins), "history_part").withColumn("history_rank", rank).drop("history_part", "history_place", "_begin")
