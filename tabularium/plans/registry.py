@@ -246,14 +246,6 @@ def monotone_gate(spark, d):
     return rows.groupBy("user_id").agg(F.count("*").alias("accepted"), F.max_by("event_id", "at").alias("last_event"))
 
 
-@query()
-def series_quality(spark, d):
-    """Flagship: each user's series gated, its slopes checked, and the flags counted."""
-    rows = _gated(spark, d).where("accepted").select("user_id", "at", (F.col("t") + 273.15).alias("t"), (F.col("g") / 10).alias("cp"), "s", F.col("g").alias("h"))
-    flags = series.consistency_flags(rows, ["user_id"], "at", F.lit(True))
-    return flags.groupBy("user_id").agg(F.count("*").alias("n"), F.count_if("cp_wrong").alias("cp_wrong"), F.count_if("s_sign_wrong").alias("s_sign_wrong")).orderBy("user_id")
-
-
 _SERIES = "SELECT user_id, event_id, ts, event_id * 0.5 + 300.0 AS t, value AS cp, value / 10 - CASE WHEN event_id % 97 = 0 THEN 49 ELSE 0 END AS s, event_id * 0.05 + value / 100 AS h FROM events"
 
 
@@ -263,16 +255,35 @@ def _series(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("user_id", "event_id", "ts", (e * 0.5 + 300.0).alias("t"), F.col("value").alias("cp"), s.alias("s"), (e * 0.05 + F.col("value") / 100).alias("h"))
 
 
-_SLOPES = f"""WITH b AS ({_SERIES}), l AS (SELECT *, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n, lag(t) OVER w AS t1, lag(t, 2) OVER w AS t2, lead(t) OVER w AS t3, lag(cp) OVER w AS c1, lag(cp, 2) OVER w AS c2,
-lag(s) OVER w AS s1, lag(s, 2) OVER w AS s2, lead(s) OVER w AS s3, lag(h) OVER w AS h1, lag(h, 2) OVER w AS h2, lead(h) OVER w AS h3, count(*) FILTER (s > 0) OVER (PARTITION BY user_id) AS pos FROM b WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
-raw AS (SELECT *, CASE WHEN t > t1 THEN 1000.0 * (h - h1) / (t - t1) END AS ha, CASE WHEN t3 > t THEN 1000.0 * (h3 - h) / (t3 - t) END AS hb, CASE WHEN t > t2 THEN 1000.0 * (h - h2) / (t - t2) END AS hc,
-CASE WHEN t > t1 THEN (s - s1) / (ln(t) - ln(t1)) END AS sa, CASE WHEN t3 > t THEN (s3 - s) / (ln(t3) - ln(t)) END AS sb, CASE WHEN t > t2 THEN (s - s2) / (ln(t) - ln(t2)) END AS sc FROM l),
-e AS (SELECT *, CASE WHEN ha BETWEEN -20 AND 900 THEN ha END AS xa, CASE WHEN hb BETWEEN -20 AND 900 THEN hb END AS xb, CASE WHEN hc BETWEEN -20 AND 900 THEN hc END AS xc,
-CASE WHEN sa BETWEEN -20 AND 900 THEN sa END AS ya, CASE WHEN sb BETWEEN -20 AND 900 THEN sb END AS yb, CASE WHEN sc BETWEEN -20 AND 900 THEN sc END AS yc FROM raw),
-f AS (SELECT *, coalesce(i > 0 AND i < n - 1 AND xa IS NOT NULL AND xb IS NOT NULL AND ya IS NOT NULL AND yb IS NOT NULL AND NOT (cp BETWEEN least(xa, xb) - 5 AND greatest(xa, xb) + 5) AND NOT (cp BETWEEN least(ya, yb) - 5 AND greatest(ya, yb) + 5), false) AS inside,
+def _slopes(base: str, tag: str = "") -> str:
+    """Named parts of a WITH that end in f: the series' rows with slopes (x from h, y from s), inside, fin and flip."""
+    return f"""b{tag} AS ({base}), l{tag} AS (SELECT *, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n, lag(t) OVER w AS t1, lag(t, 2) OVER w AS t2, lead(t) OVER w AS t3, lag(cp) OVER w AS c1, lag(cp, 2) OVER w AS c2,
+lag(s) OVER w AS s1, lag(s, 2) OVER w AS s2, lead(s) OVER w AS s3, lag(h) OVER w AS h1, lag(h, 2) OVER w AS h2, lead(h) OVER w AS h3, count(*) FILTER (s > 0) OVER (PARTITION BY user_id) AS pos FROM b{tag} WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+raw{tag} AS (SELECT *, CASE WHEN t > t1 THEN 1000.0 * (h - h1) / (t - t1) END AS ha, CASE WHEN t3 > t THEN 1000.0 * (h3 - h) / (t3 - t) END AS hb, CASE WHEN t > t2 THEN 1000.0 * (h - h2) / (t - t2) END AS hc,
+CASE WHEN t > t1 THEN (s - s1) / (ln(t) - ln(t1)) END AS sa, CASE WHEN t3 > t THEN (s3 - s) / (ln(t3) - ln(t)) END AS sb, CASE WHEN t > t2 THEN (s - s2) / (ln(t) - ln(t2)) END AS sc FROM l{tag}),
+e{tag} AS (SELECT *, CASE WHEN ha BETWEEN -20 AND 900 THEN ha END AS xa, CASE WHEN hb BETWEEN -20 AND 900 THEN hb END AS xb, CASE WHEN hc BETWEEN -20 AND 900 THEN hc END AS xc,
+CASE WHEN sa BETWEEN -20 AND 900 THEN sa END AS ya, CASE WHEN sb BETWEEN -20 AND 900 THEN sb END AS yb, CASE WHEN sc BETWEEN -20 AND 900 THEN sc END AS yc FROM raw{tag}),
+f{tag} AS (SELECT *, coalesce(i > 0 AND i < n - 1 AND xa IS NOT NULL AND xb IS NOT NULL AND ya IS NOT NULL AND yb IS NOT NULL AND NOT (cp BETWEEN least(xa, xb) - 5 AND greatest(xa, xb) + 5) AND NOT (cp BETWEEN least(ya, yb) - 5 AND greatest(ya, yb) + 5), false) AS inside,
 coalesce(i = n - 1 AND n > 2 AND xa IS NOT NULL AND xc IS NOT NULL AND ya IS NOT NULL AND yc IS NOT NULL AND NOT (cp BETWEEN least(xa, xc) - 5 AND greatest(xa, xc) + 5) AND NOT (cp BETWEEN least(ya, yc) - 5 AND greatest(ya, yc) + 5)
 AND (i < 2 OR abs((cp - c1) / (t - t1) - (c1 - c2) / (t1 - t2)) > greatest(0.02, 0.4 * abs((c1 - c2) / (t1 - t2)))), false) AS fin,
-coalesce(s < 0 AND pos >= n - 1 AND pos > 0 AND (i < 2 OR abs(-s - (s1 + (s1 - s2) / (t1 - t2) * (t - t1))) < abs(s - (s1 + (s1 - s2) / (t1 - t2) * (t - t1)))), false) AS flip FROM e)"""
+coalesce(s < 0 AND pos >= n - 1 AND pos > 0 AND (i < 2 OR abs(-s - (s1 + (s1 - s2) / (t1 - t2) * (t - t1))) < abs(s - (s1 + (s1 - s2) / (t1 - t2) * (t - t1)))), false) AS flip FROM e{tag})"""
+
+
+_SLOPES = f"WITH {_slopes(_SERIES)}"
+
+
+_WALK = """walk AS (SELECT user_id, rn, k AS t, v AS g, true AS ok FROM o WHERE rn = 1 UNION ALL SELECT o.user_id, o.rn, CASE WHEN NOT (k < t - 0.01 OR v > g + 100.0) THEN k ELSE t END, CASE WHEN NOT (k < t - 0.01 OR v > g + 100.0) THEN v ELSE g END,
+NOT (k < t - 0.01 OR v > g + 100.0) FROM walk JOIN o ON o.user_id = walk.user_id AND o.rn = walk.rn + 1)"""
+_ACCEPTED = "SELECT user_id, rn AS event_id, t + 273.15 AS t, g / 10 AS cp, 1.0 AS s, g AS h FROM walk WHERE ok"
+
+
+@query(f"""WITH RECURSIVE o AS (SELECT user_id, CAST(hour(ts) AS DOUBLE) AS k, value AS v, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events WHERE value IS NOT NULL), {_WALK}, {_slopes(_ACCEPTED)}
+SELECT user_id, count(*) AS n, count(*) FILTER (inside OR fin) AS cp_wrong, count(*) FILTER (flip) AS s_sign_wrong FROM f GROUP BY user_id""")
+def series_quality(spark, d):
+    """Flagship: each user's series gated, its slopes checked, and the flags counted."""
+    rows = _gated(spark, d).where("accepted").select("user_id", "at", (F.col("t") + 273.15).alias("t"), (F.col("g") / 10).alias("cp"), "s", F.col("g").alias("h"))
+    flags = series.consistency_flags(rows, ["user_id"], "at", F.lit(True))
+    return flags.groupBy("user_id").agg(F.count("*").alias("n"), F.count_if("cp_wrong").alias("cp_wrong"), F.count_if("s_sign_wrong").alias("s_sign_wrong")).orderBy("user_id")
 
 
 @query(f"{_SLOPES} SELECT event_id, round(xa * 0.2390057, 4) AS from_h, round(ya * 0.2390057, 4) AS from_s FROM f")
@@ -287,7 +298,24 @@ def consistency_flags(spark, d):
     return series.consistency_flags(_series(spark, d), ["user_id"], "event_id", F.lit(True)).select("event_id", "cp_wrong", "s_sign_wrong")
 
 
-@query()
+def _snapped(old: str, estimate: str) -> str:
+    """The single-digit change of a printed number that comes nearest to an estimate, within 0.1."""
+    changed = f"CAST(substr(printf('%.3f', {old}), 1, CAST(i - 1 AS BIGINT)) || d || substr(printf('%.3f', {old}), CAST(i + 1 AS BIGINT)) AS DOUBLE)"
+    return f"""round(list_min(list_filter(flatten(list_transform(list_filter(range(1, 16), lambda i: regexp_matches(substr(printf('%.3f', {old}), CAST(i AS BIGINT), 1), '[0-9]')), lambda i: list_transform(
+list_filter(range(0, 10), lambda d: CAST(d AS VARCHAR) <> substr(printf('%.3f', {old}), CAST(i AS BIGINT), 1)), lambda d: {{'off': round(abs({changed} - ({estimate})), 9), 'i': i, 'd': d, 'v': {changed}}}))), lambda c: c.off < 0.1)).v, 3)"""
+
+
+_FLIPPED = "SELECT user_id, event_id, ts, t, cp, CASE WHEN flip THEN -s ELSE s END AS s, h, s AS s_read FROM f"
+_INNER = "inside AND abs((xa + xb) / 2 - (ya + yb) / 2) <= 5"
+_END = """i = n - 1 AND n > 2 AND xa IS NOT NULL AND xc IS NOT NULL AND ya IS NOT NULL AND yc IS NOT NULL AND NOT (cp BETWEEN least(xa, xc) - 5 AND greatest(xa, xc) + 5) AND NOT (cp BETWEEN least(ya, yc) - 5 AND greatest(ya, yc) + 5)
+AND (t1 <= t2 OR t <= t1 OR abs((cp1 - q1) / (t - t1) - (q1 - q2) / (t1 - t2)) > greatest(0.02, 0.4 * abs((q1 - q2) / (t1 - t2)))) AND abs((xa + xc) / 2 - (ya + yc) / 2) <= 5"""
+_WIDE = "(2 * {} * (t - t2) - (t1 - t2) * q2 - (t - t2) * q1) / (t - t1)"
+
+
+@query(f"""{_SLOPES}, {_slopes(_FLIPPED, "2")}, p AS (SELECT *, CASE WHEN {_INNER} THEN coalesce({_snapped("cp", "(xa + xb) / 4 + (ya + yb) / 4")}, round((xa + xb) / 4 + (ya + yb) / 4, 3)) ELSE cp END AS cp1 FROM f2),
+q AS (SELECT *, lag(cp1) OVER w AS q1, lag(cp1, 2) OVER w AS q2 FROM p WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+z AS (SELECT *, (2 * xa - q1 + {_WIDE.format("xc")}) / 4 + (2 * ya - q1 + {_WIDE.format("yc")}) / 4 AS ending FROM q), o AS (SELECT *, CASE WHEN coalesce({_END}, false) THEN coalesce({_snapped("cp1", "ending")}, cp1) ELSE cp1 END AS cp_fixed FROM z)
+SELECT event_id, round(cp_fixed, 3) AS cp_fixed, round(s, 6) AS s_fixed, concat_ws(',', CASE WHEN cp_fixed <> cp THEN 'Cp' END, CASE WHEN s <> s_read THEN 'S_sign' END) AS reasons FROM o""")
 def two_pass_correction(spark, d):
     rows = series.corrections(_series(spark, d), ["user_id"], "event_id", F.lit(True))
     return rows.select("event_id", F.round("cp_fixed", 3).alias("cp_fixed"), F.round("s_fixed", 6).alias("s_fixed"), "reasons")
@@ -301,7 +329,15 @@ def digit_snap(spark, d):
     return table(spark, d, "orders").select("o_orderkey", F.round(X.snap_digit(F.col("o_totalprice"), est, fallback=False), 3).alias("snapped"))
 
 
-@query()
+@query("""WITH RECURSIVE pick AS (SELECT n, size, CAST([] AS BIGINT[]) AS c FROM (VALUES (9, 9), (12, 10), (12, 9), (15, 10), (15, 9)) v(n, size)
+UNION ALL SELECT n, size, list_append(c, i) FROM pick, range(15) r(i) WHERE len(c) < size AND i > coalesce(c[-1], -1) AND n - i >= size - len(c)),
+ranked AS (SELECT n, c, row_number() OVER (PARTITION BY n ORDER BY size DESC, c) AS rank FROM pick WHERE len(c) = size),
+tests AS (SELECT n, c[1] + 1 AS a, c[3] + 1 AS b, c[5] + 1 AS e, c[7] + 1 AS g, min(rank) AS rank FROM ranked GROUP BY ALL),
+rows AS (SELECT l_orderkey, flatten(list([l_quantity, l_discount * 10, l_quantity / 7] ORDER BY l_linenumber, l_quantity, l_discount))[1:15] AS x FROM lineitem GROUP BY l_orderkey),
+best AS (SELECT l_orderkey, min(t.rank) AS rank FROM rows r JOIN tests t ON len(x) = t.n AND abs(x[e] - abs(x[a]) * x[b] / 1000.0 - x[g]) <= 2.0 GROUP BY l_orderkey),
+fits AS (SELECT r.l_orderkey, x, list_transform(c, lambda i: x[i + 1]) AS fit, CASE WHEN len(x) >= 9 AND abs(x[5] - abs(x[1]) * x[3] / 1000.0 - x[7]) <= 50.0 THEN x[1:10] END AS front
+FROM rows r LEFT JOIN best b ON r.l_orderkey = b.l_orderkey LEFT JOIN ranked k ON k.n = len(x) AND k.rank = b.rank)
+SELECT l_orderkey, CAST(len(x) AS INTEGER) AS n, fit IS NULL AND front IS NOT NULL AS used_fallback, md5(array_to_string(list_transform(coalesce(fit, front), lambda v: printf('%.4f', v)), ' ') || CASE WHEN len(coalesce(fit, front)) = 9 THEN ' 0.0000' ELSE '' END) AS fit FROM fits""")
 def column_sieve(spark, d):
     """Orders of nine to fifteen numbers, six of their prices among them, put through the column recovery."""
     lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_quantity", "l_discount"))).alias("x"))
