@@ -17,14 +17,21 @@ def closest_match(text: Column, candidates: Column) -> Column:
 
 def fuzzy_find(needle: Column, hay: Column, most: int) -> Column:
     """0-based start of the first part of ``hay`` within ``most`` edits of ``needle``: shorter parts first, then
-    earlier ones; -1 if there is none or the needle is empty."""
+    earlier ones; -1 if there is none or the needle is empty.
+
+    Cut into one piece more than edits, a near needle leaves a piece whole: texts without one are not searched.
+    """
     if most == 0:
         return F.when(F.length(needle) > 0, F.instr(hay, needle) - 1).otherwise(F.lit(-1))
     sizes = F.sequence(F.greatest(F.length(needle) - most, F.lit(1)), F.length(needle) + most)
     fits = F.filter(sizes, lambda n: n <= F.length(hay))
     starts = F.flatten(F.transform(fits, lambda n: F.transform(F.sequence(F.lit(0), F.length(hay) - n), lambda s: F.struct(n.alias("n"), s.alias("s")))))
     near = F.filter(starts, lambda x: F.levenshtein(F.substring(hay, x["s"] + 1, x["n"]), needle) <= most)
-    return F.when(F.length(needle) > 0, F.coalesce(F.get(near, F.lit(0))["s"], F.lit(-1))).otherwise(F.lit(-1))
+    cut = lambda i: F.floor(F.length(needle) * i / (most + 1)).cast("int")
+    whole = F.lit(False)
+    for i in range(most + 1):
+        whole |= hay.contains(F.substr(needle, cut(i) + 1, cut(i + 1) - cut(i)))
+    return F.when((F.length(needle) > 0) & whole, F.coalesce(F.get(near, F.lit(0))["s"], F.lit(-1))).otherwise(F.lit(-1))
 
 
 def zero_to_letter(formula: Column) -> Column:

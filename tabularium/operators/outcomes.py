@@ -36,13 +36,17 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column)
 
 
-def batch_ids(df: DataFrame, key: str, size: int) -> DataFrame:
+def batch_ids(df: DataFrame, key: str, size: int, ranges: int = 64, sample: int = 4096) -> DataFrame:
     """Distinct keys in order with their batch: consecutive slices of ``size``.
 
-    Ranks come from per-range counts, so no single task sees all keys.
+    Ranks come from per-range counts, so no single task sees all keys. The ranges' bounds are literals from a bounded
+    sample picked by hash: a recomputed task deals its keys as before.
     """
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    ranged = keys.repartitionByRange(key).withColumn("_part", F.spark_partition_id())
+    picked = sorted(r[0] for r in keys.orderBy(F.xxhash64(key), key).limit(sample).collect())
+    bounds = sorted({picked[len(picked) * i // ranges] for i in range(1, ranges)}) if picked else []
+    part = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col(key))) if bounds else F.lit(0)
+    ranged = keys.withColumn("_part", part)
     counts = ranged.groupBy("_part").count()
     before = F.sum("count").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
     offsets = counts.withColumn("_before", F.coalesce(before, F.lit(0))).drop("count")

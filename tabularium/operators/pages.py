@@ -48,7 +48,8 @@ def header_cut(lines: DataFrame, entries: DataFrame) -> DataFrame:
     rows = clean_lines(lines).withColumn("_before", _window(lines)).join(entries, "entry_id", "left")
     hay = X.match_key(F.col("_before"))
     has = lambda c: F.coalesce((F.length(X.match_key(F.col(c))) > 0) & hay.contains(X.match_key(F.col(c))), F.lit(False))
-    tier = F.when(header & has("name"), 1).when(header & has("formula"), 2)
+    # Nested, so that keys are made for headers only.
+    tier = F.when(header, F.when(has("name"), 1).when(has("formula"), 2))
     start = F.min(F.when(tier.isNotNull(), F.struct(tier.alias("tier"), F.col("line_no").alias("line_no")))).over(W.partitionBy("entry_id"))
     return rows.withColumn("_start", start).where(F.col("_start").isNull() | (F.col("line_no") >= F.col("_start.line_no"))).select("entry_id", "line_no", "text")
 

@@ -453,3 +453,124 @@ def nested_json_roundtrip(spark, d):
     back = doc.select("user_id", F.explode(F.from_json("doc", "map<string, array<struct<value: double, k: int>>>")).alias("event_type", "v"))
     rows = back.select("user_id", "event_type", F.explode("v").alias("x"))
     return rows.groupBy("user_id", "event_type").agg(F.count("*").alias("n"), F.round(F.sum("x.value"), 4).alias("total"), F.sum("x.k").alias("k"))
+
+
+@query("""WITH a AS (SELECT l_orderkey, list_sort(list(DISTINCT l_returnflag)) FILTER (l_linenumber <= 2) AS a, list_sort(list(DISTINCT l_returnflag)) FILTER (l_linenumber > 2) AS b FROM lineitem GROUP BY l_orderkey),
+c AS (SELECT l_orderkey, coalesce(a, []) AS a, coalesce(b, []) AS b FROM a) SELECT l_orderkey, array_to_string(list_filter(a, lambda x: NOT list_contains(b, x)), '') AS lost,
+array_to_string(list_sort(list_distinct(a || b)), '') AS either, list_has_all(b, a) AS subset, a = b AS equal FROM c""".replace("list_sort(list(DISTINCT l_returnflag)) FILTER (l_linenumber <= 2)", "list_sort(list(DISTINCT l_returnflag) FILTER (l_linenumber <= 2))").replace("list_sort(list(DISTINCT l_returnflag)) FILTER (l_linenumber > 2)", "list_sort(list(DISTINCT l_returnflag) FILTER (l_linenumber > 2))"))
+def element_set_algebra(spark, d):
+    flags = lambda test: F.array_sort(F.collect_set(F.when(test, F.col("l_returnflag"))))
+    rows = table(spark, d, "lineitem").groupBy("l_orderkey").agg(flags(F.col("l_linenumber") <= 2).alias("a"), flags(F.col("l_linenumber") > 2).alias("b"))
+    lost, either = F.array_except("a", "b"), F.array_sort(F.array_union("a", "b"))
+    return rows.select("l_orderkey", F.array_join(lost, "").alias("lost"), F.array_join(either, "").alias("either"), (F.size(lost) == 0).alias("subset"), (F.col("a") == F.col("b")).alias("equal"))
+
+
+@query("""SELECT p_partkey, p_partkey % 3 <> 2 AS organic, p_partkey % 4 = 1 AS uneven, p_partkey % 3 = 2 AND p_size > 9 AS collapsed FROM part""")
+def composition_predicates(spark, d):
+    amount = F.when(F.col("p_partkey") % 4 == 1, F.concat(F.col("p_size").cast("string"), F.lit(".25"))).otherwise((F.col("p_size") + 1).cast("string"))
+    listed = F.concat(F.when(F.col("p_partkey") % 3 == 2, "Si").when(F.col("p_partkey") % 3 == 1, "C2 H6 Cl").otherwise("H4 C"), amount)
+    text = F.concat(F.lit("Si"), F.lpad(F.col("p_size").cast("string"), 2, "0"), F.lit("x"))
+    rows = table(spark, d, "part").select("p_partkey", "p_size", chem.parse_spaced(listed).alias("c"), text.alias("text"))
+    single = (F.size(F.map_keys("c")) <= 1) & (F.length("text") > 4) & (F.col("p_size") > 9)
+    return rows.select("p_partkey", chem.is_organic(F.col("c")).alias("organic"), chem.is_nonstoichiometric(F.col("c")).alias("uneven"), single.alias("collapsed"))
+
+
+@query("""SELECT p_partkey, 'Ca' || CASE WHEN a = g THEN '' ELSE CAST(a // g AS VARCHAR) END || 'O' || CASE WHEN b = g THEN '' ELSE CAST(b // g AS VARCHAR) END AS reduced
+FROM (SELECT p_partkey, a, b, gcd(a, b) AS g FROM (SELECT p_partkey, CAST(p_size + 1 AS BIGINT) AS a, 1 + p_partkey % 30 AS b FROM part))""")
+def formula_reduce(spark, d):
+    """Half of each amount, as a decimal, in a group taken twice: reduced by the common divisor."""
+    half = lambda c: (F.expr(c) / 2).cast("string")
+    formula = F.concat(F.lit("2(Ca"), half("p_size + 1"), F.lit("O"), half("1 + p_partkey % 30"), F.lit(")"))
+    return table(spark, d, "part").select("p_partkey", chem.reduced_column(formula).alias("reduced"))
+
+
+@query("""SELECT p_partkey, ['Al4B2O' || k, 'ZrCl' || k, 'PtS' || k, 'ScCl' || k, 'Pt' || k || 'S', 'Fe0.9' || k || 'O', 'AlI' || k, 'CaSO4*2H2O'][1 + p_partkey % 8] AS repaired FROM (SELECT p_partkey, 2 + p_partkey % 7 AS k FROM part)""")
+def formula_repair_chain(spark, d):
+    """Misread formulas of known originals, one for each kind of repair."""
+    k = (F.col("p_partkey") % 7 + 2).cast("string")
+    cases = [
+        (F.concat(F.lit("Al4B20"), k), "ALUMINIUM BORATE"), (F.concat(F.lit("2rCl"), k), "ZIRCONIUM CHLORIDE"), (F.concat(F.lit("PrS"), k), "PLATINUM SULFIDE"), (F.concat(F.lit("SCl"), k), "SCANDIUM CHLORIDE"),
+        (F.concat(F.lit("PI"), k, F.lit("S")), "PLATINUM SULFIDE"), (F.concat(F.lit("Fe0.9"), k, F.lit("0")), "IRON OXIDE"), (F.concat(F.lit("Al"), F.lit("l"), k), "ALUMINIUM IODIDE"), (F.lit("CaSO4*2H20"), "CALCIUM SULFATE DIHYDRATE"),
+    ]
+    which = F.element_at(F.array(*[F.struct(f.alias("f"), F.lit(n).alias("n")) for f, n in cases]), (F.col("p_partkey") % 8 + 1).cast("int"))
+    rows = table(spark, d, "part").select("p_partkey", which.alias("w"))
+    return rows.select("p_partkey", chem.repair_column(X.fix_water(X.fix_letters(F.col("w.f"))), F.col("w.n")).alias("repaired"))
+
+
+@query(r"""SELECT o_orderkey, 'SiO' || translate(CAST(o_orderkey AS VARCHAR), '0', '7') || '-10.0' || o_orderkey || 'x' AS lettered, 'SOL-A' || (o_orderkey % 10) || '1' AS phase, printf('%.3f', o_totalprice) AS printed, regexp_replace(o_orderpriority || '[g].x', '[^\w\-.\[\]*]', '', 'g') AS stem FROM orders""".replace("\\\\", "\\"))
+def token_repairs(spark, d):
+    key = F.col("o_orderkey").cast("string")
+    lettered = X.zero_to_letter(F.concat(F.lit("Si0"), F.translate(key, "0", "7"), F.lit("-10.0"), key, F.lit("x")))
+    phase = X.phase_token(F.concat(F.lit("§OL-A"), (F.col("o_orderkey") % 10).cast("string"), F.lit("l")))
+    return table(spark, d, "orders").select("o_orderkey", lettered.alias("lettered"), phase.alias("phase"), F.format_string("%.3f", "o_totalprice").alias("printed"), X.json_stem(F.concat("o_orderpriority", F.lit("[g].x"))).alias("stem"))
+
+
+@query("""SELECT o_orderkey, o_orderkey % 3 <> 1 AS named FROM orders""")
+def page_contains_name(spark, d):
+    """Header windows that hold the formula bare, tagged (another substance), or only the name."""
+    key = F.concat(F.lit("Fe"), F.col("o_orderkey").cast("string"))
+    window = F.when(F.col("o_orderkey") % 3 == 0, F.concat(key, F.lit(" Phase"))).when(F.col("o_orderkey") % 3 == 1, F.concat(key, F.lit("[g] Phase"))).otherwise(F.concat(key, F.lit("{l} iron oxide")))
+    name = F.when(F.col("o_orderkey") % 3 == 2, "IRON OXIDE").otherwise("COBALT OXIDE")
+    return table(spark, d, "orders").select("o_orderkey", X.page_contains(window, key, name).alias("named"))
+
+
+@query("""SELECT p_partkey, p_name || ', "' || p_brand || '"' AS name, p_size, p_retailprice FROM part""")
+def csv_text_roundtrip(spark, d):
+    """Rows written as lines of CSV with quoted commas and quotes, and read back by a fixed schema."""
+    rows = table(spark, d, "part").select("p_partkey", F.concat("p_name", F.lit(', "'), "p_brand", F.lit('"')).alias("name"), "p_size", "p_retailprice")
+    quoted = {"escape": '"', "quote": '"'}
+    text = rows.select(F.to_csv(F.struct(*rows.columns), quoted).alias("line"))
+    return text.select(F.from_csv("line", "p_partkey long, name string, p_size int, p_retailprice double", quoted).alias("r")).select("r.*")
+
+
+@query("""WITH l AS (SELECT l_orderkey AS entry_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) AS k, l_quantity FROM lineitem)
+SELECT CAST(entry_id AS VARCHAR) AS entry_id, CAST(CASE WHEN k <= 2 THEN 1 ELSE 2 END AS BIGINT) AS phase_seq, CASE WHEN k <= 2 THEN 'SOL' ELSE 'LIQ' END AS phase, CAST(200 + 100 * k AS DOUBLE) AS t, l_quantity AS cp, CAST(-2 - k AS DOUBLE) AS g FROM l""")
+def phase_table_rows(spark, d):
+    """A page per order, printed with misreadings, a footnote and a foreign header, and read back to its table."""
+    order = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity")
+    k = F.row_number().over(order)
+    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("entry_id"), k.alias("k"), "l_quantity")
+    t = 200.0 + 100 * F.col("k")
+    numbers = [F.format_string("%.2f", t), *[F.format_string("%.3f", x) for x in (F.col("l_quantity"), F.lit(30.0), F.lit(1.0), t / 50, F.lit(0.5), t / 50 - t * 30 / 1000, F.lit(-5.0), F.lit(-4.0), F.lit(0.1))]]
+    # The letter O for 0 and a comma for a point, as page readers give them.
+    text = F.translate(F.array_join(F.array(*numbers[1:]), " "), "0", "O")
+    text = F.concat_ws(" ", F.when(F.col("k") == 1, "SOL").when(F.col("k") == 3, "LIQ"), F.replace(numbers[0], F.lit("."), F.lit(",")), text)
+    body = lines.select("entry_id", (10 + F.col("k")).alias("line_no"), text.alias("text"))
+    entries = lines.select("entry_id").distinct().select("entry_id", F.concat(F.lit("Fe"), "entry_id", F.lit("O")).alias("formula"), F.lit("IRON OXIDE").alias("name"))
+    head = [(0, F.lit("COBALT OXIDE")), (1, F.lit("Phase T Cp")), (2, F.lit("GAS 298.15 1.000 2.000 3.000")), (5, F.lit("IRON OXIDE")), (6, F.col("formula")), (7, F.lit("3.25")), (8, F.lit("Phase T Cp S")), (9, F.lit("[K]")), (1000, F.lit("REFERENCES 1 2"))]
+    frame = entries.select("entry_id", F.explode(F.array(*[F.struct(F.lit(i).alias("line_no"), x.alias("text")) for i, x in head])).alias("h")).select("entry_id", "h.*")
+    rows = pages.phase_rows(body.unionByName(frame), entries)
+    return rows.select("entry_id", "phase_seq", "phase", "t", "cp", F.round("g", 3).alias("g"))
+
+
+@query("""WITH c AS (SELECT CASE WHEN p_partkey % 10 = 0 THEN 'U' || p_partkey ELSE 'F' || p_partkey % 20 END AS reduced, 'm' || p_partkey AS id, p_brand AS sg, CASE WHEN p_partkey % 7 <> 0 THEN p_retailprice END AS energy, p_type = 'PROMO' AS guess, p_partkey % 3 AS kind, p_size AS icsd, lower(string_split(p_name, ' ')[2]) AS note FROM part),
+r AS (SELECT s_suppkey AS row_id, CASE WHEN s_suppkey % 6 = 0 THEN 'U' || s_suppkey ELSE 'F' || s_suppkey % 20 END AS reduced, s_suppkey % 3 = 0 AS tagged, s_suppkey % 5 = 0 AS organic, s_suppkey % 4 = 1 AS uneven, CASE WHEN s_suppkey % 2 = 1 THEN 'bolt' ELSE 'axle' END AS token,
+CASE WHEN s_suppkey % 7 < 4 THEN 'Brand#1' || s_suppkey % 7 END AS hint FROM supplier),
+k AS (SELECT r.*, c.* EXCLUDE (reduced) FROM r JOIN c USING (reduced) WHERE (NOT organic OR kind = 0) AND (NOT uneven OR kind <> 1)),
+t AS (SELECT *, count(*) OVER (PARTITION BY row_id) AS n, uneven AND (contains(note, token) OR contains(token, note)) AS noticed, NOT guess AS sure FROM k),
+p AS (SELECT *, CASE WHEN noticed THEN CASE WHEN sure THEN 20 ELSE 21 END WHEN n = 1 THEN 30 WHEN coalesce(sg = hint, false) THEN CASE WHEN sure THEN 40 ELSE 41 END WHEN organic THEN 50 WHEN sure THEN 60 ELSE 70 END AS tier FROM t),
+b AS (SELECT row_id, arg_min({'tier': tier, 'id': id, 'sg': sg}, (tier, CASE WHEN noticed THEN -icsd ELSE 0 END, coalesce(energy, CAST('inf' AS DOUBLE)), id)) AS b FROM p GROUP BY row_id),
+m AS (SELECT r.row_id, b.tier AS tier, b.id AS id, b.sg AS sg, tagged, CASE WHEN tagged THEN '_polymorph_unresolved' ELSE '' END AS more FROM r LEFT JOIN b USING (row_id))
+SELECT row_id, CASE WHEN tier <> 50 THEN id END AS material_id, CASE WHEN tier <> 50 THEN sg END AS spacegroup, CASE WHEN tier IS NULL THEN 'no_mp_match' WHEN tier < 30 THEN 'nonstoichiometric_remarks_match' WHEN tier = 30 THEN 'single_candidate'
+WHEN tier < 50 THEN CASE WHEN tagged THEN 'spacegroup_hint' ELSE 'name_spacegroup_hint' END WHEN tier = 50 THEN 'organic_ambiguous_isomers' WHEN tier = 60 THEN 'most_stable_experimental' || more ELSE 'most_stable_guess' || more END AS match_method,
+CASE WHEN tier <> 50 THEN tier < 30 OR tier IN (40, 41) END AS phase_name_verified FROM m""")
+def candidate_tiers(spark, d):
+    """The whole tiered selection: suppliers as substances, parts as their candidates."""
+    key, s = F.col("p_partkey"), F.col("s_suppkey")
+    text = lambda c: c.cast("string")
+    comp = lambda al, o: F.create_map(F.lit("Al"), F.lit(al), F.lit("O"), F.lit(o))
+    reduced = F.when(key % 10 == 0, F.concat(F.lit("U"), text(key))).otherwise(F.concat(F.lit("F"), text(key % 20)))
+    composition = F.when(key % 3 == 0, comp(4.0, 6.0)).when(key % 3 == 1, comp(1.0, 1.0)).otherwise(comp(3.0, 4.5))
+    part = table(spark, d, "part").withColumn("material_id", F.concat(F.lit("m"), text(key)))
+    candidates = part.select(
+        reduced.alias("reduced_formula"), "material_id", F.col("p_brand").alias("spacegroup"), F.when(key % 7 != 0, F.col("p_retailprice")).alias("energy"),
+        (F.col("p_type") == "PROMO").alias("theoretical"), composition.alias("composition"), F.col("p_size").alias("icsd_n"),
+    )
+    remarks = part.select("material_id", F.array(F.get(F.split("p_name", " "), F.lit(1))).alias("remarks"))
+    wanted = F.when(s % 6 == 0, F.concat(F.lit("U"), text(s))).otherwise(F.concat(F.lit("F"), text(s % 20)))
+    rows = table(spark, d, "supplier").select(
+        s.alias("row_id"), wanted.alias("reduced_formula"), F.concat(F.lit("f"), text(s % 7)).alias("formula"), F.when(s % 2 == 1, "Bolt (grey)").otherwise("Axle, grey").alias("name"),
+        F.when(s % 3 == 0, "A").alias("tag"), comp(2.0, 3.0).alias("comp"), (s % 5 == 0).alias("organic"), (s % 4 == 1).alias("nonstoichiometric"),
+    )
+    hints = spark.range(4).select(F.concat(F.lit("f"), text(F.col("id"))).alias("formula"), F.explode(F.array(F.lit(None).cast("string"), F.lit("A"))).alias("tag"), F.concat(F.lit("Brand#1"), text(F.col("id"))).alias("spacegroup"))
+    return match.select_candidates(rows, candidates, hints, remarks)
