@@ -35,8 +35,8 @@ def clean_lines(lines: DataFrame) -> DataFrame:
 
 
 def _window(lines: DataFrame) -> Column:
-    before = W.partitionBy("entry_id").orderBy("line_no").rowsBetween(-3, -1)
-    return F.array_join(F.collect_list("text").over(before), " ")
+    w = W.partitionBy("entry_id").orderBy("line_no")
+    return F.concat_ws(" ", *[F.lag("text", k).over(w) for k in (3, 2, 1)])
 
 
 def header_cut(lines: DataFrame, entries: DataFrame) -> DataFrame:
