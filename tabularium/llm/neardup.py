@@ -6,9 +6,12 @@ hash, which minwise coordinate its members branch on next: one always and a seco
 1/threshold - 1, so that two sets at the threshold are expected to share at least one child per level. Nodes of at
 most ``leaf`` members are compared exhaustively on 128 four-bit minhash sketches; larger ones are branched deeper
 (``DEPTHS``). A node that is still large after the last level holds sets that agree on a long random path, so it is
-a dense group: its members are compared with their node's first member and their neighbour in id order, a number of
-pairs linear in its size. Every surviving pair is confirmed on full shingle sets; components are then contracted by
-repeated min-label rounds. No step collects links on the driver, and none emits all pairs of a large group.
+a dense group: its members are first compared with their node's first member and their neighbour in id order, a
+number of pairs linear in its size. Every surviving pair is confirmed on full shingle sets; components are then
+contracted by repeated min-label rounds. Large nodes with members in common are one group, and those of its members
+that are still in different components are compared exactly, all with all, in pairs of blocks (``BLOCK``) of full
+shingle sets that are spread over the tasks: quadratic in a group's size where its members don't link, and next to
+nothing where they do. No step collects links on the driver, and none emits all pairs of a large group.
 
 Defined results: null text is empty; documents without words have 0 shingles and are alone; repeated rows with one
 doc_id are one vertex (each row is returned); a null doc_id is alone, with a null component and kept = true; other
@@ -24,7 +27,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import lookup, map_rows, materialise, mix64, texts
@@ -32,6 +37,7 @@ from .common import lookup, map_rows, materialise, mix64, texts
 COORDS = 128
 FEW = 1_000_000  # ids up to which a list of them is broadcast; beyond, it is joined by shuffle
 DEPTHS = (3, 7, 12)  # levels at which nodes are looked at; only large nodes go on to the next
+BLOCK = 256  # members of a dense group that are compared at a time with as many others
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -146,7 +152,7 @@ def _leaf_pairs(doc: np.ndarray, sketch: np.ndarray, most: int) -> tuple[np.ndar
 
 
 def _compare(nodes: DataFrame, leaf: int, most: int, last: bool) -> DataFrame:
-    """Nodes (all rows of one in a row) to pairs (kind 0: a, b, node, off) and members of large nodes (kind 1: a, node)."""
+    """Nodes (all rows of one in a row) to pairs (kind 0: a, b, node, off) and members of large nodes (kind 1: a, node; b is the last level's first member)."""
 
     def make():
         held: list = [None, [], []]  # node, docs, sketches of the node that is open
@@ -166,6 +172,7 @@ def _compare(nodes: DataFrame, leaf: int, most: int, last: bool) -> DataFrame:
                 return
             if big[0] != node:
                 big[:] = [node, 0, docs[0], docs[0]]
+            out.append((np.ones(len(docs), np.int8), docs, np.full(len(docs), big[2]), np.full(len(docs), node), np.zeros(len(docs), np.int64)))
             # The chunk number is part of the cell, so that one huge node is confirmed by many tasks.
             cell = mix64(np.array([node], np.int64).view(np.uint64) + np.uint64(big[1] // 256 + 1)).view(np.int64)[0]
             for mate in (np.full(len(docs), big[2]), np.concatenate([[big[3]], docs[:-1]])):
@@ -209,25 +216,28 @@ def _compare(nodes: DataFrame, leaf: int, most: int, last: bool) -> DataFrame:
     return map_rows(ordered, "kind byte, a long, b long, node long, off int", make)
 
 
-def _candidates(signed: DataFrame, reps: DataFrame, threshold: float, trees: int, leaf: int) -> DataFrame:
-    """Distinct pairs (a, b, off, node) that the trees bring together and the sketches don't rule out."""
+def _candidates(signed: DataFrame, reps: DataFrame, threshold: float, trees: int, leaf: int) -> tuple[DataFrame, DataFrame | None]:
+    """Distinct pairs (a, b, off, node) that the trees bring together and the sketches don't rule out; (doc, first) of nodes large to the last."""
     share = 1 / threshold - 1
     agree = threshold + (1 - threshold) / 16
     most = math.ceil(COORDS * (1 - agree) + 4 * math.sqrt(COORDS * agree * (1 - agree)))
     rows = signed.join(reps.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi").select(F.col("doc_id").alias("doc"), "sig")
-    found, done = [], 0
+    found, done, dense = [], 0, None
     for depth in DEPTHS:
         out = materialise(_compare(_nodes(rows, depth - done, trees, share), leaf, most, depth == DEPTHS[-1]), f"nodes{depth}")
         found.append(out.where("kind = 0").select("a", "b", "node", "off"))
         deep = out.where("kind = 1").select(F.col("a").alias("doc"), "node")
-        if depth == DEPTHS[-1] or deep.isEmpty():
+        if deep.isEmpty():
+            break
+        if depth == DEPTHS[-1]:
+            dense = out.where("kind = 1").select(F.col("a").alias("doc"), F.col("b").alias("first")).distinct()
             break
         sig = signed.where("sig is not null").select(F.col("doc_id").alias("doc"), "sig")
         rows, done = deep.join(sig, "doc"), depth
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    return pairs.groupBy("a", "b").agg(F.min("off").alias("off"), F.min("node").alias("node"))
+    return pairs.groupBy("a", "b").agg(F.min("off").alias("off"), F.min("node").alias("node")), dense
 
 
 def _confirmed(docs: DataFrame, pairs: DataFrame, words: int, threshold: float) -> DataFrame:
@@ -272,6 +282,73 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, words: int, threshold: float)
     return pairs.groupBy("cell").cogroup(sets.groupBy("at")).applyInPandas(confirm, "v long, r long")
 
 
+def _blocks(members: DataFrame) -> DataFrame:
+    """(group, root, doc_id, block): a dense group's members in order of root, cut into blocks of at most ``BLOCK``."""
+
+    def make():
+        part, last = TaskContext.get().partitionId(), [None, 0]  # group, rows of it so far
+
+        def step(batch: pa.RecordBatch) -> dict:
+            nth = []
+            for group in batch.column(0).to_pylist():
+                last[:] = [group, last[1] + 1 if group == last[0] else 0]
+                nth.append(last[1])
+            return {"group": batch.column(0), "root": batch.column(1), "doc_id": batch.column(2), "part": [part] * len(nth), "nth": nth}
+
+        return step
+
+    ordered = members.repartitionByRange("group", "root", "doc_id").sortWithinPartitions("group", "root", "doc_id")
+    dealt = materialise(map_rows(ordered, "group long, root long, doc_id long, part int, nth long", make), "dealt")
+    # Ranges are in order, so a row's place in its group is that in its range after the counts of the ranges before.
+    before = F.coalesce(F.sum("n").over(W.partitionBy("group").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    counts = dealt.groupBy("group", "part").agg(F.count("*").alias("n")).select("group", "part", before.alias("before"))
+    block = F.xxhash64("group", F.floor((F.col("before") + F.col("nth")) / BLOCK))
+    return materialise(dealt.join(F.broadcast(counts), ["group", "part"]).select("group", "root", "doc_id", block.alias("block")), "blocks")
+
+
+def _dense_links(docs: DataFrame, dense: DataFrame, roots: DataFrame, words: int, threshold: float) -> DataFrame:
+    """Links (v, r), r < v, between roots whose members in one dense group are similar; all of its pairs are compared."""
+    group = components(dense.where("doc <> first").select(F.col("doc").alias("v"), F.col("first").alias("r")))
+    ids = dense.select(F.col("doc").alias("v")).distinct()
+    ids = ids.join(group.select("v", F.col("root").alias("group")), "v", "left").join(roots, "v", "left")
+    members = _blocks(ids.select(F.coalesce("group", "v").alias("group"), F.coalesce("root", "v").alias("root"), F.col("v").alias("doc_id")))
+    blocks = members.groupBy("group", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    left, right = (blocks.select("group", *[F.col(c).alias(f"{c}{i}") for c in ("block", "lo", "hi")]) for i in "12")
+    cells = left.join(F.broadcast(right), "group").where("block1 <= block2 and least(lo1, lo2) < greatest(hi1, hi2)").select("block1", "block2")
+    cells = materialise(cells, "cells")
+    at = cells.select("block1", "block2", F.explode(F.array_distinct(F.array("block1", "block2"))).alias("block"))
+    few = members.count() <= FEW
+    side = members.select("doc_id", "root", "block")
+    sets = materialise(docs.join(F.broadcast(side) if few else side, "doc_id").select("root", "block", "text"), "dense")
+    tasks = max(1, min(4096, cells.count()))
+    sets = sets.join(at, "block").select("block1", "block2", "block", "root", "text").repartition(tasks, "block1", "block2")
+    per_cent = round(100 * threshold)
+
+    def compare(held: pd.DataFrame) -> pd.DataFrame:
+        root, block = held["root"].to_numpy(), held["block"].to_numpy()
+        parts = [shingle_set(t, words) for t in held["text"]]
+        size = np.array([len(s) for s in parts])
+        owner, (_, col, times) = np.repeat(np.arange(len(parts)), size), np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        more = times > 1  # shingles of one member alone are in no intersection
+        owner, col, wide = owner[more[col]], (np.cumsum(more) - 1)[col[more[col]]], int(more.sum())
+        order = np.argsort(col, kind="stable")
+        owner, col = owner[order], col[order]
+        shared = np.zeros((len(parts), len(parts)), np.float32)
+        for lo in range(0, wide, 4096):
+            some = slice(*np.searchsorted(col, [lo, lo + 4096]))
+            has = np.zeros((len(parts), min(4096, wide - lo)), np.float32)
+            has[owner[some], col[some] - lo] = 1
+            shared += has @ has.T
+        shared = shared.astype(np.int64)
+        good = (shared > 0) & (100 * shared >= per_cent * (size[:, None] + size[None, :] - shared)) & (root[:, None] > root[None, :])
+        if held["block1"].iat[0] != held["block2"].iat[0]:
+            good &= block[:, None] != block[None, :]
+        v, r = np.nonzero(good)
+        return pd.DataFrame(np.unique(np.stack([root[v], root[r]], axis=1), axis=0), columns=["v", "r"], dtype="int64")
+
+    return sets.groupBy("block1", "block2").applyInPandas(compare, "v long, r long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(v, r) links with r < v to (v, root) for every v that isn't its component's smallest id.
 
@@ -299,9 +376,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, tre
     # Rows that share a doc_id but not a set are one vertex.
     same = whole.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi")
     twice = same.select("doc_id").join(whole.select("doc_id", "digest"), "doc_id").join(reps.select("digest", "rep"), "digest").where("rep <> doc_id")
-    links = _confirmed(docs, _candidates(whole, reps, threshold, trees, leaf), words, threshold)
+    pairs, dense = _candidates(whole, reps, threshold, trees, leaf)
+    links = _confirmed(docs, pairs, words, threshold)
     links = links.unionByName(twice.select(F.col("doc_id").alias("v"), F.col("rep").alias("r")))
     roots = components(links)
+    if dense is not None:
+        more = _dense_links(docs, dense, roots, words, threshold)
+        roots = components(roots.select("v", F.col("root").alias("r")).unionByName(more))
     known = reps.select("digest", F.col("rep").alias("v")).join(roots, "v", "left").select("digest", F.coalesce("root", "v").alias("component_id"))
     known = materialise(known, "known")
     rows = whole.select("doc_id", "n_shingles", "digest")

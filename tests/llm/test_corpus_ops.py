@@ -48,6 +48,16 @@ def test_near_duplicates(docs, plain, spark):
     assert neardup.near_duplicates(df, 3, 0.85).where("kept").count() == len({c for _, c in want.values()})
 
 
+def test_near_duplicates_hidden_in_a_dense_group(spark):
+    """Ten documents that link only to each other, in nodes full of ones that share their body and link to none."""
+    body = [f"b{i}" for i in range(200)]
+    short = set(range(150, 3010, 300))
+    texts = [(i, " ".join(body + [f"o{i}x{j}" for j in range(5 if i in short else 33)])) for i in range(3010)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(df, 1, 0.85).collect()}
+    assert got == {i: min(short) if i in short else i for i in range(3010)}
+
+
 def test_near_duplicates_messy(messy, empty):
     got = sorted((r["doc_id"] or -1, r["n_shingles"], r["component_id"] or -1, r["kept"]) for r in neardup.near_duplicates(messy).collect())
     assert (2, 0, 2, True) in got and (4, 0, 4, True) in got and (-1, 1, -1, True) in got and got.count((7, 3, 7, True)) == 2 and (8, 3, 7, False) in got and len(got) == 12
