@@ -49,6 +49,12 @@ def test_lm_is_normalised():
     assert math.isclose(sum(10**x for x in logs), 1, rel_tol=1e-4)
 
 
+def test_lm_is_not_cut_to_a_budget():
+    p = lm_nce.start(np.full(lm_nce.SYMBOLS, 1 / lm_nce.SYMBOLS))
+    assert lm_nce.HEAD >= 160 and lm_nce.SPELT >= 224 and lm_nce.NOISE >= 48
+    assert p["r"].shape == p["q"].shape and p["r"].shape[0] >= 385 and p["r"].shape[1] >= 24
+
+
 def test_lm_messy(messy, empty):
     rows = lm_nce.score_documents(messy).collect()
     assert len(rows) == 12 and all(r["score"] <= 0 for r in rows) and {r["n_tokens"] for r in rows if r["doc_id"] in (2, 3, 4)} == {1}
