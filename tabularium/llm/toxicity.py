@@ -35,11 +35,15 @@ MEMO = 200_000  # decoded tokens a task remembers; a full memo is emptied
 
 # The letters that a character is used to imitate.
 IMITATES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "aeiou", "#": "h"}
-SEPARATORS = ".-_*~ '​"
-SWAP, DROP, REPEAT, LOSE = -1.2, -0.7, -0.4, -6.0  # log channel costs
-
-_SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+*])(?:[ .*_~-](?:[^\W_]|[@$!|+*])){3,}(?!\S)")
-_HINT = re.compile(r"[^\W\d_][0-9@$!|+*#(._~-]+[^\W\d_]|(?<!\S)[0-9@$!|+*(][0-9@$!|+*(]?[^\W\d_]|[^\W\d_][0-9@$+](?![^\s.,;:!?\"'])|([^\W\d_])\1\1")
+_ZERO = "­​‌‍⁠﻿"  # marks without width
+SEPARATORS = ".-_*~ '" + _ZERO
+SWAP, DROP, REPEAT, DOUBLE, LOSE = -1.2, -0.7, -0.4, -1.2, -6.0  # log channel costs
+
+_GAP = rf"(?:[\s{_ZERO}]+|[.*_~-])"
+_SPACED = re.compile(rf"(?<!\S)(?:[^\W_]|[@$!|+*])(?:{_GAP}(?:[^\W_]|[@$!|+*])){{2,}}(?=[.,;:!?\"')\]}}]*(?!\S))")
+_WIDE, _GAPS = re.compile(r"\s{2,}"), re.compile(rf"[\s.*_~{_ZERO}-]")
+_HINT = re.compile(rf"[^\W\d_][0-9@$!|+*#(._~{_ZERO}-]+[^\W\d_]|(?<!\S)[0-9@$!|+*(][0-9@$!|+*(]?[^\W\d_]|[^\W\d_][0-9@$+](?![^\s.,;:!?\"'])|([^\W\d_])\1")
+_TWICE = re.compile(r"(.)\1")
 _EDGE = " \t\r\n.,;:!?\"'()[]{}<>|*#&%$~_-=+/\\"
 
 
@@ -85,7 +89,7 @@ class Restorer:
             run = run + 1 if i and token[i - 1] == c else 1
             arcs: list[tuple[str, float]] = [(c, 0.0)] if c.isalpha() else []
             arcs += [(x, SWAP) for x in IMITATES.get(c, "")]
-            drop = DROP if c in SEPARATORS or not arcs else REPEAT if run >= 2 and (run >= 3 or token[i + 1 : i + 2] == c) else LOSE if not c.isalpha() else None
+            drop = DROP if c in SEPARATORS or not arcs else REPEAT if run >= 2 and (run >= 3 or token[i + 1 : i + 2] == c) else LOSE if not c.isalpha() else DOUBLE if run == 2 else None
             step: dict[str, tuple[float, str]] = {}
             for last, (score, said) in paths.items():
                 for x, cost in arcs:
@@ -98,10 +102,10 @@ class Restorer:
         return max((score + self.lm.log(last + "$"), said) for last, (score, said) in paths.items())[1] if paths else token
 
     def word(self, token: str) -> str:
-        if token.isalpha() and not re.search(r"(.)\1\1", token):
-            return token
         if (found := self.memo.get(token)) is not None:
             return found
+        if token.isalpha() and not _TWICE.search(token):
+            return token
         core = token.strip(_EDGE)
         # A mark at the edge may be a letter in disguise, unless it's one of a run or plain punctuation.
         lead = token[: len(token) - len(token.lstrip(_EDGE))][-1:]
@@ -114,11 +118,17 @@ class Restorer:
         self.memo[token] = out
         return out
 
+    def spaced(self, m: re.Match) -> str:
+        """Spaced-out letters as one word, as the words that wider gaps part, and as they are."""
+        parts = _WIDE.split(m[0])
+        said = [_GAPS.sub("", x) for x in ([m[0], *parts] if len(parts) > 1 else parts)]
+        return " ".join([*(self.decode(x) for x in said if len(x) > 2), m[0]])
+
     def __call__(self, text: str) -> str:
         text = text.lower()
         if not _HINT.search(text) and not _SPACED.search(text):
             return text
-        text = _SPACED.sub(lambda m: f"{self.decode(re.sub(r'[ .*_~-]', '', m[0]) or m[0])} {m[0]}", text)
+        text = _SPACED.sub(self.spaced, text)
         return " ".join(map(self.word, text.split()))
 
 

@@ -135,6 +135,21 @@ def test_restoring():
     assert restore("the nasty thing") == "the nasty thing" and restore("") == ""
 
 
+@pytest.mark.parametrize("bad", ["i d i o t.", "i d i o t,", "i d i o t!", "a i d i o t b", "i  d  i  o  t", "i\td\ti\to\tt", "i\nd\ni\no\nt", "i\u200bd\u200bi\u200bo\u200bt", "i \u200bd \u200bi \u200bo \u200bt", "id\u200ciot", "iiddiioott", "idiiot", "iidiot."])
+def test_restoring_disguises(bad):
+    plain = ["what an idiot you are here and there", "the idiot sat on an ass and is a rotten better thing"] * 20
+    restore = toxicity.Restorer(toxicity.fit([(t, 0) for t in plain]).lm)
+    assert "idiot" in restore(bad) or "aidiotb" in restore(bad)
+
+
+def test_restoring_short_and_parted():
+    plain = ["what an idiot you are here and there", "the idiot sat on an ass and is a rotten better thing"] * 20
+    restore = toxicity.Restorer(toxicity.fit([(t, 0) for t in plain]).lm)
+    assert "ass" in restore("an a s s").split() and "ass" in restore("a s s!").split()
+    assert {"idiot", "thing"} <= set(restore("i d i o t   t h i n g").split())
+    assert restore("a rotten better ass") == "a rotten better ass"
+
+
 def test_pii(docs, plain, messy, empty):
     for r in pii.scan(docs).collect():
         t = plain[r["doc_id"]]
