@@ -5,8 +5,9 @@ lattice: each character may stand for itself, for the letters it imitates, or fo
 character trigram model, plus a channel cost per change, restores the likeliest word. Tokens with one reading stay.
 
 The restored text is scored by patterns (substrings of words) that mark toxic training documents, found with an
-Aho-Corasick automaton, and a logistic regression over what they add up to. The models are fitted on a bounded
-sample of labelled rows (``SAMPLE``, the smallest hashes of doc_id): patterns on one half, regression on the other.
+Aho-Corasick automaton, and a logistic regression over what they add up to. The trigrams are counted over all
+documents; the rest is fitted on a bounded sample of labelled rows (``SAMPLE``, the smallest hashes of doc_id):
+patterns (from words of at most 40 letters) on one half, regression on the other.
 
 Defined results: null text is empty; empty text gets the score of a text without patterns; rows with equal texts get
 equal scores; repeated labels of a document count as toxic if any is; without usable labels the score is 0; other
@@ -24,10 +25,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_of, texts
+from .common import fold_of, map_rows, texts
 
 SAMPLE = 6000  # labelled documents that the models are fitted on, at most
 THRESHOLD = 0.3
@@ -50,13 +52,11 @@ _EDGE = " \t\r\n.,;:!?\"'()[]{}<>|*#&%$~_-=+/\\"
 class CharTrigrams:
     """Log probabilities of a letter after two others, interpolated with lower orders; '^' opens, '$' ends a word."""
 
-    def __init__(self, words: Counter):
+    def __init__(self, grams: dict[str, int]):
         self.n = [Counter(), Counter(), Counter()]
-        for word, k in words.items():
-            padded = f"^^{word}$"
-            for i in range(2, len(padded)):
-                for order in range(3):
-                    self.n[order][padded[i - order : i + 1]] += k
+        for gram, k in grams.items():
+            for order in range(3):
+                self.n[order][gram[2 - order :]] += k
         self.of = [Counter(), Counter(), Counter()]
         for order in range(3):
             for gram, k in self.n[order].items():
@@ -132,6 +132,43 @@ class Restorer:
         return " ".join(map(self.word, text.split()))
 
 
+def _grams(words: Counter) -> Counter:
+    """Trigrams of the plain words among counted tokens."""
+    out: Counter = Counter()
+    for token, k in words.items():
+        word = token.strip(_EDGE)
+        if word.isalpha() and not re.search(r"(.)\1\1", word):
+            padded = f"^^{word}$"
+            for i in range(len(padded) - 2):
+                out[padded[i : i + 3]] += k
+    return out
+
+
+def count_grams(docs: DataFrame) -> dict[str, int]:
+    """Trigram counts over all texts: as many rows as there are different trigrams come to the driver."""
+
+    def make():
+        words, grams = Counter(), Counter()
+
+        def step(batch: pa.RecordBatch):
+            for text in batch.column(0).to_pylist():
+                words.update(text.lower().split())
+                if len(words) > MEMO:
+                    grams.update(_grams(words))
+                    words.clear()
+            return ()
+
+        def end():
+            grams.update(_grams(words))
+            yield {"gram": list(grams), "k": list(grams.values())}
+
+        step.last = end
+        return step
+
+    rows = map_rows(texts(docs).select("text"), "gram string, k long", make).groupBy("gram").agg(F.sum("k").alias("k")).orderBy("gram")
+    return {r["gram"]: r["k"] for r in rows.collect()}
+
+
 def _plain_words(text: str) -> set[str]:
     return {w for w in (t.strip(_EDGE) for t in text.split()) if w}
 
@@ -188,8 +225,6 @@ def _patterns(docs: list[tuple[set[str], int]]) -> dict[str, float]:
         if (o := odds(len(t), len(against[s]))) > 3.5 and (docs_of := frozenset(t)) not in seen:
             seen.add(docs_of)
             kept[s] = o
-        if len(kept) >= 2000:
-            break
     return kept
 
 
@@ -224,12 +259,11 @@ def features(text: str, machine) -> np.ndarray:
     return np.array([1.0, top[0], sum(odds[1:4]) / 3, math.log1p(len(odds)), math.log1p(sum(hits.values())), math.log1p(100 * sum(hits.values()) / words), bool(odds)])
 
 
-def fit(rows: list[tuple[str, int]]) -> Model:
-    """From (text, toxic) pairs: a character model, patterns from every other row, and weights from the rest."""
-    raw: Counter = Counter()
-    for text, _ in rows:
-        raw.update(t for t in (x.strip(_EDGE) for x in text.lower().split()) if t.isalpha() and not re.search(r"(.)\1\1", t))
-    model = Model(CharTrigrams(raw), {}, np.array([-30.0, 0, 0, 0, 0, 0, 0]))
+def fit(rows: list[tuple[str, int]], grams: dict[str, int] | None = None) -> Model:
+    """From (text, toxic) pairs: patterns from every other row, weights from the rest; the character model from trigram counts, or the rows'."""
+    if grams is None:
+        grams = _grams(Counter(t for text, _ in rows for t in text.lower().split()))
+    model = Model(CharTrigrams(grams), {}, np.array([-30.0, 0, 0, 0, 0, 0, 0]))
     restore = Restorer(model.lm)
     if len({int(y) for _, y in rows}) < 2:
         return model
@@ -260,7 +294,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out_fold: int
     known = known.where(fold_of(F.col("doc_id"), folds) != held_out_fold).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     rows = texts(docs, ids.alias("doc_id")).join(F.broadcast(some), "doc_id").select("doc_id", "text", "toxic").collect()
-    return fit([(r["text"], r["toxic"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"]))])
+    return fit([(r["text"], r["toxic"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"]))], count_grams(docs))
 
 
 def score_column(model: Model, text: str = "text") -> Column:

@@ -126,6 +126,13 @@ def test_toxicity(spark, messy, empty):
     assert toxicity.score_documents(empty, few).count() == 0
 
 
+def test_letters_are_counted_on_all_documents(spark):
+    rows = [(i, "some plain words here") for i in range(40)] + [(100 + i, "a villain, a VILLAIN!") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    model = toxicity.train(docs, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int"))
+    assert model.lm.n[2]["vil"] == 80 and toxicity.Restorer(model.lm).word("v1ll41n") == "villain"
+
+
 def test_restoring():
     plain = ["you are a nasty villain here and there", "the nasty villain is a rotten thing"] * 20
     restore = toxicity.Restorer(toxicity.fit([(t, 0) for t in plain]).lm)
