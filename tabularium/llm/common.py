@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -13,11 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HOT_KEYS = 1000  # a key is hot when it holds over 1/HOT_KEYS of the rows, so there are fewer hot keys than this
+SLICE = 4_000_000  # bytes of an Arrow batch that become Python objects at a time, about
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. A temporary folder does only in local mode,
+    where driver and executor are one process (tests); on a cluster the setting is required."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return (found or f"file://{os.path.join(tempfile.gettempdir(), 'tabularium-shared')}").rstrip("/")
 
 
@@ -32,16 +37,20 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hot_keys(left: DataFrame, key: str, total: int) -> DataFrame:
+    """The keys that hold more than 1/HOT_KEYS of ``total`` rows: fewer than HOT_KEYS, however large the table is."""
+    return materialise(left.groupBy(key).count().where(F.col("count") * HOT_KEYS > max(total, HOT_KEYS)).select(key), "hot")
+
+
 def lookup(left: DataFrame, right: DataFrame, key: str, total: int) -> DataFrame:
     """Left outer join to ``right`` (unique on ``key``, which is never null) that no hot key can skew.
 
-    ``left`` must be a written table of ``total`` rows. Keys that hold more than total/HOT_KEYS of its rows are
-    fewer than HOT_KEYS; only their right rows are broadcast. All others are joined by shuffle.
+    ``left`` must come from a written table and have ``total`` rows. Only the hot keys' right rows are broadcast, which
+    are fewer than HOT_KEYS; all others are joined by shuffle, at every size.
     """
-    hot = materialise(left.groupBy(key).count().where(F.col("count") * HOT_KEYS > max(total, HOT_KEYS)).select(key), "hot")
-    few = F.broadcast(hot)
+    few = F.broadcast(hot_keys(left, key, total))
     head = left.join(F.broadcast(right.join(few, key, "left_semi")), key, "left").join(few, key, "left_semi")
-    return left.join(few, key, "left_anti").join(right, key, "left").unionByName(head)
+    return left.join(few, key, "left_anti").join(right.hint("merge"), key, "left").unionByName(head)
 
 
 def texts(docs: DataFrame, *keep: str) -> DataFrame:
@@ -49,8 +58,14 @@ def texts(docs: DataFrame, *keep: str) -> DataFrame:
     return docs.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``SLICE`` bytes, or of one row where a row is longer."""
+    rows = max(1, SLICE * batch.num_rows // max(batch.nbytes, 1))
+    return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
+
+
 def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict] | dict]]) -> DataFrame:
-    """mapInArrow: ``make`` sets up a task's state and returns a function from a batch to a dict of columns."""
+    """mapInArrow: ``make`` sets up a task's state and returns a function from part of a batch to a dict of columns."""
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -59,8 +74,8 @@ def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordB
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
-            if batch.num_rows:
-                made = step(batch)
+            for part in slices(batch):
+                made = step(part)
                 for cols in [made] if isinstance(made, dict) else made:
                     yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) for f in fields], schema=fields)
         last = getattr(step, "last", None)

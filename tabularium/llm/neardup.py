@@ -1,17 +1,23 @@
 """MinHash near-dedup by chosen-path set similarity join.
 
 A document is the set of its distinct w-word shingles. Equal sets are collapsed to one representative (exact).
-Representatives then walk ``trees`` independent recursion trees: a node is a path, and the path itself picks, by
-hash, which minwise coordinate its members branch on next: one always and a second one with probability
-1/threshold - 1, so that two sets at the threshold are expected to share at least one child per level. Nodes of at
-most ``leaf`` members are compared exhaustively on 128 four-bit minhash sketches; larger ones are branched deeper
-(``DEPTHS``). A node that is still large after the last level holds sets that agree on a long random path, so it is
-a dense group: its members are first compared with their node's first member and their neighbour in id order, a
-number of pairs linear in its size. Every surviving pair is confirmed on full shingle sets; components are then
-contracted by repeated min-label rounds. Large nodes with members in common are one group, and those of its members
-that are still in different components are compared exactly, all with all, in pairs of blocks (``BLOCK``) of full
-shingle sets that are spread over the tasks: quadratic in a group's size where its members don't link, and next to
-nothing where they do. No step collects links on the driver, and none emits all pairs of a large group.
+Representatives then walk independent recursion trees: a node is a path, and the path itself picks, by hash, which
+minwise coordinate its members branch on next: one always and a second one with probability 1/threshold - 1, so that
+two sets at the threshold are expected to share one child per level. The number of trees follows from ``recall``, the
+chance that a pair at the threshold still shares a node of some tree at the last level. Nodes of at most ``leaf``
+members are compared exhaustively on 128 four-bit minhash sketches; larger ones are branched deeper (``DEPTHS``).
+
+Nodes that are still large after the last level are dense groups. Their members are first compared with their node's
+first member and their neighbour. Members that are then still in different components are joined exactly: shingles
+that at most ``RARE`` members have are looked up by an inverted index, which finds every pair that shares one; a pair
+that shares none can only overlap in common shingles, so it is bounded by how many of them its members have, and blocks
+of members are compared on full sets only where that bound can reach the threshold. Texts that share a page frame and
+little else are told apart by their rare shingles, in time that is linear in the group.
+
+Every surviving pair is confirmed on full shingle sets; components are contracted by repeated min-label rounds. Nodes
+with over a thousandth of all rows go on without being gathered in a task, and hub ids are looked up by broadcast of
+the few hot ones. No step collects links on the driver, none emits all pairs of a large group, and the plan is the same
+at every size.
 
 Defined results: null text is empty; documents without words have 0 shingles and are alone; repeated rows with one
 doc_id are one vertex (each row is returned); a null doc_id is alone, with a null component and kept = true; other
@@ -32,15 +38,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import lookup, map_rows, materialise, mix64, texts
+from .common import HOT_KEYS, lookup, map_rows, materialise, mix64, texts
 
 COORDS = 128
-FEW = 1_000_000  # ids up to which a list of them is broadcast; beyond, it is joined by shuffle
 DEPTHS = (3, 7, 12)  # levels at which nodes are looked at; only large nodes go on to the next
 BLOCK = 256  # members of a dense group that are compared at a time with as many others
+RARE = 64  # members of a dense group that may have a shingle for it to be looked up by
+CELL = 8_000_000  # bytes of shingle sets that are held to confirm a cell's pairs, about
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def trees_for(recall: float, threshold: float, depth: int = DEPTHS[-1]) -> int:
+    """Trees in one of which two sets at the threshold share a node ``depth`` levels deep with this probability."""
+    share, lost = 1 / threshold - 1, 0.0
+    for _ in range(depth):  # the chance that a branching process with these children dies out
+        child = 1 - threshold + threshold * lost
+        lost = child * (1 - share + share * child)
+    return math.ceil(math.log(1 - recall) / math.log(lost))
+
+
 def shingle_set(text: str, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the w-word shingles; fewer words make one shingle; none make an empty set."""
     tokens = text.encode("utf-8", "surrogatepass").lower().split()
@@ -114,8 +130,8 @@ def _sketches(sig: np.ndarray) -> np.ndarray:
     return low[:, 0::2] | (low[:, 1::2] << np.uint8(4))
 
 
-def _nodes(rows: DataFrame, levels: int, trees: int, share: float) -> DataFrame:
-    """(doc, sig[, node]) to (node, doc, sketch) ``levels`` deeper; without a node, from the roots."""
+def _nodes(rows: DataFrame, levels: int, trees: int, share: float, sketches: bool = True) -> DataFrame:
+    """(doc, sig[, node]) to (node, doc[, sketch]) ``levels`` deeper; without a node, from the roots."""
     deeper = "node" in rows.columns
 
     def make():
@@ -130,6 +146,9 @@ def _nodes(rows: DataFrame, levels: int, trees: int, share: float) -> DataFrame:
                     roots = mix64(np.arange(1, trees + 1, dtype=np.uint64) * _GOLD)
                     paths, at_row = np.tile(roots, len(doc)), np.repeat(np.arange(len(doc)), trees)
                 paths, at_row = _branch(paths, at_row, sig, levels, share)
+                if not sketches:
+                    yield {"node": paths.view(np.int64), "doc": doc[at_row]}
+                    continue
                 sketch = _sketches(sig)
                 flat = pa.py_buffer(np.ascontiguousarray(sketch[at_row]).tobytes())
                 offsets = pa.py_buffer((np.arange(len(at_row) + 1, dtype=np.int32) * (COORDS // 2)).tobytes())
@@ -137,7 +156,7 @@ def _nodes(rows: DataFrame, levels: int, trees: int, share: float) -> DataFrame:
 
         return step
 
-    return map_rows(rows.select("doc", "sig", *["node"] * deeper), "node long, doc long, sketch binary", make)
+    return map_rows(rows.select("doc", "sig", *["node"] * deeper), "node long, doc long" + ", sketch binary" * sketches, make)
 
 
 def _leaf_pairs(doc: np.ndarray, sketch: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -216,6 +235,14 @@ def _compare(nodes: DataFrame, leaf: int, most: int, last: bool) -> DataFrame:
     return map_rows(ordered, "kind byte, a long, b long, node long, off int", make)
 
 
+def _hot_pairs(big: DataFrame) -> DataFrame:
+    """Pairs of hot nodes' members (node, doc, first, n) with their node's first and with a neighbour, in chunks."""
+    chunk = F.xxhash64("node", F.pmod(F.xxhash64("doc"), F.ceil(F.col("n") / 256)))
+    rows = big.withColumn("chunk", chunk).withColumn("next", F.lag("doc").over(W.partitionBy("chunk").orderBy("doc")))
+    pairs = rows.select("doc", "chunk", F.explode(F.array("first", "next")).alias("mate")).where("mate <> doc")
+    return pairs.select(F.least("doc", "mate").alias("a"), F.greatest("doc", "mate").alias("b"), F.col("chunk").alias("node"), F.lit(0).alias("off"))
+
+
 def _candidates(signed: DataFrame, reps: DataFrame, threshold: float, trees: int, leaf: int) -> tuple[DataFrame, DataFrame | None]:
     """Distinct pairs (a, b, off, node) that the trees bring together and the sketches don't rule out; (doc, first) of nodes large to the last."""
     share = 1 / threshold - 1
@@ -223,31 +250,41 @@ def _candidates(signed: DataFrame, reps: DataFrame, threshold: float, trees: int
     most = math.ceil(COORDS * (1 - agree) + 4 * math.sqrt(COORDS * agree * (1 - agree)))
     rows = signed.join(reps.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi").select(F.col("doc_id").alias("doc"), "sig")
     found, done, dense = [], 0, None
+    expected = reps.count() * trees
     for depth in DEPTHS:
-        out = materialise(_compare(_nodes(rows, depth - done, trees, share), leaf, most, depth == DEPTHS[-1]), f"nodes{depth}")
+        last = depth == DEPTHS[-1]
+        expected *= (1 + share) ** (depth - done)
+        # A node with over a thousandth of all rows isn't gathered in a task: its members go on from where they are.
+        sizes = _nodes(rows, depth - done, trees, share, False).groupBy("node").agg(F.count("*").alias("n"), F.min("doc").alias("first"))
+        hot = F.broadcast(materialise(sizes.where(F.col("n") > max(leaf, expected / HOT_KEYS)), "large"))
+        big = materialise(_nodes(rows, depth - done, trees, share, False).join(hot, "node").select("node", "doc", "first", "n"), f"big{depth}")
+        cold = _nodes(rows, depth - done, trees, share).join(hot.select("node"), "node", "left_anti")
+        out = materialise(_compare(cold, leaf, most, last), f"nodes{depth}")
         found.append(out.where("kind = 0").select("a", "b", "node", "off"))
-        deep = out.where("kind = 1").select(F.col("a").alias("doc"), "node")
-        if deep.isEmpty():
+        if last:
+            found.append(_hot_pairs(big))
+            dense = out.where("kind = 1").select(F.col("a").alias("doc"), F.col("b").alias("first")).unionByName(big.select("doc", "first")).distinct()
+            dense = None if dense.isEmpty() else dense
             break
-        if depth == DEPTHS[-1]:
-            dense = out.where("kind = 1").select(F.col("a").alias("doc"), F.col("b").alias("first")).distinct()
+        deep = out.where("kind = 1").select(F.col("a").alias("doc"), "node").unionByName(big.select("doc", "node"))
+        if deep.isEmpty():
             break
         sig = signed.where("sig is not null").select(F.col("doc_id").alias("doc"), "sig")
-        rows, done = deep.join(sig, "doc"), depth
+        rows, done, expected = deep.join(sig, "doc"), depth, deep.count()
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
     return pairs.groupBy("a", "b").agg(F.min("off").alias("off"), F.min("node").alias("node")), dense
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, words: int, threshold: float) -> DataFrame:
-    """Links (v, r), r < v, that span every component of confirmed pairs within a cell of at most some hundred sets."""
+def _confirmed(docs: DataFrame, pairs: DataFrame, words: int, threshold: float, mean: float) -> DataFrame:
+    """Links (v, r), r < v, that span every component of confirmed pairs within a cell; ``mean`` shingles a set."""
     pairs = materialise(pairs, "pairs")
-    cells = max(1, pairs.count() // 500)
+    cells = max(1, pairs.count() // max(1, min(500, int(CELL / (16 * max(mean, 1))))))
     pairs = pairs.withColumn("cell", F.pmod("node", F.lit(cells)))
     of = materialise(pairs.select(F.col("cell").alias("at"), F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "of")
-    few = of.count() <= FEW
-    sets = docs.join(F.broadcast(of) if few else of, "doc_id").select("at", "doc_id", "text")
+    # By shuffle at every size: the list of ids grows with the input.
+    sets = docs.where("doc_id is not null").join(of.hint("merge"), "doc_id").select("at", "doc_id", "text")
     per_cent = round(100 * threshold)
 
     def confirm(pair: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
@@ -283,7 +320,7 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, words: int, threshold: float)
 
 
 def _blocks(members: DataFrame) -> DataFrame:
-    """(group, root, doc_id, block): a dense group's members in order of root, cut into blocks of at most ``BLOCK``."""
+    """``members`` (group, root, rid, ...) with block: a group's members in order of root, at most ``BLOCK`` in each."""
 
     def make():
         part, last = TaskContext.get().partitionId(), [None, 0]  # group, rows of it so far
@@ -293,40 +330,88 @@ def _blocks(members: DataFrame) -> DataFrame:
             for group in batch.column(0).to_pylist():
                 last[:] = [group, last[1] + 1 if group == last[0] else 0]
                 nth.append(last[1])
-            return {"group": batch.column(0), "root": batch.column(1), "doc_id": batch.column(2), "part": [part] * len(nth), "nth": nth}
+            return {"group": batch.column(0), "root": batch.column(1), "rid": batch.column(2), "s": batch.column(3), "part": [part] * len(nth), "nth": nth}
 
         return step
 
-    ordered = members.repartitionByRange("group", "root", "doc_id").sortWithinPartitions("group", "root", "doc_id")
-    dealt = materialise(map_rows(ordered, "group long, root long, doc_id long, part int, nth long", make), "dealt")
+    ordered = members.select("group", "root", "rid", "s").repartitionByRange("group", "root", "rid").sortWithinPartitions("group", "root", "rid")
+    dealt = materialise(map_rows(ordered, "group long, root long, rid long, s long, part int, nth long", make), "dealt")
     # Ranges are in order, so a row's place in its group is that in its range after the counts of the ranges before.
     before = F.coalesce(F.sum("n").over(W.partitionBy("group").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     counts = dealt.groupBy("group", "part").agg(F.count("*").alias("n")).select("group", "part", before.alias("before"))
     block = F.xxhash64("group", F.floor((F.col("before") + F.col("nth")) / BLOCK))
-    return materialise(dealt.join(F.broadcast(counts), ["group", "part"]).select("group", "root", "doc_id", block.alias("block")), "blocks")
+    return materialise(dealt.join(counts, ["group", "part"]).select("group", "root", "rid", "s", block.alias("block")), "blocks")
 
 
-def _dense_links(docs: DataFrame, dense: DataFrame, roots: DataFrame, words: int, threshold: float) -> DataFrame:
-    """Links (v, r), r < v, between roots whose members in one dense group are similar; all of its pairs are compared."""
+def _dense_sets(docs: DataFrame, dense: DataFrame, roots: DataFrame, words: int) -> DataFrame:
+    """(group, root, doc_id, rid, n, x): a row per set in groups that are not one component yet; x are its shingles."""
     group = components(dense.where("doc <> first").select(F.col("doc").alias("v"), F.col("first").alias("r")))
     ids = dense.select(F.col("doc").alias("v")).distinct()
     ids = ids.join(group.select("v", F.col("root").alias("group")), "v", "left").join(roots, "v", "left")
-    members = _blocks(ids.select(F.coalesce("group", "v").alias("group"), F.coalesce("root", "v").alias("root"), F.col("v").alias("doc_id")))
-    blocks = members.groupBy("group", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    left, right = (blocks.select("group", *[F.col(c).alias(f"{c}{i}") for c in ("block", "lo", "hi")]) for i in "12")
-    cells = left.join(F.broadcast(right), "group").where("block1 <= block2 and least(lo1, lo2) < greatest(hi1, hi2)").select("block1", "block2")
+    members = materialise(ids.select(F.coalesce("group", "v").alias("group"), F.coalesce("root", "v").alias("root"), F.col("v").alias("doc_id")), "members")
+    mixed = members.groupBy("group").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("group", F.lit(True).alias("mixed"))
+    members = lookup(members, materialise(mixed, "mixed"), "group", members.count()).where("mixed")
+    held = docs.where("doc_id is not null").join(members.hint("merge"), "doc_id").select("group", "root", "doc_id", "text")
+
+    def make():
+        part, seen = TaskContext.get().partitionId() << 40, [0]
+
+        def step(batch: pa.RecordBatch) -> dict:
+            sets = [shingle_set(t, words).view(np.int64) for t in batch.column(3).to_pylist()]
+            seen[0] += len(sets)
+            offsets = np.append(0, np.cumsum([len(s) for s in sets])).astype(np.int32)
+            return {
+                "group": batch.column(0), "root": batch.column(1), "doc_id": batch.column(2), "rid": part + seen[0] + np.arange(-len(sets), 0),
+                "n": np.diff(offsets), "x": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets))),
+            }
+
+        return step
+
+    return materialise(map_rows(held, "group long, root long, doc_id long, rid long, n long, x array<long>", make), "dense")
+
+
+def _dense_links(docs: DataFrame, dense: DataFrame, roots: DataFrame, words: int, threshold: float) -> DataFrame:
+    """Links (v, r), r < v, that join the components of each dense group's similar members; exact."""
+    sets = _dense_sets(docs, dense, roots, words)
+    per_cent = round(100 * threshold)
+    size = sets.agg(F.sum("n").alias("n"), F.count("*").alias("k")).first()
+    if not size["k"]:
+        return roots.select("v", F.col("root").alias("r")).where("false")
+    # A group's shingle is told by one hash; two that clash count as one, which can only add candidates.
+    each = sets.select("rid", "root", F.explode("x").alias("x"), "group").select("rid", "root", F.xxhash64("group", "x").alias("x"))
+    times = materialise(each.groupBy("x").agg(F.count("*").alias("times")).where("times > 1"), "times")
+    found = materialise(lookup(each, times, "x", size["n"]).where("times is not null"), "shared")
+    common = found.where(F.col("times") > RARE).groupBy("rid").agg(F.count("*").alias("k"))
+    sets = sets.join(common, "rid", "left").withColumn("k", F.coalesce("k", F.lit(0)))
+    # An overlap o is enough if o * (100 + per_cent) >= per_cent * (n1 + n2).
+    info = materialise(sets.select("group", "root", "doc_id", "rid", "n", "k", ((100 + per_cent) * F.col("k") - 2 * per_cent * F.col("n")).alias("s")), "info")
+
+    # Pairs that share a rare shingle: what they share of them, with all that their common ones could add.
+    lists = found.where(F.col("times") <= RARE).groupBy("x").agg(F.array_sort(F.collect_list(F.struct("rid", "root"))).alias("at"))
+    mates = F.expr("flatten(transform(at, p -> transform(filter(at, q -> q.rid > p.rid and q.root <> p.root), q -> struct(p.rid as a, q.rid as b))))")
+    pairs = lists.select(F.explode(mates).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("m"))
+    side = lambda c: info.select(F.col("rid").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("doc_id", "n", "k")])
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(f"{100 + per_cent} * (m + least(k_a, k_b)) >= {per_cent} * (n_a + n_b)")
+    pairs = pairs.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b"), F.lit(0).alias("off"), F.xxhash64("doc_id_a").alias("node")).where("a <> b")
+    links = _confirmed(docs, pairs, words, threshold, size["n"] / size["k"])
+
+    # Pairs that share none overlap in min(k1, k2) <= (k1 + k2) / 2 shingles at most, so s1 + s2 >= 0 is needed.
+    best = info.groupBy("group").agg(F.max("s").alias("best"))
+    able = lookup(info, best, "group", size["k"]).where("s + best >= 0")
+    members = _blocks(able)
+    blocks = members.groupBy("group", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("s").alias("s"))
+    left, right = (blocks.select("group", *[F.col(c).alias(f"{c}{i}") for c in ("block", "lo", "hi", "s")]) for i in "12")
+    left = left.withColumn("salt", F.pmod("block1", F.lit(64)))
+    right = right.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(63).cast("long"))))
+    cells = left.join(right, ["group", "salt"]).where("block1 <= block2 and least(lo1, lo2) < greatest(hi1, hi2) and s1 + s2 >= 0").select("block1", "block2")
     cells = materialise(cells, "cells")
     at = cells.select("block1", "block2", F.explode(F.array_distinct(F.array("block1", "block2"))).alias("block"))
-    few = members.count() <= FEW
-    side = members.select("doc_id", "root", "block")
-    sets = materialise(docs.join(F.broadcast(side) if few else side, "doc_id").select("root", "block", "text"), "dense")
     tasks = max(1, min(4096, cells.count()))
-    sets = sets.join(at, "block").select("block1", "block2", "block", "root", "text").repartition(tasks, "block1", "block2")
-    per_cent = round(100 * threshold)
+    held = members.select("rid", "block").join(sets.select("rid", "root", "x"), "rid").join(at, "block").select("block1", "block2", "block", "root", "x").repartition(tasks, "block1", "block2")
 
     def compare(held: pd.DataFrame) -> pd.DataFrame:
         root, block = held["root"].to_numpy(), held["block"].to_numpy()
-        parts = [shingle_set(t, words) for t in held["text"]]
+        parts = held["x"].tolist()
         size = np.array([len(s) for s in parts])
         owner, (_, col, times) = np.repeat(np.arange(len(parts)), size), np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
         more = times > 1  # shingles of one member alone are in no intersection
@@ -346,7 +431,7 @@ def _dense_links(docs: DataFrame, dense: DataFrame, roots: DataFrame, words: int
         v, r = np.nonzero(good)
         return pd.DataFrame(np.unique(np.stack([root[v], root[r]], axis=1), axis=0), columns=["v", "r"], dtype="int64")
 
-    return sets.groupBy("block1", "block2").applyInPandas(compare, "v long, r long")
+    return links.unionByName(held.groupBy("block1", "block2").applyInPandas(compare, "v long, r long"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -359,15 +444,15 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         low = materialise(links.groupBy("v").agg(F.min("r").alias("m"), F.max("r").alias("x")), "low")
         up = low.select(F.col("v").alias("m"), F.col("m").alias("above"))
-        star = low.join(up, "m", "left").select("v", F.coalesce("above", "m").alias("r"), (F.col("above").isNotNull() | (F.col("x") != F.col("m"))).alias("moved"))
+        star = lookup(low, up, "m", low.count()).select("v", F.coalesce("above", "m").alias("r"), (F.col("above").isNotNull() | (F.col("x") != F.col("m"))).alias("moved"))
         star = materialise(star, "star")
         if star.where("moved").isEmpty():
             return star.select("v", F.col("r").alias("root"))
-        rest = links.join(low, "v").where("r <> m").select(F.greatest("r", "m").alias("v"), F.least("r", "m").alias("r"))
+        rest = lookup(links, low.select("v", "m"), "v", links.count()).where("r <> m").select(F.greatest("r", "m").alias("v"), F.least("r", "m").alias("r"))
         links = materialise(star.select("v", "r").unionByName(rest).distinct(), "links")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, trees: int = 12, leaf: int = 48) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, recall: float = 0.999, leaf: int = 48) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text)."""
     docs = texts(docs, F.col("doc_id").cast("long").alias("doc_id"))
     signed = materialise(_signed(docs, words), "signed")
@@ -376,8 +461,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, tre
     # Rows that share a doc_id but not a set are one vertex.
     same = whole.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi")
     twice = same.select("doc_id").join(whole.select("doc_id", "digest"), "doc_id").join(reps.select("digest", "rep"), "digest").where("rep <> doc_id")
-    pairs, dense = _candidates(whole, reps, threshold, trees, leaf)
-    links = _confirmed(docs, pairs, words, threshold)
+    pairs, dense = _candidates(whole, reps, threshold, trees_for(recall, threshold), leaf)
+    links = _confirmed(docs, pairs, words, threshold, whole.agg(F.avg("n_shingles").alias("n")).first()["n"] or 0)
     links = links.unionByName(twice.select(F.col("doc_id").alias("v"), F.col("rep").alias("r")))
     roots = components(links)
     if dense is not None:
@@ -392,13 +477,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, tre
 
 
 def keep_one(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates; all columns stay. Repeated doc_ids leave one row."""
+    """``docs`` with one row of each group of near-duplicates; all columns stay.
+
+    Rows with one doc_id leave the one whose columns, as JSON, come first; rows with a null doc_id stay.
+    """
     drop = materialise(near_duplicates(docs, words, threshold).where("not kept").select(F.col("doc_id").alias("_drop")).distinct(), "drop")
-    few = drop.count() <= FEW
     ids = F.col("doc_id").cast("long")
-    left = docs.join(F.broadcast(drop) if few else drop, ids == F.col("_drop"), "left_anti")
-    again = materialise(docs.where("doc_id is not null").groupBy(ids.alias("_again")).count().where("count > 1").select("_again"), "again")
+    known = docs.where(ids.isNotNull())
+    left = known.join(drop.hint("merge"), ids == F.col("_drop"), "left_anti").unionByName(docs.where(ids.isNull()))
+    again = materialise(known.groupBy(ids.alias("_again")).count().where("count > 1").select("_again"), "again")
     if again.isEmpty():
         return left
     once = left.join(again, ids == F.col("_again"), "left_anti")
-    return once.unionByName(left.join(again, ids == F.col("_again"), "left_semi").dropDuplicates(["doc_id"]))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    first = left.join(again, ids == F.col("_again"), "left_semi").groupBy(ids.alias("_id")).agg(F.min_by(row, F.to_json(row)).alias("_row"))
+    return once.unionByName(first.select("_row.*"))

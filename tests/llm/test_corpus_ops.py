@@ -32,6 +32,10 @@ def classes(texts, words, per_cent):
     return {i: (len(sets[i]), root(i)) for i in texts}
 
 
+def spark_rows(df, rows):
+    return df.sparkSession.createDataFrame(rows, "doc_id long, text string")
+
+
 def test_near_duplicates(docs, plain, spark):
     rng = np.random.default_rng(5)
     base = [f"w{x}" for x in rng.integers(0, 5000, 200)]
@@ -58,11 +62,27 @@ def test_near_duplicates_hidden_in_a_dense_group(spark):
     assert got == {i: min(short) if i in short else i for i in range(3010)}
 
 
+def test_near_duplicates_that_share_a_page_frame(spark):
+    """All texts have a common run; partners share a little more and link (0.856), all others do not (0.805)."""
+    body = [f"c{i}" for i in range(300)]
+    texts = [(i, " ".join([*body, *[f"p{i // 2}x{j}" for j in range(10)], *[f"o{i}x{j}" for j in range(26)]])) for i in range(600)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    rows = neardup.near_duplicates(df, 3, 0.85, leaf=8).select("doc_id", "component_id").collect()
+    assert all(r["component_id"] in (r["doc_id"], r["doc_id"] // 2 * 2) for r in rows)
+    assert sum(r["component_id"] < r["doc_id"] for r in rows) >= 0.99 * 300
+
+
+def test_trees_follow_from_recall():
+    assert neardup.trees_for(0.999, 0.85) >= neardup.trees_for(0.99, 0.85) > neardup.trees_for(0.9, 0.85, 3) >= 1
+
+
 def test_near_duplicates_messy(messy, empty):
     got = sorted((r["doc_id"] or -1, r["n_shingles"], r["component_id"] or -1, r["kept"]) for r in neardup.near_duplicates(messy).collect())
     assert (2, 0, 2, True) in got and (4, 0, 4, True) in got and (-1, 1, -1, True) in got and got.count((7, 3, 7, True)) == 2 and (8, 3, 7, False) in got and len(got) == 12
     assert neardup.near_duplicates(empty).count() == 0 and neardup.keep_one(empty).count() == 0
     left = neardup.keep_one(messy)
+    clash = spark_rows(messy, [(1, "a b c d e f"), (1, "u v w x y z"), (None, "q"), (None, "q")])
+    assert sorted((r["doc_id"] or -1, r["text"]) for r in neardup.keep_one(clash).collect()) == [(-1, "q"), (-1, "q"), (1, "a b c d e f")]
     assert left.columns == messy.columns and sorted(r["doc_id"] or -1 for r in left.collect()) == [-1, 1, 2, 3, 4, 5, 7, 9, 10, 11]
 
 
