@@ -8,7 +8,8 @@ loser tree, which gives the capture histories in global order (history_part, the
 
 Archives are rows of a written table (name, content), as executors share no folder but the cluster's.
 
-Defined results: null html is an empty payload; a null url has an empty key; pages without a timestamp column get
+Defined results: null html is an empty payload; a null url has an empty key; white space in a URL is left out, as a
+header can't hold it, and its key is that of the stored form; pages without a timestamp column get
 one by id; every row with the group's smallest page_id is a response; a null page_id is a response; repeated rows
 are records each; other columns are ignored; an empty table gives no rows.
 """
@@ -31,14 +32,18 @@ from pyspark.sql import functions as F
 from .common import lookup, map_rows, materialise
 
 ARCHIVE = 8_000_000  # bytes of records, before compression, that an archive holds about
-FEW = 500_000  # revisits up to which their narrow table is broadcast; beyond, it is joined by shuffle
 RANGE = 100_000  # index rows that a merge task gets, about
 
 
+def stored_url(url: str) -> str:
+    """A URL as a header holds it, without white space."""
+    return "".join(url.split())
+
+
 def url_key(url: str) -> str:
-    """Host parts reversed, without scheme, 'www.' and port; path and sorted query in lower case."""
+    """Of a stored URL: host parts reversed, without scheme, 'www.' and port; path and sorted query in lower case."""
     try:
-        parts = urlsplit(url.strip())
+        parts = urlsplit(url)
         host = (parts.hostname or "").removeprefix("www.")
     except ValueError:
         return url.lower()
@@ -56,7 +61,7 @@ def record(page_id: int | None, url: str, stamp: str, payload: bytes, digest: st
     name = lambda i: f"<urn:page:{'' if i is None else i}>"
     lines = [
         "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {name(page_id)}", f"WARC-Date: {stamp}",
-        f"WARC-Target-URI: {''.join(url.split())}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {len(payload)}", "Content-Type: text/html",
+        f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {len(payload)}", "Content-Type: text/html",
     ]
     if revisit:
         lines += [f"WARC-Refers-To: {name(refers_to)}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
@@ -174,6 +179,7 @@ def write(pages: DataFrame, refers: DataFrame) -> DataFrame:
         def step(batch: pa.RecordBatch):
             for page, url, html, seconds, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 payload = html.encode("utf-8", "surrogatepass")
+                url = stored_url(url)
                 stamp = f"{datetime.datetime.fromtimestamp(seconds, datetime.UTC):%Y-%m-%dT%H:%M:%SZ}"
                 raw = record(page, url, stamp, payload, sha1_base32(payload), refers_to)
                 held.append((url_key(url), stamp, page, raw))
@@ -184,8 +190,10 @@ def write(pages: DataFrame, refers: DataFrame) -> DataFrame:
         step.last = lambda: cut() if held else ()
         return step
 
-    joined = pages.join(refers, "page_id", "left").select("page_id", "url", "html", "seconds", "refers_to")
-    return map_rows(joined, "archive string, content binary", make)
+    # By shuffle at every size, as revisits grow with the pages; a null id refers to nothing and isn't shuffled.
+    alone = pages.where("page_id is null").withColumn("refers_to", F.lit(None).cast("long"))
+    joined = pages.where("page_id is not null").join(refers.hint("merge"), "page_id", "left").unionByName(alone)
+    return map_rows(joined.select("page_id", "url", "html", "seconds", "refers_to"), "archive string, content binary", make)
 
 
 INDEX = "url_key string, stamp string, page_id long, archive string, seq int, offset long, length long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -247,8 +255,7 @@ def capture_histories(pages: DataFrame, least: int = 0, timestamp: str = "timest
     """``pages`` (page_id, url, html) written as archives, read back, and indexed in global order."""
     pages = _stamped(pages, timestamp)
     refers = materialise(revisits(pages, least), "revisits")
-    few = refers.count() <= FEW
-    archives = materialise(write(pages, F.broadcast(refers) if few else refers), "archives")
+    archives = materialise(write(pages, refers), "archives")
     index = materialise(read(archives), "index")
     merged = merge(index, index.count())
     return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "stamp", "archive", "offset", "length", "history_part", "history_place")
