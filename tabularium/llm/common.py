@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -64,14 +67,43 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
 
 
-def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict] | dict]]) -> DataFrame:
-    """mapInArrow: ``make`` sets up a task's state and returns a function from part of a batch to a dict of columns."""
+def worker_keeps(tag: str | None, make: Callable | None = None):
+    """What ``make`` gives, kept for later tasks of the Python worker with this tag; what has another tag is let go."""
+    held = vars(sys.modules.setdefault("_tabularium_kept", types.ModuleType("_tabularium_kept"))).setdefault("held", {})
+    for other in held.keys() - {tag}:
+        del held[other]
+    if make and tag not in held:
+        held[tag] = make()
+    return held.get(tag)
+
+
+def trim() -> None:
+    """Give freed memory back to the system: workers live on, and each would keep the most that it ever used."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes for this session, unless it bounds them itself."""
+    for key, value in (("spark.sql.execution.arrow.maxBytesPerBatch", str(SLICE)), ("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")):
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
+def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict] | dict]], tag: str | None = None) -> DataFrame:
+    """mapInArrow: ``make`` sets up a task's state and returns a function from part of a batch to a dict of columns.
+
+    ``tag``: what of ``worker_keeps`` the tasks use.
+    """
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
 
     fields = to_arrow_schema(StructType.fromDDL(schema))
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_keeps(tag)
         step = make()
         for batch in batches:
             for part in slices(batch):
@@ -81,6 +113,8 @@ def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordB
         last = getattr(step, "last", None)
         for cols in last() if last else ():
             yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) for f in fields], schema=fields)
+        del step, last
+        trim()
 
     return df.mapInArrow(run, schema)
 

@@ -12,8 +12,6 @@ other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-import sys
-import types
 import unicodedata
 import zlib
 from array import array
@@ -25,10 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import map_rows, materialise, texts
+from .common import map_rows, materialise, texts, worker_keeps
 
 END = 1
-CACHE = 400_000  # chunks kept per Python worker; a full cache is emptied, so this bounds memory and nothing else
+CACHE = 48_000_000  # bytes of chunks kept per Python worker, about; a full cache is emptied: this bounds memory only
+_EACH = 200  # bytes that an entry of a dict takes besides its texts
 _MARKS = b".,;:!?&$%#*|"
 
 
@@ -57,6 +56,7 @@ class ChunkEncoder:
         self.tok = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
         self.tails: dict[bytes, bytes] = {}
+        self.held = 0  # bytes in known
 
     def _plain(self, chunk: str) -> list[int] | None:
         """Ids of a run of letters that normalising leaves as it is, by the model alone; None for anything else."""
@@ -66,10 +66,11 @@ class ChunkEncoder:
         return [t.id for t in self.tok.model.tokenize(spelt)]
 
     def _learn(self, new: list[bytes]) -> None:
-        if len(self.known) > CACHE:
+        if self.held > CACHE:
             self.known.clear()
+            self.held = 0
         rest = []
-        known = self.known
+        known, before = self.known, len(self.known)
         for raw in new:
             word = raw.rstrip(_MARKS)  # a run of marks after a letter is a token of its own
             tail = raw[len(word) :]
@@ -90,6 +91,7 @@ class ChunkEncoder:
             part = rest[at : at + 500]
             for raw, got in zip(part, self.tok.encode_batch([x.decode("utf-8", "surrogatepass") for x in part], add_special_tokens=False), strict=True):
                 known[raw] = array("I", got.ids).tobytes()
+        self.held += _EACH * (len(known) - before) + sum(len(raw) + len(known[raw]) for raw in new)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = []
@@ -107,11 +109,8 @@ class ChunkEncoder:
 
 
 def shared_encoder(path: str) -> ChunkEncoder:
-    """One encoder, with its cache, for all tasks that a Python worker runs."""
-    held = vars(sys.modules.setdefault("_tabularium_encoders", types.ModuleType("_tabularium_encoders")))
-    if path not in held:
-        held[path] = ChunkEncoder(path)
-    return held[path]
+    """One encoder, with its cache, for the packing tasks that a Python worker runs one after the other."""
+    return worker_keeps(f"encoder {path}", lambda: ChunkEncoder(path))
 
 
 def best_two_fit(counts: dict[int, int], size: int) -> list[tuple[int, int, int, int, int]]:
@@ -207,7 +206,7 @@ def pieces_of(docs: DataFrame, path: str, size: int) -> DataFrame:
 
         return step
 
-    return map_rows(docs, "doc_id long, piece int, start long, length long, ids_crc32 long, local long, part int", make)
+    return map_rows(docs, "doc_id long, piece int, start long, length long, ids_crc32 long, local long, part int", make, f"encoder {path}")
 
 
 def pack(docs: DataFrame, tokenizer_path: str, size: int = 4096) -> DataFrame:

@@ -6,12 +6,13 @@ character trigram model, plus a channel cost per change, restores the likeliest
 
 The restored text is scored by patterns (substrings of words) that mark toxic training documents, found with an
 Aho-Corasick automaton, and a logistic regression over what they add up to. The trigrams are counted over all
-documents; the rest is fitted on a bounded sample of labelled rows (``SAMPLE``, the smallest hashes of doc_id):
-patterns (from words of at most 40 letters) on one half, regression on the other.
+documents; the rest is fitted on a bounded sample of labelled rows (``SAMPLE``, the smallest hashes of doc_id; texts of
+over ``LONGEST`` characters aren't learnt from): patterns (from words of at most 40 letters) on one half, regression on
+the other. Every text is scored whole; tokens of more than ``WORD`` characters are decoded in parts of that length.
 
 Defined results: null text is empty; empty text gets the score of a text without patterns; rows with equal texts get
-equal scores; repeated labels of a document count as toxic if any is; without usable labels the score is 0; other
-columns are ignored.
+equal scores; repeated labels of a document count as toxic if any is; of rows with one doc_id the least text is learnt
+from; without usable labels every score is that of log odds -30 (about 1e-13); other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,14 +27,16 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold_of, map_rows, texts
+from .common import fold_of, map_rows, small_batches, texts, trim, worker_keeps
 
 SAMPLE = 6000  # labelled documents that the models are fitted on, at most
 THRESHOLD = 0.3
-MEMO = 200_000  # decoded tokens a task remembers; a full memo is emptied
+LONGEST = 20_000  # characters of a text that is learnt from, at most
+MEMO = 100_000  # decoded tokens a task remembers; a full memo is emptied
+WORD = 64  # characters of a token that are decoded at a time and remembered, at most
 
 # The letters that a character is used to imitate.
 IMITATES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "aeiou", "#": "h"}
@@ -83,6 +86,8 @@ class Restorer:
 
     def decode(self, token: str) -> str:
         """The likeliest word behind a token's characters."""
+        if len(token) > WORD:
+            return "".join(self.decode(token[at : at + WORD]) for at in range(0, len(token), WORD))
         paths: dict[str, tuple[float, str]] = {"^^": (0.0, "")}
         run = 0
         for i, c in enumerate(token):
@@ -113,9 +118,10 @@ class Restorer:
         core = (lead if lead and lead in "@$!|+*(" and token[:1] == lead else "") + core + (tail if tail in ("$", "+", "!", "|") else "")
         letters = sum(c.isalpha() for c in core)
         out = self.decode(core) if letters and (len(core) < 4 * letters) else token
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        self.memo[token] = out
+        if len(token) <= WORD:
+            if len(self.memo) > MEMO:
+                self.memo.clear()
+            self.memo[token] = out
         return out
 
     def spaced(self, m: re.Match) -> str:
@@ -148,14 +154,16 @@ def count_grams(docs: DataFrame) -> dict[str, int]:
     """Trigram counts over all texts: as many rows as there are different trigrams come to the driver."""
 
     def make():
-        words, grams = Counter(), Counter()
+        words, grams, held = Counter(), Counter(), [0]
 
         def step(batch: pa.RecordBatch):
             for text in batch.column(0).to_pylist():
                 words.update(text.lower().split())
-                if len(words) > MEMO:
+                held[0] += len(text)
+                if len(words) > MEMO or held[0] > 16_000_000:
                     grams.update(_grams(words))
                     words.clear()
+                    held[0] = 0
             return ()
 
         def end():
@@ -293,8 +301,12 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out_fold: int
     known = labels.select(ids.alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic is not null")
     known = known.where(fold_of(F.col("doc_id"), folds) != held_out_fold).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    rows = texts(docs, ids.alias("doc_id")).join(F.broadcast(some), "doc_id").select("doc_id", "text", "toxic").collect()
-    return fit([(r["text"], r["toxic"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"]))], count_grams(docs))
+    few = texts(docs, ids.alias("doc_id")).join(F.broadcast(some), "doc_id").where(F.length("text") <= LONGEST)
+    rows = few.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).collect()
+    model = fit([(r["text"], r["toxic"]) for r in sorted(rows, key=lambda r: r["doc_id"])], count_grams(docs))
+    del rows
+    trim()
+    return model
 
 
 def score_column(model: Model, text: str = "text") -> Column:
@@ -302,10 +314,14 @@ def score_column(model: Model, text: str = "text") -> Column:
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        worker_keeps(None)
         one = model.scorer()
         for part in parts:
             yield pd.Series([one(t) for t in part], dtype="float64")
+        del one
+        trim()
 
+    small_batches(SparkSession.active())
     return score(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 

@@ -123,6 +123,11 @@ def test_mixing(docs, messy, empty, spark):
     assert order != sorted(order)
     weights = spark.createDataFrame([("a", 1.0), ("zzz", 3.0), ("a", 1.0)], "source string, weight double")
     assert {r["source"] for r in mixing.mix(messy, weights).collect()} <= {"a"}
+    odd = spark.createDataFrame([("a", 1.0), ("b", None), ("c", float("nan")), (None, -1.0)], "source string, weight double")
+    assert {r["source"] for r in mixing.mix(messy, odd).collect()} <= {"a"}
+    few = spark.createDataFrame([(i, "x" * 9, f"s{i}") for i in range(3000)], "doc_id long, text string, source string")
+    many = mixing.mix(few.unionByName(few.withColumn("source", F.lit("s1")))).groupBy("doc_id", "source").count()
+    assert 1500 < many.count() < 5000 and many.where("source <> 's1'").count() > 1000
     out = mixing.mix(messy, tell=False)
     assert set(out.columns) == set(messy.columns) and mixing.mix(empty).count() == 0
     big = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.lit("s").alias("source"))
@@ -145,6 +150,15 @@ def test_warc(spark, sf_dir):
     assert warc.capture_histories(pages.where("false")).count() == 0
 
 
+def test_warc_orders_by_stored_urls(spark):
+    rows = [(i, u, "") for i, u in enumerate(["http://a z.org/", "http://aa.org/", "http://a b.org/", "http://a\tc.org/x\r\ny", " http://b.org", "http://a\u2003y.org"])]
+    rows += [(None, "http://a a.org/", "p"), (None, "http://a a.org/", "p"), (4, "http://b.org", "p")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    told = sorted(warc.ranked(warc.capture_histories(pages)).collect(), key=lambda r: r["history_rank"])
+    keys = [(r["url_key"], r["stamp"], r["page_id"] is not None, r["page_id"] or 0) for r in told]
+    assert keys == sorted(keys) and len(told) == len(rows) and [r["url_key"] for r in told][:3] == ["org,aa)/"] * 3
+
+
 def test_loser_tree():
     rng = np.random.default_rng(4)
     for k in (0, 1, 2, 3, 7, 16):

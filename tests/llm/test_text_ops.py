@@ -133,6 +133,11 @@ def test_letters_are_counted_on_all_documents(spark):
     assert model.lm.n[2]["vil"] == 80 and toxicity.Restorer(model.lm).word("v1ll41n") == "villain"
 
 
+def test_restoring_very_long_tokens():
+    restore = toxicity.Restorer(toxicity.fit([("the nasty villain", 0)] * 20).lm)
+    assert len(restore("a1" * 50_000)) >= 50_000 and len(restore("x " * 50_000)) >= 50_000
+
+
 def test_restoring():
     plain = ["you are a nasty villain here and there", "the nasty villain is a rotten thing"] * 20
     restore = toxicity.Restorer(toxicity.fit([(t, 0) for t in plain]).lm)
