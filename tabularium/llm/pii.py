@@ -1,15 +1,19 @@
 """PII by candidate gradient boosting.
 
 Base kinds are found by their patterns and always stay. High-recall generators propose further, overlapping spans
-(digit groups, spelled-out addresses, dotted quads, account numbers); boosted regression trees on format and context
-features give each a probability; the threshold is the lowest that keeps ``PRECISION`` on a calibration sample.
-Accepted candidates that overlap no base span are added, best first, as kind ``model``.
-
-The trees are fitted on labelled samples that are composed by rule from a fixed seed, half for fitting and half for
-calibration, so they behave alike on every input.
-
-Defined results: null text is empty; no finds give zero counts and empty spans; repeated rows are scanned each; other
-columns are ignored.
+(digit groups, single numbers and telephone shapes inside longer runs that a base pattern swallowed and then dropped,
+spelled-out addresses, account numbers); boosted regression trees on format and context features give each a
+probability; the threshold is the lowest that keeps ``PRECISION`` on a calibration set. Accepted candidates that overlap
+no base span are added, best first, as kind ``model``.
+
+The trees learn from two sources, each dealt half to fitting and half to calibration: candidates of a bounded sample of
+the documents (at most ``SAMPLE`` of those with seven digits in a row or so, by hash, at most 200 of a text), weakly labelled (1
+where a candidate is a base span, 0 where it lies inside a longer word, overlaps a base span without being it, or is a
+card-sized number that fails its check digit; others aren't learnt from), and examples composed by rule from a fixed
+seed, for the formats that the base kinds don't have. Texts are scanned whole; every pattern is linear in the text.
+
+Defined results: null text is empty; no finds give zero counts and empty spans; repeated rows are scanned each; without
+documents only the composed examples are learnt from; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,19 +30,26 @@ from pyspark.sql import functions as F
 from .common import map_rows, texts
 
 PRECISION = 0.98
+SAMPLE, ROWS = 2000, 8000  # documents that are learnt from, and their candidates, at most
 TREES, DEPTH, RATE = 60, 3, 0.2
 
 # The base kinds' patterns, in the order of their spans.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+# Digits are taken whole (possessive), so that long runs aren't tried again from each of their digits: a match that
+# fails from a run's first digit fails from all others, and one that succeeds takes the run to its end.
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 KINDS = ("email", "ip", "card", "phone", "model")
 
 _GENERATORS = (
-    re.compile(r"[+(]?[0-9](?:[ ().-]{0,2}[0-9]){6,}"),
+    re.compile(r"[+(]?[0-9](?:[ ().-]{0,2}[0-9]){6,}+"),
     re.compile(r"[A-Za-z0-9._%+-]{1,64}(?: ?[\[(](?:at|AT|@)[\])] ?| at )[A-Za-z0-9-]{1,64}(?:(?: ?[\[(](?:dot|DOT|\.)[\])] ?| dot )[A-Za-z0-9-]{1,64})+"),
     re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?![0-9A-Za-z])"),
+    re.compile(r"(?<![0-9])[0-9]{13,19}(?![0-9])"),
+    re.compile(r"(?<![0-9])[0-9]{4}(?:[ -][0-9]{4}){3}(?![0-9])"),
+    re.compile(r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])"),
+    re.compile(r"\+[0-9]{1,3} ?\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])"),
 )
 _SPELLED = re.compile(r" dot |[\[(](?:dot|DOT|\.)[\])]")
 _DIGIT = re.compile(r"[0-9]")
@@ -105,7 +116,7 @@ def candidate_features(text: str, start: int, end: int, g: int) -> list[float]:
         g, len(span), len(d), len(groups), max(groups, default=0), min(groups, default=0), groups[0] if groups else 0, groups[-1] if groups else 0,
         span.count(" "), span.count("-"), span.count("."), span.count("("), span.startswith("+"), span.startswith("("), span.count("/"), luhn(d) if d else 0, d[:1] in "3456",
         len(set(d)), near(_FOR), near(_AGAINST), before[-1:].isalnum(), after[:1].isalnum(), before.rstrip()[-1:] in ":=#", before.rstrip()[-1:] == "#", before.rstrip()[-1:] in "$€£",
-        after[:1] in "%€$", bool(re.match(r"(19|20)\d\d", d)), len(groups) == 3 and groups[0] == 3 and groups[1:] in ([2, 4], [3, 4]), bool(re.search(r" at |[\[(](at|@)", span, re.I)),
+        len(d) in (15, 16) and luhn(d), span.find(" ") >= 0 and max(groups, default=0) >= 13, after[:1] in "%€$", bool(re.match(r"(19|20)\d\d", d)), len(groups) == 3 and groups[0] == 3 and groups[1:] in ([2, 4], [3, 4]), bool(re.search(r" at |[\[(](at|@)", span, re.I)),
     ]
 
 
@@ -191,15 +202,48 @@ def labelled(n: int = 3000, seed: int = 5) -> list[tuple[str, int, int, int, int
     return out[:n]
 
 
-def fit() -> tuple[Boosted, float]:
+def weak_rows(text: str) -> Iterator[tuple[list[float], int]]:
+    """(features, label) of a text's candidates that the base kinds or rules label."""
+    base = base_spans(text)
+    exact = {(s, e) for s, _, e in base}
+    for s, e, g in candidates(text):
+        digits = _digits(text[s:e])
+        if (s, e) in exact:
+            label = 1
+        elif text[s - 1 : s].isalnum() or text[e : e + 1].isalnum() or any(s < b and a < e for a, _, b in base):
+            label = 0
+        elif 13 <= len(digits) <= 19 and not luhn(digits):
+            label = 0
+        else:
+            continue
+        yield candidate_features(text, s, e, g), label
+
+
+def weak_sample(docs: DataFrame) -> list[tuple[list[float], int]]:
+    """Weakly labelled candidates of at most ``SAMPLE`` documents, in a fixed order."""
+    some = docs.where(F.col("text").rlike(r"[0-9]([ ().-]{0,2}[0-9]){6}")).select(F.xxhash64("doc_id", "text").alias("h"), "text").orderBy("h").limit(SAMPLE)
+
+    def make():
+        def step(batch: pa.RecordBatch):
+            for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                rows = list(weak_rows(text))[:200]
+                yield {"h": [h] * len(rows), "nth": list(range(len(rows))), "x": [[float(v) for v in x] for x, _ in rows], "y": [y for _, y in rows]}
+
+        return step
+
+    rows = map_rows(some, "h long, nth int, x array<double>, y int", make).orderBy("h", "nth").limit(ROWS).collect()
+    return [(r["x"], r["y"]) for r in rows]
+
+
+def fit(weak: list[tuple[list[float], int]] = ()) -> tuple[Boosted, float]:
     """The model and the lowest threshold with ``PRECISION`` on the calibration half."""
-    rows = labelled()
-    x = np.array([candidate_features(t, s, e, g) for t, s, e, g, _ in rows], float)
-    y = np.array([r[4] for r in rows], float)
-    model = Boosted().fit(x[::2], y[::2])
-    p = np.array([model.score(row) for row in x[1::2]])
+    rows = [(candidate_features(t, s, e, g), y) for t, s, e, g, y in labelled()]
+    # Of each half, every other row: both sources are in both.
+    learn, tell = rows[::2] + list(weak[::2]), rows[1::2] + list(weak[1::2])
+    model = Boosted().fit(np.array([x for x, _ in learn], float), np.array([y for _, y in learn], float))
+    p = np.array([model.score(x) for x, _ in tell])
     order = np.argsort(-p, kind="stable")
-    right = np.cumsum(y[1::2][order]) / np.arange(1, len(order) + 1)
+    right = np.cumsum(np.array([y for _, y in tell], float)[order]) / np.arange(1, len(order) + 1)
     good = np.flatnonzero((right >= PRECISION) & (np.append(np.diff(p[order]) < 0, True)))
     return model, float(p[order][good[-1]]) if len(good) else 1.1
 
@@ -222,7 +266,8 @@ def _told(spans: list[tuple[int, int, int]]) -> str:
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_model for each row of ``docs`` (doc_id, text)."""
-    model, threshold = fit()
+    docs = texts(docs, F.col("doc_id").cast("long").alias("doc_id"))
+    model, threshold = fit(weak_sample(docs))
 
     def make():
         def step(batch: pa.RecordBatch):
@@ -237,5 +282,4 @@ def scan(docs: DataFrame) -> DataFrame:
 
         return step
 
-    docs = texts(docs, F.col("doc_id").cast("long").alias("doc_id"))
     return map_rows(docs, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_model long", make)
