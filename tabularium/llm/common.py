@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import os
 import re
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HOT_KEYS = 1000  # a key is hot when it holds over 1/HOT_KEYS of the rows, so there are fewer hot keys than this
+KEEP = 200_000_000  # resident bytes above which a Python worker gives freed memory back after a task
 SLICE = 4_000_000  # bytes of an Arrow batch that become Python objects at a time, about
 
 
@@ -78,7 +80,10 @@ def worker_keeps(tag: str | None, make: Callable | None = None):
 
 
 def trim() -> None:
-    """Give freed memory back to the system: workers live on, and each would keep the most that it ever used."""
+    """Give freed memory back to the system where a worker holds much: it lives on, and would keep the most it ever used."""
+    with open("/proc/self/statm") if os.path.exists("/proc/self/statm") else contextlib.nullcontext(["0 0"]) as told:
+        if int(next(iter(told)).split()[1]) * 4096 < KEEP:
+            return
     pa.default_memory_pool().release_unused()
     if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
         libc.malloc_trim(0)

@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 import re
 import sys
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -35,7 +36,7 @@ from .common import fold_of, map_rows, small_batches, texts, trim, worker_keeps
 SAMPLE = 6000  # labelled documents that the models are fitted on, at most
 THRESHOLD = 0.3
 LONGEST = 20_000  # characters of a text that is learnt from, at most
-MEMO = 100_000  # decoded tokens a task remembers; a full memo is emptied
+MEMO = 150_000  # tokens that a worker remembers the restored form of; a full memo is emptied
 WORD = 64  # characters of a token that are decoded at a time and remembered, at most
 
 # The letters that a character is used to imitate.
@@ -107,8 +108,15 @@ class Restorer:
         return max((score + self.lm.log(last + "$"), said) for last, (score, said) in paths.items())[1] if paths else token
 
     def word(self, token: str) -> str:
-        if (found := self.memo.get(token)) is not None:
-            return found
+        """A token's restored form, remembered unless it is very long."""
+        out = self._word(token)
+        if len(token) <= WORD:
+            if len(self.memo) > MEMO:
+                self.memo.clear()
+            self.memo[token] = out
+        return out
+
+    def _word(self, token: str) -> str:
         if token.isalpha() and not _TWICE.search(token):
             return token
         core = token.strip(_EDGE)
@@ -116,13 +124,10 @@ class Restorer:
         lead = token[: len(token) - len(token.lstrip(_EDGE))][-1:]
         tail = token[len(token.rstrip(_EDGE)) :]
         core = (lead if lead and lead in "@$!|+*(" and token[:1] == lead else "") + core + (tail if tail in ("$", "+", "!", "|") else "")
+        if core.isalpha() and not _TWICE.search(core):
+            return core  # one reading
         letters = sum(c.isalpha() for c in core)
-        out = self.decode(core) if letters and (len(core) < 4 * letters) else token
-        if len(token) <= WORD:
-            if len(self.memo) > MEMO:
-                self.memo.clear()
-            self.memo[token] = out
-        return out
+        return self.decode(core) if letters and len(core) < 4 * letters else token
 
     def spaced(self, m: re.Match) -> str:
         """Spaced-out letters as one word, as the words that wider gaps part, and as they are."""
@@ -134,8 +139,13 @@ class Restorer:
         text = text.lower()
         if not _HINT.search(text) and not _SPACED.search(text):
             return text
-        text = _SPACED.sub(self.spaced, text)
-        return " ".join(map(self.word, text.split()))
+        tokens = _SPACED.sub(self.spaced, text).split()
+        said = list(map(self.memo.get, tokens))
+        if None in said:
+            for i, word in enumerate(said):
+                if word is None:
+                    said[i] = self.memo.get(tokens[i]) or self.word(tokens[i])
+        return " ".join(said)
 
 
 def _grams(words: Counter) -> Counter:
@@ -310,15 +320,14 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out_fold: int
 
 
 def score_column(model: Model, text: str = "text") -> Column:
-    """The model's score of a text column."""
+    """The model's score of a text column. A worker keeps the scorer, and what it remembers, from task to task."""
+    tag = uuid.uuid4().hex
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        worker_keeps(None)
-        one = model.scorer()
+        one = worker_keeps(f"toxicity {tag}", model.scorer)
         for part in parts:
             yield pd.Series([one(t) for t in part], dtype="float64")
-        del one
         trim()
 
     small_batches(SparkSession.active())

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 
 import numpy as np
@@ -186,6 +187,32 @@ def test_pii_model():
     assert sum(a and b for a, b in kept) >= 0.9 * sum(b for _, b in kept) and sum(a and not b for a, b in kept) <= 0.05 * sum(a for a, _ in kept)
 
 
+@pytest.mark.parametrize("t", ["1" * 1_000_000, "1." * 500_000, "1 " * 500_000, "+1" * 500_000, "1" * 500_000 + "@", "a" * 1_000_000 + "@"])
+def test_pii_takes_long_runs(t):
+    began = time.process_time()
+    pii.base_spans(t)
+    pii.candidates(t)
+    assert time.process_time() - began < 10  # hours, if it were quadratic
+
+
+@pytest.mark.parametrize("t", ["1.2.3.4.5", "1.2.3.4.5.6.7.8", "12.3.4", "a1.2.3.4b", "1..2.3.4.5", "999.1.1.1 1.1.1.1", "4 4-4--4", "1 2  3 4-5"])
+def test_possessive_patterns_match_alike(t):
+    plain = (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+")
+    for old, new in zip(plain, (pii.IP, pii.CARD), strict=True):
+        assert [m.span() for m in re.finditer(old, t)] == [m.span() for m in new.finditer(t)]
+
+
+def test_pii_model_adds_what_the_base_kinds_lose(spark):
+    """Numbers side by side make one match of a base kind, which then fails; the model finds them one by one."""
+    cards = ["4845168114407329", "4524132264652876", "4366089147969128", "4451718024887799"]
+    assert all(map(pii.luhn, cards))
+    lone = [f"some words {x} here" for x in (*cards, "+1 (269) 555-3296", "+1 (826) 555-4081", "a12345678901234b", "4845168114407328", "x0641917415f")]
+    beside = ["so +1 (269) 555-3296 4524132264652876 it is", "it 4451718024887799 4845168114407329 was", "or 4845168114407328 and 0641917415"]
+    df = spark.createDataFrame(list(enumerate(lone * 30 + beside)), "doc_id long, text string")
+    rows = {r["doc_id"]: r["spans"] for r in pii.scan(df).where("doc_id >= 270").collect()}
+    assert rows[270] == "model:3:20,model:21:37" and rows[271] == "model:3:19,model:20:36" and rows[272] == ""
+
+
 def test_packing(docs, plain, messy, empty):
     from tokenizers import Tokenizer
 
