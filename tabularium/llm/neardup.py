@@ -15,8 +15,8 @@ of members are compared on full sets only where that bound can reach the thresho
 little else are told apart by their rare shingles, in time that is linear in the group.
 
 Every surviving pair is confirmed on full shingle sets; components are contracted by repeated min-label rounds. Nodes
-with over a thousandth of all rows go on without being gathered in a task, and hub ids are looked up by broadcast of
-the few hot ones. No step collects links on the driver, none emits all pairs of a large group, and the plan is the same
+with over a thousandth of all rows go on without being gathered in a task, and hub ids are split by the
+joins. No step collects links on the driver, none emits all pairs of a large group, and the plan is the same
 at every size.
 
 Defined results: null text is empty; documents without words have 0 shingles and are alone; repeated rows with one
@@ -438,17 +438,18 @@ def components(links: DataFrame) -> DataFrame:
     """(v, r) links with r < v to (v, root) for every v that isn't its component's smallest id.
 
     Each round keeps, for each v, its smallest neighbour and that neighbour's own, and links the others to it.
-    The number of rounds follows the logarithm of a component's depth; states are written tables.
+    The number of rounds follows the logarithm of a component's depth; states are written tables. Both joins are sort
+    merge joins whose results are written as they come, so that a hub id's rows are split over tasks (AQE).
     """
     links = materialise(links.distinct(), "links")
     while True:
         low = materialise(links.groupBy("v").agg(F.min("r").alias("m"), F.max("r").alias("x")), "low")
         up = low.select(F.col("v").alias("m"), F.col("m").alias("above"))
-        star = lookup(low, up, "m", low.count()).select("v", F.coalesce("above", "m").alias("r"), (F.col("above").isNotNull() | (F.col("x") != F.col("m"))).alias("moved"))
+        star = low.join(up.hint("merge"), "m", "left").select("v", F.coalesce("above", "m").alias("r"), (F.col("above").isNotNull() | (F.col("x") != F.col("m"))).alias("moved"))
         star = materialise(star, "star")
         if star.where("moved").isEmpty():
             return star.select("v", F.col("r").alias("root"))
-        rest = lookup(links, low.select("v", "m"), "v", links.count()).where("r <> m").select(F.greatest("r", "m").alias("v"), F.least("r", "m").alias("r"))
+        rest = links.join(low.select("v", "m").hint("merge"), "v").where("r <> m").select(F.greatest("r", "m").alias("v"), F.least("r", "m").alias("r"))
         links = materialise(star.select("v", "r").unionByName(rest).distinct(), "links")
 
 
