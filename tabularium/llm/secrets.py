@@ -2,8 +2,10 @@
 
 Base kinds are found by their patterns. The method adds spans of kind ``random``: runs of token characters whose
 log-likelihood ratio between two character Markov models, one of random strings and one of ordinary identifiers, is
-high. Both are trained from labelled samples by counting character pairs in Spark; the table of at most 68 * 68 log
-ratios becomes a literal. Positions come from the lengths of matches and of the pieces between them.
+high. Both are trained from labelled samples by counting character pairs in Spark (ordinary ones from the words of at
+most ``SAMPLE`` documents); the table of at most 68 * 68 log ratios becomes a literal. Short runs need as much evidence
+in all as one of ``FULL`` characters. Of a run that meets base spans, the parts outside them are spans of their own.
+Positions come from the lengths of matches and of the pieces between them.
 
 Defined results: null text is empty; texts without finds have zero counts and empty spans; repeated rows are scanned
 each; other columns are ignored (the scan) or kept (redaction).
@@ -22,7 +24,8 @@ from .common import texts
 ASSIGN = "((?i:password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 ACCESS = "AKIA[A-Z0-9]{14,}"
 HEX = "(?<![0-9a-f])[0-9a-f]{16,}"
-RUN = "(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+SHORT, FULL = 12, 20  # characters of a run or of its part outside base spans, at least; of a run that needs no more a character
+RUN = f"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{SHORT},}}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WIDE = len(ALPHABET) + 1  # 0 is the start of a string
 PER_CHAR = 0.6  # nats a character by which random must be likelier
@@ -96,7 +99,7 @@ def spans(text: Column, ratios: list[float]) -> tuple[Column, Column]:
         char = lambda i: F.call_function("locate", F.substr(run, i, F.lit(1)), F.lit(ALPHABET))
         before = lambda i: F.when(i == 1, F.lit(0)).otherwise(char(i - 1))
         llr = F.aggregate(F.sequence(F.lit(1), F.length(run)), F.lit(0.0), lambda acc, i: acc + F.element_at(table, before(i) * WIDE + char(i) + 1))
-        return llr > PER_CHAR * F.length(run)
+        return llr > PER_CHAR * F.greatest(F.length(run), F.lit(FULL))
 
     return base, _matches(text, RUN, 3, strange)
 
@@ -111,10 +114,22 @@ def find_secrets(docs: DataFrame, ratios: list[float] | None = None) -> DataFram
     return _found(texts(docs, F.col("doc_id").cast("long").alias("doc_id")), base, added)
 
 
+def _apart(added: str, base: str) -> Column:
+    """The parts of added spans that no base span (sorted by start) covers."""
+
+    def parts(a: Column) -> Column:
+        some = F.filter(base, lambda b: (b["start"] < a["end"]) & (a["start"] < b["end"]))
+        piece = lambda lo, hi: F.when(hi - lo >= SHORT, F.array(F.struct(lo.alias("start"), a["kind"].alias("kind"), hi.alias("end")))).otherwise(F.array().cast(_SPAN))
+        begin = F.struct(a["start"].alias("at"), F.array().cast(_SPAN).alias("found"))
+        step = lambda acc, b: F.struct(F.greatest(acc["at"], b["end"]).alias("at"), F.concat(acc["found"], piece(acc["at"], b["start"])).alias("found"))
+        return F.aggregate(some, begin, step, lambda acc: F.concat(acc["found"], piece(acc["at"], a["end"])))
+
+    return F.flatten(F.transform(added, parts))
+
+
 def _found(rows: DataFrame, base: Column, added: Column) -> DataFrame:
-    apart = F.filter("added", lambda a: ~F.exists("base", lambda b: (b["start"] < a["end"]) & (a["start"] < b["end"])))
     rows = rows.withColumns({"base": F.array_sort(base), "added": added})
-    return rows.withColumn("found", F.array_sort(F.concat("base", apart))).drop("added")
+    return rows.withColumn("found", F.array_sort(F.concat("base", _apart("added", "base")))).drop("added")
 
 
 def _told(spans: str) -> Column:
@@ -134,9 +149,8 @@ def redact(docs: DataFrame, ratios: list[float] | None = None, mask: str = "[SEC
     ratios = ratios or train(docs)
     base, added = spans(F.coalesce(F.col("text").cast("string"), F.lit("")), ratios)
     names = [f"_secret_{k}" for k in ("base", "added", "found")]
-    rows = docs.withColumns({names[0]: base, names[1]: added})
-    apart = F.filter(names[1], lambda a: ~F.exists(names[0], lambda b: (b["start"] < a["end"]) & (a["start"] < b["end"])))
-    rows = rows.withColumn(names[2], F.array_sort(F.concat(names[0], apart)))
+    rows = docs.withColumns({names[0]: F.array_sort(base), names[1]: added})
+    rows = rows.withColumn(names[2], F.array_sort(F.concat(names[0], _apart(names[1], names[0]))))
     piece = lambda lo, n: F.substr(F.col("text"), lo + 1, n)
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
     step = lambda acc, s: F.when(
