@@ -31,6 +31,7 @@ from .common import fold_of, map_rows, materialise, texts
 
 HEAD, SPELT, LEXICON = 160, 224, 200_000
 CONTEXT, DIM, NOISE, BATCH = 4, 24, 48, 1024
+SCORED = 512  # tokens scored at a time: their logits stay in the cache
 FLUSH = 300_000  # distinct words a task holds before it hands on partial counts
 SYMBOLS = HEAD + SPELT + 1  # the last is the padding before a text; it is never predicted
 
@@ -224,19 +225,24 @@ def fit(docs: DataFrame, lex: Lexicon) -> dict[str, np.ndarray]:
 
 def symbol_log10(p: dict[str, np.ndarray], sym: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """Normalised log10 probability of each token's symbol."""
-    tables = [p["r"] * p["c"][j] for j in range(CONTEXT)]
-    ctx, out = contexts(sym, begins), np.empty(len(sym))
-    q, b, ones = np.ascontiguousarray(p["q"][:-1].T), p["b"][:-1], np.ones(SYMBOLS - 1, np.float32)
-    room = np.empty((1024, SYMBOLS - 1), np.float32)
-    for at in range(0, len(sym), 1024):
-        part = slice(at, at + 1024)
-        hidden = sum(t[c] for t, c in zip(tables, ctx[:, part], strict=True))
+    n = SYMBOLS - 1
+    # The bias rides along as one more dimension, which is 1 in every context.
+    tables = [np.hstack([p["r"] * p["c"][j], np.full((SYMBOLS, 1), 0 if j else 1, np.float32)]) for j in range(CONTEXT)]
+    q = np.ascontiguousarray(np.hstack([p["q"][:-1], p["b"][:-1, None]]).T)
+    ctx, out, ones = contexts(sym, begins), np.empty(len(sym)), np.ones(n, np.float32)
+    room = np.empty((SCORED, n), np.float32)
+    for at in range(0, len(sym), SCORED):
+        part = slice(at, at + SCORED)
+        hidden = tables[0].take(ctx[0, part], axis=0)
+        for j in range(1, CONTEXT):
+            hidden += tables[j].take(ctx[j, part], axis=0)
         logits = np.matmul(hidden, q, out=room[: len(hidden)])
-        logits += b
         chosen = logits[np.arange(len(logits)), sym[part]]
-        np.minimum(logits, 80, out=logits)  # no overflow; scores this large don't come out of training
+        if logits.max() > 80:  # scores this large don't come out of training, but must not overflow
+            chosen = np.minimum(chosen, 80)
+            np.minimum(logits, 80, out=logits)
         np.exp(logits, out=logits)
-        out[part] = (np.minimum(chosen, 80) - np.log(logits @ ones)) / math.log(10)
+        out[part] = (chosen - np.log(logits @ ones)) / math.log(10)
     return out
 
 
