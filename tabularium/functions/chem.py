@@ -26,22 +26,26 @@ PAULING = {
 }
 # English names that a substance's name may begin a word with.
 NAMES = {
-    "HYDROGEN": "H", "LITHIUM": "Li", "BERYLLIUM": "Be", "BORON": "B", "CARBON": "C", "NITROGEN": "N", "OXYGEN": "O", "FLUORINE": "F", "SODIUM": "Na", "MAGNESIUM": "Mg", "ALUMINIUM": "Al", "ALUMINUM": "Al",
-    "SILICON": "Si", "PHOSPHORUS": "P", "SULFUR": "S", "SULPHUR": "S", "CHLORINE": "Cl", "POTASSIUM": "K", "CALCIUM": "Ca", "SCANDIUM": "Sc", "TITANIUM": "Ti", "VANADIUM": "V", "CHROMIUM": "Cr", "MANGANESE": "Mn",
-    "IRON": "Fe", "COBALT": "Co", "NICKEL": "Ni", "COPPER": "Cu", "ZINC": "Zn", "GALLIUM": "Ga", "GERMANIUM": "Ge", "ARSENIC": "As", "SELENIUM": "Se", "BROMINE": "Br", "RUBIDIUM": "Rb", "STRONTIUM": "Sr",
-    "YTTRIUM": "Y", "ZIRCONIUM": "Zr", "NIOBIUM": "Nb", "MOLYBDENUM": "Mo", "RUTHENIUM": "Ru", "RHODIUM": "Rh", "PALLADIUM": "Pd", "SILVER": "Ag", "CADMIUM": "Cd", "INDIUM": "In", "TIN": "Sn", "ANTIMONY": "Sb",
-    "TELLURIUM": "Te", "IODINE": "I", "CESIUM": "Cs", "CAESIUM": "Cs", "BARIUM": "Ba", "LANTHANUM": "La", "CERIUM": "Ce", "PRASEODYMIUM": "Pr", "NEODYMIUM": "Nd", "SAMARIUM": "Sm", "EUROPIUM": "Eu", "GADOLINIUM": "Gd",
-    "TERBIUM": "Tb", "DYSPROSIUM": "Dy", "HOLMIUM": "Ho", "ERBIUM": "Er", "THULIUM": "Tm", "YTTERBIUM": "Yb", "LUTETIUM": "Lu", "HAFNIUM": "Hf", "TANTALUM": "Ta", "TUNGSTEN": "W", "RHENIUM": "Re", "OSMIUM": "Os",
-    "IRIDIUM": "Ir", "PLATINUM": "Pt", "GOLD": "Au", "MERCURY": "Hg", "THALLIUM": "Tl", "LEAD": "Pb", "BISMUTH": "Bi", "THORIUM": "Th", "URANIUM": "U", "PLUTONIUM": "Pu",
+    "HYDROGEN": "H", "HELIUM": "He", "LITHIUM": "Li", "BERYLLIUM": "Be", "BORON": "B", "CARBON": "C", "NITROGEN": "N", "OXYGEN": "O", "FLUORINE": "F", "NEON": "Ne", "SODIUM": "Na", "MAGNESIUM": "Mg",
+    "ALUMINIUM": "Al", "ALUMINUM": "Al", "SILICON": "Si", "PHOSPHORUS": "P", "SULFUR": "S", "SULPHUR": "S", "CHLORINE": "Cl", "ARGON": "Ar", "POTASSIUM": "K", "CALCIUM": "Ca", "SCANDIUM": "Sc", "TITANIUM": "Ti",
+    "VANADIUM": "V", "CHROMIUM": "Cr", "MANGANESE": "Mn", "IRON": "Fe", "COBALT": "Co", "NICKEL": "Ni", "COPPER": "Cu", "ZINC": "Zn", "GALLIUM": "Ga", "GERMANIUM": "Ge", "ARSENIC": "As", "SELENIUM": "Se",
+    "BROMINE": "Br", "KRYPTON": "Kr", "RUBIDIUM": "Rb", "STRONTIUM": "Sr", "YTTRIUM": "Y", "ZIRCONIUM": "Zr", "NIOBIUM": "Nb", "MOLYBDENUM": "Mo", "TECHNETIUM": "Tc", "RUTHENIUM": "Ru", "RHODIUM": "Rh",
+    "PALLADIUM": "Pd", "SILVER": "Ag", "CADMIUM": "Cd", "INDIUM": "In", "TIN": "Sn", "ANTIMONY": "Sb", "TELLURIUM": "Te", "IODINE": "I", "XENON": "Xe", "CESIUM": "Cs", "CAESIUM": "Cs", "BARIUM": "Ba",
+    "LANTHANUM": "La", "CERIUM": "Ce", "PRASEODYMIUM": "Pr", "NEODYMIUM": "Nd", "SAMARIUM": "Sm", "EUROPIUM": "Eu", "GADOLINIUM": "Gd", "TERBIUM": "Tb", "DYSPROSIUM": "Dy", "HOLMIUM": "Ho", "ERBIUM": "Er",
+    "THULIUM": "Tm", "YTTERBIUM": "Yb", "LUTETIUM": "Lu", "HAFNIUM": "Hf", "TANTALUM": "Ta", "TUNGSTEN": "W", "RHENIUM": "Re", "OSMIUM": "Os", "IRIDIUM": "Ir", "PLATINUM": "Pt", "GOLD": "Au", "MERCURY": "Hg",
+    "THALLIUM": "Tl", "LEAD": "Pb", "BISMUTH": "Bi", "POLONIUM": "Po", "RADON": "Rn", "FRANCIUM": "Fr", "RADIUM": "Ra", "ACTINIUM": "Ac", "THORIUM": "Th", "PROTACTINIUM": "Pa", "URANIUM": "U",
+    "NEPTUNIUM": "Np", "PLUTONIUM": "Pu", "AMERICIUM": "Am", "CURIUM": "Cm",
 }
 # Endings of compound classes in order of precedence, and the elements that they imply.
-ENDINGS = (
-    ("OXIDE", "O"), ("CARBONATE", "C O"), ("CARBIDE", "C"), ("CYANIDE", "C N"), ("SULFATE", "S O"), ("SULFITE", "S O"), ("SULFIDE", "S"), ("NITRATE", "N O"), ("NITRITE", "N O"), ("NITRIDE", "N"),
-    ("PHOSPHATE", "P O"), ("PHOSPHITE", "P O"), ("PHOSPHIDE", "P"), ("CHLORATE", "Cl O"), ("CHLORIDE", "Cl"), ("CHLORITE", "Cl O"), ("BROMATE", "Br O"), ("BROMIDE", "Br"), ("IODATE", "I O"), ("IODIDE", "I"),
-    ("FLUORIDE", "F"), ("SELENATE", "Se O"), ("SELENITE", "Se O"), ("SELENIDE", "Se"), ("TELLURATE", "Te O"), ("TELLURIDE", "Te"), ("ARSENATE", "As O"), ("ARSENIDE", "As"), ("ANTIMONATE", "Sb O"), ("ANTIMONIDE", "Sb"),
-    ("BORATE", "B O"), ("BORIDE", "B"), ("SILICATE", "Si O"), ("SILICIDE", "Si"), ("CHROMATE", "Cr O"), ("VANADATE", "V O"), ("MOLYBDATE", "Mo O"), ("TUNGSTATE", "W O"), ("TITANATE", "Ti O"), ("ALUMINATE", "Al O"),
-    ("STANNATE", "Sn O"), ("PLUMBATE", "Pb O"), ("FERRATE", "Fe O"), ("MANGANATE", "Mn O"), ("ZIRCONATE", "Zr O"), ("NIOBATE", "Nb O"), ("URANATE", "U O"),
-)
+ENDINGS = {
+    "OXIDE": {"O"}, "HYDROXIDE": {"O", "H"}, "PEROXIDE": {"O"}, "CARBONATE": {"C", "O"}, "CARBIDE": {"C"}, "CYANIDE": {"C", "N"}, "SULFATE": {"S", "O"}, "SULFITE": {"S", "O"}, "SULFIDE": {"S"},
+    "NITRATE": {"N", "O"}, "NITRITE": {"N", "O"}, "NITRIDE": {"N"}, "PHOSPHATE": {"P", "O"}, "PHOSPHITE": {"P", "O"}, "PHOSPHIDE": {"P"}, "CHLORATE": {"Cl", "O"}, "PERCHLORATE": {"Cl", "O"},
+    "CHLORIDE": {"Cl"}, "CHLORITE": {"Cl", "O"}, "BROMATE": {"Br", "O"}, "BROMIDE": {"Br"}, "IODATE": {"I", "O"}, "IODIDE": {"I"}, "FLUORIDE": {"F"}, "SELENATE": {"Se", "O"}, "SELENITE": {"Se", "O"},
+    "SELENIDE": {"Se"}, "TELLURATE": {"Te", "O"}, "TELLURIDE": {"Te"}, "ARSENATE": {"As", "O"}, "ARSENIDE": {"As"}, "ANTIMONATE": {"Sb", "O"}, "ANTIMONIDE": {"Sb"}, "BORATE": {"B", "O"}, "BORIDE": {"B"},
+    "SILICATE": {"Si", "O"}, "SILICIDE": {"Si"}, "CHROMATE": {"Cr", "O"}, "VANADATE": {"V", "O"}, "MOLYBDATE": {"Mo", "O"}, "TUNGSTATE": {"W", "O"}, "TITANATE": {"Ti", "O"}, "ALUMINATE": {"Al", "O"},
+    "STANNATE": {"Sn", "O"}, "PLUMBATE": {"Pb", "O"}, "FERRATE": {"Fe", "O"}, "MANGANATE": {"Mn", "O"}, "ZIRCONATE": {"Zr", "O"}, "NIOBATE": {"Nb", "O"}, "URANATE": {"U", "O"},
+}
+# Prefixes of halide complexes, elements of organic substances, and last digits that stand for letters.
 HALIDES = ("FLUORO", "CHLORO", "BROMO", "IODO")
 ORGANIC = ("C", "H", "N", "O", "S", "P", "F", "Cl", "Br", "I")
 TRAILING = {"0": "O", "8": "S", "1": "I", "5": "S"}
@@ -124,7 +128,7 @@ def implied(name: str | None) -> frozenset[str]:
     upper = str(name or "").upper()
     found = {symbol for long, symbol in NAMES.items() if re.search(rf"\b{long}", upper)}
     for word in re.findall("[A-Z]+", upper):
-        ending = next(((e, set(x.split())) for e, x in ENDINGS if word.endswith(e)), None)
+        ending = next(((e, x) for e, x in ENDINGS.items() if word.endswith(e)), None)
         if ending:
             complex_ = ending[0].endswith(("ATE", "ITE")) and word[: -len(ending[0])].endswith(HALIDES)
             found |= ending[1] - ({"O"} if complex_ else set())

@@ -7,14 +7,6 @@ from pyspark.sql import functions as F
 
 from tabularium.functions import chem
 
-SMALL = 10_000  # rows up to which a counted side is broadcast; larger ones are joined by shuffle
-
-
-def small(df: DataFrame) -> DataFrame:
-    """``df`` with a broadcast hint if a count shows that it is small."""
-    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
-
-
 def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     """The first row of each key: an aggregation, so partial results are combined before the shuffle."""
     rest = [c for c in df.columns if c not in (key, order)]
@@ -22,13 +14,58 @@ def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.groupBy(key).agg(first).select(key, *[F.col(f"_first.{c}").alias(c) for c in (order, *rest)])
 
 
-def nearest_string(df: DataFrame, column: str, names: DataFrame, name: str) -> DataFrame:
-    """Each text's nearest name (least edits, then least name). Distinct texts meet the counted names once."""
-    texts = df.select(column).distinct()
-    pairs = texts.crossJoin(small(names.select(name).distinct()))
-    best = F.min(F.struct(F.levenshtein(column, name).alias("d"), F.col(name).alias("n"))).alias("_b")
-    near = pairs.groupBy(column).agg(best).select(column, F.col("_b.n").alias("nearest"), F.col("_b.d").alias("distance"))
-    return df.join(near, column)
+def nearest_string(df: DataFrame, column: str, names: DataFrame, name: str, order: str | None = None) -> DataFrame:
+    """``df`` with its text's nearest name and their distance: least edits, then first by ``order`` (else by name).
+
+    Rows with a null text, and all rows where there are no names, get nulls. Distinct texts meet distinct names by
+    length: a name is only compared if its length is within the text's distance to the best name of the text's own
+    length class, a bound that the first join gives. Texts without such a name meet all lengths.
+    """
+    rank = F.min(F.col(order or name)).alias("_rank")
+    known = names.where(F.col(name).isNotNull()).groupBy(name).agg(rank).withColumn("_n", F.length(name))
+    texts = df.select(column).where(F.col(column).isNotNull()).distinct().withColumn("_t", F.length(column))
+    lengths = known.groupBy("_n").agg(F.lit(1).alias("_one"))
+    # The distinct lengths are few; a text's first class is the nearest length that any name has.
+    classes = F.broadcast(lengths.agg(F.sort_array(F.collect_list("_n")).alias("_all")))
+    texts = texts.join(classes).withColumn("_own", F.array_min(F.transform("_all", lambda n: F.struct(F.abs(n - F.col("_t")).alias("off"), n.alias("n"))))["n"])
+    best = F.min(F.struct(F.levenshtein(column, name).alias("d"), "_rank", F.col(name).alias("n")))
+    first = texts.join(known, F.col("_own") == F.col("_n"), "left").groupBy(column, "_t", "_all").agg(F.min(F.levenshtein(column, name)).alias("_most"))
+    tried = first.withColumn("_n", F.explode(F.filter("_all", lambda n: F.abs(n - F.col("_t")) <= F.col("_most"))))
+    near = tried.join(known, "_n").where(F.abs(F.col("_n") - F.col("_t")) <= F.col("_most")).groupBy(column).agg(best.alias("_b"))
+    return df.join(near.select(column, F.col("_b.n").alias("nearest"), F.col("_b.d").alias("distance")), column, "left")
+
+
+def substring_pairs(needles: DataFrame, item: str, needle: str, docs: DataFrame, doc: str, body: str) -> DataFrame:
+    """(doc, item) for each row of ``docs`` whose body contains a needle; empty and null needles are in nothing.
+
+    A needle is looked up by its anchor, the part of it that words are sure to show: its longest inner word, whole; of
+    two words the longer, as a word's end or beginning; a single word, anywhere in a word. Anchors are joined with the
+    distinct words of all bodies, those with (doc, word), and only the pairs that are left meet their bodies again.
+    """
+    words = F.split(needle, "[ \n]")
+    n, first, last = F.size(words), F.get(words, F.lit(0)), F.element_at(words, -1)
+    inner = F.array_max(F.transform(F.slice(words, F.lit(2), F.greatest(n - 2, F.lit(0))), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    kind = F.when(n > 2, "whole").when(n == 1, "part").when(F.length(first) >= F.length(last), "end").otherwise("begin")
+    text = F.when(n > 2, inner).when((n == 1) | (F.length(first) >= F.length(last)), first).otherwise(last)
+    asked = needles.where(F.length(needle) > 0).select(item, needle, kind.alias("_kind"), text.alias("_text"))
+    sizes: dict[str, list[int]] = {}
+    for r in asked.select("_kind", F.length("_text").alias("n")).distinct().collect():  # as many as needles have lengths
+        sizes.setdefault(r["_kind"], []).append(r["n"])
+    each = docs.select(doc, F.explode(F.array_distinct(F.split(body, "[ \n]"))).alias("_word"))
+    word, size = F.col("_word"), F.length("_word")
+    form = lambda kind, text: F.struct(F.lit(kind).alias("_kind"), text.alias("_text"))
+    fits = lambda kind: F.filter(F.array(*map(F.lit, sorted(sizes[kind]))), lambda k: k <= size)
+    forms = [F.array(form("whole", word))]
+    if "end" in sizes:
+        forms.append(F.transform(fits("end"), lambda k: form("end", F.substr(word, size - k + 1, k))))
+    if "begin" in sizes:
+        forms.append(F.transform(fits("begin"), lambda k: form("begin", F.substr(word, F.lit(1), k))))
+    if "part" in sizes:
+        forms.append(F.flatten(F.transform(fits("part"), lambda k: F.transform(F.sequence(F.lit(1), size - k + 1), lambda i: form("part", F.substr(word, i, k))))))
+    known = each.select("_word").distinct().select("_word", F.explode(F.array_distinct(F.concat(*forms))).alias("_f")).select("_word", "_f.*")
+    hits = known.join(asked.select(item, "_kind", "_text"), ["_kind", "_text"]).select("_word", item).distinct()
+    near = each.join(hits, "_word").select(doc, item).distinct()
+    return near.join(docs.select(doc, body), doc).join(asked.select(item, needle), item).where(F.col(body).contains(F.col(needle))).select(doc, item)
 
 
 def tolerance_match(left: DataFrame, right: DataFrame, key: str, err: Column, tolerance: float, left_id: str, order: list[Column], keep: list[str]) -> DataFrame:
@@ -65,7 +102,7 @@ def select_candidates(rows: DataFrame, candidates: DataFrame, hints: DataFrame,
     sort key per candidate, and one minimum per row. An empty name token or remark matches nothing.
     """
     hint = hints.select(F.col("formula").alias("_f"), F.col("tag").alias("_t"), F.col("spacegroup").alias("hinted"))
-    left = rows.join(small(hint), (F.col("formula") == F.col("_f")) & F.col("tag").eqNullSafe(F.col("_t")), "left").drop("_f", "_t")
+    left = rows.join(hint, (F.col("formula") == F.col("_f")) & F.col("tag").eqNullSafe(F.col("_t")), "left").drop("_f", "_t")
     noted = candidates.join(remarks.select("material_id", "remarks"), "material_id", "left")
     pairs = left.join(noted, "reduced_formula", "left")
     token = F.lower(F.get(F.split(F.col("name"), r"[\s(),]"), F.lit(0)))

@@ -17,7 +17,7 @@ MARGIN = 5.0
 
 def monotone_gate(df: DataFrame, key: str, order: str, t: str, s: str, g: str, t_slack: float = 0.01, g_slack: float = 1.0) -> DataFrame:
     """``df`` with ``accepted``: a row passes unless t falls behind the last accepted row's, or g rises above its g
-    while its s wasn't negative.
+    while its s wasn't negative. Rows with a null t, s or g are not accepted and leave the state as it was.
 
     The state skips rejected rows, so no lag can express it. Rows stream through in key order with a state of three
     numbers: a key of any size needs no more memory.
@@ -36,14 +36,13 @@ def monotone_gate(df: DataFrame, key: str, order: str, t: str, s: str, g: str, t
             for k, tv, sv, gv in zip(*cols, strict=True):
                 if last is not None and last[0] != k:
                     last = None
-                ok = last is None or not (tv < last[1] - t_slack or (last[2] >= 0 and gv > last[3] + g_slack))
+                ok = None not in (tv, sv, gv) and (last is None or not (tv < last[1] - t_slack or (last[2] >= 0 and gv > last[3] + g_slack)))
                 if ok:
                     last = (k, tv, sv, gv)
                 out.append(ok)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.bool_())], schema=arrow)
 
-    whole = df.where(F.col(t).isNotNull() & F.col(s).isNotNull() & F.col(g).isNotNull())
-    return whole.repartition(F.col(key)).sortWithinPartitions(key, order).mapInArrow(run, schema)
+    return df.repartition(F.col(key)).sortWithinPartitions(key, order).mapInArrow(run, schema)
 
 
 class Series:

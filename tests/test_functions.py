@@ -85,3 +85,9 @@ def test_maps(spark):
     assert tuple(rows[0])[:2] == (True, False) and rows[0]["err"] < 1e-9 and rows[0]["k"]
     assert tuple(rows[1])[:2] == (False, True) and abs(rows[1]["err"] - (0.5 - 0.9 / 1.9)) < 1e-9 and not rows[1]["close"]
     assert rows[2]["k"] and rows[2]["close"] and rows[2]["err"] is None
+
+
+def test_names_of_rare_elements():
+    for name, elements in (("RADIUM CHLORIDE", {"Ra", "Cl"}), ("XENON FLUORIDE", {"Xe", "F"}), ("TECHNETIUM OXIDE", {"Tc", "O"}), ("CALCIUM HYDROXIDE", {"Ca", "O"}), ("SODIUM PERCHLORATE", {"Na", "Cl", "O"})):
+        assert chem.implied(name) == elements
+    assert chem.repair("PaCl2", "RADIUM CHLORIDE") == "RaCl2"

@@ -140,3 +140,40 @@ def test_outcomes_and_files(spark, tmp_path):
     cifs = io.read_cifs(spark, str(tmp_path / "x.cif"))
     assert tuple(cifs.select("source", "spacegroup").first()) == ("db 1", "P 1")
     assert [r["text"] for r in io.cif_loops(cifs).orderBy("row").collect()] == ["1 2", "3 4"]
+
+
+def test_nearest_string_ties_nulls_and_bounds(spark):
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abc") for _ in range(n))
+    names = [(i, word(rng.randint(1, 9))) for i in range(40)]
+    texts = [(i, word(rng.randint(0, 12))) for i in range(60)] + [(99, None), (98, "")]
+    a, b = spark.createDataFrame(texts, "id long, bad string"), spark.createDataFrame(names, "at long, n string")
+
+    def edits(x, y):
+        row = list(range(len(y) + 1))
+        for i, c in enumerate(x):
+            row, old = [i + 1], row
+            for j, e in enumerate(y):
+                row.append(min(old[j + 1] + 1, row[j] + 1, old[j] + (c != e)))
+        return row[-1]
+
+    got = {r["id"]: (r["distance"], r["nearest"]) for r in match.nearest_string(a, "bad", b, "n", "at").collect()}
+    for i, t in texts:
+        best = (None, None) if t is None else min((edits(t, n), at, n) for at, n in names)[::2]
+        assert got[i] == best
+    assert match.nearest_string(a, "bad", b.where("false"), "n").where("nearest is null").count() == len(texts)
+
+
+def test_substring_pairs(spark):
+    needles = ["alpha", "alpha bet", "bet gam", "pha betting x", "a", "zed  x", " ", "bet\ngam", "", None, "nowhere", "a b c"]
+    bodies = ["alpha bet gamma", "zed alpha betting x", "", "a", "zed  x", None, "alphabet\ngamma", "bet bet bet gamma", "a b c d"]
+    a = spark.createDataFrame(list(enumerate(needles)), "item long, needle string")
+    b = spark.createDataFrame(list(enumerate(bodies)), "doc long, body string")
+    got = sorted((r["doc"], r["item"]) for r in match.substring_pairs(a, "item", "needle", b, "doc", "body").collect())
+    assert got == sorted((d, i) for d, t in enumerate(bodies) for i, n in enumerate(needles) if t is not None and n and n in t)
+
+
+def test_gate_returns_rows_with_nulls(spark):
+    rows = [("k", 0, None, 1.0, 1.0), ("k", 1, 300.0, 1.0, 5.0), ("k", 2, 310.0, None, 4.0), ("k", 3, 290.0, 1.0, 4.0), ("k", 4, 320.0, 1.0, None), ("k", 5, 330.0, 1.0, 4.0)]
+    df = spark.createDataFrame(rows, "k string, i long, t double, s double, g double")
+    assert [r["accepted"] for r in series.monotone_gate(df, "k", "i", "t", "s", "g").orderBy("i").collect()] == [False, True, False, False, False, True]
