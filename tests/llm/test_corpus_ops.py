@@ -196,3 +196,16 @@ def test_pipeline(spark, sf_dir):
     assert sizes[1] < sizes[0] and {r["doc_id"] for r in docs.collect()} <= ids
     assert docs.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 4096").count() == 0
     assert corpus_pipeline.run(spark, sf_dir).count() == sizes[-1]
+
+
+def test_pipeline_stages_messy(messy, empty, tmp_path, spark):
+    spark.createDataFrame([(1, 0), (5, 1), (5, None), (None, 1), (7, 0)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, messy, str(tmp_path))
+        assert sorted(out.columns) == sorted(messy.columns) and stage(spark, empty, str(tmp_path)).count() == 0, name
+        ids = sorted(r["doc_id"] or -1 for r in out.select("doc_id").collect())
+        assert name == "mixing" or set(ids) == {-1, 1, 2, 3, 4, 5, 7, 9, 10, 11} | ({8} if name != "near_duplicates" else set()), name
+    hidden = messy.select("doc_id", "text", "source").where("doc_id < 3").withColumn("text", F.when(F.col("doc_id") == 1, "token = 0123456789abcdef"))
+    assert sorted((r["doc_id"], r["text"]) for r in corpus_pipeline.mask_secrets(spark, hidden, "").collect()) == [(1, "[SECRET]"), (2, None)]
+    packed = corpus_pipeline.pack(spark, messy, "").collect()
+    assert len({r["doc_id"] for r in packed}) == 11 and sum(r["doc_id"] == 7 for r in packed) == 2 and not corpus_pipeline.pack(spark, empty, "").count()
