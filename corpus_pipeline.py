@@ -2,6 +2,9 @@
 
 Toxic documents go, one document of each group of near-duplicates stays, secrets are masked, sources are mixed to
 target shares, and what is left is packed into sequences. Part of subpackage llm: deleted and left out with it.
+
+Every stage takes documents (doc_id, text, source and whatever else) with nulls in any column, empty and very long
+texts, repeated rows and no rows at all; all but the last return the same columns, extra ones as they were.
 """
 
 from __future__ import annotations
@@ -15,23 +18,31 @@ from tabularium.llm.queries import tokenizer_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the threshold; null text is empty, equal texts go or stay together."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return docs.where(toxicity.score_column(model) < toxicity.THRESHOLD)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each class; texts without words and null ids stay, rows of one id leave one."""
     return neardup.keep_one(docs, words=5, threshold=0.8)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    """Secrets masked in the text, and n_chars (where there is one) counted anew; null text stays null."""
+    masked = secrets.redact(docs)
+    if "n_chars" in docs.columns:
+        masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return masked.select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated by their source's rate and shuffled; a document's copies are equal rows."""
     return mixing.mix(docs, tell=False).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per piece of every row, copies included, with its place in a sequence; null text is the end id alone."""
     return packing.pack(docs, tokenizer_path(), 4096)
 
 
