@@ -35,20 +35,20 @@ _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
 def _matches(text: Column, pattern: str, kind: int, keep=None) -> Column:
-    """Spans of a pattern's leftmost non-overlapping matches that ``keep`` accepts."""
+    """Spans of a pattern's leftmost non-overlapping matches that ``keep`` accepts.
+
+    Matches and the pieces between them are zipped first: what a lambda names from outside is made again at each step.
+    """
     hits, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+    pairs = F.zip_with(gaps, hits, lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.length(hit).alias("n"), (keep(hit) if keep else F.lit(True)).alias("good")))
     begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("found"))
 
-    def add(acc: Column, i: Column) -> Column:
-        hit = F.get(hits, i)
-        start = acc["at"] + F.length(F.get(gaps, i))
-        end = start + F.length(hit)
-        span = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end")))
-        more = F.concat(acc["found"], span)
-        return F.struct(end.alias("at"), (F.when(keep(hit), more).otherwise(acc["found"]) if keep else more).alias("found"))
+    def add(acc: Column, x: Column) -> Column:
+        start = acc["at"] + x["gap"]
+        span = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + x["n"]).alias("end")))
+        return F.struct((start + F.coalesce(x["n"], F.lit(0))).alias("at"), F.when(x["n"].isNotNull() & x["good"], F.concat(acc["found"], span)).otherwise(acc["found"]).alias("found"))
 
-    walked = F.aggregate(F.sequence(F.lit(0), F.size(hits) - 1), begin, add, lambda acc: acc["found"])
-    return F.when(text.rlike(pattern), walked).otherwise(F.array().cast(_SPAN))
+    return F.when(text.rlike(pattern), F.aggregate(pairs, begin, add, lambda acc: acc["found"])).otherwise(F.array().cast(_SPAN))
 
 
 def pair_counts(samples: DataFrame) -> dict[tuple[int, int, int], int]:
@@ -96,10 +96,9 @@ def spans(text: Column, ratios: list[float]) -> tuple[Column, Column]:
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in ratios)), ",").cast("array<double>")
 
     def strange(run: Column) -> Column:
-        char = lambda i: F.call_function("locate", F.substr(run, i, F.lit(1)), F.lit(ALPHABET))
-        before = lambda i: F.when(i == 1, F.lit(0)).otherwise(char(i - 1))
-        llr = F.aggregate(F.sequence(F.lit(1), F.length(run)), F.lit(0.0), lambda acc, i: acc + F.element_at(table, before(i) * WIDE + char(i) + 1))
-        return llr > PER_CHAR * F.greatest(F.length(run), F.lit(FULL))
+        codes = F.transform(F.split(run, ""), lambda c: F.call_function("locate", c, F.lit(ALPHABET)))
+        pairs = F.zip_with(F.array_prepend(codes, F.lit(0)), codes, lambda a, b: F.when(b.isNull(), 0.0).otherwise(F.element_at(table, a * WIDE + b + 1)))
+        return F.aggregate(pairs, F.lit(0.0), lambda acc, x: acc + x) > PER_CHAR * F.greatest(F.length(run), F.lit(FULL))
 
     return base, _matches(text, RUN, 3, strange)
 
