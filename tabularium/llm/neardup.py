@@ -453,7 +453,7 @@ def components(links: DataFrame) -> DataFrame:
         links = materialise(star.select("v", "r").unionByName(rest).distinct(), "links")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, recall: float = 0.999, leaf: int = 48) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, recall: float = 0.99, leaf: int = 48) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text)."""
     docs = texts(docs, F.col("doc_id").cast("long").alias("doc_id"))
     signed = materialise(_signed(docs, words), "signed")
