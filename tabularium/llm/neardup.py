@@ -249,6 +249,7 @@ def _candidates(signed: DataFrame, reps: DataFrame, threshold: float, trees: int
     agree = threshold + (1 - threshold) / 16
     most = math.ceil(COORDS * (1 - agree) + 4 * math.sqrt(COORDS * agree * (1 - agree)))
     rows = signed.join(reps.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi").select(F.col("doc_id").alias("doc"), "sig")
+    rows = materialise(rows, "rows")  # read three times
     found, done, dense = [], 0, None
     expected = reps.count() * trees
     for depth in DEPTHS:
@@ -270,7 +271,7 @@ def _candidates(signed: DataFrame, reps: DataFrame, threshold: float, trees: int
         if deep.isEmpty():
             break
         sig = signed.where("sig is not null").select(F.col("doc_id").alias("doc"), "sig")
-        rows, done, expected = deep.join(sig, "doc"), depth, deep.count()
+        rows, done, expected = materialise(deep.join(sig, "doc"), f"rows{depth}"), depth, deep.count()
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
@@ -278,19 +279,23 @@ def _candidates(signed: DataFrame, reps: DataFrame, threshold: float, trees: int
 
 
 def _confirmed(docs: DataFrame, pairs: DataFrame, words: int, threshold: float, mean: float) -> DataFrame:
-    """Links (v, r), r < v, that span every component of confirmed pairs within a cell; ``mean`` shingles a set."""
+    """Links (v, r), r < v, that span every component of confirmed pairs within a cell; ``mean`` shingles a set.
+
+    ``docs`` has texts, or x, the shingles themselves.
+    """
     pairs = materialise(pairs, "pairs")
     cells = max(1, pairs.count() // max(1, min(500, int(CELL / (16 * max(mean, 1))))))
     pairs = pairs.withColumn("cell", F.pmod("node", F.lit(cells)))
     of = materialise(pairs.select(F.col("cell").alias("at"), F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "of")
     # By shuffle at every size: the list of ids grows with the input.
-    sets = docs.where("doc_id is not null").join(of.hint("merge"), "doc_id").select("at", "doc_id", "text")
+    sets = docs.where("doc_id is not null").join(of.hint("merge"), "doc_id").select("at", "doc_id", "x" if "x" in docs.columns else "text")
     per_cent = round(100 * threshold)
 
     def confirm(pair: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         have: dict[int, list[np.ndarray]] = {}
-        for doc, text in zip(held["doc_id"].tolist(), held["text"].tolist(), strict=True):
-            have.setdefault(doc, []).append(shingle_set(text, words))
+        sets = held["x"] if "x" in held else (shingle_set(t, words).view(np.int64) for t in held["text"])
+        for doc, s in zip(held["doc_id"].tolist(), sets, strict=True):
+            have.setdefault(doc, []).append(s)
         top: dict[int, int] = {}
 
         def root(v: int) -> int:
@@ -372,7 +377,7 @@ def _dense_sets(docs: DataFrame, dense: DataFrame, roots: DataFrame, words: int)
 
 def _dense_links(docs: DataFrame, dense: DataFrame, roots: DataFrame, words: int, threshold: float) -> DataFrame:
     """Links (v, r), r < v, that join the components of each dense group's similar members; exact."""
-    sets = _dense_sets(docs, dense, roots, words)
+    whole = sets = _dense_sets(docs, dense, roots, words)
     per_cent = round(100 * threshold)
     size = sets.agg(F.sum("n").alias("n"), F.count("*").alias("k")).first()
     if not size["k"]:
@@ -393,7 +398,7 @@ def _dense_links(docs: DataFrame, dense: DataFrame, roots: DataFrame, words: int
     side = lambda c: info.select(F.col("rid").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("doc_id", "n", "k")])
     pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(f"{100 + per_cent} * (m + least(k_a, k_b)) >= {per_cent} * (n_a + n_b)")
     pairs = pairs.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b"), F.lit(0).alias("off"), F.xxhash64("doc_id_a").alias("node")).where("a <> b")
-    links = _confirmed(docs, pairs, words, threshold, size["n"] / size["k"])
+    links = _confirmed(whole.select("doc_id", "x"), pairs, words, threshold, size["n"] / size["k"])
 
     # Pairs that share none overlap in min(k1, k2) <= (k1 + k2) / 2 shingles at most, so s1 + s2 >= 0 is needed.
     best = info.groupBy("group").agg(F.max("s").alias("best"))
