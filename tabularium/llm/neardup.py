@@ -63,13 +63,14 @@ def shingle_set(text: str, words: int) -> np.ndarray:
     n = len(tokens)
     if not n:
         return np.empty(0, np.uint64)
-    each = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, n)
+    each = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, tokens)), np.uint64)
     width = min(words, n)
     m = n - width + 1
     acc = np.full(m, width, np.uint64)
     for j in range(width):
         acc = mix64(acc * _GOLD + each[j : j + m])
-    return np.unique(acc)
+    acc.sort()
+    return acc[np.append(True, acc[1:] != acc[:-1])]
 
 
 def _multipliers() -> tuple[np.ndarray, np.ndarray]:
@@ -79,16 +80,15 @@ def _multipliers() -> tuple[np.ndarray, np.ndarray]:
 
 
 def signature(members: np.ndarray, mul: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The minimum of 128 hash functions over the set (uint32)."""
+    """The minimum of 128 hash functions over the set; the last mixing step is a bijection and done on the minima alone."""
     x = (members ^ (members >> np.uint64(32))).astype(np.uint32)
-    out = np.full((COORDS, 1), 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(x), 4096):
-        h = x[None, at : at + 4096] * mul[0]
+    out = np.full(COORDS, 0xFFFFFFFF, np.uint32)
+    for at in range(0, len(x), 1024):
+        h = x[None, at : at + 1024] * mul[0]
         h ^= h >> np.uint32(15)
         h *= mul[1]
-        h ^= h >> np.uint32(13)
-        out = np.minimum(out, h.min(axis=1, keepdims=True))
-    return out[:, 0]
+        np.minimum(out, h.min(axis=1), out=out)
+    return out ^ (out >> np.uint32(13))
 
 
 def _signed(docs: DataFrame, words: int) -> DataFrame:
