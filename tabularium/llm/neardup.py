@@ -92,6 +92,8 @@ def signature(members: np.ndarray, mul: tuple[np.ndarray, np.ndarray]) -> np.nda
 
 
 def _signed(docs: DataFrame, words: int) -> DataFrame:
+    """Set sizes, digests and signatures; of a minimum its low 16 bits, which differ where minima do but once in 65,536."""
+
     def make():
         mul = _multipliers()
 
@@ -101,7 +103,7 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
                 s = shingle_set(text, words)
                 size.append(len(s))
                 digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                sig.append(signature(s, mul).tobytes() if len(s) else None)
+                sig.append(signature(s, mul).astype(np.uint16).tobytes() if len(s) else None)
             return {"doc_id": ids, "n_shingles": size, "digest": digest, "sig": sig}
 
         return step
@@ -126,7 +128,7 @@ def _branch(paths: np.ndarray, rows: np.ndarray, sig: np.ndarray, levels: int, s
 
 
 def _sketches(sig: np.ndarray) -> np.ndarray:
-    low = (sig & np.uint32(15)).astype(np.uint8)
+    low = (sig & np.uint16(15)).astype(np.uint8)
     return low[:, 0::2] | (low[:, 1::2] << np.uint8(4))
 
 
@@ -139,7 +141,7 @@ def _nodes(rows: DataFrame, levels: int, trees: int, share: float, sketches: boo
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
                 doc = part.column(0).to_numpy(zero_copy_only=False)
-                sig = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint32).reshape(-1, COORDS)
+                sig = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint16).reshape(-1, COORDS)
                 if deeper:
                     paths, at_row = part.column(2).to_numpy(zero_copy_only=False).view(np.uint64), np.arange(len(doc))
                 else:
