@@ -283,14 +283,13 @@ def _candidates(signed: DataFrame, reps: DataFrame, threshold: float, trees: int
 def _confirmed(docs: DataFrame, pairs: DataFrame, words: int, threshold: float, mean: float) -> DataFrame:
     """Links (v, r), r < v, that span every component of confirmed pairs within a cell; ``mean`` shingles a set.
 
-    ``docs`` has texts, or x, the shingles themselves.
+    ``docs`` has texts, or x, the shingles themselves; ``pairs`` is a written table.
     """
-    pairs = materialise(pairs, "pairs")
     cells = max(1, pairs.count() // max(1, min(500, int(CELL / (16 * max(mean, 1))))))
     pairs = pairs.withColumn("cell", F.pmod("node", F.lit(cells)))
     of = materialise(pairs.select(F.col("cell").alias("at"), F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "of")
     # By shuffle at every size: the list of ids grows with the input.
-    sets = docs.where("doc_id is not null").join(of.hint("merge"), "doc_id").select("at", "doc_id", "x" if "x" in docs.columns else "text")
+    sets = docs.join(of.hint("merge"), "doc_id").select("at", "doc_id", "x" if "x" in docs.columns else "text")
     per_cent = round(100 * threshold)
 
     def confirm(pair: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
@@ -358,7 +357,7 @@ def _dense_sets(docs: DataFrame, dense: DataFrame, roots: DataFrame, words: int)
     members = materialise(ids.select(F.coalesce("group", "v").alias("group"), F.coalesce("root", "v").alias("root"), F.col("v").alias("doc_id")), "members")
     mixed = members.groupBy("group").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("group", F.lit(True).alias("mixed"))
     members = lookup(members, materialise(mixed, "mixed"), "group", members.count()).where("mixed")
-    held = docs.where("doc_id is not null").join(members.hint("merge"), "doc_id").select("group", "root", "doc_id", "text")
+    held = docs.join(members.hint("merge"), "doc_id").select("group", "root", "doc_id", "text")
 
     def make():
         part, seen = TaskContext.get().partitionId() << 40, [0]
@@ -400,7 +399,7 @@ def _dense_links(docs: DataFrame, dense: DataFrame, roots: DataFrame, words: int
     side = lambda c: info.select(F.col("rid").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("doc_id", "n", "k")])
     pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(f"{100 + per_cent} * (m + least(k_a, k_b)) >= {per_cent} * (n_a + n_b)")
     pairs = pairs.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b"), F.lit(0).alias("off"), F.xxhash64("doc_id_a").alias("node")).where("a <> b")
-    links = _confirmed(whole.select("doc_id", "x"), pairs, words, threshold, size["n"] / size["k"])
+    links = _confirmed(whole.select("doc_id", "x"), materialise(pairs, "pairs"), words, threshold, size["n"] / size["k"])
 
     # Pairs that share none overlap in min(k1, k2) <= (k1 + k2) / 2 shingles at most, so s1 + s2 >= 0 is needed.
     best = info.groupBy("group").agg(F.max("s").alias("best"))
@@ -470,6 +469,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, rec
     same = whole.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi")
     twice = same.select("doc_id").join(whole.select("doc_id", "digest"), "doc_id").join(reps.select("digest", "rep"), "digest").where("rep <> doc_id")
     pairs, dense = _candidates(whole, reps, threshold, trees_for(recall, threshold), leaf)
+    # Whole texts are moved once: to the ids that are in a pair or a dense group, which come from two written tables.
+    pairs = materialise(pairs, "pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    ids = materialise((ids if dense is None else ids.unionByName(dense.select(F.col("doc").alias("doc_id")))).distinct(), "ids")
+    docs = materialise(docs.where("doc_id is not null").join(ids.hint("merge"), "doc_id", "left_semi"), "texts")
     links = _confirmed(docs, pairs, words, threshold, whole.agg(F.avg("n_shingles").alias("n")).first()["n"] or 0)
     links = links.unionByName(twice.select(F.col("doc_id").alias("v"), F.col("rep").alias("r")))
     roots = components(links)
