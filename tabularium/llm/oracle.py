@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import quality
+
 BINARY_SEARCH = """WITH given AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0),
 wide AS (SELECT len(embedding) AS n FROM given GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
 codes AS (SELECT vec_id AS id, list_transform(embedding, lambda x: coalesce(x > 0, false)) AS bits FROM given WHERE len(embedding) = (SELECT n FROM wide)),
@@ -40,3 +42,25 @@ SELECT page_id, octet_length(encode(html)) AS payload_bytes, array_to_string(fla
 substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(hex, CAST(5 * j + 1 AS BIGINT), 5) AS BIGINT) >> b) & 31 AS BIGINT), 1)))), '') AS payload_digest,
 CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to, url_key, stamp,
 row_number() OVER (ORDER BY url_key, stamp, page_id NULLS FIRST) - 1 AS history_rank FROM keyed"""
+
+_QUOTED = {k: v.replace("'", "''") for k, v in vars(quality).items() if k in ("SEPARATOR", "MENU", "SENTENCE", "BOILERPLATE", "CAPITAL", "LOUD")}
+
+# The patterns are the operator's own: both sides read them as RE2.
+QUALITY = rf"""WITH given AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+words AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM given),
+windows AS (SELECT r, i, array_to_string(w[i:i + 7], ' ') AS k FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM words)),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS c FROM windows) WHERE c > 1),
+covered AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS j FROM twice) GROUP BY r),
+split AS (SELECT r, unnest(string_split(t, chr(10))) AS l, generate_subscripts(string_split(t, chr(10)), 1) AS p FROM given),
+lined AS (SELECT *, list_filter(string_split_regex(l, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM split),
+measured AS (SELECT *, row_number() OVER (PARTITION BY r, l ORDER BY p) > 1 AS again, len(w) AS n_words, len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS stutters,
+length(regexp_replace(l, '[\x20\x09-\x0D]', '', 'g')) AS chars, length(regexp_replace(l, '[^#*$%&|<>]', '', 'g')) AS marks, len(regexp_extract_all(l, '{_QUOTED["SEPARATOR"]}')) AS between,
+len(regexp_extract_all(l, '{_QUOTED["CAPITAL"]}')) AS capitals, len(regexp_extract_all(l, '{_QUOTED["LOUD"]}')) AS loud FROM lined),
+ruled AS (SELECT r, chars, again, CASE WHEN again THEN 'repeated' WHEN between >= 3 AND 5 * between >= n_words OR regexp_matches(l, '{_QUOTED["MENU"]}') THEN 'navigation'
+WHEN marks >= 3 AND 2 * marks > n_words THEN 'symbols' WHEN n_words >= 8 AND 3 * stutters > n_words THEN 'stuttering' WHEN n_words >= 5 AND (10 * capitals > 4 * chars OR 4 * loud >= n_words) THEN 'shouting'
+WHEN n_words <= 30 AND regexp_matches(l, '{_QUOTED["BOILERPLATE"]}') THEN 'boilerplate' WHEN NOT regexp_matches(l, '{_QUOTED["SENTENCE"]}') THEN 'punctuation' END AS rule FROM measured WHERE n_words > 0),
+told AS (SELECT r, count(*) FILTER (again) AS n_dup_lines, coalesce(sum(chars) FILTER (rule IS NOT NULL), 0) AS lost_chars, {", ".join(f"count(*) FILTER (rule = '{x}') AS lines_{x}" for x in quality.RULES)} FROM ruled GROUP BY r),
+counted AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, CAST(coalesce(lost_chars, 0) AS BIGINT) AS lost_chars, {", ".join(f"coalesce(lines_{x}, 0) AS lines_{x}" for x in quality.RULES)}
+FROM words LEFT JOIN told USING (r) LEFT JOIN covered c USING (r))
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, n_words >= 20 AND 100 * n_repeat_words <= 30 * n_words AND 100 * lost_chars <= 60 * word_chars AS kept FROM counted"""

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import hamming, lm_nce, media, mixing, neardup, oracle, packing, pii, secrets, toxicity, warc
+from . import hamming, lm_nce, media, mixing, neardup, oracle, packing, periodic, pii, quality, secrets, toxicity, warc, whitening
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -62,8 +63,26 @@ def op10_binary_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.top_k(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(periodic.rewritten(_table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, F.lit("\n")).otherwise(F.lit("")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "start", "length", "period", F.floor(1000 * F.col("length") / F.col("period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.clean(_table(spark, sf_dir, "documents"), tell=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_media_columns, op4_toxicity, op5_near_duplicates, op6_packing, op7_pii, op8_mixing, op9_warc, op10_binary_search)
+    f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_media_columns, op4_toxicity, op5_near_duplicates, op6_packing, op7_pii, op8_mixing, op9_warc, op10_binary_search, op11_periodic_runs, op12_whitening, op13_quality_rules)
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_near_duplicates": oracle.NEAR_DUPLICATES, "op8_mixing": oracle.MIXING, "op9_warc": oracle.CAPTURES, "op10_binary_search": oracle.BINARY_SEARCH}
+ORACLE_SQL: dict[str, str] = {"op5_near_duplicates": oracle.NEAR_DUPLICATES, "op8_mixing": oracle.MIXING, "op9_warc": oracle.CAPTURES, "op10_binary_search": oracle.BINARY_SEARCH, "op13_quality_rules": oracle.QUALITY}
