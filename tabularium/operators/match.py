@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabularium.functions import chem
 
+
 def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     """The first row of each key: an aggregation, so partial results are combined before the shuffle."""
     rest = [c for c in df.columns if c not in (key, order)]

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from tabularium.functions import text as X
 
-from .series import monotone_gate
+from .series import consistency_flags, corrections, monotone_gate
 
 COLUMNS = ("t", "cp", "s", "gef", "h", "h_h298", "g", "dhf", "dgf", "logkf")
 # Right edges of a page's ten columns, as shares of its width.
 EDGES = (0.08, 0.17, 0.27, 0.38, 0.48, 0.58, 0.69, 0.80, 0.90)
+# A table's header line, with the first letter after its first word; and the heading that ends a table.
+HEADER = r"(?i)^[^A-Za-z]{0,3}Phase\b[^A-Za-z]{0,10}([A-Za-z])"
+ENDING = "REFERENCES"
 
 
 def bin_words(words: DataFrame) -> DataFrame:
@@ -39,12 +42,26 @@ def _window(lines: DataFrame) -> Column:
     return F.concat_ws(" ", *[F.lag("text", k).over(w) for k in (3, 2, 1)])
 
 
+def is_header(text: Column) -> Column:
+    """Does a line head a table of data? The one of the references has an H there."""
+    return ~F.upper(F.regexp_extract(text, HEADER, 1)).isin("", "H")
+
+
+def _ends(text: Column, most: int = 2) -> Column:
+    """Is the heading that ends a table in a line, but for two edits? Near texts show a third of it whole, whatever
+    marks stand between its letters: only such lines are searched."""
+    cuts = [len(ENDING) * i // (most + 1) for i in range(most + 2)]
+    pieces = (r"[^A-Za-z0-9\[\]]*".join(ENDING[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True))
+    found = X.fuzzy_find(F.lit(ENDING), X.match_key(text), most) != -1
+    return F.when(text.rlike(f"(?i){'|'.join(pieces)}"), found).otherwise(F.lit(False))
+
+
 def header_cut(lines: DataFrame, entries: DataFrame) -> DataFrame:
     """Lines (entry_id, line_no, text) from the first header that names the entry (entry_id, formula, name).
 
     Tiers are tried in order: a name in the three lines before a header, then a formula; nothing found cuts nothing.
     """
-    header = F.col("text").rlike(r"(?i)^[^A-Za-z]{0,3}Phase\b[^A-Za-z]{0,10}[A-Za-z]") & (F.upper(F.regexp_extract("text", r"(?i)^[^A-Za-z]{0,3}Phase\b[^A-Za-z]{0,10}([A-Za-z])", 1)) != "H")
+    header = is_header(F.col("text"))
     rows = clean_lines(lines).withColumn("_before", _window(lines)).join(entries, "entry_id", "left")
     hay = X.match_key(F.col("_before"))
     has = lambda c: F.coalesce((F.length(X.match_key(F.col(c))) > 0) & hay.contains(X.match_key(F.col(c))), F.lit(False))
@@ -55,28 +72,27 @@ def header_cut(lines: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def segment(lines: DataFrame) -> DataFrame:
-    """Lines to (entry_id, line_no, phase_seq, phase, rest), in closed form and without the unfinished last phase.
+    """Lines to (entry_id, line_no, phase_seq, phase, opens, rest), in closed form and without the unfinished last phase.
 
     A line opens a phase if its first token has a letter, is no unit label and no references heading, and a header
     is near or a phase is open; the first references heading that opens none ends the table.
     """
     w = W.partitionBy("entry_id").orderBy("line_no")
     first = F.get(F.filter(F.split("text", r"\s+"), lambda t: t != ""), F.lit(0))
-    refs = lambda c: X.fuzzy_find(F.lit("REFERENCES"), X.match_key(c), 2) != -1
     rows = lines.withColumns({"_raw": first, "_token": X.phase_token(first), "_near": _window(lines).contains("Phase")})
-    rows = rows.withColumn("_ref", refs(F.col("_token")))
+    rows = rows.withColumn("_ref", F.coalesce(_ends(F.col("_token")), F.lit(False)))
     base = F.col("_token").rlike(r"(?U)\p{L}") & ~F.col("_token").rlike(X.TEMP_LABEL) & ~F.col("_ref")
     rows = rows.withColumn("_base", F.coalesce(base, F.lit(False)))
     opened = F.min(F.when(F.col("_base") & F.col("_near"), F.col("line_no"))).over(W.partitionBy("entry_id"))
     rows = rows.withColumn("_open", opened).withColumn("_starts", F.col("_base") & F.coalesce(F.col("line_no") >= F.col("_open"), F.lit(False)))
-    ends = F.col("_ref") | (~F.col("_starts") & refs(F.col("text")))
+    ends = F.col("_ref") | (~F.col("_starts") & _ends(F.col("text")))
     rows = rows.withColumn("_end", F.min(F.when(ends, F.col("line_no"))).over(W.partitionBy("entry_id")))
     rows = rows.where(F.col("_open").isNotNull() & (F.col("_end").isNull() | (F.col("line_no") < F.col("_end"))))
     rows = rows.withColumn("phase_seq", F.sum(F.col("_starts").cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0))).where("phase_seq > 0")
     rows = rows.withColumn("_last", F.max("phase_seq").over(W.partitionBy("entry_id"))).where(F.col("_end").isNotNull() | (F.col("phase_seq") < F.col("_last")))
     phase = F.max(F.when(F.col("_starts"), F.col("_token"))).over(W.partitionBy("entry_id", "phase_seq"))
     rest = F.when(F.col("_starts"), X.strip_first(F.col("text"), F.col("_raw"))).otherwise(F.col("text"))
-    return rows.select("entry_id", "line_no", "phase_seq", phase.alias("phase"), rest.alias("rest"))
+    return rows.select("entry_id", "line_no", "phase_seq", phase.alias("phase"), F.col("_starts").alias("opens"), rest.alias("rest"))
 
 
 def combination_table(spark: SparkSession, least: int = 9, most: int = 15) -> DataFrame:
@@ -107,22 +123,43 @@ def recover_columns(df: DataFrame, found: str = "numbers", strict: float = 2.0,
     return rows.withColumns({"fit": F.coalesce("_fit", "_front"), "used_fallback": F.col("_fit").isNull() & F.col("_front").isNotNull()}).drop("_n", "_size", "tests", "picks", "_fit", "_front")
 
 
-def phase_rows(lines: DataFrame, entries: DataFrame) -> DataFrame:
-    """Page lines of entries to accepted table rows: entry_id, phase_seq, phase, row_idx and ten numbers."""
+def table_lines(lines: DataFrame, entries: DataFrame) -> DataFrame:
+    """Page lines of entries to the table rows that they may be: entry_id, phase_seq, phase, last_phase, row_idx,
+    used_fallback, ten numbers and accepted.
+
+    A phase that ended stays though none of its lines be a row: the line that opened it is kept, with null numbers and not
+    accepted. ``last_phase`` is true in the last phase of an entry that ended, whether it has rows or not.
+    """
     rows = segment(header_cut(lines, entries))
-    word = F.get(F.filter(F.split("rest", r"\s+"), lambda t: t != ""), F.lit(0))
+    rows = rows.withColumn("last_phase", F.col("phase_seq") == F.max("phase_seq").over(W.partitionBy("entry_id")))
+    words = F.filter(F.split("rest", r"\s+"), lambda t: t != "")
+    word = F.get(words, F.lit(0))
     shout = (F.upper(word) == word) & word.rlike(r"\p{Lu}") & ~word.rlike(X.TEMP_LABEL)
-    rows = rows.where(F.size(F.filter(F.split("rest", r"\s+"), lambda t: t != "")) > 3)
-    rows = rows.withColumn("rest", F.when(shout, X.strip_first(F.col("rest"), word)).otherwise(F.col("rest")))
-    rows = recover_columns(rows.withColumn("numbers", X.numbers(X.row_repair(F.col("rest"))))).where("fit is not null")
+    rest = F.when(F.size(words) > 3, F.when(shout, X.strip_first(F.col("rest"), word)).otherwise(F.col("rest")))
+    rows = recover_columns(rows.withColumn("numbers", X.numbers(X.row_repair(rest)))).where("fit is not null or opens")
     named = [(F.abs(F.get("fit", F.lit(i))) if i == 0 else F.get("fit", F.lit(i))).alias(c) for i, c in enumerate(COLUMNS)]
-    rows = rows.select("entry_id", "phase_seq", "phase", F.col("line_no").alias("row_idx"), "used_fallback", *named)
-    return monotone_gate(rows, "entry_id", "row_idx", "t", "s", "g").where("accepted").drop("accepted")
+    rows = rows.select("entry_id", "phase_seq", "phase", "last_phase", F.col("line_no").alias("row_idx"), "used_fallback", *named)
+    return monotone_gate(rows, "entry_id", "row_idx", "t", "s", "g")
+
+
+def phase_rows(lines: DataFrame, entries: DataFrame) -> DataFrame:
+    """Page lines of entries to accepted table rows: entry_id, phase_seq, phase, row_idx and ten numbers."""
+    return table_lines(lines, entries).where("accepted").drop("accepted", "last_phase")
+
+
+def checked_rows(rows: DataFrame) -> DataFrame:
+    """``table_lines`` with cp and s as corrected (cp_read and s_read as they were), reasons of the corrections, and
+    cp_wrong and s_sign_wrong: what still doesn't agree. Only the last phase that ended has its last row tested."""
+    keys = ["entry_id", "phase_seq", "accepted"]
+    rows = corrections(rows, keys, "row_idx", F.col("last_phase")).withColumnsRenamed({"cp": "cp_read", "s": "s_read"})
+    return consistency_flags(rows.withColumnsRenamed({"cp_fixed": "cp", "s_fixed": "s"}), keys, "row_idx", F.col("last_phase"))
 
 
 def material_documents(rows: DataFrame) -> DataFrame:
-    """(entry_id, phases): a map from phase to its columns; of repeated phase names the last block stays."""
-    each = rows.groupBy("entry_id", "phase_seq", "phase").agg(F.array_sort(F.collect_list(F.struct("row_idx", *COLUMNS))).alias("r"))
+    """(entry_id, phases): a map from phase to its columns; of repeated phase names the last block stays. Rows that are
+    not ``accepted``, if there is such a column, only tell that their phase is there."""
+    kept = F.col("accepted") if "accepted" in rows.columns else F.lit(True)
+    each = rows.groupBy("entry_id", "phase_seq", "phase").agg(F.array_sort(F.collect_list(F.when(kept, F.struct("row_idx", *COLUMNS)))).alias("r"))
     column = lambda c: F.transform("r", lambda x: x[c]).alias(c)
     block = F.struct(*map(column, COLUMNS))
     last = each.groupBy("entry_id", "phase").agg(F.max_by(block, "phase_seq").alias("block"))

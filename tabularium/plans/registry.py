@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tabularium.functions import chem
 from tabularium.functions import text as X
-from tabularium.operators import match, outcomes, pages, series, toc
+from tabularium.operators import extraction, match, outcomes, pages, series, toc
+from tabularium.sources import store
 from tabularium.sources.io import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -265,7 +266,7 @@ e{tag} AS (SELECT *, CASE WHEN ha BETWEEN -20 AND 900 THEN ha END AS xa, CASE WH
 CASE WHEN sa BETWEEN -20 AND 900 THEN sa END AS ya, CASE WHEN sb BETWEEN -20 AND 900 THEN sb END AS yb, CASE WHEN sc BETWEEN -20 AND 900 THEN sc END AS yc FROM raw{tag}),
 f{tag} AS (SELECT *, coalesce(i > 0 AND i < n - 1 AND xa IS NOT NULL AND xb IS NOT NULL AND ya IS NOT NULL AND yb IS NOT NULL AND NOT (cp BETWEEN least(xa, xb) - 5 AND greatest(xa, xb) + 5) AND NOT (cp BETWEEN least(ya, yb) - 5 AND greatest(ya, yb) + 5), false) AS inside,
 coalesce(i = n - 1 AND n > 2 AND xa IS NOT NULL AND xc IS NOT NULL AND ya IS NOT NULL AND yc IS NOT NULL AND NOT (cp BETWEEN least(xa, xc) - 5 AND greatest(xa, xc) + 5) AND NOT (cp BETWEEN least(ya, yc) - 5 AND greatest(ya, yc) + 5)
-AND (i < 2 OR abs((cp - c1) / (t - t1) - (c1 - c2) / (t1 - t2)) > greatest(0.02, 0.4 * abs((c1 - c2) / (t1 - t2)))), false) AS fin,
+AND (i < 2 OR t1 <= t2 OR t <= t1 OR abs((cp - c1) / (t - t1) - (c1 - c2) / (t1 - t2)) > greatest(0.02, 0.4 * abs((c1 - c2) / (t1 - t2)))), false) AS fin,
 coalesce(s < 0 AND pos >= n - 1 AND pos > 0 AND (i < 2 OR abs(-s - (s1 + (s1 - s2) / (t1 - t2) * (t - t1))) < abs(s - (s1 + (s1 - s2) / (t1 - t2) * (t - t1)))), false) AS flip FROM e{tag})"""
 
 
@@ -543,6 +544,71 @@ def phase_table_rows(spark, d):
     return rows.select("entry_id", "phase_seq", "phase", "t", "cp", F.round("g", 3).alias("g"))
 
 
+# A book of one page per order, as its readers find it: the guessed page is off by up to three, some pages open with another
+# substance's table, some headings can't be read, some tables don't end, and rows are misread.
+_BOOK = """held AS (SELECT l_orderkey AS o, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) AS k, l_returnflag AS flag, l_discount >= 0.09 AS bad, l_tax >= 0.07 AS misread FROM lineitem),
+entry AS (SELECT o_orderkey AS o, 20 + o_custkey % 30 AS c, o_custkey % 4 <> 3 AS verified, o_custkey % 4 = 3 AND o_custkey % 3 = 0 AS foreign_only, o_orderpriority NOT IN ('1-URGENT', '2-HIGH') AS ends,
+8 * o_orderkey + CASE WHEN 8 * o_orderkey <= 924 THEN 114 WHEN 8 * o_orderkey <= 1200 THEN 115 ELSE 116 END + CASE o_custkey % 4 WHEN 1 THEN -1 WHEN 2 THEN 3 ELSE 0 END AS page_number FROM orders),
+turns AS (SELECT *, CASE WHEN flag = lag(flag) OVER (PARTITION BY o ORDER BY k) THEN 0 ELSE 1 END AS opens FROM held),
+own AS (SELECT *, sum(opens) OVER (PARTITION BY o ORDER BY k) AS seq, sum(opens) OVER (PARTITION BY o) AS top, bool_and(bad) OVER (PARTITION BY o ORDER BY k) AS bad_so_far FROM turns),
+printed AS (SELECT o, k, seq, CASE flag WHEN 'A' THEN 'SOL-A' WHEN 'N' THEN 'LIQ' ELSE 'GAS' END AS phase, seq = CASE WHEN ends THEN top ELSE top - 1 END AS last, NOT bad OR bad_so_far AS ok,
+CAST(CASE WHEN bad THEN 50 ELSE 300 + 100 * k END AS DOUBLE) AS t, CAST(c + CASE WHEN misread THEN 50 ELSE 0 END AS DOUBLE) AS cp, CAST(CASE WHEN bad THEN '30' ELSE printf('%.3f', 30 + c * ln((300.0 + 100 * k) / 300)) END AS DOUBLE) AS s, CAST(CASE WHEN bad THEN 0 ELSE round(c * k / 10.0, 3) END AS DOUBLE) AS h
+FROM own JOIN entry USING (o) WHERE NOT foreign_only AND (ends OR seq < top) UNION ALL SELECT o, 1, 1, 'GAS', true, true, 298.15, 1.0 * c, 30.0, 0.0 FROM entry WHERE foreign_only),
+acc AS (SELECT o || '-' || seq AS user_id, k AS event_id, * FROM printed WHERE ok)"""
+
+
+def _book(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Lines (page, line_no, text) and the table of contents."""
+    key, kind = F.col("o_orderkey"), F.col("o_custkey") % 4
+    text = lambda c: c.cast("string")
+    clear, foreign = kind != 3, F.col("o_custkey") % 3 == 0
+    orders = table(spark, d, "orders").select(
+        key.alias("o"), (8 * key).alias("listed"), F.when(kind == 1, -1).when(kind == 2, 3).otherwise(0).alias("off"), (20 + F.col("o_custkey") % 30).alias("c"), clear.alias("clear"), foreign.alias("foreign"),
+        (~F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("ends"),
+    )
+    orders = orders.withColumn("page", pages.page_offset(F.col("listed")) + F.col("off"))
+    ten = lambda t, cp, s, h: [F.format_string("%.2f", t), *[F.format_string("%.3f", x.cast("double")) for x in (cp, s, F.lit(1.0), h, F.lit(0.5), h - t * s / 1000, F.lit(-5.0), F.lit(-4.0), F.lit(0.1))]]
+    gas = F.concat_ws(" ", F.lit("GAS"), *ten(F.lit(298.15), F.col("c"), F.lit(30.0), F.lit(0.0)))
+    heading = F.when(F.col("clear"), F.concat(F.lit("Fe"), text(F.col("o")), F.lit("O"))).otherwise("Fc?")
+    head = [
+        (0, F.when(F.col("foreign"), "COBALT OXIDE")), (1, F.when(F.col("foreign"), "CoO")), (2, F.when(F.col("foreign"), "Phase T Cp S")), (3, F.when(F.col("foreign"), gas)), (4, F.when(F.col("foreign"), "REFERENZEN 1 2")),
+        (10, F.when(F.col("clear"), "IRON OXIDE").otherwise("1R?N 0X1DE")), (11, heading), (12, F.lit("")), (13, F.lit("0.860")), (14, F.lit(". Phase T Cp S")), (15, F.lit("[K] x")), (1000, F.when(F.col("ends"), "References 3")),
+    ]
+    frame = orders.select("page", F.explode(F.array(*[F.struct(F.lit(i).alias("line_no"), x.alias("text")) for i, x in head])).alias("h")).select("page", "h.*").where("text is not null")
+    order = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity")
+    lines = table(spark, d, "lineitem").withColumns({"k": F.row_number().over(order), "turn": ~F.lag("l_returnflag").over(order).eqNullSafe(F.col("l_returnflag"))})
+    lines = lines.join(orders, F.col("l_orderkey") == F.col("o"))
+    bad, t = F.col("l_discount") >= 0.09, 300.0 + 100 * F.col("k")
+    t, s, h = F.when(bad, 50.0).otherwise(t), F.when(bad, 30.0).otherwise(30 + F.col("c") * F.ln(t / 300)), F.when(bad, 0.0).otherwise(F.col("c") * F.col("k") / 10.0)
+    row = ten(t, F.col("c") + F.when(F.col("l_tax") >= 0.07, 50).otherwise(0), s, h)
+    # Misreadings by line: a lost point, a comma for a point, and the letter O for 0.
+    first = F.when(F.col("k") % 3 == 0, F.replace(row[0], F.lit("."), F.lit(""))).when(F.col("k") % 3 == 1, F.replace(row[0], F.lit("."), F.lit(","))).otherwise(row[0])
+    rest = F.when(F.col("k") % 2 == 0, F.translate(F.concat_ws(" ", *row[1:]), "0", "O")).otherwise(F.concat_ws(" ", *row[1:]))
+    phase = F.when(F.col("turn"), F.when(F.col("l_returnflag") == "A", "§OL-A").when(F.col("l_returnflag") == "N", "LIQ").otherwise("GAS"))
+    body = lines.select("page", (20 + F.col("k")).alias("line_no"), F.concat_ws(" ", phase, first, rest).alias("text"))
+    toc = orders.select(F.col("o").alias("row_id"), F.concat(F.lit("Fe"), text(F.col("o")), F.lit("O")).alias("formula"), F.lit("IRON OXIDE").alias("name"), F.col("listed").alias("page"))
+    again = toc.where("row_id % 5 = 0").select((F.col("row_id") + 10**12).alias("row_id"), "formula", F.lit("LATER ROW").alias("name"), F.lit(1).cast("long").alias("page"))
+    return frame.unionByName(body), toc.unionByName(again)
+
+
+@query(f"""WITH {_BOOK}, {_slopes("SELECT * FROM acc")}, p AS (SELECT *, CASE WHEN {_INNER} THEN coalesce({_snapped("cp", "(xa + xb) / 4 + (ya + yb) / 4")}, round((xa + xb) / 4 + (ya + yb) / 4, 3)) ELSE cp END AS cp1 FROM f),
+q AS (SELECT *, lag(cp1) OVER w AS q1, lag(cp1, 2) OVER w AS q2 FROM p WINDOW w AS (PARTITION BY user_id ORDER BY event_id)), z AS (SELECT *, (2 * xa - q1 + {_WIDE.format("xc")}) / 4 + (2 * ya - q1 + {_WIDE.format("yc")}) / 4 AS ending FROM q),
+fixed AS (SELECT user_id, event_id, o, k, seq, phase, last, t, s, h, CASE WHEN last AND coalesce({_END}, false) THEN coalesce({_snapped("cp1", "ending")}, cp1) ELSE cp1 END AS cp FROM z), {_slopes("SELECT * FROM fixed", "3")},
+blocks AS (SELECT o, seq, any_value(phase) AS phase, coalesce(string_agg(printf('%.2f/%.3f/%.3f', t, cp, s), ' ' ORDER BY k), '') AS block FROM (SELECT p.o, p.seq, p.phase, p.k, f.t, f.cp, f.s FROM printed p LEFT JOIN fixed f ON p.o = f.o AND p.seq = f.seq AND p.k = f.k) GROUP BY o, seq),
+kept AS (SELECT o, phase, arg_max(block, seq) AS block FROM blocks GROUP BY o, phase), docs AS (SELECT o, count(*) AS phases, string_agg(phase || ':' || block, ';' ORDER BY phase) AS body FROM kept GROUP BY o),
+audit AS (SELECT o, count(*) AS flagged, max(t) AS last_flagged FROM f3 WHERE inside OR (fin AND last) GROUP BY o)
+SELECT page_number, coalesce(CAST(phases AS INTEGER), 0) AS phases, md5(coalesce(body, '')) AS body, coalesce(flagged, 0) AS flagged, last_flagged, CASE WHEN NOT verified THEN page_number END AS page_num_used FROM entry LEFT JOIN docs USING (o) LEFT JOIN audit USING (o)""")
+def extraction_run(spark, d):
+    """A whole run from page lines to documents, beside what the two audits say of each."""
+    run = store.stored(extraction.extracted(*_book(spark, d)), "extraction")
+    rows = lambda v: F.transform(F.arrays_zip(v["t"], v["cp"], v["s"]), lambda r: F.format_string("%.2f/%.3f/%.3f", r["t"], r["cp"], r["s"]))
+    blocks = F.transform(F.map_entries("phases"), lambda x: F.concat(x["key"], F.lit(":"), F.array_join(rows(x["value"]), " ")))
+    documents = extraction.documents(run).select("formula", "page_number", F.size("phases").alias("phases"), F.md5(F.array_join(F.array_sort(blocks), ";").cast("binary")).alias("body"))
+    flagged = extraction.inconsistencies(run).groupBy("formula").agg(F.count("*").alias("flagged"), F.max("T").alias("last_flagged"))
+    found = documents.join(flagged, "formula", "left").join(extraction.unverified_pages(run).drop("name"), "formula", "left")
+    return found.select("page_number", "phases", "body", F.coalesce("flagged", F.lit(0)).alias("flagged"), "last_flagged", "page_num_used")
+
+
 @query("""WITH c AS (SELECT CASE WHEN p_partkey % 10 = 0 THEN 'U' || p_partkey ELSE 'F' || p_partkey % 20 END AS reduced, 'm' || p_partkey AS id, p_brand AS sg, CASE WHEN p_partkey % 7 <> 0 THEN p_retailprice END AS energy, p_type = 'PROMO' AS guess, p_partkey % 3 AS kind, p_size AS icsd, lower(string_split(p_name, ' ')[2]) AS note FROM part),
 r AS (SELECT s_suppkey AS row_id, CASE WHEN s_suppkey % 6 = 0 THEN 'U' || s_suppkey ELSE 'F' || s_suppkey % 20 END AS reduced, s_suppkey % 3 = 0 AS tagged, s_suppkey % 5 = 0 AS organic, s_suppkey % 4 = 1 AS uneven, CASE WHEN s_suppkey % 2 = 1 THEN 'bolt' ELSE 'axle' END AS token,
 CASE WHEN s_suppkey % 7 < 4 THEN 'Brand#1' || s_suppkey % 7 END AS hint FROM supplier),

@@ -177,3 +177,30 @@ def test_gate_returns_rows_with_nulls(spark):
     rows = [("k", 0, None, 1.0, 1.0), ("k", 1, 300.0, 1.0, 5.0), ("k", 2, 310.0, None, 4.0), ("k", 3, 290.0, 1.0, 4.0), ("k", 4, 320.0, 1.0, None), ("k", 5, 330.0, 1.0, 4.0)]
     df = spark.createDataFrame(rows, "k string, i long, t double, s double, g double")
     assert [r["accepted"] for r in series.monotone_gate(df, "k", "i", "t", "s", "g").orderBy("i").collect()] == [False, True, False, False, False, True]
+
+
+def test_extraction(spark):
+    """Two substances on one page, a page off by two, an unread heading, a repeated phase, one without rows, one without an end."""
+    from tabularium.operators import extraction
+
+    bad = line(500).split()
+    bad[1] = "60.000"
+    smooth_cp = lambda t: f"{t:.2f} {20:.3f} {30 + 20 * math.log(t / 300):.3f} 1.000 {0.02 * (t - 300):.3f} 0.500 {0.02 * (t - 300) - t * (30 + 20 * math.log(t / 300)) / 1000:.3f} -5.000 -4.000 0.100"
+    wrong = smooth_cp(500).replace(" 20.000", " 70.000", 1)
+    text = {
+        116: ["COPPER", "Cu", "Phase T Cp", f"SOL {smooth_cp(300)}", smooth_cp(400), wrong, smooth_cp(600), "LIQ x", f"SOL {smooth_cp(700)}", "REFERENCES 1", "ZINC", "Zn", "Phase T Cp", f"SOL {smooth_cp(300)}", f"LIQ {smooth_cp(400)}", smooth_cp(500), "3.25", smooth_cp(600)],
+        121: ["1R0N", "F?", "Phase T Cp", f"SOL {smooth_cp(300)}", "REFERENCES 1"],
+    }
+    lines = spark.createDataFrame([(p, i, x) for p, xs in text.items() for i, x in enumerate(xs)], "page long, line_no int, text string")
+    toc = spark.createDataFrame([(1, "Cu", "COPPER", 0), (2, "Zn", "ZINC", 2), (3, "Fe", "IRON", 7), (4, "Cu", "LATER", 9), (5, "Au", None, 500), (6, None, "NOTHING", 1)], "row_id long, formula string, name string, page long")
+    run = extraction.extracted(lines, toc).cache()
+    docs = {r["formula"]: r for r in extraction.documents(run).collect()}
+    assert set(docs) == {"Cu", "Zn", "Fe", "Au"} and docs["Cu"]["name"] == "COPPER"
+    assert {f: (r["page_number"], set(r["phases"])) for f, r in docs.items()} == {"Cu": (116, {"SOL", "LIQ"}), "Zn": (116, {"SOL"}), "Fe": (121, {"SOL"}), "Au": (614, set())}
+    assert docs["Cu"]["phases"]["SOL"]["t"] == [700.0] and docs["Cu"]["phases"]["LIQ"]["t"] == []
+    assert {(r["formula"], r["page_num_used"]) for r in extraction.unverified_pages(run).collect()} == {("Fe", 121), ("Au", 614)}
+    rows = {(r["formula"], r["phase_seq"], r["t"]): r for r in run.where("accepted").collect()}
+    assert rows["Cu", 1, 500.0]["cp"] == 20.0 and rows["Cu", 1, 500.0]["cp_read"] == 70.0 and rows["Cu", 1, 500.0]["reasons"] == "Cp"
+    assert {(f, s) for f, s, _ in rows if rows[f, s, _]["last_phase"]} == {("Cu", 3), ("Zn", 1), ("Fe", 1)}
+    assert extraction.inconsistencies(run).count() == 0
+    assert extraction.documents(extraction.extracted(lines.where("false"), toc)).count() == 4 and extraction.extracted(lines, toc.where("false")).count() == 0
