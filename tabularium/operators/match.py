@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabularium.functions import chem
+from tabularium.sources.store import stored
 
 
 def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
@@ -15,58 +16,106 @@ def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.groupBy(key).agg(first).select(key, *[F.col(f"_first.{c}").alias(c) for c in (order, *rest)])
 
 
+def _grams(text: Column, size: int | Column) -> Column:
+    """The distinct parts of this length."""
+    last = F.length(text) - size
+    return F.when(last < 0, F.array().cast("array<string>")).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.substr(text, i + 1, F.lit(size)))))
+
+
+def _index(names: DataFrame, name: str, size: int) -> DataFrame:
+    """(name, _rank, _gram, _often): the names of each gram, and how many they are."""
+    each = names.select(name, "_rank", F.explode(_grams(F.col(name), size)).alias("_gram"))
+    return each.join(each.groupBy("_gram").agg(F.count("*").alias("_often")), "_gram")
+
+
+def _spread(often: Column) -> Column:
+    """To how many tasks a gram's texts are dealt, each of which gets its names: few copies of names even for common grams."""
+    return (1 + F.floor(F.sqrt(often) / 8)).cast("int")
+
+
+def _profiles(texts: DataFrame, text: str, index: DataFrame, size: int) -> DataFrame:
+    """``texts`` with the grams that some name has, rarest first (_often, _gram), and how many of the text's grams no name has."""
+    often = index.select("_gram", "_often").distinct()
+    each = texts.withColumn("_gram", F.explode_outer(_grams(F.col(text), size))).join(often, "_gram", "left")
+    known = F.array_sort(F.collect_list(F.when(F.col("_often").isNotNull(), F.struct("_often", "_gram"))))
+    return each.groupBy(*texts.columns).agg(known.alias("_known"), F.count_if(F.col("_gram").isNotNull() & F.col("_often").isNull()).alias("_lost"))
+
+
+def _near(probes: DataFrame, text: str, index: DataFrame, name: str) -> DataFrame:
+    """(text, name, _rank, _d) for the names that share one of ``_probes`` and are at most ``_most`` edits away (null: any).
+
+    A pair is only taken at the first probe that the name has, so no pair is measured twice and none need be sorted out.
+    """
+    salt = F.pmod(F.xxhash64(text), _spread(F.col("_p._often"))).cast("int")
+    each = probes.select(text, "_most", "_probes", F.posexplode("_probes").alias("_at", "_p")).select("*", F.col("_p._gram").alias("_gram"), salt.alias("_salt"))
+    held = index.select(name, "_rank", "_gram", F.explode(F.sequence(F.lit(0), _spread(F.col("_often")) - 1)).alias("_salt"))
+    bound = F.coalesce("_most", F.greatest(F.length(text), F.length(name)))
+    earlier = F.exists(F.slice("_probes", F.lit(1), F.col("_at")), lambda p: F.col(name).contains(p["_gram"]))
+    pairs = each.join(held, ["_gram", "_salt"]).where((F.abs(F.length(text) - F.length(name)) <= bound) & ~earlier)
+    # Beyond its third argument the distance is not worked out: it is -1.
+    return pairs.select(text, name, "_rank", F.call_function("levenshtein", text, name, bound).alias("_d")).where("_d >= 0")
+
+
 def nearest_string(df: DataFrame, column: str, names: DataFrame, name: str, order: str | None = None) -> DataFrame:
     """``df`` with its text's nearest name and their distance: least edits, then first by ``order`` (else by name).
 
-    Rows with a null text, and all rows where there are no names, get nulls. Distinct texts meet distinct names by
-    length: a name is only compared if its length is within the text's distance to the best name of the text's own
-    length class, a bound that the first join gives. Texts without such a name meet all lengths.
+    Rows with a null text, and all rows where there are no names, get nulls. Distinct texts meet distinct names by an
+    index from pairs of letters to names. The names that have a text's rarest pair give a bound: the nearest is no
+    farther. An edit takes at most two of a text's pairs away, so a name within d edits has one of any 2 d + 1 of them,
+    those that no name has included: the rarest of them are probed, and what comes back is measured. A text with too
+    few pairs for its bound, one that shares less than half with any name, is probed by single letters in the same way, and
+    also meets the first name of each length up to its bound, the best of those that share no letter with it.
     """
     rank = F.min(F.col(order or name)).alias("_rank")
-    known = names.where(F.col(name).isNotNull()).groupBy(name).agg(rank).withColumn("_n", F.length(name))
-    texts = df.select(column).where(F.col(column).isNotNull()).distinct().withColumn("_t", F.length(column))
-    lengths = known.groupBy("_n").agg(F.lit(1).alias("_one"))
-    # The distinct lengths are few; a text's first class is the nearest length that any name has.
-    classes = F.broadcast(lengths.agg(F.sort_array(F.collect_list("_n")).alias("_all")))
-    texts = texts.join(classes).withColumn("_own", F.array_min(F.transform("_all", lambda n: F.struct(F.abs(n - F.col("_t")).alias("off"), n.alias("n"))))["n"])
-    best = F.min(F.struct(F.levenshtein(column, name).alias("d"), "_rank", F.col(name).alias("n")))
-    first = texts.join(known, F.col("_own") == F.col("_n"), "left").groupBy(column, "_t", "_all").agg(F.min(F.levenshtein(column, name)).alias("_most"))
-    tried = first.withColumn("_n", F.explode(F.filter("_all", lambda n: F.abs(n - F.col("_t")) <= F.col("_most"))))
-    near = tried.join(known, "_n").where(F.abs(F.col("_n") - F.col("_t")) <= F.col("_most")).groupBy(column).agg(best.alias("_b"))
-    return df.join(near.select(column, F.col("_b.n").alias("nearest"), F.col("_b.d").alias("distance")), column, "left")
-
-
-def substring_pairs(needles: DataFrame, item: str, needle: str, docs: DataFrame, doc: str, body: str) -> DataFrame:
+    known = names.where(F.col(name).isNotNull()).groupBy(name).agg(rank)
+    texts = df.select(column).where(F.col(column).isNotNull()).distinct()
+    held = {n: _index(known, name, n) for n in (1, 2)}
+    # One row: the first name of each length. There are as many as names have lengths.
+    by_length = known.groupBy(F.length(name).alias("n")).agg(F.min(F.struct("_rank", F.col(name).alias("name"))).alias("first"))
+    lengths = F.broadcast(by_length.agg(F.array_sort(F.collect_list(F.struct("n", "first"))).alias("_lengths")))
+
+    pairs = _profiles(texts, column, held[2], 2)
+    begun = _near(pairs.select(column, F.lit(None).cast("int").alias("_most"), F.slice("_known", 1, 1).alias("_probes")), column, held[2], name)
+    bounds = begun.groupBy(column).agg(F.min("_d").alias("_most"))
+    farthest = F.greatest(F.length(column), F.get("_lengths", F.lit(0))["n"])
+    pairs = pairs.join(bounds, column, "left").join(lengths).withColumn("_most", F.coalesce("_most", farthest))
+    needed = 2 * F.col("_most") + 1 - F.col("_lost")
+    sure = F.size("_known") >= needed
+    probes = pairs.where(sure).select(column, "_most", F.slice("_known", F.lit(1), F.greatest(needed, F.lit(0)).cast("int")).alias("_probes"))
+
+    rest = _profiles(pairs.where(~sure).select(column, "_most"), column, held[1], 1)
+    needed = F.greatest(F.col("_most") + 1 - F.col("_lost"), F.lit(0)).cast("int")
+    letters = rest.select(column, "_most", F.slice("_known", F.lit(1), needed).alias("_probes"))
+    strange = pairs.where(~sure).select(column, "_most", F.explode(F.filter("_lengths", lambda x: x["n"] <= F.col("_most"))).alias("_x"))
+    strange = strange.select(column, F.col("_x.first.name").alias(name), F.col("_x.first._rank").alias("_rank")).withColumn("_d", F.levenshtein(column, name))
+
+    found = _near(probes, column, held[2], name).unionByName(_near(letters, column, held[1], name)).unionByName(strange)
+    best = found.groupBy(column).agg(F.min(F.struct("_d", "_rank", F.col(name).alias("n"))).alias("_b"))
+    return df.join(best.select(column, F.col("_b.n").alias("nearest"), F.col("_b._d").alias("distance")), column, "left")
+
+
+def substring_pairs(needles: DataFrame, item: str, needle: str, docs: DataFrame, doc: str, body: str, size: int = 4) -> DataFrame:
     """(doc, item) for each row of ``docs`` whose body contains a needle; empty and null needles are in nothing.
 
-    A needle is looked up by its anchor, the part of it that words are sure to show: its longest inner word, whole; of
-    two words the longer, as a word's end or beginning; a single word, anywhere in a word. Anchors are joined with the
-    distinct words of all bodies, those with (doc, word), and only the pairs that are left meet their bodies again.
+    An inverted index of grams: a needle's words are cut into grams of ``size`` letters (all of a shorter word), and the one
+    whose words stand in the fewest documents is its anchor. Only words that have an anchor are looked up in the table of
+    (doc, word), which is written once, and only the pairs that are left meet their bodies again. A needle with a gram that no
+    word has costs nothing further.
     """
-    words = F.split(needle, "[ \n]")
-    n, first, last = F.size(words), F.get(words, F.lit(0)), F.element_at(words, -1)
-    inner = F.array_max(F.transform(F.slice(words, F.lit(2), F.greatest(n - 2, F.lit(0))), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    kind = F.when(n > 2, "whole").when(n == 1, "part").when(F.length(first) >= F.length(last), "end").otherwise("begin")
-    text = F.when(n > 2, inner).when((n == 1) | (F.length(first) >= F.length(last)), first).otherwise(last)
-    asked = needles.where(F.length(needle) > 0).select(item, needle, kind.alias("_kind"), text.alias("_text"))
-    sizes: dict[str, list[int]] = {}
-    for r in asked.select("_kind", F.length("_text").alias("n")).distinct().collect():  # as many as needles have lengths
-        sizes.setdefault(r["_kind"], []).append(r["n"])
-    each = docs.select(doc, F.explode(F.array_distinct(F.split(body, "[ \n]"))).alias("_word"))
-    word, size = F.col("_word"), F.length("_word")
-    form = lambda kind, text: F.struct(F.lit(kind).alias("_kind"), text.alias("_text"))
-    fits = lambda kind: F.filter(F.array(*map(F.lit, sorted(sizes[kind]))), lambda k: k <= size)
-    forms = [F.array(form("whole", word))]
-    if "end" in sizes:
-        forms.append(F.transform(fits("end"), lambda k: form("end", F.substr(word, size - k + 1, k))))
-    if "begin" in sizes:
-        forms.append(F.transform(fits("begin"), lambda k: form("begin", F.substr(word, F.lit(1), k))))
-    if "part" in sizes:
-        forms.append(F.flatten(F.transform(fits("part"), lambda k: F.transform(F.sequence(F.lit(1), size - k + 1), lambda i: form("part", F.substr(word, i, k))))))
-    known = each.select("_word").distinct().select("_word", F.explode(F.array_distinct(F.concat(*forms))).alias("_f")).select("_word", "_f.*")
-    hits = known.join(asked.select(item, "_kind", "_text"), ["_kind", "_text"]).select("_word", item).distinct()
+    parts = F.split(needle, "[ \n]")
+    asked = needles.where(F.length(needle) > 0).select(item, needle)
+    long = F.least(F.array_max(F.transform(parts, F.length)), F.lit(size))
+    cut = asked.withColumn("_n", long).select(item, "_n", F.explode(F.array_distinct(F.flatten(F.transform(parts, lambda w: _grams(w, F.col("_n")))))).alias("_gram"))
+    sizes = F.broadcast(cut.agg(F.collect_set("_n").alias("_sizes")))  # one row of at most ``size`` + 1 numbers
+    each = stored(docs.select(doc, F.explode(F.array_distinct(F.split(body, "[ \n]"))).alias("_word")), "words")
+    words = each.groupBy("_word").agg(F.count("*").alias("_docs")).join(sizes)
+    shown = words.select("_word", "_docs", F.explode(F.flatten(F.transform("_sizes", lambda n: _grams(F.col("_word"), n)))).alias("_gram"))
+    shown = stored(shown.join(cut.select("_gram").distinct(), "_gram"), "grams")
+    weights = shown.groupBy("_gram").agg(F.sum("_docs").alias("_docs"))
+    anchors = cut.join(weights, "_gram", "left").groupBy(item).agg(F.min(F.struct(F.coalesce("_docs", F.lit(0)).alias("docs"), "_gram")).alias("_a")).select(item, F.col("_a._gram").alias("_gram"))
+    hits = shown.join(anchors, "_gram").select("_word", item)
     near = each.join(hits, "_word").select(doc, item).distinct()
-    return near.join(docs.select(doc, body), doc).join(asked.select(item, needle), item).where(F.col(body).contains(F.col(needle))).select(doc, item)
+    return near.join(docs.select(doc, body), doc).join(asked, item).where(F.col(body).contains(F.col(needle))).select(doc, item)
 
 
 def tolerance_match(left: DataFrame, right: DataFrame, key: str, err: Column, tolerance: float, left_id: str, order: list[Column], keep: list[str]) -> DataFrame:

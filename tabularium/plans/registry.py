@@ -136,6 +136,19 @@ def band_search(spark, d):
     return match.band_search(orders.select("o_orderkey"), "o_orderkey", held, "page", (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 250000))
 
 
+@query("""WITH w AS (SELECT w, min(item_id) AS first FROM (SELECT item_id, unnest(string_split(translate(lower(text), 'äöüéèêçàñóíáúß', 'aoueeecanoiaus'), ' ')) AS w FROM benchmark) WHERE length(w) >= 6 GROUP BY w),
+t AS (SELECT w, CASE WHEN first % 3 = 0 THEN replace(w, 'i', 'l') WHEN first % 3 = 1 THEN replace(substr(w, 2), 'm', 'rn') ELSE replace(w, 'e', 'c') || '.' END AS bad FROM w), n AS (SELECT * FROM w WHERE first % 2 = 0),
+b AS (SELECT bad, min((levenshtein(bad, n.w), first, n.w)) AS m FROM (SELECT DISTINCT bad FROM t), n GROUP BY bad) SELECT w, m[3] AS nearest, CAST(m[1] AS INTEGER) AS distance FROM t JOIN b USING (bad)""")
+def nearest_misread_word(spark, d):
+    """Words misread in some of their letters, and the nearest among the words of every second passage."""
+    each = table(spark, d, "benchmark").select("item_id", F.explode(F.split(F.translate(F.lower("text"), "äöüéèêçàñóíáúß", "aoueeecanoiaus"), " ")).alias("w")).where(F.length("w") >= 6)
+    words = each.groupBy("w").agg(F.min("item_id").alias("first"))
+    kind, w = F.col("first") % 3, F.col("w")
+    bad = F.when(kind == 0, F.translate(w, "i", "l")).when(kind == 1, F.replace(F.substr(w, F.lit(2)), F.lit("m"), F.lit("rn"))).otherwise(F.concat(F.translate(w, "e", "c"), F.lit(".")))
+    known = words.where("first % 2 = 0").select(w.alias("word"), "first")
+    return match.nearest_string(words.select("w", bad.alias("bad")), "bad", known, "word", "first").select("w", "nearest", "distance")
+
+
 _NEEDLES = "SELECT item_id, lower(array_to_string(string_split(text, ' ')[1:CASE WHEN item_id % 4 = 3 THEN 6 ELSE 1 + item_id % 4 END], ' ')) AS needle FROM benchmark"
 
 
