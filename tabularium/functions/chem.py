@@ -1,4 +1,4 @@
-"""Compositions: formula parsing and repair (Python, Arrow-batched) and map functions (columns)."""
+"""Compositions: formulas parsed, reduced and compared as columns; names read and formulas repaired in Python, Arrow-batched."""
 
 from __future__ import annotations
 
@@ -21,7 +21,7 @@ PAULING = {
     "H": 2.20, "Li": 0.98, "Be": 1.57, "B": 2.04, "C": 2.55, "N": 3.04, "O": 3.44, "F": 3.98, "Na": 0.93, "Mg": 1.31, "Al": 1.61, "Si": 1.90, "P": 2.19, "S": 2.58, "Cl": 3.16,
     "K": 0.82, "Ca": 1.00, "Sc": 1.36, "Ti": 1.54, "V": 1.63, "Cr": 1.66, "Mn": 1.55, "Fe": 1.83, "Co": 1.88, "Ni": 1.91, "Cu": 1.90, "Zn": 1.65, "Ga": 1.81, "Ge": 2.01, "As": 2.18, "Se": 2.55, "Br": 2.96, "Kr": 3.00,
     "Rb": 0.82, "Sr": 0.95, "Y": 1.22, "Zr": 1.33, "Nb": 1.6, "Mo": 2.16, "Tc": 1.9, "Ru": 2.2, "Rh": 2.28, "Pd": 2.20, "Ag": 1.93, "Cd": 1.69, "In": 1.78, "Sn": 1.96, "Sb": 2.05, "Te": 2.1, "I": 2.66, "Xe": 2.6,
-    "Cs": 0.79, "Ba": 0.89, "La": 1.1, "Ce": 1.12, "Pr": 1.13, "Nd": 1.14, "Sm": 1.17, "Gd": 1.2, "Tb": 1.1, "Dy": 1.22, "Ho": 1.23, "Er": 1.24, "Tm": 1.25, "Lu": 1.27, "Hf": 1.3, "Ta": 1.5, "W": 2.36, "Re": 1.9, "Os": 2.2, "Ir": 2.2,
+    "Cs": 0.79, "Ba": 0.89, "La": 1.1, "Ce": 1.12, "Pr": 1.13, "Nd": 1.14, "Pm": 1.13, "Sm": 1.17, "Eu": 1.2, "Gd": 1.2, "Tb": 1.1, "Dy": 1.22, "Ho": 1.23, "Er": 1.24, "Tm": 1.25, "Yb": 1.1, "Lu": 1.27, "Hf": 1.3, "Ta": 1.5, "W": 2.36, "Re": 1.9, "Os": 2.2, "Ir": 2.2,
     "Pt": 2.28, "Au": 2.54, "Hg": 2.00, "Tl": 1.62, "Pb": 2.33, "Bi": 2.02, "Po": 2.0, "At": 2.2, "Ra": 0.9, "Ac": 1.1, "Th": 1.3, "Pa": 1.5, "U": 1.38, "Np": 1.36, "Pu": 1.28, "Am": 1.3, "Cm": 1.3,
 }
 # English names that a substance's name may begin a word with.
@@ -50,6 +50,10 @@ HALIDES = ("FLUORO", "CHLORO", "BROMO", "IODO")
 ORGANIC = ("C", "H", "N", "O", "S", "P", "F", "Cl", "Br", "I")
 TRAILING = {"0": "O", "8": "S", "1": "I", "5": "S"}
 
+# Gases that exist in pairs, and peroxides, named by their whole molecule.
+DIATOMIC = ("H", "N", "O", "F", "Cl")
+PEROXIDES = {"LiO": "Li2O2", "NaO": "Na2O2", "KO": "K2O2", "HO": "H2O2", "CsO": "Cs2O2", "RbO": "Rb2O2"}
+
 _TOKEN = re.compile(r"([A-Z][a-z]?)(\d+\.?\d*|\.\d+)?|(\()|\)(\d+\.?\d*|\.\d+)?")
 _LEAD = re.compile(r"(\d+)/(\d+)(?=[A-Za-z(])|(\d+\.?\d*)(?=[A-Za-z(])")
 _KNOWN = frozenset(SYMBOLS)
@@ -111,16 +115,14 @@ def reduced_formula(comp: Composition | None) -> str | None:
     order = sorted(whole, key=lambda k: (PAULING.get(k, 9.9), k))
     text = lambda names, by=1: "".join(k + (str(whole[k] // by) if whole[k] // by != 1 else "") for k in names)
     if len(order) == 1:
-        # Gases that exist in pairs.
-        return order[0] + ("2" if order[0] in ("H", "N", "O", "F", "Cl") else "")
+        return order[0] + ("2" if order[0] in DIATOMIC else "")
     out = text(order)
     if len(order) > 2:
         a, b = order[-2:]
         shared = math.gcd(whole[a], whole[b])
         if PAULING.get(b, 9.9) - PAULING.get(a, 9.9) < 1.65 and shared > 1:
             out = f"{text(order[:-2])}({text((a, b), shared)}){shared}"
-    # Peroxides, named by their whole molecule.
-    return {"LiO": "Li2O2", "NaO": "Na2O2", "KO": "K2O2", "HO": "H2O2", "CsO": "Cs2O2", "RbO": "Rb2O2"}.get(out, out)
+    return PEROXIDES.get(out, out)
 
 
 def implied(name: str | None) -> frozenset[str]:
@@ -189,17 +191,109 @@ def _batched(kind: str, f: Callable) -> Callable[..., Column]:
     return run
 
 
+_AMOUNT = r"(?:\d+\.?\d*|\.\d+)"
+_MAP, _STACK = "map<string,double>", "struct<ok:boolean,stack:array<map<string,double>>>"
+
+
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _sum(a: Column, b: Column, times: Column) -> Column:
+    """a + times * b."""
+    return F.map_zip_with(a, b, lambda _, x, y: F.coalesce(x, F.lit(0.0)) + F.coalesce(y, F.lit(0.0)) * times)
+
+
+def _adduct(part: Column) -> Column:
+    """Amounts of one part of a formula, its multiplier applied; null if it can't be read.
+
+    A fold over the part's tokens with a stack of compositions, one for each open group, in an array.
+    """
+    lead = F.regexp_extract(part, rf"^(?:\d+/\d+|\d+\.?\d*)(?=[A-Za-z(])", 0)
+    over = F.split(lead, "/")
+    times = F.when(lead == "", 1.0).when(F.size(over) > 1, F.try_divide(F.get(over, F.lit(0)).try_cast("double"), F.get(over, F.lit(1)).try_cast("double"))).otherwise(lead.try_cast("double"))
+    body = F.substr(part, F.length(lead) + 1, F.length(part))
+    token = rf"[A-Z][a-z]?{_AMOUNT}?|\(|\){_AMOUNT}?"
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))
+    begin = F.struct(F.lit(True).alias("ok"), F.array(empty).alias("stack")).cast(_STACK)
+
+    def step(acc: Column, found: Column) -> Column:
+        stack, symbol = acc["stack"], F.regexp_extract(found, "^[A-Z][a-z]?", 0)
+        amount = F.coalesce(F.nullif(F.regexp_extract(found, r"[\d.]+$", 0), F.lit("")).try_cast("double"), F.lit(1.0))
+        depth, top = F.size(stack), F.element_at(stack, -1)
+        under = lambda n: F.slice(stack, F.lit(1), F.greatest(depth - n, F.lit(0)))
+        element = F.concat(under(1), F.array(_sum(top, F.create_map(symbol, amount), F.lit(1.0))))
+        closed = F.concat(under(2), F.array(_sum(F.get(stack, depth - 2), top, amount)))
+        ok = acc["ok"] & ((depth > 1) | ~found.startswith(")")) & ((symbol == "") | symbol.isin(*SYMBOLS))
+        after = F.when(~ok, stack).when(symbol != "", element).when(found == "(", F.concat(stack, F.array(empty))).otherwise(closed)
+        return F.struct(ok.alias("ok"), after.alias("stack")).cast(_STACK)
+
+    held = F.aggregate(F.regexp_extract_all(body, F.lit(token), F.lit(0)), begin, step)
+    done = lambda x: F.when(x["ok"] & (F.size(x["stack"]) == 1) & (F.size(F.get(x["stack"], F.lit(0))) > 0), F.transform_values(F.get(x["stack"], F.lit(0)), lambda _, v: v * times))
+    return F.when(body.rlike(f"^(?:{token})+$"), _once(held, done)).cast(_MAP)
+
+
 def parse_column(formula: Column) -> Column:
-    """MAP<STRING, DOUBLE> of a formula column."""
-    return _batched("map<string,double>", parse)(formula)
+    """MAP<STRING, DOUBLE> of a formula column, as ``parse`` has it, in the JVM."""
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))
+
+    def total(parts: Column) -> Column:
+        added = F.aggregate(parts, empty.cast(_MAP), lambda a, p: _sum(a, p, F.lit(1.0)).cast(_MAP))
+        some = _once(added, lambda m: F.map_filter(m, lambda _, v: v != 0))
+        return F.when(~F.exists(parts, lambda p: p.isNull()), _once(some, lambda m: F.when(F.size(m) > 0, m)))
+
+    return F.when(F.length(formula) > 0, _once(F.transform(F.split(formula, r"\*", -1), _adduct), total))
 
 
 def repair_column(formula: Column, name: Column) -> Column:
     return _batched("string", lambda f, n: None if f is None else repair(f, n))(formula, name)
 
 
+def _gcd(a: Column, b: Column) -> Column:
+    pair = lambda x, y: F.struct(x.cast("long").alias("x"), y.cast("long").alias("y"))
+    # Two steps at least halve a number: these are enough for any 64 bits.
+    return F.aggregate(F.sequence(F.lit(1), F.lit(92)), pair(a, b), lambda s, _: F.when(s["y"] == 0, s).otherwise(pair(s["y"], F.try_mod(s["x"], s["y"]))), lambda s: s["x"])
+
+
+def rationalised(comp: Column, most: int = 20) -> Column:
+    """``rationalise`` as a column: an array of (key, value) in the composition's order, values whole and without a common divisor."""
+    near = lambda v: F.array_min(F.transform(F.sequence(F.lit(1), F.lit(most)), lambda q: F.struct(F.abs(v - F.rint(v * q) / q).alias("off"), q.cast("long").alias("q"), F.rint(v * q).cast("long").alias("p"))))
+    ratios = F.transform(F.map_entries(comp), lambda x: F.struct(x["key"].alias("key"), near(x["value"]).alias("r")))
+
+    def whole(found: Column) -> Column:
+        scale = F.aggregate(found, F.lit(1).cast("long"), lambda a, x: (a / _gcd(a, x["r"]["q"])).cast("long") * x["r"]["q"])
+        return F.transform(found, lambda x: F.struct(x["key"].alias("key"), (x["r"]["p"] * (scale / x["r"]["q"]).cast("long")).alias("value")))
+
+    def least(found: Column) -> Column:
+        shared = F.aggregate(found, F.lit(0).cast("long"), lambda a, x: _gcd(x["value"], a))
+        return _once(shared, lambda n: F.transform(found, lambda x: F.struct(x["key"].alias("key"), (x["value"] / F.greatest(n, F.lit(1))).cast("long").alias("value"))))
+
+    return _once(_once(ratios, whole), least)
+
+
+def reduced_of(comp: Column) -> Column:
+    """``reduced_formula`` of a composition column, in the JVM."""
+    weights = F.create_map(*[F.lit(x) for pair in PAULING.items() for x in pair])
+    ranked = lambda w: F.array_sort(F.transform(w, lambda x: F.struct(F.coalesce(F.try_element_at(weights, x["key"]), F.lit(9.9)).alias("en"), x["key"].alias("key"), x["value"].alias("n"))))
+    count = lambda n: F.when(n == 1, "").otherwise(n.cast("string"))
+    text = lambda names, by=F.lit(1): F.array_join(F.transform(names, lambda x: F.concat(x["key"], count((x["n"] / by).cast("long")))), "")
+
+    def named(order: Column) -> Column:
+        size = F.size(order)
+        ends = F.slice(order, F.greatest(size - 1, F.lit(1)), F.lit(2))
+        a, b = F.get(ends, F.lit(0)), F.get(ends, F.lit(1))
+        grouped = lambda n: F.when((size > 2) & (b["en"] - a["en"] < 1.65) & (n > 1), F.concat(text(F.slice(order, F.lit(1), F.greatest(size - 2, F.lit(0)))), F.lit("("), text(ends, n), F.lit(")"), n.cast("string"))).otherwise(text(order))
+        pairs = F.when(a["key"].isin(*DIATOMIC), F.concat(a["key"], F.lit("2"))).otherwise(a["key"])
+        return F.when(size == 1, pairs).otherwise(_once(_gcd(a["n"], F.coalesce(b["n"], F.lit(0))), grouped))
+
+    peroxides = F.create_map(*[F.lit(x) for pair in PEROXIDES.items() for x in pair])
+    out = _once(_once(rationalised(comp), ranked), named)
+    return F.when(F.size(comp) > 0, _once(out, lambda t: F.coalesce(F.try_element_at(peroxides, t), t)))
+
+
 def reduced_column(formula: Column) -> Column:
-    return _batched("string", lambda f: reduced_formula(parse(f)))(formula)
+    return reduced_of(parse_column(formula))
 
 
 def parse_spaced(text: Column) -> Column:

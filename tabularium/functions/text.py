@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The label of a temperature column, and a number with a point. The characters and patterns inside
+# ``page_repair``, ``row_repair``, ``phase_token`` and ``match_key`` below are fixed values too.
 TEMP_LABEL = r"^[\[{(]+[kK]+[\]})]+$"
 NUMBER = r"-?\d+\.\d+"
 

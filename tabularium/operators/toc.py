@@ -2,16 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabularium.functions import chem
 from tabularium.functions import text as X
 from tabularium.operators import match
+from tabularium.operators.outcomes import reindex
+from tabularium.sources import io
 
 # Tags of phases without a crystal structure, the gas tag, and its word in names.
 AMORPHOUS, GAS, GAS_NAME = ("GL",), "g", "(GAS)"
 COLUMNS = "row_id long, formula string, name string, page long"
+HINTS = "formula string, tag string, spacegroup string"
+# Space groups of polymorphs that a formula's tag names.
+TAG_HINTS = {
+    ("Al2O3", "C"): "Fd-3m", ("As2O3", "A"): "Fd-3m", ("C", "D"): "Fd-3m", ("CaCO3", "A"): "Pnma", ("SiO2", "CR"): "P4_12_12", ("TiO2", "A"): "I4_1/amd", ("ZnS", "S"): "F-43m", ("PbO", "R"): "P4/nmm",
+    ("Al2SiO5", "A"): "Pnnm", ("Al2SiO5", "S"): "Pnma", ("Ca2SiO4", "B"): "P2_1/c", ("Sb2O3", "O"): "Pccn", ("Eu2O3", "M"): "C2/m", ("Gd2O3", "M"): "C2/m", ("Sm2O3", "M"): "C2/m", ("Al2O3*H2O", "B"): "Pmn2_1",
+}
+# Space groups of polymorphs that only an untagged formula's name tells.
+NAME_HINTS = {"Sn": "I4_1/amd", "Si3N4": "P31c", "Sb2O3": "Fd-3m", "Pu2O3": "P-3m1", "SiC": "F-43m", "TiO2": "P4_2/mnm", "PbO": "Pbcm", "LiAlSi2O6": "C2/c", "Fe0.778S": "C2/c"}
+# The columns of a run's tables.
+MATCHED = {
+    "Formula": "string", "Name": "string", "Page number": "long", "bare_formula": "string", "phase_tag": "string", "reduced_formula": "string", "material_id": "string", "match_method": "string",
+    "phase_name_verified": "boolean", "spacegroup": "string", "cif_file": "string",
+}
+UNMATCHED = {c: t for c, t in MATCHED.items() if c != "cif_file"}
+SECOND = UNMATCHED | {"cod_id": "string", "cod_sg": "string", "cif_file": "string"}
+
+
+def hints(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """(formula, tag, spacegroup): of a headed CSV file, where an empty tag is none, or the fixed ones."""
+    if path:
+        return io.read_csv(spark, path, HINTS).withColumn("tag", F.nullif("tag", F.lit("")))
+    fixed = [(f, t, g) for (f, t), g in TAG_HINTS.items()] + [(f, None, g) for f, g in NAME_HINTS.items()]
+    return spark.createDataFrame(fixed, HINTS)
 
 
 def normalise(toc: DataFrame) -> DataFrame:
@@ -55,16 +80,34 @@ def outcomes(rows: DataFrame, candidates: DataFrame, hints: DataFrame, remarks:
 
 
 def second_pass(left: DataFrame, catalogue: DataFrame, tolerance: float = 0.02) -> DataFrame:
-    """Unmatched entries (row_id, reduced_formula, comp, organic) with outcome, file and sg.
+    """Unmatched entries (row_id, reduced_formula, organic and more) with outcome, cod_id, cod_sg and phase_name_verified.
 
-    Organic substances expect no structure; those with a reduced formula are matched to the catalogue (file, formula,
-    sg) by elements and ratio, never verified by name; the rest, and what finds nothing, is still_unmatched.
+    Organic substances expect no structure; those with a reduced formula are matched to the catalogue (file, formula, sg) by
+    that formula's elements and ratio, never verified by name; the rest, and what finds nothing, is still_unmatched.
     """
     able = ~F.col("organic") & F.col("reduced_formula").isNotNull()
-    targets = left.where(able).select(F.col("row_id").alias("id"), F.col("comp"))
-    found = match.secondary_candidates(targets, catalogue, tolerance).select(F.col("id").alias("row_id"), "file", "sg", "err")
-    return left.join(found, "row_id", "left").withColumn("outcome", _second(F.col("file")))
+    targets = left.where(able).select(F.col("row_id").alias("id"), chem.parse_column(F.col("reduced_formula")).alias("comp"))
+    found = match.secondary_candidates(targets, catalogue, tolerance).select(F.col("id").alias("row_id"), F.col("file").alias("cod_id"), F.col("sg").alias("cod_sg"))
+    outcome = F.when(F.col("organic"), "no_structure_expected").when(F.col("cod_id").isNotNull(), "matched").otherwise("still_unmatched")
+    verified = F.when(F.col("cod_id").isNotNull(), False)
+    return left.drop("phase_name_verified").join(found, "row_id", "left").withColumns({"outcome": outcome, "phase_name_verified": verified})
+
+
+def tables(found: DataFrame, structures: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(matched, unmatched) of ``outcomes``, with the columns of a run's tables. A matched row's cif_file is the name under
+    which its structure is kept; null if ``structures`` (material_id) is given and has none."""
+    rows = found.withColumnsRenamed({"formula": "Formula", "name": "Name", "page": "Page number"})
+    kept = F.concat(X.file_stem(F.col("Formula")), F.lit(".cif"))
+    matched = rows.where(F.col("material_id").isNotNull())
+    if structures is not None:
+        held = structures.select("material_id").distinct().withColumn("_held", F.lit(True))
+        matched, kept = matched.join(held, "material_id", "left"), F.when(F.col("_held"), kept)
+    return reindex(matched.withColumn("cif_file", kept), MATCHED), reindex(rows.where(F.col("material_id").isNull()), UNMATCHED)
 
 
-def _second(file: Column) -> Column:
-    return F.when(F.col("organic"), "no_structure_expected").when(file.isNotNull(), "matched").otherwise("still_unmatched")
+def second_tables(found: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(searched, without structure, still unmatched) of ``second_pass``."""
+    kept = F.when(F.col("cod_id").isNotNull(), F.concat(X.file_stem(F.col("formula")), F.lit(".cif")))
+    rows = found.withColumn("cif_file", kept).withColumnsRenamed({"formula": "Formula", "name": "Name", "page": "Page number"})
+    searched = rows.where(~F.col("organic") & F.col("reduced_formula").isNotNull())
+    return reindex(searched, SECOND), reindex(rows.where("outcome = 'no_structure_expected'"), UNMATCHED), reindex(rows.where("outcome = 'still_unmatched'"), SECOND)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tabularium.functions import chem
 from tabularium.functions import text as X
 from tabularium.operators import extraction, match, outcomes, pages, series, toc
-from tabularium.sources import store
+from tabularium.sources import cif, io, landed, named, store
 from tabularium.sources.io import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -188,9 +188,10 @@ def semi_filter(spark, d):
     return table(spark, d, "customer").select("c_custkey", "c_name").join(big, "c_custkey", "left_semi")
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
 def anti_resume(spark, d):
-    done = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    """Customers without an urgent order: each has many orders of other kinds."""
+    done = table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
     return outcomes.unfinished(table(spark, d, "customer").select("c_custkey", "c_name"), done, "c_custkey")
 
 
@@ -420,27 +421,125 @@ def tier_select(spark, d):
 @query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_totalprice > 300000 THEN 'matched' WHEN o_orderpriority = '5-LOW' THEN 'gas' WHEN o_orderstatus = 'P' THEN 'amorphous' ELSE 'unmatched' END AS outcome,
 CASE WHEN o_orderstatus = 'F' AND o_totalprice > 300000 THEN CAST(o_custkey AS VARCHAR) END AS pick FROM orders""")
 def outcome_partition(spark, d):
-    cases = [("matched", (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 300000)), ("gas", F.col("o_orderpriority") == "5-LOW"), ("amorphous", F.col("o_orderstatus") == "P")]
-    rows = outcomes.label(table(spark, d, "orders"), cases, "unmatched")
+    rows = _outcomes(spark, d)
     matched = rows.where("outcome = 'matched'").select("o_orderkey", "outcome", F.col("o_custkey").cast("string").alias("pick"))
     return outcomes.stack(matched, rows.where("outcome <> 'matched'").select("o_orderkey", "outcome"))
 
 
+def _outcomes(spark: SparkSession, d: str) -> DataFrame:
+    cases = [("matched", (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 300000)), ("gas", F.col("o_orderpriority") == "5-LOW"), ("amorphous", F.col("o_orderstatus") == "P")]
+    return outcomes.label(table(spark, d, "orders"), cases, "unmatched")
+
+
 @query("SELECT c_custkey, CAST((row_number() OVER (ORDER BY c_custkey) - 1) // 100 AS BIGINT) AS batch FROM customer")
 def batch_ids(spark, d):
     return outcomes.batch_ids(table(spark, d, "customer"), "c_custkey", 100)
 
 
+_CLOSED = "SELECT c_custkey, CAST((row_number() OVER (ORDER BY c_custkey) - 1) // {} AS BIGINT) AS batch FROM customer"
+
+
+@query(f"""WITH b AS ({_CLOSED.format(100)}) SELECT c_custkey, batch, CASE WHEN batch % 5 IN (2, 4) THEN 'failed' ELSE 'found' END AS state, CASE WHEN batch % 5 NOT IN (2, 4) THEN c_name END AS name, CASE WHEN batch % 5 NOT IN (2, 4) THEN c_acctbal END AS energy FROM b JOIN customer USING (c_custkey)""")
+def lookup_batches(spark, d):
+    """Customers asked for by hundreds: answers that landed are read, those cut off or not landed are reported and skipped."""
+    given = table(spark, d, "customer")
+    asked = store.stored(landed.requests(given, "c_custkey"), "asked")
+    body = F.array_join(F.array_sort(F.collect_list(F.to_json(F.struct("c_custkey", F.col("c_name").alias("name"), F.col("c_acctbal").alias("energy"))))), "\n")
+    answers = asked.join(given, "c_custkey").where("batch % 5 <> 4").groupBy("batch").agg(body.alias("body"))
+    cut = F.when(F.col("batch") % 5 == 2, F.substr("body", F.lit(1), F.length("body") - 5)).otherwise(F.col("body"))
+    path = store.fresh(spark, "answers")
+    named.save(answers, F.format_string("batch-%06d", "batch"), cut, F.lit(1), path, ".json")
+    rows, failures = landed.read_landed(spark, path, asked, "c_custkey long, name string, energy double", wait=0.0)
+    state = F.when(F.col("_error").isNotNull(), "failed").when(F.col("name").isNotNull(), "found")
+    found = asked.join(rows.drop("_batch"), "c_custkey", "left").join(failures, F.col("batch") == F.col("_batch"), "left")
+    return found.select("c_custkey", "batch", state.alias("state"), "name", "energy")
+
+
+@query(r"""WITH t AS (SELECT s_suppkey, regexp_replace(replace(s_name, 'Supplier#', 'Su/pp [' || s_suppkey % 40 || ']#'), '[^A-Za-z0-9_.()\[\]*-]', '_', 'g') AS stem FROM supplier),
+b AS (SELECT regexp_replace(stem, '[0-9]+$', '') AS stem, max(s_suppkey) FILTER (s_suppkey % 3 = 0) AS early, max(s_suppkey) AS late FROM t GROUP BY 1)
+SELECT stem || '.cif' AS file, '# Source: catalogue ' || coalesce(early, late) || chr(10) || CASE WHEN early IS NULL THEN 'second' ELSE 'first' END || ' run' AS text, early IS NOT NULL AS early FROM b""".replace("\\\\", "\\"))
+def resumed_run(spark, d):
+    """Structure files under sanitised names, of which later ones win: a run that stops, and one that finishes what is left."""
+    held = table(spark, d, "supplier")
+    title = F.concat(F.lit("Su/pp ["), (F.col("s_suppkey") % 40).cast("string"), F.lit("]#"))
+    path = store.fresh(spark, "structures")
+    for keep, run in (("s_suppkey % 3 = 0", "first run"), ("true", "second run")):
+        body = io.cif_text(F.concat(F.lit("catalogue "), F.col("s_suppkey").cast("string")), F.lit(run))
+        named.save(held.where(keep), X.file_stem(title), body, F.col("s_suppkey"), path, ".cif", resume=True)
+        if run == "first run":
+            early = store.stored(named.finished(spark, path), "finished")
+    files = spark.read.text(f"{path}/*.cif", wholetext=True).select(F.url_decode(F.col("_metadata.file_name")).alias("file"), F.col("value").alias("text"))
+    return files.join(early.select(F.concat("stem", F.lit(".cif")).alias("file"), F.lit(True).alias("early")), "file", "left").select("file", "text", F.coalesce("early", F.lit(False)).alias("early"))
+
+
+@query("""SELECT p_brand AS brand, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS INTEGER) AS row, p_partkey AS key, p_name || ' ''x' AS name, CASE WHEN p_size % 10 <> 0 THEN CAST(p_size AS DOUBLE) END AS size,
+CASE WHEN p_partkey % 4 <> 0 THEN p_retailprice END AS price, 'it''s of ' || p_brand AS title, ' first line' || chr(10) || 'loop_ of ' || p_brand AS note FROM part""")
+def structure_loops(spark, d):
+    """A file per brand, with quotes, a text field, comments and two loops, taken apart by its grammar."""
+    size = F.when(F.col("p_size") % 10 == 0, "?").otherwise(F.col("p_size").cast("string"))
+    price = F.when(F.col("p_partkey") % 4 == 0, "'n/a'").otherwise(F.concat(F.format_string("%.2f", "p_retailprice"), F.lit("(3)")))
+    line = F.concat_ws(" ", F.format_string("%010d", "p_partkey"), F.concat(F.lit("'"), "p_name", F.lit(" 'x'")), size, F.lit("# a note\n"), price)
+    held = table(spark, d, "part").groupBy("p_brand").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("rows"))
+    parts = ["# Source: ", F.col("p_brand"), "\ndata_", F.col("p_brand"), '\n_title "it\'s of ', F.col("p_brand"), '"\n_note\n; first line\nloop_ of ', F.col("p_brand"), "\n;\nLOOP_\n_op_id _op_xyz\n1 'x, y, z'\n2 '-y, x-y, z+1/3'\nloop_\n_key\n_name\n_size\n_price\n", F.col("rows"), "\n_after .\n"]
+    body = F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    items = cif.typed(cif.read_items(held.select(F.col("p_brand").alias("file"), body.alias("body"))))
+    own = items.where("loop is null").select("file", F.col("values._title").alias("title"), F.col("values._note").alias("note"))
+    value = lambda c: F.try_element_at("numbers", F.lit(c))
+    rows = items.where("loop = 1").select("file", "row", value("_key").cast("long").alias("key"), F.col("values._name").alias("name"), value("_size").alias("size"), value("_price").alias("price"))
+    return rows.join(own, "file").select(F.col("file").alias("brand"), "row", "key", "name", "size", "price", "title", "note")
+
+
+_LABELS = ["matched", "gas", "amorphous", "unmatched", "never"]
+
+
+@query("""WITH o AS (SELECT CASE WHEN o_orderstatus = 'F' AND o_totalprice > 300000 THEN 'matched' WHEN o_orderpriority = '5-LOW' THEN 'gas' WHEN o_orderstatus = 'P' THEN 'amorphous' ELSE 'unmatched' END AS label FROM orders)
+SELECT label, (SELECT count(*) FROM o WHERE o.label = l.label) AS n FROM (VALUES ('matched'), ('gas'), ('amorphous'), ('unmatched'), ('never')) l(label) UNION ALL SELECT '_rows', count(*) FROM o UNION ALL SELECT '_null', 0 UNION ALL SELECT '_other', 0""")
+def run_report(spark, d):
+    """What a run prints at its end: the labels' counts, taken while the outcomes are written."""
+    rows, seen = outcomes.observed(_outcomes(spark, d), "outcome", _LABELS)
+    rows.write.parquet(store.fresh(spark, "outcomes"))
+    return spark.createDataFrame(list(seen.get.items()), "label string, n long")
+
+
+@query("""WITH w AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) AS i, CAST(l_partkey AS VARCHAR) AS text, count(*) OVER (PARTITION BY l_orderkey) AS n, ((CAST(l_quantity AS BIGINT) * 19) + 10) / 1000.0 AS x FROM lineitem),
+b AS (SELECT *, len(list_filter([0.08, 0.17, 0.27, 0.38, 0.48, 0.58, 0.69, 0.80, 0.90], lambda e: x >= e)) AS bin FROM w), c AS (SELECT l_orderkey, n, bin, string_agg(text, '' ORDER BY i) AS cell FROM b GROUP BY l_orderkey, n, bin)
+SELECT l_orderkey AS line, CASE WHEN any_value(n) < 5 THEN (SELECT string_agg(text, ' ' ORDER BY i) FROM b WHERE b.l_orderkey = c.l_orderkey) ELSE string_agg(cell, ' ' ORDER BY bin) END AS text FROM c GROUP BY l_orderkey""")
+def box_lines(spark, d):
+    """Words with boxes put to the columns of a page's lines."""
+    order = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity")
+    words = table(spark, d, "lineitem").select(
+        F.lit(1).alias("page"), F.lit(1).alias("block"), F.lit(1).alias("par"), F.col("l_orderkey").alias("line"), F.row_number().over(order).alias("word_idx"), F.col("l_partkey").cast("string").alias("text"),
+        (F.col("l_quantity").cast("long") * 19).alias("left"), F.lit(20).alias("width"), F.lit(1000).alias("page_width"),
+    )
+    return pages.bin_words(words).select("line", "text")
+
+
+@query(r"""WITH t AS (SELECT p_partkey, p_size, 'Al' || p_partkey || 'B' || p_size || 'C' AS t, string_split(p_name, ' ')[1] AS w FROM part),
+d AS (SELECT *, list_transform(range(length(t)), lambda i: substr(t, CAST(i + 1 AS BIGINT), 1) BETWEEN '0' AND '9') AS g FROM t),
+r AS (SELECT *, list_filter(range(length(t)), lambda i: g[i + 1] AND coalesce(g[i + 2], false) AND NOT coalesce(g[i + 3], false) AND (i = 0 OR NOT g[i]) OR g[i + 1] AND i > 0 AND g[i] AND coalesce(g[i + 2], false) AND NOT coalesce(g[i + 3], false) AND (i = 1 OR NOT g[i - 1])) AS places FROM d)
+SELECT p_partkey, array_to_string(places, ',') AS places, list_min(list_transform([{'i': 1, 'c': 'bolt'}, {'i': 2, 'c': 'axle'}, {'i': 3, 'c': 'gear'}, {'i': 4, 'c': 'valve'}], lambda x: {'d': levenshtein(w, x.c), 'i': x.i, 'c': x.c})).c AS nearest,
+CAST(2 + p_size AS DOUBLE) AS al, CAST(3 AS DOUBLE) AS o, CASE WHEN p_size % 2 = 1 THEN CAST(1 AS DOUBLE) END AS h FROM r""")
+def small_functions(spark, d):
+    """Places where a letter may hide in digits, the nearest of a few names, and the sum of two compositions."""
+    key, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    places = X.digit_run_positions(F.concat(F.lit("Al"), key, F.lit("B"), size, F.lit("C")))
+    nearest = X.closest_match(F.get(F.split("p_name", " "), F.lit(0)), F.array(*map(F.lit, ("bolt", "axle", "gear", "valve"))))
+    total = chem.add(chem.parse_column(F.lit("Al2O3")), chem.parse_column(F.concat(F.lit("Al"), size, F.when(F.col("p_size") % 2 == 1, "H").otherwise(""))))
+    rows = table(spark, d, "part").select("p_partkey", F.array_join(F.transform(places, lambda i: i.cast("string")), ",").alias("places"), nearest.alias("nearest"), total.alias("c"))
+    return rows.select("p_partkey", "places", "nearest", *[F.try_element_at("c", F.lit(x)).alias(x.lower()) for x in ("Al", "O", "H")])
+
+
 _FLAT = "concat('Ca', p_size, 'Si', 1 + p_partkey % 7, 'O', 2 + p_partkey % 5)"
 
 
-@query("""SELECT p_partkey, CAST(p_size AS DOUBLE) AS ca, 1.0 + p_partkey % 7 AS si, 2.0 + p_partkey % 5 AS o, 'Ca-O-Si' AS elements FROM part WHERE p_size > 0""".replace("1.0 + p_partkey % 7", "CAST(1 + p_partkey % 7 AS DOUBLE)").replace("2.0 + p_partkey % 5", "CAST(2 + p_partkey % 5 AS DOUBLE)"))
+@query("""SELECT p_partkey, nullif(CAST(p_size AS DOUBLE), 0) AS ca, 1.0 + p_partkey % 7 AS si, 2.0 + p_partkey % 5 AS o, CASE WHEN p_size = 0 THEN 'O-Si' ELSE 'Ca-O-Si' END AS elements FROM part""".replace("1.0 + p_partkey % 7", "CAST(1 + p_partkey % 7 AS DOUBLE)").replace("2.0 + p_partkey % 5", "CAST(2 + p_partkey % 5 AS DOUBLE)"))
 def formula_parse(spark, d):
-    rows = table(spark, d, "part").where("p_size > 0").select("p_partkey", chem.parse_column(F.expr(_FLAT)).alias("c"))
-    return rows.select("p_partkey", *[F.element_at("c", x).alias(x.lower()) for x in ("Ca", "Si", "O")], chem.element_key(F.col("c")).alias("elements"))
+    rows = table(spark, d, "part").select("p_partkey", chem.parse_column(F.expr(_FLAT)).alias("c"))
+    return rows.select("p_partkey", *[F.try_element_at("c", F.lit(x)).alias(x.lower()) for x in ("Ca", "Si", "O")], chem.element_key(F.col("c")).alias("elements"))
 
 
-@query()
+@query("""SELECT p_partkey, 'Al' || k || 'B20' || m AS formula, 'Al' || k || 'B2O' || m AS repaired, CASE WHEN k % 2 = 0 AND m % 2 = 0 THEN 'Al' || CASE WHEN k = 2 THEN '' ELSE CAST(k // 2 AS VARCHAR) END || 'BO' || CASE WHEN m = 2 THEN '' ELSE CAST(m // 2 AS VARCHAR) END
+WHEN m % 2 = 0 THEN 'Al' || k || '(BO' || CASE WHEN m = 2 THEN '' ELSE CAST(m // 2 AS VARCHAR) END || ')2' ELSE 'Al' || k || 'B2O' || CASE WHEN m = 1 THEN '' ELSE CAST(m AS VARCHAR) END END AS reduced FROM (SELECT p_partkey, 2 + p_partkey % 8 AS k, 1 + p_partkey % 9 AS m FROM part)""")
 def formula_reduce_and_repair(spark, d):
     """Formulas with misreadings, made from part keys: repaired by their names and reduced."""
     bad = F.concat(F.lit("Al"), (F.col("p_partkey") % 8 + 2).cast("string"), F.lit("B2"), F.lit("0"), (F.col("p_partkey") % 9 + 1).cast("string"))
@@ -710,10 +809,22 @@ def toc_outcomes(spark, d):
 
 
 @query(f"""WITH {_TOC}, {_OUTCOMES} SELECT row_id, CASE WHEN kind IN (2, 4) THEN 'no_structure_expected' WHEN kind = 0 AND k IN (4, 7) THEN 'matched' ELSE 'still_unmatched' END AS outcome,
-CASE WHEN kind = 0 AND k = 4 THEN '30' WHEN kind = 0 AND k = 7 THEN '12' END AS file FROM c WHERE material IS NULL""")
+CASE WHEN kind = 0 AND k = 4 THEN '30' WHEN kind = 0 AND k = 7 THEN '12' END AS cod_id, CASE WHEN kind = 0 AND k = 4 THEN 'P1' WHEN kind = 0 AND k = 7 THEN '' END AS cod_sg, CASE WHEN kind = 0 AND k IN (4, 7) THEN false END AS phase_name_verified FROM c WHERE material IS NULL""")
 def second_pass_outcomes(spark, d):
     """What the first pass left over, searched for in a second catalogue; organic substances expect no structure."""
     left = _entries(spark, d).where("material_id is null")
     held = [("9", "- Al4 B2 O4 -", None), ("30", "- Al2 B O2 -", "P1"), ("31", "- Al2 B O2 -", "P2"), ("12", "- Al4 B2 O7.01 -", ""), ("13", "- Al4 B2 O7.35 -", "P1"), ("14", "- C H -", "P1"), ("15", "- Si -", "P1")]
     catalogue = spark.createDataFrame([x for x in held if x[0] != "15"], "file string, formula string, sg string")
-    return toc.second_pass(left, catalogue).select("row_id", "outcome", "file")
+    return toc.second_pass(left, catalogue).select("row_id", "outcome", "cod_id", "cod_sg", "phase_name_verified")
+
+
+@query(f"""WITH {_TOC}, {_OUTCOMES}, g AS (SELECT row_id, ['Al4B20' || k, 'SiO2[CR]', 'C2H6[g]', 'CO', 'C6H6', 'Fe0.875S', 'SiO2[GL]', 'Xx' || k, 'Si1234' || CASE WHEN k IN (5, 8) THEN 7 ELSE k END, 'CaSO4*2H20', 'PaCl2[A]', 'KCl'][1 + kind] AS printed FROM r)
+SELECT row_id % 900 AS page, printed AS formula, bare, tag, CASE WHEN kind <> 2 THEN reduced END AS reduced, method, CASE WHEN material IS NULL THEN 'unmatched' ELSE 'matched' END AS put, CASE WHEN material IN ('a1', 's2', 'f1', 'g2', 'r1') THEN printed || '.cif' END AS file, count(*) AS n
+FROM c JOIN g USING (row_id) GROUP BY ALL""".replace("'KCI'", "'KCl'"))
+def toc_tables(spark, d):
+    """The two tables that a run ends with: matched rows with their structure's file, where one landed, and the others."""
+    landed_ids = spark.createDataFrame([("a1",), ("s2",), ("f1",), ("g2",), ("r1",)], "material_id string")
+    matched, unmatched = toc.tables(_entries(spark, d), landed_ids)
+    rows = outcomes.stack(matched.withColumn("put", F.lit("matched")), unmatched.withColumn("put", F.lit("unmatched")))
+    named_ = {"Page number": "page", "Formula": "formula", "bare_formula": "bare", "phase_tag": "tag", "reduced_formula": "reduced", "match_method": "method", "cif_file": "file"}
+    return rows.withColumnsRenamed(named_).groupBy(*named_.values(), "put").agg(F.count("*").alias("n"))

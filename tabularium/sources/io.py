@@ -56,13 +56,3 @@ def read_cifs(spark: SparkSession, path: str) -> DataFrame:
     field = lambda name: F.nullif(F.trim(F.regexp_extract("body", rf"(?m)^{name}\s+'?([^'\n]*)'?\s*$", 1)), F.lit(""))
     source = F.nullif(F.regexp_extract("body", r"(?m)^# Source:\s*(.*)$", 1), F.lit(""))
     return files.select("file", source.alias("source"), field("_symmetry_space_group_name_H-M").alias("spacegroup"), field("_chemical_formula_structural").alias("formula"), "body")
-
-
-def cif_loops(cifs: DataFrame) -> DataFrame:
-    """(file, loop, row, columns, text): the data rows of each loop_ block, in order."""
-    loops = cifs.select("file", F.posexplode(F.slice(F.split("body", r"(?m)^loop_\s*$"), 2, 1000)).alias("loop", "block"))
-    lines = F.filter(F.transform(F.split("block", "\n"), lambda x: F.trim(x)), lambda x: (x != "") & ~x.startswith("#"))
-    loops = loops.withColumn("lines", lines)
-    names = F.filter("lines", lambda x: x.startswith("_") & ~x.contains(" "))
-    rows = F.filter("lines", lambda x: ~x.startswith("_") & ~x.startswith("data_"))
-    return loops.select("file", "loop", names.alias("columns"), F.posexplode(rows).alias("row", "text"))
