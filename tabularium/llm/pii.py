@@ -10,7 +10,8 @@ The trees learn from two sources, each dealt half to fitting and half to calibra
 the documents (at most ``SAMPLE`` of those with seven digits in a row or so, by hash, at most 200 of a text), weakly labelled (1
 where a candidate is a base span, 0 where it lies inside a longer word, overlaps a base span without being it, or is a
 card-sized number that fails its check digit; others aren't learnt from), and examples composed by rule from a fixed
-seed, for the formats that the base kinds don't have. Texts are scanned whole; every pattern is linear in the text.
+seed, for the formats that the base kinds don't have. Texts are scanned whole; every pattern is linear in the text, and
+so is the choice of spans, but for moving what is already listed.
 
 Defined results: null text is empty; no finds give zero counts and empty spans; repeated rows are scanned each; without
 documents only the composed examples are learnt from; other columns are ignored.
@@ -20,7 +21,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +35,7 @@ from .common import map_rows, texts
 PRECISION = 0.98
 SAMPLE, ROWS = 2000, 8000  # documents that are learnt from, and their candidates, at most
 TREES, DEPTH, RATE = 60, 3, 0.2
+SCORED = 20_000  # candidates that are scored at a time
 
 # The base kinds' patterns, in the order of their spans.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -159,18 +163,24 @@ class Boosted:
             nodes: list = []
             self._grow(x, p - y, p * (1 - p), DEPTH, nodes)
             self.trees.append(nodes)
-            z += RATE * np.array([self._leaf(nodes, row) for row in x])
+            z += RATE * self._leaves(nodes, x)
         return self
 
     @staticmethod
-    def _leaf(nodes: list, row) -> float:
-        at = 0
-        while nodes[at][0] >= 0:
-            at = nodes[at][2] if row[nodes[at][0]] <= nodes[at][1] else nodes[at][3]
-        return nodes[at][4]
-
-    def score(self, row) -> float:
-        return float(1 / (1 + np.exp(-self.prior - RATE * sum(self._leaf(t, row) for t in self.trees))))
+    def _leaves(nodes: list, x: np.ndarray) -> np.ndarray:
+        """The leaf value of each row."""
+        feature, cut, left, right, value = map(np.array, zip(*nodes, strict=True))
+        at, rows = np.zeros(len(x), np.int64), np.arange(len(x))
+        for _ in range(DEPTH):
+            low = x[rows, feature[at]] <= cut[at]
+            at = np.where(feature[at] < 0, at, np.where(low, left[at], right[at]))
+        return value[at]
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        z = np.zeros(len(x))
+        for tree in self.trees:
+            z += self._leaves(tree, x)
+        return 1 / (1 + np.exp(-self.prior - RATE * z))
 
 
 def labelled(n: int = 3000, seed: int = 5) -> list[tuple[str, int, int, int, int]]:
@@ -221,7 +231,9 @@ def weak_rows(text: str) -> Iterator[tuple[list[float], int]]:
 
 def weak_sample(docs: DataFrame) -> list[tuple[list[float], int]]:
     """Weakly labelled candidates of at most ``SAMPLE`` documents, in a fixed order."""
-    some = docs.where(F.col("text").rlike(r"[0-9]([ ().-]{0,2}[0-9]){6}")).select(F.xxhash64("doc_id", "text").alias("h"), "text").orderBy("h").limit(SAMPLE)
+    able = docs.where(F.col("text").rlike(r"[0-9]([ ().-]{0,2}[0-9]){6}")).select(F.xxhash64("doc_id", "text").alias("h"), "text")
+    picked = able.select("h").distinct().orderBy("h").limit(SAMPLE)  # texts don't meet in one task: only hashes do
+    some = able.join(F.broadcast(picked), "h").dropDuplicates(["h"])
 
     def make():
         def step(batch: pa.RecordBatch):
@@ -241,23 +253,42 @@ def fit(weak: list[tuple[list[float], int]] = ()) -> tuple[Boosted, float]:
     # Of each half, every other row: both sources are in both.
     learn, tell = rows[::2] + list(weak[::2]), rows[1::2] + list(weak[1::2])
     model = Boosted().fit(np.array([x for x, _ in learn], float), np.array([y for _, y in learn], float))
-    p = np.array([model.score(x) for x, _ in tell])
+    p = model.scores(np.array([x for x, _ in tell], float))
     order = np.argsort(-p, kind="stable")
     right = np.cumsum(np.array([y for _, y in tell], float)[order]) / np.arange(1, len(order) + 1)
     good = np.flatnonzero((right >= PRECISION) & (np.append(np.diff(p[order]) < 0, True)))
     return model, float(p[order][good[-1]]) if len(good) else 1.1
 
 
-def find(text: str, model: Boosted, threshold: float) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
-    """Base spans, and all spans with those that the model adds."""
-    base = base_spans(text)
-    taken, more = [(s, e) for s, _, e in base], []
-    scored = [(model.score(candidate_features(text, s, e, g)), s, e) for s, e, g in candidates(text)]
-    for _, s, e in sorted((x for x in scored if x[0] >= threshold), key=lambda x: (-x[0], x[1], x[2])):
-        if not any(s < b and a < e for a, b in taken):
-            taken.append((s, e))
-            more.append((s, 4, e))
-    return base, sorted(base + more)
+def accepted(base: list[tuple[int, int, int]], scored: Iterable[tuple[float, int, int]]) -> list[tuple[int, int, int]]:
+    """The best scored spans first, those that overlap no base span and none taken before; sorted."""
+    starts, ends, high = [s for s, _, _ in base], [], 0
+    for _, _, e in base:  # the farthest end of this span and all before it
+        ends.append(high := max(high, e))
+    taken: list[tuple[int, int]] = []  # in order; they don't overlap
+    for _, s, e in sorted(scored, key=lambda x: (-x[0], x[1], x[2])):
+        at = bisect_left(starts, e)
+        if at and ends[at - 1] > s:
+            continue
+        at = bisect_left(taken, (e,))
+        if not at or taken[at - 1][1] <= s:
+            taken.insert(at, (s, e))
+    return [(s, 4, e) for s, e in taken]
+
+
+def find(texts: list[str], model: Boosted, threshold: float) -> Iterator[tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]]:
+    """Of each text, base spans, and all spans with those that the model adds. Candidates of all texts are scored together,
+    ``SCORED`` at a time."""
+    found: list[list[tuple[float, int, int]]] = [[] for _ in texts]
+    each = ((i, s, e, g) for i, text in enumerate(texts) for s, e, g in candidates(text))
+    while some := list(islice(each, SCORED)):
+        p = model.scores(np.array([candidate_features(texts[i], s, e, g) for i, s, e, g in some], float))
+        for at in np.flatnonzero(p >= threshold).tolist():
+            i, s, e, _ = some[at]
+            found[i].append((float(p[at]), s, e))
+    for text, scored in zip(texts, found, strict=True):
+        base = base_spans(text)
+        yield base, sorted(base + accepted(base, scored))
 
 
 def _told(spans: list[tuple[int, int, int]]) -> str:
@@ -272,8 +303,7 @@ def scan(docs: DataFrame) -> DataFrame:
     def make():
         def step(batch: pa.RecordBatch):
             out: dict[str, list] = {k: [] for k in ("n_email", "n_ip", "n_card", "n_phone", "n_model", "base_sha256", "spans")}
-            for text in batch.column(1).to_pylist():
-                base, every = find(text, model, threshold)
+            for base, every in find(batch.column(1).to_pylist(), model, threshold):
                 for k in range(5):
                     out[f"n_{KINDS[k]}"].append(sum(x[1] == k for x in every))
                 out["base_sha256"].append(hashlib.sha256(_told(base).encode()).hexdigest())

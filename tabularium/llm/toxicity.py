@@ -8,7 +8,8 @@ The restored text is scored by patterns (substrings of words) that mark toxic tr
 Aho-Corasick automaton, and a logistic regression over what they add up to. The trigrams are counted over all
 documents; the rest is fitted on a bounded sample of labelled rows (``SAMPLE``, the smallest hashes of doc_id; texts of
 over ``LONGEST`` characters aren't learnt from): patterns (from words of at most 40 letters) on one half, regression on
-the other. Every text is scored whole; tokens of more than ``WORD`` characters are decoded in parts of that length.
+the other. Every text is scored whole and every token decoded in one pass, however long. The decoder's model holds the
+``GRAMS`` commonest trigrams (all of them, but in corpora of very many scripts); rarer ones have their letters' probabilities.
 
 Defined results: null text is empty; empty text gets the score of a text without patterns; rows with equal texts get
 equal scores; repeated labels of a document count as toxic if any is; of rows with one doc_id the least text is learnt
@@ -18,6 +19,7 @@ from; without usable labels every score is that of log odds -30 (about 1e-13); o
 from __future__ import annotations
 
 import math
+import os
 import re
 import sys
 import uuid
@@ -37,7 +39,8 @@ SAMPLE = 6000  # labelled documents that the models are fitted on, at most
 THRESHOLD = 0.3
 LONGEST = 20_000  # characters of a text that is learnt from, at most
 MEMO = 150_000  # tokens that a worker remembers the restored form of; a full memo is emptied
-WORD = 64  # characters of a token that are decoded at a time and remembered, at most
+WORD = 64  # characters of a token that is remembered, at most
+GRAMS = 200_000  # trigrams that the decoder's model holds, at most
 
 # The letters that a character is used to imitate.
 IMITATES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "aeiou", "#": "h"}
@@ -80,22 +83,27 @@ class CharTrigrams:
         return self.memo[gram]
 
 
+def lattice(token: str) -> Iterator[tuple[list[tuple[str, float]], float | None]]:
+    """For each character, the letters that it may stand for and what they cost, and the cost of leaving it out (null: not allowed)."""
+    run = 0
+    for i, c in enumerate(token):
+        run = run + 1 if i and token[i - 1] == c else 1
+        arcs: list[tuple[str, float]] = [(c, 0.0)] if c.isalpha() else []
+        arcs += [(x, SWAP) for x in IMITATES.get(c, "")]
+        yield arcs, DROP if c in SEPARATORS or not arcs else REPEAT if run >= 2 and (run >= 3 or token[i + 1 : i + 2] == c) else LOSE if not c.isalpha() else DOUBLE if run == 2 else None
+
+
 @dataclass
 class Restorer:
     lm: CharTrigrams
     memo: dict[str, str] = field(default_factory=dict)
 
     def decode(self, token: str) -> str:
-        """The likeliest word behind a token's characters."""
-        if len(token) > WORD:
-            return "".join(self.decode(token[at : at + WORD]) for at in range(0, len(token), WORD))
+        """The likeliest word behind a token's characters. What all paths agree on is put aside as it grows, so that a path's
+        text stays short."""
         paths: dict[str, tuple[float, str]] = {"^^": (0.0, "")}
-        run = 0
-        for i, c in enumerate(token):
-            run = run + 1 if i and token[i - 1] == c else 1
-            arcs: list[tuple[str, float]] = [(c, 0.0)] if c.isalpha() else []
-            arcs += [(x, SWAP) for x in IMITATES.get(c, "")]
-            drop = DROP if c in SEPARATORS or not arcs else REPEAT if run >= 2 and (run >= 3 or token[i + 1 : i + 2] == c) else LOSE if not c.isalpha() else DOUBLE if run == 2 else None
+        agreed: list[str] = []
+        for i, (arcs, drop) in enumerate(lattice(token)):
             step: dict[str, tuple[float, str]] = {}
             for last, (score, said) in paths.items():
                 for x, cost in arcs:
@@ -105,7 +113,10 @@ class Restorer:
                 if drop is not None and (last not in step or step[last] < (score + drop, said)):
                     step[last] = (score + drop, said)
             paths = step
-        return max((score + self.lm.log(last + "$"), said) for last, (score, said) in paths.items())[1] if paths else token
+            if i % WORD == WORD - 1 and (common := os.path.commonprefix([said for _, said in paths.values()])):
+                agreed.append(common)
+                paths = {last: (score, said[len(common) :]) for last, (score, said) in paths.items()}
+        return "".join(agreed) + max((score + self.lm.log(last + "$"), said) for last, (score, said) in paths.items())[1] if paths else token
 
     def word(self, token: str) -> str:
         """A token's restored form, remembered unless it is very long."""
@@ -127,7 +138,9 @@ class Restorer:
         if core.isalpha() and not _TWICE.search(core):
             return core  # one reading
         letters = sum(c.isalpha() for c in core)
-        return self.decode(core) if letters and len(core) < 4 * letters else token
+        # Marks that imitate letters count beside them, as long as there is a letter at all.
+        like = letters + sum(c in IMITATES and not c.isdigit() or c in "0134" for c in core)
+        return self.decode(core) if letters and len(core) < 4 * max(letters, like) else token
 
     def spaced(self, m: re.Match) -> str:
         """Spaced-out letters as one word, as the words that wider gaps part, and as they are."""
@@ -161,7 +174,7 @@ def _grams(words: Counter) -> Counter:
 
 
 def count_grams(docs: DataFrame) -> dict[str, int]:
-    """Trigram counts over all texts: as many rows as there are different trigrams come to the driver."""
+    """Trigram counts over all texts: the ``GRAMS`` commonest of them come to the driver."""
 
     def make():
         words, grams, held = Counter(), Counter(), [0]
@@ -183,8 +196,8 @@ def count_grams(docs: DataFrame) -> dict[str, int]:
         step.last = end
         return step
 
-    rows = map_rows(texts(docs).select("text"), "gram string, k long", make).groupBy("gram").agg(F.sum("k").alias("k")).orderBy("gram")
-    return {r["gram"]: r["k"] for r in rows.collect()}
+    rows = map_rows(texts(docs).select("text"), "gram string, k long", make).groupBy("gram").agg(F.sum("k").alias("k")).orderBy(F.desc("k"), "gram").limit(GRAMS)
+    return {r["gram"]: r["k"] for r in sorted(rows.collect(), key=lambda r: r["gram"])}
 
 
 def _plain_words(text: str) -> set[str]:

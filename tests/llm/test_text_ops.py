@@ -201,10 +201,10 @@ def test_emails_by_at_signs(t):
 
 def test_pii_model():
     model, threshold = pii.fit()
-    base, found = pii.find("please call me on phone: (555) 123-4567 or order no. 20240131", model, threshold)
+    base, found = next(pii.find(["please call me on phone: (555) 123-4567 or order no. 20240131"], model, threshold))
     assert base == [] and [k for _, k, _ in found] == [4] and found[0][0] == 25
     rows = pii.labelled(600, seed=77)
-    kept = [(model.score(pii.candidate_features(*r[:4])) >= threshold, r[4]) for r in rows]
+    kept = [(p >= threshold, r[4]) for p, r in zip(model.scores(np.array([pii.candidate_features(*r[:4]) for r in rows], float)), rows, strict=True)]
     assert sum(a and b for a, b in kept) >= 0.9 * sum(b for _, b in kept) and sum(a and not b for a, b in kept) <= 0.05 * sum(a for a, _ in kept)
 
 
@@ -263,3 +263,49 @@ def test_chunk_encoder():
     tok, mine = Tokenizer.from_file(tokenizer_path()), packing.ChunkEncoder(tokenizer_path())
     texts = ["", "don't I'll 's", "<|endoftext|> x<|endoftext|>y <|ENDOFTEXT|>", "É É ﬁ ǅ İ ΣΑΣ ß", "a\x1cb y　z", "…, “x”. é., 12ab", "a..,!! b&&&%% c|", "Ⅷ x² ſ", "中文 a中 é中."]
     assert mine(texts) == [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_pii_spans_against_all_pairs():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        base = sorted((int(a), int(k), int(a + n)) for a, k, n in zip(rng.integers(0, 300, 8), rng.integers(0, 4, 8), rng.integers(1, 30, 8), strict=True))
+        scored = [(float(p), int(a), int(a + n)) for p, a, n in zip(rng.integers(0, 4, 40) / 4, rng.integers(0, 300, 40), rng.integers(1, 25, 40), strict=True)]
+        taken, want = [(s, e) for s, _, e in base], []
+        for _, s, e in sorted(scored, key=lambda x: (-x[0], x[1], x[2])):
+            if not any(s < b and a < e for a, b in taken):
+                taken.append((s, e))
+                want.append((s, 4, e))
+        assert pii.accepted(base, scored) == sorted(want)
+
+
+def test_pii_takes_pages_of_numbers():
+    model, threshold = pii.fit()
+    text = "".join(f"call {i % 900 + 100}-555-{i % 9000 + 1000}, card 4325404893167{i % 900 + 100}; " for i in range(20_000))
+    began = time.perf_counter()
+    base, every = next(pii.find([text], model, threshold))
+    assert len(every) > 15_000 and time.perf_counter() - began < 20
+
+
+def test_decoding_takes_the_best_path():
+    """Viterbi over short tokens against every path of their lattices."""
+    from itertools import product
+
+    lm = toxicity.fit([(t, 0) for t in ["the idiot is an asshole and a villain here", "less is more, good books sell well"]] * 9).lm
+    restore = toxicity.Restorer(lm)
+    for token in ["1d10t", "a$$", "v1l", "b00k", "s.e.l", "g00d", "h3re", "we11", "|e$s", "x*y", "aab", "5e11"]:
+        arcs = [[*a, *([("", d)] if d is not None else [])] for a, d in toxicity.lattice(token)]
+        best = (-1e9, "")
+        for path in product(*arcs):
+            last, score, said = "^^", 0.0, ""
+            for x, cost in path:
+                score += cost + (lm.log(last + x) if x else 0.0)
+                last, said = (last[1] + x, said + x) if x else (last, said)
+            best = max(best, (score + lm.log(last + "$"), said), key=lambda b: (round(b[0], 9), b[1]))
+        assert restore.decode(token) == best[1], token
+
+
+def test_long_tokens_are_decoded_in_one_pass():
+    restore = toxicity.Restorer(toxicity.fit([("people idiot asshole are here", 0)] * 20).lm)
+    for n in (1, 9, 10, 11, 100, 1400):
+        assert restore.word("people/" * n + "1d10t") == "people" * n + "idiot"
+    assert restore.word("4$$h0|e") == "asshole"
