@@ -251,16 +251,17 @@ def _candidates(signed: DataFrame, reps: DataFrame, threshold: float, trees: int
     agree = threshold + (1 - threshold) / 16
     most = math.ceil(COORDS * (1 - agree) + 4 * math.sqrt(COORDS * agree * (1 - agree)))
     rows = signed.join(reps.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi").select(F.col("doc_id").alias("doc"), "sig")
-    rows = materialise(rows, "rows")  # read three times
+    rows = materialise(rows, "rows")  # read twice
     found, done, dense = [], 0, None
     expected = reps.count() * trees
     for depth in DEPTHS:
         last = depth == DEPTHS[-1]
         expected *= (1 + share) ** (depth - done)
         # A node with over a thousandth of all rows isn't gathered in a task: its members go on from where they are.
-        sizes = _nodes(rows, depth - done, trees, share, False).groupBy("node").agg(F.count("*").alias("n"), F.min("doc").alias("first"))
+        paths = materialise(_nodes(rows, depth - done, trees, share, False), f"paths{depth}")
+        sizes = paths.groupBy("node").agg(F.count("*").alias("n"), F.min("doc").alias("first"))
         hot = F.broadcast(materialise(sizes.where(F.col("n") > max(leaf, expected / HOT_KEYS)), "large"))
-        big = materialise(_nodes(rows, depth - done, trees, share, False).join(hot, "node").select("node", "doc", "first", "n"), f"big{depth}")
+        big = materialise(paths.join(hot, "node").select("node", "doc", "first", "n"), f"big{depth}")
         cold = _nodes(rows, depth - done, trees, share).join(hot.select("node"), "node", "left_anti")
         out = materialise(_compare(cold, leaf, most, last), f"nodes{depth}")
         found.append(out.where("kind = 0").select("a", "b", "node", "off"))
