@@ -204,57 +204,74 @@ def _plain_words(text: str) -> set[str]:
     return {w for w in (t.strip(_EDGE) for t in text.split()) if w}
 
 
-def _patterns(docs: list[tuple[set[str], int]]) -> dict[str, float]:
-    """Substrings of words (4 letters or more, or whole words) and their log odds between toxic and other documents."""
+def _patterns(docs: list[tuple[tuple[str, ...], int]]) -> dict[str, float]:
+    """Substrings of words (4 letters or more, or whole words) and their log odds between toxic and other documents.
+
+    Sets of documents are bits of whole numbers, toxic ones and others numbered apart.
+    """
     import ahocorasick
 
     toxic = sum(y for _, y in docs)
     clean = len(docs) - toxic
-    where: dict[str, list[int]] = defaultdict(list)
-    for i, (words, _) in enumerate(docs):
+    hot: dict[str, int] = defaultdict(int)  # a word's toxic documents
+    cold: dict[str, list[int]] = defaultdict(list)  # and its other ones
+    number = [0, 0]
+    for words, y in docs:
         for w in words:
-            where[w].append(i)
-    label = [y for _, y in docs]
+            if y:
+                hot[w] |= 1 << number[1]
+            else:
+                cold[w].append(number[0])
+        number[y] += 1
     odds = lambda t, c: math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
+
+    def bits(at: list[int]) -> int:
+        out = bytearray(clean // 8 + 1)
+        for i in at:
+            out[i >> 3] |= 1 << (i & 7)
+        return int.from_bytes(out, "little")
+
     # Longer patterns are only looked for in words with a five-letter part that is itself telling.
-    fives: dict[str, set[int]] = defaultdict(set)
     parts = lambda w: {f" {w} "[i : i + 5] for i in range(len(w) - 2)}
-    for w, at in where.items():
-        if (t := [i for i in at if label[i]]) and len(w) <= 40:
+    fives: dict[str, int] = defaultdict(int)
+    for w, t in hot.items():
+        if len(w) <= 40:
             for g in parts(w):
-                fives[g].update(t)
-    fives = {g: t for g, t in fives.items() if len(t) >= 5}
-    clear: dict[str, set[int]] = defaultdict(set)
-    for w, at in where.items():
-        for g in parts(w) & fives.keys():
-            clear[g].update(i for i in at if not label[i])
-    telling = {g for g, t in fives.items() if odds(len(t), len(clear[g])) > 1.5}
+                fives[g] |= t
+    fives = {g: t for g, t in fives.items() if t.bit_count() >= 5}
+    clear: dict[str, int] = defaultdict(int)
+    for w, at in cold.items():
+        if shared := parts(w) & fives.keys():
+            others = bits(at)
+            for g in shared:
+                clear[g] |= others
+    telling = {g for g, t in fives.items() if odds(t.bit_count(), clear[g].bit_count()) > 1.5}
     del fives, clear
-    seeds: dict[str, set[int]] = defaultdict(set)
-    for w, at in where.items():
-        if any(label[i] for i in at) and len(w) <= 40 and not telling.isdisjoint(parts(w)):
+    seeds: dict[str, int] = defaultdict(int)
+    for w, t in hot.items():
+        if len(w) <= 40 and not telling.isdisjoint(parts(w)):
             marked = f" {w} "
             for lo in range(len(marked)):
                 for hi in range(lo + 4, min(lo + 12, len(marked)) + 1):
-                    seeds[marked[lo:hi]].update(i for i in at if label[i])
-    seeds = {s: t for s, t in seeds.items() if len(t) >= 5}
+                    seeds[marked[lo:hi]] |= t
+    seeds = {s: t for s, t in seeds.items() if t.bit_count() >= 5}
     if not seeds:
         return {}
     machine = ahocorasick.Automaton()
     for s in seeds:
         machine.add_word(s, s)
     machine.make_automaton()
-    against: dict[str, set[int]] = defaultdict(set)
-    for w, at in where.items():
-        others = [i for i in at if not label[i]]
-        if others:
-            for _, s in machine.iter(f" {w} "):
-                against[s].update(others)
+    against: dict[str, int] = defaultdict(int)
+    for w, at in cold.items():
+        if found := {s for _, s in machine.iter(f" {w} ")}:
+            others = bits(at)
+            for s in found:
+                against[s] |= others
     kept: dict[str, float] = {}
-    seen: set[frozenset] = set()
-    for s, t in sorted(seeds.items(), key=lambda x: (-len(x[1]), len(against[x[0]]), -len(x[0]), x[0])):
-        if (o := odds(len(t), len(against[s]))) > 3.5 and (docs_of := frozenset(t)) not in seen:
-            seen.add(docs_of)
+    seen: set[int] = set()
+    for s, t in sorted(seeds.items(), key=lambda x: (-x[1].bit_count(), against[x[0]].bit_count(), -len(x[0]), x[0])):
+        if (o := odds(t.bit_count(), against[s].bit_count())) > 3.5 and t not in seen:
+            seen.add(t)
             kept[s] = o
     return kept
 
@@ -298,7 +315,7 @@ def fit(rows: list[tuple[str, int]], grams: dict[str, int] | None = None) -> Mod
     restore = Restorer(model.lm)
     if len({int(y) for _, y in rows}) < 2:
         return model
-    model.patterns = _patterns([({*map(sys.intern, _plain_words(restore(t)))}, int(y)) for t, y in rows[::2]])
+    model.patterns = _patterns([(tuple(map(sys.intern, _plain_words(restore(t)))), int(y)) for t, y in rows[::2]])
     import ahocorasick
 
     machine = ahocorasick.Automaton()
