@@ -6,8 +6,10 @@ other words share one of ``SPELT`` symbols by their last three bytes; within suc
 share of its count. p(word | context) = p(symbol | context) * p(word | symbol), normalised exactly over all symbols
 by batched matrix products.
 
-Training: every task runs one epoch of minibatch NCE over all its training tokens from the same start (unigram bias,
-so it starts at the unigram level), and parameters are averaged, weighted by tokens, by a Spark aggregation.
+Training: texts, as symbols, are dealt to shares of about ``SHARE`` tokens by hash of id, symbols and copy number (equal
+rows are counted before they are shuffled). A share is one epoch of minibatch NCE over all its tokens in a fixed order
+from the same start (unigram bias, so it starts at the unigram level), and parameters are averaged, weighted by tokens,
+by a Spark aggregation. So scores depend on the rows alone, not on how they are dealt to tasks, but for the rounding of sums.
 Counts of the ``LEXICON`` most frequent words (a fixed bound) travel with the scoring tasks; all others are looked
 up by a shuffled join, per document, so nothing that grows with the corpus is broadcast.
 
@@ -31,6 +33,8 @@ from .common import fold_of, map_rows, materialise, texts
 
 HEAD, SPELT, LEXICON = 160, 224, 200_000
 CONTEXT, DIM, NOISE, BATCH = 4, 24, 48, 1024
+SHARE = 1_000_000  # tokens that one model is trained on before models are averaged, about
+COPIES = 4096  # copies of a row that are told apart at a time
 SCORED = 512  # tokens scored at a time: their logits stay in the cache
 FLUSH = 300_000  # distinct words a task holds before it hands on partial counts
 SYMBOLS = HEAD + SPELT + 1  # the last is the padding before a text; it is never predicted
@@ -173,44 +177,70 @@ class Nce:
         self.seen += n
 
 
+def _shares(docs: DataFrame, lex: Lexicon) -> DataFrame:
+    """(share, sym) for every row, share by share, in an order that doesn't depend on how the rows came."""
+
+    def make():
+        known, symbol = lex.task()
+        size = len(lex.words)
+
+        def step(batch: pa.RecordBatch) -> dict:
+            return {"doc_id": batch.column(0), "sym": [symbol[_codes(t, known, size)[0]].astype(np.int16).tobytes() for t in batch.column(1).to_pylist()]}
+
+        return step
+
+    equal = map_rows(docs.select("doc_id", "text"), "doc_id long, sym binary", make).groupBy("doc_id", "sym").agg(F.count("*").alias("n"))
+    rows = equal.select("doc_id", "sym", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))).alias("many"))
+    rows = rows.select("doc_id", "sym", "many", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(COPIES), F.col("n") - F.col("many") * COPIES))).alias("one"))
+    rows = rows.select("doc_id", "sym", (F.col("many") * COPIES + F.col("one")).alias("copy"))
+    shares = max(1, math.ceil(lex.n / SHARE))
+    dealt = rows.withColumn("share", F.pmod(F.xxhash64("doc_id", "sym", "copy"), F.lit(shares)).cast("int"))
+    return dealt.repartitionById(shares, "share").sortWithinPartitions("share", "doc_id", "sym").select("share", "sym")
+
+
 def fit(docs: DataFrame, lex: Lexicon) -> dict[str, np.ndarray]:
-    """One epoch of NCE in every task over all its tokens, averaged by tokens."""
+    """One epoch of NCE over every share of ``docs`` (doc_id, text), averaged by tokens."""
     first = start(lex.unigram)
     shapes = {k: v.shape for k, v in first.items()}
 
     def make():
-        known, symbol = lex.task()
-        size, model = len(lex.words), Nce(first, lex.unigram, 1 + TaskContext.get().partitionId())
-        held: list = [[], [], 0]
+        total, model, held, at_share = np.zeros(sum(v.size for v in first.values()) + 1), [None], [[], [], 0], [None]
 
         def learn():
             if held[2]:
-                sym, begins = symbol[np.concatenate(held[0])], np.array(held[1])
-                ctx, order = contexts(sym, begins), model.rng.permutation(len(sym))
+                sym, begins = np.concatenate(held[0]), np.array(held[1])
+                ctx, order = contexts(sym, begins), model[0].rng.permutation(len(sym))
                 for at in range(0, len(sym), BATCH):
                     some = order[at : at + BATCH]
-                    model.batch(ctx[:, some], sym[some])
+                    model[0].batch(ctx[:, some], sym[some])
             held[:] = [[], [], 0]
 
+        def close():
+            learn()
+            if model[0]:
+                flat = np.concatenate([model[0].p[k].ravel() for k in shapes]).astype(np.float64)
+                total[:] += np.append(flat, 1.0) * model[0].seen
+
         def step(batch: pa.RecordBatch):
-            for text in batch.column(0).to_pylist():
-                codes = np.array(_codes(text, known, size)[0], np.int64)
-                held[0].append(codes)
+            for share, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if share != at_share[0]:
+                    close()
+                    at_share[0], model[0] = share, Nce(first, lex.unigram, 1 + share)
+                held[0].append(np.frombuffer(raw, np.int16).astype(np.int64))
                 held[1].append(held[2])
-                held[2] += len(codes)
+                held[2] += len(held[0][-1])
                 if held[2] >= 64 * BATCH:
                     learn()
             return ()
 
         def end():
-            learn()
-            flat = np.concatenate([model.p[k].ravel() for k in shapes]).astype(np.float64)
-            yield {"i": np.arange(len(flat) + 1), "x": np.append(flat * model.seen, float(model.seen))}
+            close()
+            yield {"i": np.arange(len(total)), "x": total}
 
         step.last = end
         return step
 
-    rows = map_rows(docs.select("text"), "i int, x double", make).groupBy("i").agg(F.sum("x").alias("x")).collect()
+    rows = map_rows(_shares(docs, lex), "i int, x double", make).groupBy("i").agg(F.sum("x").alias("x")).collect()
     flat = np.zeros(sum(v.size for v in first.values()) + 1)
     for r in rows:
         flat[r["i"]] = r["x"]
