@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from .common import lookup, map_rows, materialise, texts
 
 BLOCK = 576
+SHOWN = "position int, kind string, n_chars int, digest string, caption string"  # of a document's parts, its text not repeated
 PART = "position int, kind string, text string, src string, digest string, caption string"
 _MAGIC = b"\x89PNG\r\n\x1a\n"
 _MEDIA = {"img": "src", "video": "src", "audio": "src", "source": "src", "embed": "src"}
@@ -101,11 +102,15 @@ def parts_of(html: str) -> list[dict]:
     return out
 
 
+def _listed(fields: str) -> str:
+    return f"array<struct<{fields.replace(', ', ',').replace(' ', ':')}>>"
+
+
 def interleave(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """(key, parts): the sequence of each page's html."""
     rows = pages.select(F.col(key).cast("long").alias(key), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     make = lambda: lambda batch: {key: batch.column(0), "parts": [parts_of(h) for h in batch.column(1).to_pylist()]}
-    return map_rows(rows, f"{key} long, parts array<struct<{PART.replace(' ', ':').replace(',:', ',')}>>", make)
+    return map_rows(rows, f"{key} long, parts {_listed(PART)}", make)
 
 
 def resolve(sequences: DataFrame, store: DataFrame, key: str = "page_id") -> DataFrame:
@@ -164,14 +169,14 @@ def describe(payload: bytes) -> str:
 
 def page_of(text: str, digest: str) -> str:
     """A document as an interleaved page: its text, then its payload as a figure with a caption."""
-    words = markup.escape(" ".join(text[:200].split()[:8]))
+    words = markup.escape(" ".join(text.split(None, 8)[:8]))
     return f'<article><pre>{markup.escape(text)}</pre><figure><img src="media:sha256:{digest}" alt=""><figcaption>{words}</figcaption></figure></article>'
 
 
 def _stored(docs: DataFrame) -> DataFrame:
     def make():
         def step(batch: pa.RecordBatch):
-            names = ("doc_id", "n_bytes", "digest", "media", "n_parts", "position", "caption")
+            names = ("doc_id", "n_bytes", "digest", "media", "parts")
             for at in range(0, batch.num_rows, 200):
                 out: dict[str, list] = {k: [] for k in names}
                 some = batch.slice(at, 200)
@@ -180,13 +185,14 @@ def _stored(docs: DataFrame) -> DataFrame:
                     payload = padded(raw)
                     parts = parts_of(page_of(text, hashlib.sha256(payload).hexdigest()))
                     ref = next(p for p in parts if p["kind"] == "media")
-                    for k, v in zip(names, (doc, len(raw), ref["digest"], encode_png(payload), len(parts), ref["position"], ref["caption"]), strict=True):
+                    shown = [{"position": p["position"], "kind": p["kind"], "n_chars": None if p is ref else len(p["text"]), "digest": p["digest"], "caption": p["caption"]} for p in parts]
+                    for k, v in zip(names, (doc, len(raw), ref["digest"], encode_png(payload), shown), strict=True):
                         out[k].append(v)
                 yield out
 
         return step
 
-    return map_rows(docs, "doc_id long, n_bytes long, digest string, media binary, n_parts int, position int, caption string", make)
+    return map_rows(docs, f"doc_id long, n_bytes long, digest string, media binary, parts {_listed(SHOWN)}", make)
 
 
 def _read_back(store: DataFrame) -> DataFrame:
@@ -206,10 +212,14 @@ def _read_back(store: DataFrame) -> DataFrame:
 
 
 def document_media(docs: DataFrame) -> DataFrame:
-    """Each document's payload stored, read back, described, and joined to its reference by digest."""
+    """Each document's sequence, its payload stored, read back, described, and joined to its reference by digest.
+
+    ``parts`` are the parsed page's parts in order, text by its length, media by digest and caption (the text's first
+    eight words, however long they are).
+    """
     docs = texts(docs, F.col("doc_id").cast("long").alias("doc_id"))
     stored = materialise(_stored(docs), "media")
     known = materialise(_read_back(stored).dropDuplicates(["digest"]), "described")
-    refs = stored.select("doc_id", "n_bytes", "digest", "n_parts", F.col("position").alias("media_position"), "caption")
+    refs = stored.select("doc_id", "n_bytes", "digest", "parts")
     rows = lookup(refs, known, "digest", refs.count())
-    return rows.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_parts", "media_position", "caption")
+    return rows.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", F.size("parts").alias("n_parts"), (F.size("parts") - 1).alias("media_position"), F.element_at("parts", -1)["caption"].alias("caption"), "parts")
