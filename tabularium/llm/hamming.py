@@ -6,8 +6,9 @@ segments 0..j were searched to radius r and the rest to r - 1, every code not se
 r * m + j + 1 bits, so the search ends as soon as the kth distance is below that: ties at the kth distance are all
 seen, and the result is exact.
 
-Rows are dealt to index blocks by hash of their id and queries to query blocks; each pair of blocks is one task's
-group, bounded by the block sizes. Equal codes share one index entry, so a very common vector costs one probe.
+Rows are dealt once, to index blocks of about ``ROWS`` by hash of their id, and every query goes to every block. A task
+reads a block's rows, indexes them once and then answers the block's queries as they stream by. Equal codes share one
+index entry, so a very common vector costs one probe.
 
 Defined results: rows with a null id, or a null, empty or differently sized vector are neither indexed nor asked;
 a row is never its own neighbour; ties go to the smaller id; repeated rows with one id count once; fewer than k
@@ -19,15 +20,15 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import map_rows, materialise
 
 SEGMENT = 16
-ROWS, ASKED = 131_072, 4096  # of an index block and of a query block, about
+ROWS = 131_072  # of an index block, about
 
 
 def _masks() -> list[np.ndarray]:
@@ -99,7 +100,7 @@ def sign_codes(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding
     return rows.select("id", "n", F.array_join(parts, "").alias("code"))
 
 
-def _array(codes: pd.Series) -> np.ndarray:
+def _array(codes: list[str]) -> np.ndarray:
     raw = bytes.fromhex("".join(codes))
     return np.frombuffer(raw, ">u2").astype(np.uint16).reshape(len(codes), -1)
 
@@ -110,23 +111,37 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 10, key: str = "vec_id",
     sizes = rows.groupBy("n").count().orderBy(F.desc("count"), "n").first()
     rows = rows.where(F.col("n") == F.lit(sizes["n"] if sizes else 0))
     total = sizes["count"] if sizes else 0
-    blocks, asks = max(8, math.ceil(total / ROWS)), max(1, math.ceil(total / every / ASKED))
-    dealt = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    index = rows.select("id", "code", dealt(blocks).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(asks - 1))).alias("ask"))
+    blocks = max(8, math.ceil(total / ROWS))
+    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block")
+    index = rows.select("id", "code", block, F.lit(False).alias("asks"))
     queries = rows.where(F.col("id") % every == 0).dropDuplicates(["id"])
-    queries = queries.select("id", "code", dealt(asks).alias("asked"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("held"))
-
-    def search(held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(held) and len(asked):
-            held = held.sort_values(["id", "code"])
-            index = MultiIndex(_array(held["code"]), held["id"].to_numpy())
-            for own, code in zip(asked["id"].tolist(), _array(asked["code"]), strict=True):
-                out += [(own, i, d) for d, i in index.search(code, own, k)]
-        return pd.DataFrame(out, columns=["query_id", "neighbour_id", "distance"]).astype({"query_id": "int64", "neighbour_id": "int64", "distance": "int32"})
-
-    # As many tasks as pairs of blocks: the rows are few bytes, but each pair is a search of its own.
-    index, queries = index.repartition(blocks * asks, "block", "ask"), queries.repartition(blocks * asks, "held", "asked")
-    near = index.groupBy("block", "ask").cogroup(queries.groupBy("held", "asked")).applyInPandas(search, "query_id long, neighbour_id long, distance int")
+    queries = queries.select("id", "code", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("asks"))
+
+    def make():
+        at, ids, codes, built = [None], [], [], [None]  # the block that is open; its rows, then their index
+
+        def step(batch: pa.RecordBatch) -> dict:
+            out: list = []
+            for own, code, block, asks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if block != at[0]:
+                    at[0], built[0] = block, None
+                    ids.clear()
+                    codes.clear()
+                if not asks:
+                    ids.append(own)
+                    codes.append(code)
+                    continue
+                if built[0] is None and ids:
+                    built[0] = MultiIndex(_array(codes), np.array(ids, np.int64))
+                if built[0] is not None:
+                    out += [(own, i, d) for d, i in built[0].search(_array([code])[0], own, k)]
+            asked, found, dist = zip(*out, strict=True) if out else ((), (), ())
+            return {"query_id": asked, "neighbour_id": found, "distance": dist}
+
+        return step
+
+    # Numbers of blocks are partitions, so each block is a task of its own; its rows come before its queries.
+    dealt = index.unionByName(queries).repartitionById(blocks, "block").sortWithinPartitions("block", "asks", "id", "code")
+    near = map_rows(dealt.select("id", "code", "block", "asks"), "query_id long, neighbour_id long, distance int", make)
     best = W.partitionBy("query_id").orderBy("distance", "neighbour_id")
     return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "neighbour_id", "distance")
