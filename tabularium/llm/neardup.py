@@ -446,9 +446,10 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round keeps, for each v, its smallest neighbour and that neighbour's own, and links the others to it.
     The number of rounds follows the logarithm of a component's depth; states are written tables. Both joins are sort
-    merge joins whose results are written as they come, so that a hub id's rows are split over tasks (AQE).
+    merge joins whose results are written as they come, so that a hub id's rows are split over tasks (AQE). Equal links
+    are left in: a round makes at most as many links as it is given.
     """
-    links = materialise(links.distinct(), "links")
+    links = materialise(links, "links")
     while True:
         low = materialise(links.groupBy("v").agg(F.min("r").alias("m"), F.max("r").alias("x")), "low")
         up = low.select(F.col("v").alias("m"), F.col("m").alias("above"))
@@ -457,7 +458,7 @@ def components(links: DataFrame) -> DataFrame:
         if star.where("moved").isEmpty():
             return star.select("v", F.col("r").alias("root"))
         rest = links.join(low.select("v", "m").hint("merge"), "v").where("r <> m").select(F.greatest("r", "m").alias("v"), F.least("r", "m").alias("r"))
-        links = materialise(star.select("v", "r").unionByName(rest).distinct(), "links")
+        links = materialise(star.select("v", "r").unionByName(rest), "links")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, recall: float = 0.99, leaf: int = 48) -> DataFrame:
