@@ -56,6 +56,17 @@ def test_lm_is_not_cut_to_a_budget():
     assert p["r"].shape == p["q"].shape and p["r"].shape[0] >= 385 and p["r"].shape[1] >= 24
 
 
+def test_lm_scores_do_not_depend_on_tasks(docs, spark):
+    """Two shares, rows dealt in two ways; a row that many copies repeat is dealt over shares."""
+    some = docs.select("doc_id", "text").unionByName(spark.range(9000).selectExpr("cast(null as long) as doc_id", "'a row that is repeated' as text"))
+    lm_nce.SHARE, share = 100_000, lm_nce.SHARE
+    try:
+        one, many = ({r["doc_id"]: r["score"] for r in lm_nce.score_documents(some.repartition(n)).collect()} for n in (1, 7))
+    finally:
+        lm_nce.SHARE = share
+    assert all(math.isclose(one[i], many[i], rel_tol=1e-4) for i in one)
+
+
 def test_lm_messy(messy, empty):
     rows = lm_nce.score_documents(messy).collect()
     assert len(rows) == 12 and all(r["score"] <= 0 for r in rows) and {r["n_tokens"] for r in rows if r["doc_id"] in (2, 3, 4)} == {1}
@@ -134,6 +145,14 @@ def test_media(docs, plain, messy, empty, spark):
     assert [(r["position"], r["size"]) for r in got] == [(0, None), (1, 9), (2, None), (3, None)]
 
 
+def test_media_sequences(spark):
+    """Parts keep order, length, digest and the whole text's first words, wherever those are."""
+    late = " " * 300 + "first words come <late> & are whole after many blanks"
+    rows = {r["doc_id"]: r for r in media.document_media(spark.createDataFrame([(1, late), (2, ""), (3, None)], "doc_id long, text string")).collect()}
+    assert [tuple(p) for p in rows[1]["parts"]] == [(0, "text", len(late), None, None), (1, "media", None, hashlib.sha256(media.padded(late.encode())).hexdigest(), "first words come <late> & are whole after")]
+    assert rows[1]["caption"] == rows[1]["parts"][1]["caption"] and [p["kind"] for p in rows[2]["parts"]] == ["media"] and rows[2]["parts"] == rows[3]["parts"]
+
+
 def test_toxicity(spark, messy, empty):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
