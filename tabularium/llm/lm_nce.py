@@ -33,7 +33,7 @@ from .common import fold_of, map_rows, materialise, texts
 
 HEAD, SPELT, LEXICON = 160, 224, 200_000
 CONTEXT, DIM, NOISE, BATCH = 4, 24, 48, 1024
-SHARE = 1_000_000  # tokens that one model is trained on before models are averaged, about
+SHARE = 4_000_000  # tokens that one model is trained on before models are averaged, about
 COPIES = 4096  # copies of a row that are told apart at a time
 SCORED = 512  # tokens scored at a time: their logits stay in the cache
 FLUSH = 300_000  # distinct words a task holds before it hands on partial counts
