@@ -323,6 +323,13 @@ def fractions(comp: Column) -> Column:
     return F.transform_values(comp, lambda k, v: v / total)
 
 
+def shares(comp: Column) -> Column:
+    """Fractions in the order of the elements' symbols; null if there are none."""
+    total = F.aggregate(F.map_values(comp), F.lit(0.0), lambda a, v: a + v)
+    found = F.transform(F.array_sort(F.map_keys(comp)), lambda k: F.try_divide(F.element_at(comp, k), total))
+    return F.when(~F.exists(found, lambda x: x.isNull()), found)
+
+
 def ratio_error(target: Column, other: Column) -> Column:
     """Largest difference of fractions; null if the element sets differ."""
     a, b = fractions(target), fractions(other)

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabularium.functions import chem
 from tabularium.sources.store import stored
 
+LEVELS = 13  # how often cells of shares are halved: the smallest are a 4,096th of the tolerance
+
 
 def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     """The first row of each key: an aggregation, so partial results are combined before the shuffle."""
@@ -118,11 +121,40 @@ def substring_pairs(needles: DataFrame, item: str, needle: str, docs: DataFrame,
     return near.join(docs.select(doc, body), doc).join(asked, item).where(F.col(body).contains(F.col(needle))).select(doc, item)
 
 
-def tolerance_match(left: DataFrame, right: DataFrame, key: str, err: Column, tolerance: float, left_id: str, order: list[Column], keep: list[str]) -> DataFrame:
-    """Best right row of the same key within a tolerance, or nulls."""
-    pairs = left.join(right, key).withColumn("_err", err).where(F.col("_err") <= tolerance)
-    best = pairs.groupBy(left_id).agg(F.min(F.struct(F.col("_err"), *order, *keep)).alias("_b"))
-    return left.join(best.select(left_id, F.col("_b._err").alias("err"), *[F.col(f"_b.{k}").alias(k) for k in keep]), left_id, "left")
+def tolerance_match(left: DataFrame, right: DataFrame, keys: list[str], comp: str, other: str, tolerance: float, order: list[Column], keep: list[str], digits: int | None = None, but: tuple[str, str] | None = None) -> DataFrame:
+    """``left`` with err and ``keep`` of its best right row of the same keys and elements within a tolerance, or nulls.
+
+    The error is the largest difference of shares (``chem.ratio_error``), to ``digits``; equal errors go by ``order``, then ``keep``.
+    ``but``: a left column and a kept one that must differ. Equal shares are compared once. Shares are put into cells
+    of the tolerance's width and of its halves, quarters and so on: a row that has another in its own cell finds its best no
+    farther than that cell's width, so it only meets the cells beside the smallest such one, however many lie within the tolerance.
+    """
+    some, slack = 2 if but else 1, 10.0**-digits if digits else 0.0
+    width = F.lit(tolerance) / F.pow(F.lit(2.0), F.col("_level"))
+    levels = F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("_level")
+    own = lambda at: F.transform(at, lambda x: F.floor(x / width))
+    # The last share follows from the others, and three tell enough apart; these cells leave room for rounding.
+    beside = lambda at: F.transform(F.slice(at, F.lit(1), F.least(F.size(at) - 1, F.lit(3))), lambda x: F.floor(x / (width * 1.01 + 2 * slack)))
+    step = lambda cells, c: F.flatten(F.transform(cells, lambda x: F.transform(F.array(c - 1, c, c + 1), lambda y: F.concat(x, F.array(y)))))
+    around = lambda at: F.aggregate(beside(at), F.array(F.array().cast("array<bigint>")), step)
+
+    rows = left.withColumns({"_el": chem.element_key(F.col(comp)), "_at": chem.shares(F.col(comp))})
+    on = [*keys, "_el"]
+    held = right.select(*keys, chem.element_key(F.col(other)).alias("_el"), chem.shares(F.col(other)).alias("_to"), F.struct(*order, *keep).alias("_r")).where("_to is not null")
+    first = W.partitionBy(*on, "_to").orderBy("_r")
+    held = stored(held.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= some).drop("_n"), "shares")
+    shared = held.select(*on, "_to", levels).groupBy(*on, "_level", own(F.col("_to")).alias("_cell")).agg(F.count("*").alias("_n")).where(F.col("_n") >= some).drop("_n")
+    asked = rows.select(*on, "_at").where("_at is not null").distinct()
+    finest = asked.select("*", levels).withColumn("_cell", own(F.col("_at"))).join(shared, [*on, "_level", "_cell"]).groupBy(*on, "_at").agg(F.max("_level").alias("_level"))
+    asked = asked.join(finest, [*on, "_at"], "left").withColumn("_level", F.coalesce("_level", F.lit(0)))
+    met = asked.withColumn("_cell", F.explode(around(F.col("_at")))).join(held.select("*", levels).withColumn("_cell", beside(F.col("_to"))), [*on, "_level", "_cell"])
+    err = F.array_max(F.zip_with("_at", "_to", lambda x, y: F.abs(x - y)))
+    pairs = met.select(*on, "_at", F.struct((F.round(err, digits) if digits else err).alias("err"), "_r").alias("_b")).where(F.col("_b.err") <= tolerance)
+    ranked = pairs.withColumn("_n", F.row_number().over(W.partitionBy(*on, "_at").orderBy("_b"))).where(F.col("_n") <= some)
+    best = ranked.groupBy(*on, "_at").agg(F.array_sort(F.collect_list("_b")).alias("_best"))
+    mine = F.filter("_best", lambda b: b["_r"][but[1]] != F.col(but[0])) if but else F.col("_best")
+    found = rows.join(best, [*on, "_at"], "left").withColumn("_b", F.get(mine, F.lit(0)))
+    return found.select(*left.columns, F.col("_b.err").alias("err"), *[F.col(f"_b._r.{k}").alias(k) for k in keep])
 
 
 def band_search(df: DataFrame, at: str, pages: DataFrame, page: str, good: Column, radius: int = 3) -> DataFrame:
@@ -138,10 +170,9 @@ def band_search(df: DataFrame, at: str, pages: DataFrame, page: str, good: Colum
 def secondary_candidates(targets: DataFrame, candidates: DataFrame, tolerance: float = 0.02) -> DataFrame:
     """Match leftovers (id, comp) to candidates (file, formula, sg) by element set and ratio; best by error, then
     a known space group, then file number."""
-    held = candidates.withColumn("other", chem.parse_spaced(F.col("formula"))).withColumn("elements", chem.element_key(F.col("other")))
-    wanted = targets.withColumn("elements", chem.element_key(F.col("comp")))
+    held = candidates.withColumn("other", chem.parse_spaced(F.col("formula")))
     order = [F.when(F.col("sg").isNull() | (F.col("sg") == ""), 1).otherwise(0).alias("_no_sg"), F.col("file").cast("int").alias("_file")]
-    return tolerance_match(wanted, held, "elements", chem.ratio_error(F.col("comp"), F.col("other")), tolerance, "id", order, ["file", "sg"])
+    return tolerance_match(targets, held, [], "comp", "other", tolerance, order, ["file", "sg"])
 
 
 def select_candidates(rows: DataFrame, candidates: DataFrame, hints: DataFrame, remarks: DataFrame) -> DataFrame:

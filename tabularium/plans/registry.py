@@ -120,10 +120,9 @@ SELECT v.l_suppkey AS id, coalesce(m[2], -1) AS other, m[1] AS err FROM v LEFT J
 def ratio_tolerance_join(spark, d):
     sums = table(spark, d, "lineitem").groupBy("l_suppkey").agg(*[F.sum(F.when(F.col("l_returnflag") == x, F.col("l_quantity"))).alias(x) for x in "ANR"])
     comp = F.create_map(*[y for x in "ANR" for y in (F.lit(x), F.col(x))])
-    rows = sums.select(F.col("l_suppkey").alias("id"), (F.col("l_suppkey") % 10).alias("block"), comp.alias("comp"))
+    rows = store.stored(sums.select(F.col("l_suppkey").alias("id"), (F.col("l_suppkey") % 10).alias("block"), comp.alias("comp")), "compositions")
     right = rows.select("block", F.col("id").alias("other"), F.col("comp").alias("other_comp"))
-    err = F.when(F.col("id") != F.col("other"), F.round(chem.ratio_error(F.col("comp"), F.col("other_comp")), 9))
-    best = match.tolerance_match(rows, right, "block", err, 0.02, "id", [F.col("other").alias("_o")], ["other"])
+    best = match.tolerance_match(rows, right, ["block"], "comp", "other_comp", 0.02, [], ["other"], digits=9, but=("id", "other"))
     return best.select("id", F.coalesce("other", F.lit(-1).cast("long")).alias("other"), "err")
 
 
