@@ -179,38 +179,40 @@ def select_candidates(rows: DataFrame, candidates: DataFrame, hints: DataFrame,
     """One pick per row (row_id, reduced_formula, formula, name, tag, comp, organic, nonstoichiometric) by tiers.
 
     candidates: reduced_formula, material_id, spacegroup, energy, theoretical, composition (map), icsd_n;
-    hints: formula, tag (null for untagged), spacegroup; remarks: material_id, remarks. One left join, a tier and a
-    sort key per candidate, and one minimum per row. An empty name token or remark matches nothing.
+    hints: formula, tag (null for untagged), spacegroup; remarks: material_id, remarks. An empty name token or remark
+    matches nothing. A tier depends on few properties: rows and candidates that agree in them are one kind, each kind of
+    candidates holds its best, and kinds of rows meet kinds of candidates. Name tokens meet remarks apart from the rest.
     """
     hint = hints.select(F.col("formula").alias("_f"), F.col("tag").alias("_t"), F.col("spacegroup").alias("hinted"))
-    left = rows.join(hint, (F.col("formula") == F.col("_f")) & F.col("tag").eqNullSafe(F.col("_t")), "left").drop("_f", "_t")
-    noted = candidates.join(remarks.select("material_id", "remarks"), "material_id", "left")
-    pairs = left.join(noted, "reduced_formula", "left")
+    left = rows.join(hint, (F.col("formula") == F.col("_f")) & F.col("tag").eqNullSafe(F.col("_t")), "left")
     token = F.lower(F.get(F.split(F.col("name"), r"[\s(),]"), F.lit(0)))
-    says = lambda r: (F.length(r) > 0) & (F.length(token) > 0) & (F.lower(r).contains(token) | token.contains(F.lower(r)))
-    kept = F.col("material_id").isNotNull()
-    kept &= ~F.col("organic") | chem.whole_multiple(F.col("comp"), F.col("composition"))
-    kept &= ~F.col("nonstoichiometric") | chem.ratio_close(F.col("comp"), F.col("composition"))
-    pairs = pairs.withColumn("_kept", F.coalesce(kept, F.lit(False)))
-    real = F.coalesce(~F.col("theoretical"), F.lit(False))
-    energy = F.coalesce("energy", F.lit(float("inf")))
-    tagged = F.col("tag").isNotNull()
-    noticed = F.col("_kept") & F.col("nonstoichiometric") & F.coalesce(F.exists("remarks", says), F.lit(False))
-    matched = F.col("_kept") & (F.col("spacegroup") == F.col("hinted"))
-    n = F.count_if("_kept").over(_by("row_id"))
-    tier = (
-        F.when(~F.col("_kept"), None)
-        .when(noticed, F.when(real, 20).otherwise(21))
-        .when(n == 1, 30)
-        .when(F.coalesce(matched, F.lit(False)), F.when(real, 40).otherwise(41))
-        .when(F.col("organic"), 50)
-        .when(real, 60)
-        .otherwise(70)
-    )
-    first = F.when(noticed, -F.coalesce("icsd_n", F.lit(-1))).otherwise(0)
-    pairs = pairs.withColumns({"_tier": tier, "_key": F.struct(tier.alias("tier"), first.alias("first"), energy.alias("energy"), F.col("material_id").alias("id"))})
-    best = F.min_by(F.struct("_tier", "material_id", "spacegroup"), F.when(F.col("_kept"), F.col("_key"))).alias("_b")
-    picked = pairs.groupBy("row_id").agg(best, F.first(tagged).alias("_tagged"))
+    kind = F.struct("reduced_formula", F.map_entries("comp").alias("comp"), "organic", "nonstoichiometric")
+    left = left.select("row_id", F.col("tag").isNotNull().alias("_tagged"), F.struct(kind.alias("of"), "hinted").alias("_plain"), F.when(F.col("nonstoichiometric") & (F.length(token) > 0), F.struct(kind.alias("of"), token.alias("token"))).alias("_named"))
+    energy, real = F.coalesce("energy", F.lit(float("inf"))).alias("energy"), F.coalesce(~F.col("theoretical"), F.lit(False)).alias("real")
+    noted = candidates.where(F.col("material_id").isNotNull()).join(remarks.select("material_id", "remarks"), "material_id", "left")
+    noted = noted.withColumns({"composition": F.map_entries("composition"), "energy": energy, "real": real, "id": F.col("material_id")})
+
+    def met(rows: str, held: DataFrame) -> DataFrame:
+        """The distinct values of a column of ``left`` with the candidates that they may take."""
+        each = left.select(rows).where(F.col(rows).isNotNull()).distinct().withColumn("reduced_formula", F.col(f"{rows}.of.reduced_formula"))
+        of, comp, composition = F.col(f"{rows}.of"), F.map_from_entries(F.col(f"{rows}.of.comp")), F.map_from_entries("composition")
+        kept = (~of["organic"] | chem.whole_multiple(comp, composition)) & (~of["nonstoichiometric"] | chem.ratio_close(comp, composition))
+        return each.join(held, "reduced_formula").where(kept)
+
+    plain = noted.groupBy("reduced_formula", "composition", "spacegroup", "real").agg(F.count("*").alias("n"), F.min(F.struct("energy", "id")).alias("best"))
+    matched = F.coalesce(F.col("spacegroup") == F.col("_plain.hinted"), F.lit(False))
+    tier = F.when(matched, F.when(F.col("real"), 40).otherwise(41)).when(F.col("_plain.of.organic"), 50).when(F.col("real"), 60).otherwise(70)
+    plain = met("_plain", plain).groupBy("_plain").agg(F.sum("n").alias("n"), F.min(F.struct(tier.alias("tier"), "best", "spacegroup")).alias("p"))
+    says = (F.length("remark") > 0) & (F.col("remark").contains(F.col("_named.token")) | F.col("_named.token").contains(F.col("remark")))
+    remarked = noted.withColumn("remark", F.explode("remarks")).withColumn("remark", F.lower("remark")).groupBy("reduced_formula", "composition", "real", "remark")
+    remarked = remarked.agg(F.min(F.struct((-F.coalesce("icsd_n", F.lit(-1))).alias("first"), "energy", "id", "spacegroup")).alias("best"))
+    noticed = met("_named", remarked).where(says).groupBy("_named").agg(F.min(F.struct(F.when(F.col("real"), 20).otherwise(21).alias("tier"), "best")).alias("q"))
+
+    both = left.join(plain, "_plain", "left").join(noticed, "_named", "left")
+    picked = both.groupBy("row_id").agg(F.sum("n").alias("_n"), F.min("p").alias("p"), F.min("q").alias("q"), F.first("_tagged").alias("_tagged"))
+    by_name = lambda x, y: F.when(F.col("q").isNotNull(), F.col(f"q.{x}")).otherwise(y)
+    best = F.struct(by_name("tier", F.when(F.col("_n") == 1, 30).otherwise(F.col("p.tier"))).alias("_tier"), by_name("best.id", F.col("p.best.id")).alias("material_id"), by_name("best.spacegroup", F.col("p.spacegroup")).alias("spacegroup"))
+    picked = picked.select("row_id", "_tagged", best.alias("_b"))
     suffix = F.when(F.col("_tagged"), "_polymorph_unresolved").otherwise("")
     tier = F.col("_b._tier")
     method = (
@@ -227,9 +229,3 @@ def select_candidates(rows: DataFrame, candidates: DataFrame, hints: DataFrame,
     return picked.select(
         "row_id", F.when(chosen, F.col("_b.material_id")).alias("material_id"), F.when(chosen, F.col("_b.spacegroup")).alias("spacegroup"), method.alias("match_method"), F.when(chosen, sure).alias("phase_name_verified")
     )
-
-
-def _by(key: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(key)

@@ -36,3 +36,37 @@ def test_tolerance_match_of_few_elements(spark):
     right = spark.createDataFrame([("a", {"O": 3.05, "Al": 2.0}), ("b", {"O": 30.0, "Al": 20.0}), ("c", {"Fe": 1.0}), ("b2", {"O": 3.0, "Al": 2.0}), ("z", {"P": 1.0, "C": 1.0, "H": 1.0, "N": 1.0, "O": 1.05})], "file string, other map<string,double>")
     got = {r["id"]: r["file"] for r in match.tolerance_match(left, right, [], "comp", "other", 0.02, [], ["file"]).collect()}
     assert got == {1: "b", 2: "c", 3: None, 4: "a", 5: "z"}
+
+
+def test_tiers_of_many_rows_and_candidates(spark):
+    # 12,000 rows and 12,000 candidates of one reduced formula: 144,000,000 pairs.
+    n = F.col("id")
+    comp = F.create_map(F.lit("Fe"), F.lit(7.0), F.lit("S"), F.lit(8.0))
+    candidates = spark.range(12_000).select(
+        F.lit("Fe7S8").alias("reduced_formula"), F.format_string("m%05d", n).alias("material_id"), F.concat(F.lit("P"), (n % 50).cast("string")).alias("spacegroup"), ((n * 7919) % 12_007).cast("double").alias("energy"),
+        (n % 2 == 0).alias("theoretical"), comp.alias("composition"), (n % 100).cast("int").alias("icsd_n"),
+    )
+    remarks = spark.range(12_000).select(F.format_string("m%05d", n).alias("material_id"), F.array(F.when(n % 3 == 0, "Pyrrhotite").otherwise(""), F.lit("ore")).alias("remarks"))
+    rows = spark.range(12_000).select(
+        n.alias("row_id"), F.lit("Fe7S8").alias("reduced_formula"), F.concat(F.lit("f"), (n % 60).cast("string")).alias("formula"), F.when(n % 2 == 0, "PYRRHOTITE (a)").otherwise("IRON, b").alias("name"),
+        F.when(n % 60 < 55, "x").alias("tag"), comp.alias("comp"), F.lit(False).alias("organic"), (n % 4 < 2).alias("nonstoichiometric"),
+    )
+    hints = spark.range(55).select(F.concat(F.lit("f"), n.cast("string")).alias("formula"), F.lit("x").alias("tag"), F.concat(F.lit("P"), n.cast("string")).alias("spacegroup"))
+    begun = time.time()
+    got = {r["row_id"]: (r["material_id"], r["match_method"]) for r in match.select_candidates(rows, candidates, hints, remarks).collect()}
+    assert time.time() - begun < 60
+    energy = {i: (i * 7919) % 12_007 for i in range(12_000)}
+    real = [i for i in energy if i % 2]
+    noticed = min((i for i in real if i % 3 == 0), key=lambda i: (-(i % 100), energy[i], i))
+    for i in range(12_000):
+        hinted = [k for k in energy if k % 50 == i % 60] if i % 60 < 50 else []
+        if i % 4 == 0:
+            want = noticed, "nonstoichiometric_remarks_match"
+        elif hinted:
+            want = min(hinted, key=lambda k: (k % 2 == 0, energy[k], k)), "spacegroup_hint"
+        else:
+            want = min(real, key=energy.get), "most_stable_experimental" + ("_polymorph_unresolved" if i % 60 < 55 else "")
+        assert got[i] == (f"m{want[0]:05d}", want[1])
+        if i > 300:
+            break
+    assert len(got) == 12_000
