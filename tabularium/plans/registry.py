@@ -543,8 +543,8 @@ def formula_reduce_and_repair(spark, d):
     """Formulas with misreadings, made from part keys: repaired by their names and reduced."""
     bad = F.concat(F.lit("Al"), (F.col("p_partkey") % 8 + 2).cast("string"), F.lit("B2"), F.lit("0"), (F.col("p_partkey") % 9 + 1).cast("string"))
     rows = table(spark, d, "part").select("p_partkey", bad.alias("formula"))
-    fixed = rows.withColumn("repaired", chem.repair_column(X.fix_water(X.fix_letters(F.col("formula"))), F.lit("ALUMINIUM BORATE")))
-    return fixed.withColumn("reduced", chem.reduced_column(F.col("repaired")))
+    fixed = lambda each: each.withColumn("repaired", chem.repair_column(X.fix_water(X.fix_letters(F.col("formula"))), F.lit("ALUMINIUM BORATE")))
+    return store.per_value(rows, ["formula"], lambda each: fixed(each).withColumn("reduced", chem.reduced_column(F.col("repaired"))))
 
 
 @query("""SELECT p_partkey, round(greatest(abs(p_size / (p_size + 3.0) - 2.0 / 5), abs(3.0 / (p_size + 3.0) - 3.0 / 5)), 9) AS err, p_size % 2 = 0 AND p_size > 0 AND 3 % (p_size / 2) = 0 AND p_size = 2 AS whole FROM part WHERE p_size > 0""")
@@ -593,7 +593,8 @@ def formula_reduce(spark, d):
     """Half of each amount, as a decimal, in a group taken twice: reduced by the common divisor."""
     half = lambda c: (F.expr(c) / 2).cast("string")
     formula = F.concat(F.lit("2(Ca"), half("p_size + 1"), F.lit("O"), half("1 + p_partkey % 30"), F.lit(")"))
-    return table(spark, d, "part").select("p_partkey", chem.reduced_column(formula).alias("reduced"))
+    rows = table(spark, d, "part").select("p_partkey", formula.alias("formula"))
+    return store.per_value(rows, ["formula"], lambda each: each.withColumn("reduced", chem.reduced_column(F.col("formula")))).drop("formula")
 
 
 @query("""SELECT p_partkey, ['Al4B2O' || k, 'ZrCl' || k, 'PtS' || k, 'ScCl' || k, 'Pt' || k || 'S', 'Fe0.9' || k || 'O', 'AlI' || k, 'CaSO4*2H2O'][1 + p_partkey % 8] AS repaired FROM (SELECT p_partkey, 2 + p_partkey % 7 AS k FROM part)""")

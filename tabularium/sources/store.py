@@ -7,6 +7,8 @@ import re
 import tempfile
 import uuid
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -30,3 +32,15 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     path = fresh(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def per_value(df: DataFrame, columns: list[str], derive: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``df`` joined with ``derive`` of its distinct values of ``columns``, of which it may drop some; nulls are values.
+
+    The values are written before anything is derived: what is asked of a derived column would else be worked out for every
+    row before rows are made distinct. They are dealt to tasks by a shuffle, whatever the input's files are.
+    """
+    values = stored(df.select(*columns).distinct(), "values").repartition(*columns)
+    found = derive(values).withColumnsRenamed({c: f"_of_{c}" for c in columns})
+    same = [df[c].eqNullSafe(found[f"_of_{c}"]) for c in columns]
+    return df.join(found, same).drop(*[f"_of_{c}" for c in columns])
