@@ -10,6 +10,7 @@ from tabularium.functions import text as X
 from tabularium.operators import match
 from tabularium.operators.outcomes import reindex
 from tabularium.sources import io
+from tabularium.sources.store import per_value
 
 # Tags of phases without a crystal structure, the gas tag, and its word in names.
 AMORPHOUS, GAS, GAS_NAME = ("GL",), "g", "(GAS)"
@@ -48,7 +49,10 @@ def normalise(toc: DataFrame) -> DataFrame:
     """
     text = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))
     rows = toc.select("row_id", text("formula").alias("formula"), text("name").alias("name"), "page")
-    each = rows.select("formula", "name").distinct()
+    return per_value(rows, ["formula", "name"], _read)
+
+
+def _read(each: DataFrame) -> DataFrame:
     gas = F.coalesce(X.strip_tag(F.col("formula"))[1] == GAS, F.lit(False)) | F.upper("name").contains(GAS_NAME)
     bare, tag = X.strip_tag(X.fix_water(X.fix_letters(F.col("formula"))))
     each = each.select("formula", "name", gas.alias("is_gas"), F.when(gas, X.strip_tag(F.col("formula"))[1]).otherwise(tag).alias("phase_tag"), bare.alias("_bare"), X.strip_all_tags(X.fix_letters(F.col("formula"))).alias("_untagged"))
@@ -62,7 +66,7 @@ def normalise(toc: DataFrame) -> DataFrame:
         "organic": organic, "suspected_ocr_corruption": F.coalesce(strange, F.lit(False)), "reduced_formula": F.when(solid, chem.reduced_column(F.col("bare_formula"))),
         "parse_ok": solid & read & ~F.coalesce(strange, F.lit(False)), "is_nonstoichiometric": F.coalesce(solid & chem.is_nonstoichiometric(F.col("comp")), F.lit(False)),
     })
-    return rows.join(each.drop("_bare", "_untagged"), ["formula", "name"])
+    return each.drop("_bare", "_untagged")
 
 
 def outcomes(rows: DataFrame, candidates: DataFrame, hints: DataFrame, remarks: DataFrame) -> DataFrame:

@@ -3,9 +3,12 @@
 import time
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
-from tabularium.operators import match
+from tabularium.functions import chem
+from tabularium.operators import match, toc
+from tabularium.sources import store
 
 
 def test_tolerance_match_in_a_crowd(spark):
@@ -70,3 +73,28 @@ def test_tiers_of_many_rows_and_candidates(spark):
         if i > 300:
             break
     assert len(got) == 12_000
+
+
+def test_formulas_are_read_once_each(spark, monkeypatch):
+    # What is asked of a derived column must not be worked out for every row: 20,000 rows of 40 formulas.
+    seen, repair = spark.sparkContext.accumulator(0), chem.repair
+
+    def counting(formula, name):
+        def run(pairs):
+            for f, n in pairs:
+                seen.add(len(f))
+                yield pd.Series([repair(x, y) for x, y in zip(f, n, strict=True)])
+
+        return F.pandas_udf(run, "string", F.PandasUDFType.SCALAR_ITER)(formula, name)
+
+    monkeypatch.setattr(chem, "repair_column", counting)
+    entries = spark.range(20_000).select(F.col("id").alias("row_id"), F.concat(F.lit("Al4B20"), (F.col("id") % 40).cast("string")).alias("formula"), F.lit("ALUMINIUM BORATE").alias("name"), F.lit(1).cast("long").alias("page"))
+    assert toc.normalise(entries).count() == 20_000
+    assert seen.value <= 1_000
+
+
+def test_per_value_keeps_nulls_and_drops(spark):
+    df = spark.createDataFrame([(1, None), (2, "a"), (3, "b"), (4, None), (5, "a")], "id int, x string")
+    got = store.per_value(df, ["x"], lambda each: each.withColumn("y", F.coalesce(F.upper("x"), F.lit("none"))).where("y <> 'B'"))
+    assert got.columns == ["id", "x", "y"]
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, None, "none"), (2, "a", "A"), (4, None, "none"), (5, "a", "A")]
