@@ -10,7 +10,7 @@ from tabularium.functions import text as X
 from tabularium.operators import match
 from tabularium.operators.outcomes import reindex
 from tabularium.sources import io
-from tabularium.sources.store import per_value
+from tabularium.sources.store import per_value, stored
 
 # Tags of phases without a crystal structure, the gas tag, and its word in names.
 AMORPHOUS, GAS, GAS_NAME = ("GL",), "g", "(GAS)"
@@ -87,14 +87,16 @@ def second_pass(left: DataFrame, catalogue: DataFrame, tolerance: float = 0.02)
     """Unmatched entries (row_id, reduced_formula, organic and more) with outcome, cod_id, cod_sg and phase_name_verified.
 
     Organic substances expect no structure; those with a reduced formula are matched to the catalogue (file, formula, sg) by
-    that formula's elements and ratio, never verified by name; the rest, and what finds nothing, is still_unmatched.
+    that formula's elements and ratio, each formula once, never verified by name; the rest, and what finds nothing, is still_unmatched.
     """
-    able = ~F.col("organic") & F.col("reduced_formula").isNotNull()
-    targets = left.where(able).select(F.col("row_id").alias("id"), chem.parse_column(F.col("reduced_formula")).alias("comp"))
-    found = match.secondary_candidates(targets, catalogue, tolerance).select(F.col("id").alias("row_id"), F.col("file").alias("cod_id"), F.col("sg").alias("cod_sg"))
+    left = stored(left, "unmatched")  # read twice
+    asked = left.where(~F.col("organic") & F.col("reduced_formula").isNotNull()).select(F.col("reduced_formula").alias("id")).distinct()
+    targets = stored(asked, "formulas").select("id", chem.parse_column(F.col("id")).alias("comp"))
+    found = match.secondary_candidates(stored(targets, "targets"), catalogue, tolerance)
+    found = found.select(F.lit(False).alias("organic"), F.col("id").alias("reduced_formula"), F.col("file").alias("cod_id"), F.col("sg").alias("cod_sg"))
     outcome = F.when(F.col("organic"), "no_structure_expected").when(F.col("cod_id").isNotNull(), "matched").otherwise("still_unmatched")
     verified = F.when(F.col("cod_id").isNotNull(), False)
-    return left.drop("phase_name_verified").join(found, "row_id", "left").withColumns({"outcome": outcome, "phase_name_verified": verified})
+    return left.drop("phase_name_verified").join(found, ["organic", "reduced_formula"], "left").withColumns({"outcome": outcome, "phase_name_verified": verified})
 
 
 def tables(found: DataFrame, structures: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
