@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -117,10 +118,17 @@ def recover_columns(df: DataFrame, found: str = "numbers", strict: float = 2.0,
     good = F.filter("tests", lambda c: off(x(c["a"]), x(c["b"]), x(c["c"]), x(c["d"])) <= strict)
     rank = F.array_min(F.transform(good, lambda c: c["rank"]))
     pad = lambda a: F.when(F.size(a) == 9, F.concat(a, F.array(F.lit(0.0)))).otherwise(a)
-    fit = F.when(rank.isNotNull(), pad(F.transform(F.get("picks", rank), lambda i: x(i))))
+    picked = lambda r: F.when(r.isNotNull(), _once(F.transform(F.get("picks", r), lambda i: x(i)), pad))
     front = F.when((F.col("_size") >= 9) & (off(x(F.lit(0)), x(F.lit(2)), x(F.lit(4)), x(F.lit(6))) <= loose), pad(F.slice(found, 1, 10)))
-    rows = rows.withColumns({"_fit": fit, "_front": front})
-    return rows.withColumns({"fit": F.coalesce("_fit", "_front"), "used_fallback": F.col("_fit").isNull() & F.col("_front").isNotNull()}).drop("_n", "_size", "tests", "picks", "_fit", "_front")
+    both = lambda b: F.struct(F.coalesce(b["fit"], b["front"]).alias("fit"), (b["fit"].isNull() & b["front"].isNotNull()).alias("used_fallback"))
+    # Out of a generator, so that what is asked of ``fit`` later doesn't work the search out again.
+    made = F.transform(F.array(F.struct(_once(rank, picked).alias("fit"), front.alias("front"))), both)
+    return rows.select("*", F.inline(made)).drop("_n", "_size", "tests", "picks")
+
+
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
 def table_lines(lines: DataFrame, entries: DataFrame) -> DataFrame:
@@ -133,9 +141,9 @@ def table_lines(lines: DataFrame, entries: DataFrame) -> DataFrame:
     rows = segment(header_cut(lines, entries))
     rows = rows.withColumn("last_phase", F.col("phase_seq") == F.max("phase_seq").over(W.partitionBy("entry_id")))
     words = F.filter(F.split("rest", r"\s+"), lambda t: t != "")
-    word = F.get(words, F.lit(0))
-    shout = (F.upper(word) == word) & word.rlike(r"\p{Lu}") & ~word.rlike(X.TEMP_LABEL)
-    rest = F.when(F.size(words) > 3, F.when(shout, X.strip_first(F.col("rest"), word)).otherwise(F.col("rest")))
+    shout = lambda w: (F.upper(w) == w) & w.rlike(r"\p{Lu}") & ~w.rlike(X.TEMP_LABEL)
+    bare = lambda w: F.when(shout(w), X.strip_first(F.col("rest"), w)).otherwise(F.col("rest"))
+    rest = _once(words, lambda ws: F.when(F.size(ws) > 3, _once(F.get(ws, F.lit(0)), bare)))
     rows = recover_columns(rows.withColumn("numbers", X.numbers(X.row_repair(rest)))).where("fit is not null or opens")
     named = [(F.abs(F.get("fit", F.lit(i))) if i == 0 else F.get("fit", F.lit(i))).alias(c) for i, c in enumerate(COLUMNS)]
     rows = rows.select("entry_id", "phase_seq", "phase", "last_phase", F.col("line_no").alias("row_idx"), "used_fallback", *named)
