@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import map_rows, materialise, texts, worker_keeps
 
 END = 1
-CACHE = 48_000_000  # bytes of chunks kept per Python worker, about; a full cache is emptied: this bounds memory only
+CACHE = 96_000_000  # bytes of chunks kept per Python worker, about, in two generations: this bounds memory only
 _EACH = 200  # bytes that an entry of a dict takes besides its texts
 _MARKS = b".,;:!?&$%#*|"
 
@@ -55,6 +55,7 @@ class ChunkEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}  # the generation before: what is met again moves on, the rest goes with it
         self.tails: dict[bytes, bytes] = {}
         self.held = 0  # bytes in known
 
@@ -66,18 +67,22 @@ class ChunkEncoder:
         return [t.id for t in self.tok.model.tokenize(spelt)]
 
     def _learn(self, new: list[bytes]) -> None:
-        if self.held > CACHE:
-            self.known.clear()
-            self.held = 0
+        if self.held > CACHE // 2:
+            self.older, self.known, self.held = self.known, {}, 0
         rest = []
-        known, before = self.known, len(self.known)
+        known, older, before = self.known, self.older, len(self.known)
         for raw in new:
+            if (ids := older.get(raw)) is not None:
+                known[raw] = ids
+                continue
             word = raw.rstrip(_MARKS)  # a run of marks after a letter is a token of its own
             tail = raw[len(word) :]
             if tail and (not word or word[-1] > 127):
                 rest.append(raw)
                 continue
             ids = known.get(word)
+            if ids is None and (ids := older.get(word)) is not None:
+                known[word] = ids
             if ids is None:
                 if (made := self._plain(word.decode("utf-8", "surrogatepass"))) is None:
                     rest.append(raw)
