@@ -7,8 +7,10 @@ two sets at the threshold are expected to share one child per level. The number
 chance that a pair at the threshold still shares a node of some tree at the last level. Nodes of at most ``leaf``
 members are compared exhaustively on 128 four-bit minhash sketches; larger ones are branched deeper (``DEPTHS``).
 
-Nodes that are still large after the last level are dense groups. Their members are first compared with their node's
-first member and their neighbour. Members that are then still in different components are joined exactly: shingles
+Large nodes in which half of the members could, by their sketches, link with the node's first member aren't branched
+deeper, as that wouldn't part them: they, and nodes that are still large after the last level, are dense groups. Their
+members are first compared with their node's first member and their neighbour. Members that are then still in different
+components are joined exactly: shingles
 that at most ``RARE`` members have are looked up by an inverted index, which finds every pair that shares one; a pair
 that shares none can only overlap in common shingles, so it is bounded by how many of them its members have, and blocks
 of members are compared on full sets only where that bound can reach the threshold. Texts that share a page frame and
@@ -27,7 +29,7 @@ columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -132,8 +134,15 @@ def _sketches(sig: np.ndarray) -> np.ndarray:
     return low[:, 0::2] | (low[:, 1::2] << np.uint8(4))
 
 
-def _nodes(rows: DataFrame, levels: int, trees: int, share: float, sketches: bool = True) -> DataFrame:
-    """(doc, sig[, node]) to (node, doc[, sketch]) ``levels`` deeper; without a node, from the roots."""
+def _apart(x: np.ndarray) -> np.ndarray:
+    """In how many of the 128 nibbles two sketches differ, from their exclusive or."""
+    x |= x >> np.uint64(2)
+    x |= x >> np.uint64(1)
+    return np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=1)
+
+
+def _nodes(rows: DataFrame, levels: int, trees: int, share: float, columns: str, tell: Callable) -> DataFrame:
+    """(doc, sig[, node]) to what ``tell`` makes of docs, signatures, paths ``levels`` deeper and the paths' rows; without a node, from the roots."""
     deeper = "node" in rows.columns
 
     def make():
@@ -148,36 +157,57 @@ def _nodes(rows: DataFrame, levels: int, trees: int, share: float, sketches: boo
                     roots = mix64(np.arange(1, trees + 1, dtype=np.uint64) * _GOLD)
                     paths, at_row = np.tile(roots, len(doc)), np.repeat(np.arange(len(doc)), trees)
                 paths, at_row = _branch(paths, at_row, sig, levels, share)
-                if not sketches:
-                    yield {"node": paths.view(np.int64), "doc": doc[at_row]}
-                    continue
-                sketch = _sketches(sig)
-                flat = pa.py_buffer(np.ascontiguousarray(sketch[at_row]).tobytes())
-                offsets = pa.py_buffer((np.arange(len(at_row) + 1, dtype=np.int32) * (COORDS // 2)).tobytes())
-                yield {"node": paths.view(np.int64), "doc": doc[at_row], "sketch": pa.Array.from_buffers(pa.binary(), len(at_row), [None, offsets, flat])}
+                yield tell(doc, sig, paths.view(np.int64), at_row)
 
         return step
 
-    return map_rows(rows.select("doc", "sig", *["node"] * deeper), "node long, doc long" + ", sketch binary" * sketches, make)
+    return map_rows(rows.select("doc", "sig", *["node"] * deeper), columns, make)
+
+
+def _counted(doc: np.ndarray, sig: np.ndarray, node: np.ndarray, at_row: np.ndarray) -> dict:
+    return {"node": node, "doc": doc[at_row]}
+
+
+def _cold(hot: np.ndarray) -> Callable:
+    """What _nodes tells of all nodes but ``hot``: node, doc, sketch."""
+
+    def tell(doc: np.ndarray, sig: np.ndarray, node: np.ndarray, at_row: np.ndarray) -> dict:
+        cold = ~np.isin(node, hot)
+        node, at_row = node[cold], at_row[cold]
+        flat = pa.py_buffer(np.ascontiguousarray(_sketches(sig)[at_row]).tobytes())
+        offsets = pa.py_buffer((np.arange(len(at_row) + 1, dtype=np.int32) * (COORDS // 2)).tobytes())
+        return {"node": node, "doc": doc[at_row], "sketch": pa.Array.from_buffers(pa.binary(), len(at_row), [None, offsets, flat])}
+
+    return tell
+
+
+def _hot(hot: np.ndarray, firsts: np.ndarray, sigs: np.ndarray) -> Callable:
+    """What _nodes tells of the nodes ``hot`` (in order) alone: doc, first, node, and how far the sketch is from their first member's."""
+
+    def tell(doc: np.ndarray, sig: np.ndarray, node: np.ndarray, at_row: np.ndarray) -> dict:
+        keep = np.isin(node, hot)
+        node, at_row = node[keep], at_row[keep]
+        at = np.searchsorted(hot, node)
+        return {"doc": doc[at_row], "first": firsts[at], "node": node, "off": _apart(_sketches(sig)[at_row].view(np.uint64) ^ _sketches(sigs)[at].view(np.uint64)).astype(np.int32)}
+
+    return tell
 
 
 def _leaf_pairs(doc: np.ndarray, sketch: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All pairs of a small node whose sketches differ in at most ``most`` of the 128 nibbles."""
     a, b = np.triu_indices(len(doc), 1)
-    x = sketch[a] ^ sketch[b]
-    x |= x >> np.uint64(2)
-    x |= x >> np.uint64(1)
-    off = np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=1)
+    off = _apart(sketch[a] ^ sketch[b])
     good = (off <= most) & (doc[a] != doc[b])
     return doc[a[good]], doc[b[good]], off[good]
 
 
-def _compare(nodes: DataFrame, leaf: int, most: int, last: bool) -> DataFrame:
-    """Nodes (all rows of one in a row) to pairs (kind 0: a, b, node, off) and members of large nodes (kind 1: a, node; b is the last level's first member)."""
+def _compare(nodes: DataFrame, leaf: int, most: int) -> DataFrame:
+    """Nodes (all rows of one in a row) to pairs (kind 0: a, b, node, off) and members of large nodes (kind 1: a, the node's
+    first member b, node, how far their sketches are apart)."""
 
     def make():
         held: list = [None, [], []]  # node, docs, sketches of the node that is open
-        big = [None, 0, None, None]  # the large node that is open: node, rows so far, first member, last member
+        big = [None, None, None]  # the large node that is open: node, first member, its sketch
 
         def small(out):
             if held[0] is not None and len(held[1]) > 1:
@@ -186,21 +216,11 @@ def _compare(nodes: DataFrame, leaf: int, most: int, last: bool) -> DataFrame:
                 out.append((np.zeros(len(a), np.int8), np.minimum(a, b), np.maximum(a, b), np.full(len(a), held[0]), off))
             held[0], held[1], held[2] = None, [], []
 
-        def large(docs, node, out):
-            docs = np.array(docs, np.int64)
-            if not last:
-                out.append((np.ones(len(docs), np.int8), docs, docs, np.full(len(docs), node), np.zeros(len(docs), np.int64)))
-                return
+        def large(docs, sketches, node, out):
+            docs, sketches = np.array(docs, np.int64), np.frombuffer(b"".join(sketches), np.uint64).reshape(len(docs), -1)
             if big[0] != node:
-                big[:] = [node, 0, docs[0], docs[0]]
-            out.append((np.ones(len(docs), np.int8), docs, np.full(len(docs), big[2]), np.full(len(docs), node), np.zeros(len(docs), np.int64)))
-            # The chunk number is part of the cell, so that one huge node is confirmed by many tasks.
-            cell = mix64(np.array([node], np.int64).view(np.uint64) + np.uint64(big[1] // 256 + 1)).view(np.int64)[0]
-            for mate in (np.full(len(docs), big[2]), np.concatenate([[big[3]], docs[:-1]])):
-                good = mate != docs
-                a, b = mate[good], docs[good]
-                out.append((np.zeros(len(a), np.int8), np.minimum(a, b), np.maximum(a, b), np.full(len(a), cell), np.zeros(len(a), np.int64)))
-            big[1], big[3] = big[1] + len(docs), docs[-1]
+                big[:] = [node, docs[0], sketches[0]]
+            out.append((np.ones(len(docs), np.int8), docs, np.full(len(docs), big[1]), np.full(len(docs), node), _apart(sketches ^ big[2])))
 
         def told(out):
             if out:
@@ -217,8 +237,7 @@ def _compare(nodes: DataFrame, leaf: int, most: int, last: bool) -> DataFrame:
                     small(out)
                     held[0] = at
                 if big[0] == at or len(held[1]) + hi - lo > leaf:
-                    large(held[1] + doc[lo:hi], at, out)
-                    big[0] = at
+                    large(held[1] + doc[lo:hi], held[2] + sketch[lo:hi], at, out)
                     held[1], held[2] = [], []
                 else:
                     held[1] += doc[lo:hi]
@@ -237,16 +256,16 @@ def _compare(nodes: DataFrame, leaf: int, most: int, last: bool) -> DataFrame:
     return map_rows(ordered, "kind byte, a long, b long, node long, off int", make)
 
 
-def _hot_pairs(big: DataFrame) -> DataFrame:
-    """Pairs of hot nodes' members (node, doc, first, n) with their node's first and with a neighbour, in chunks."""
+def _first_pairs(dense: DataFrame) -> DataFrame:
+    """Pairs of dense nodes' members (node, doc, first, n) with their node's first and with a neighbour, in chunks."""
     chunk = F.xxhash64("node", F.pmod(F.xxhash64("doc"), F.ceil(F.col("n") / 256)))
-    rows = big.withColumn("chunk", chunk).withColumn("next", F.lag("doc").over(W.partitionBy("chunk").orderBy("doc")))
+    rows = dense.withColumn("chunk", chunk).withColumn("next", F.lag("doc").over(W.partitionBy("chunk").orderBy("doc")))
     pairs = rows.select("doc", "chunk", F.explode(F.array("first", "next")).alias("mate")).where("mate <> doc")
     return pairs.select(F.least("doc", "mate").alias("a"), F.greatest("doc", "mate").alias("b"), F.col("chunk").alias("node"), F.lit(0).alias("off"))
 
 
 def _candidates(signed: DataFrame, reps: DataFrame, threshold: float, trees: int, leaf: int) -> tuple[DataFrame, DataFrame | None]:
-    """Distinct pairs (a, b, off, node) that the trees bring together and the sketches don't rule out; (doc, first) of nodes large to the last."""
+    """Distinct pairs (a, b, off, node) that the trees bring together and the sketches don't rule out; (doc, first) of dense nodes."""
     share = 1 / threshold - 1
     agree = threshold + (1 - threshold) / 16
     most = math.ceil(COORDS * (1 - agree) + 4 * math.sqrt(COORDS * agree * (1 - agree)))
@@ -257,24 +276,35 @@ def _candidates(signed: DataFrame, reps: DataFrame, threshold: float, trees: int
     for depth in DEPTHS:
         last = depth == DEPTHS[-1]
         expected *= (1 + share) ** (depth - done)
+        walk = (rows, depth - done, trees, share)
         # A node with over a thousandth of all rows isn't gathered in a task: its members go on from where they are.
-        paths = materialise(_nodes(rows, depth - done, trees, share, False), f"paths{depth}")
-        sizes = paths.groupBy("node").agg(F.count("*").alias("n"), F.min("doc").alias("first"))
-        hot = F.broadcast(materialise(sizes.where(F.col("n") > max(leaf, expected / HOT_KEYS)), "large"))
-        big = materialise(paths.join(hot, "node").select("node", "doc", "first", "n"), f"big{depth}")
-        cold = _nodes(rows, depth - done, trees, share).join(hot.select("node"), "node", "left_anti")
-        out = materialise(_compare(cold, leaf, most, last), f"nodes{depth}")
+        sizes = _nodes(*walk, "node long, doc long", _counted).groupBy("node").agg(F.count("*").alias("n"), F.min("doc").alias("first"))
+        large = materialise(sizes.where(F.col("n") > max(leaf, expected / HOT_KEYS)), "large")
+        # Fewer than HOT_KEYS nodes, however large the table is.
+        hot = sorted(rows.select("doc", "sig").join(F.broadcast(large.select(F.col("node").alias("at"), "first")), F.col("doc") == F.col("first")).dropDuplicates(["at"]).select("at", "first", "sig").collect())
+        ids, firsts = (np.array([r[c] for r in hot], np.int64) for c in ("at", "first"))
+        out = materialise(_compare(_nodes(*walk, "node long, doc long, sketch binary", _cold(ids)), leaf, most), f"nodes{depth}")
         found.append(out.where("kind = 0").select("a", "b", "node", "off"))
-        if last:
-            found.append(_hot_pairs(big))
-            dense = out.where("kind = 1").select(F.col("a").alias("doc"), F.col("b").alias("first")).unionByName(big.select("doc", "first")).distinct()
-            dense = None if dense.isEmpty() else dense
+        big = out.where("kind = 1").select(F.col("a").alias("doc"), F.col("b").alias("first"), "node", "off")
+        if hot:
+            sigs = np.frombuffer(b"".join(r["sig"] for r in hot), np.uint16).reshape(-1, COORDS)
+            big = big.unionByName(_nodes(*walk, "doc long, first long, node long, off int", _hot(ids, firsts, sigs)))
+        big = materialise(big, f"big{depth}")
+        if not (count := big.count()):
             break
-        deep = out.where("kind = 1").select(F.col("a").alias("doc"), "node").unionByName(big.select("doc", "node"))
-        if deep.isEmpty():
+        # Where half of the members could link with the first one, more levels won't part them.
+        close = F.lit(True) if last else 2 * F.count_if(F.col("off") <= most) >= F.count("*")
+        shape = materialise(big.groupBy("node").agg(F.count("*").alias("n"), close.alias("dense")), "shape")
+        big = materialise(lookup(big.select("doc", "first", "node"), shape, "node", count), f"told{depth}")
+        found.append(_first_pairs(big.where("dense")))
+        more = big.where("dense").select("doc", "first")
+        dense = more if dense is None else dense.unionByName(more)
+        deep = big.where("not dense").select("doc", "node")
+        if last or not (count := deep.count()):
             break
         sig = signed.where("sig is not null").select(F.col("doc_id").alias("doc"), "sig")
-        rows, done, expected = materialise(deep.join(sig, "doc"), f"rows{depth}"), depth, deep.count()
+        rows, done, expected = materialise(deep.join(sig, "doc"), f"rows{depth}"), depth, count
+    dense = None if dense is None or dense.isEmpty() else dense.distinct()
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)

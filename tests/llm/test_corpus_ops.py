@@ -72,6 +72,29 @@ def test_near_duplicates_that_share_a_page_frame(spark):
     assert sum(r["component_id"] < r["doc_id"] for r in rows) >= 0.99 * 300
 
 
+def test_near_copies_are_not_branched_deeper(spark, monkeypatch):
+    """More levels don't part a group of near copies: they only multiplied its rows."""
+    rng = np.random.default_rng(7)
+    base, texts, went = [f"w{x}" for x in rng.integers(0, 5000, 150)], {}, {}
+    for i in range(600):
+        own = list(base)
+        for at in rng.choice(150, rng.integers(0, 7), replace=False):
+            own[at] = f"n{rng.integers(0, 10**6)}"
+        texts[i] = " ".join(own)
+    written = neardup.materialise
+
+    def counting(df, tag):
+        out = written(df, tag)
+        if tag.startswith("rows"):
+            went[tag] = out.count()
+        return out
+
+    monkeypatch.setattr(neardup, "materialise", counting)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.near_duplicates(spark_rows(spark.range(1), list(texts.items())), 3, 0.85).collect()}
+    assert got == classes(texts, 3, 85)
+    assert went.pop("rows") <= 600 and sum(went.values()) <= 8 * 600, went
+
+
 def test_trees_follow_from_recall():
     assert neardup.trees_for(0.999, 0.85) >= neardup.trees_for(0.99, 0.85) > neardup.trees_for(0.9, 0.85, 3) >= 1
 
