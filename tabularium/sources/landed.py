@@ -1,4 +1,8 @@
-"""A source of landed look-up batches: one partition per batch, tried up to three times; a batch that fails is reported and skipped."""
+"""A source of landed look-up batches, each tried up to three times; a batch that fails is reported and skipped.
+
+Batches are dealt to a few partitions for each core, however many they are: a task of its own for each costs far more than its
+look-up. A partition tells its batches one by one.
+"""
 
 from __future__ import annotations
 
@@ -13,6 +17,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tabularium.operators import outcomes
 from tabularium.sources.named import store_of
+from tabularium.sources.store import stored
 
 # Keys per request, of candidates and remarks, and of structures.
 KEYS, STRUCTURES = 100, 50
@@ -20,11 +25,11 @@ BATCH = "batch-{:06d}"
 
 
 class LandedReader(DataSourceReader):
-    def __init__(self, schema, path: str, batches: int, tries: int, wait: float):
-        self.schema, self.path, self.batches, self.tries, self.wait = schema, path, batches, tries, wait
+    def __init__(self, schema, path: str, batches: int, tries: int, wait: float, parts: int):
+        self.schema, self.path, self.batches, self.tries, self.wait, self.parts = schema, path, batches, tries, wait, parts
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(i) for i in range(self.batches)]
+        return [InputPartition(range(i, self.batches, self.parts)) for i in range(min(self.parts, self.batches))]
 
     def fetch(self, batch: int) -> list[dict]:
         """A batch's rows, from its file of JSON lines."""
@@ -37,22 +42,24 @@ class LandedReader(DataSourceReader):
 
         if partition is None:  # there are no batches
             return
-        rows: list[dict] = []
+        schema = to_arrow_schema(self.schema)
+        for batch in partition.value:
+            yield pa.RecordBatch.from_pylist(self.tried(batch), schema=schema)
+
+    def tried(self, batch: int) -> list[dict]:
+        """A batch's rows with its number, or one row that tells why the last try failed."""
         for attempt in range(self.tries):
             if attempt:
                 time.sleep(self.wait)
             try:
-                rows = self.fetch(partition.value)
-                error = None
-                break
+                return [r | {"_batch": batch} for r in self.fetch(batch)]
             except (OSError, ValueError) as e:  # not there, cut off, or no JSON
                 error = f"{type(e).__name__}: {e}"
-        told = [{"_batch": partition.value, "_error": error}] if error else [r | {"_batch": partition.value} for r in rows]
-        yield pa.RecordBatch.from_pylist(told, schema=to_arrow_schema(self.schema))
+        return [{"_batch": batch, "_error": error}]
 
 
 class LandedBatches(DataSource):
-    """Options: path, batches, tries, wait (seconds between tries). The schema has _batch and _error at its end."""
+    """Options: path, batches, tries, wait (seconds between tries), parts (partitions at most). The schema has _batch and _error at its end."""
 
     @classmethod
     def name(cls) -> str:
@@ -60,7 +67,7 @@ class LandedBatches(DataSource):
 
     def reader(self, schema) -> LandedReader:
         get = self.options.get
-        return LandedReader(schema, self.options["path"], int(get("batches", "0")), int(get("tries", "3")), float(get("wait", "5")))
+        return LandedReader(schema, self.options["path"], int(get("batches", "0")), int(get("tries", "3")), float(get("wait", "5")), int(get("parts", "32")))
 
 
 def requests(keys: DataFrame, key: str, size: int = KEYS) -> DataFrame:
@@ -69,8 +76,12 @@ def requests(keys: DataFrame, key: str, size: int = KEYS) -> DataFrame:
 
 
 def read_landed(spark: SparkSession, path: str, asked: DataFrame, schema: str, source: type[DataSource] = LandedBatches, wait: float = 5.0) -> tuple[DataFrame, DataFrame]:
-    """(rows, failures) of the batches in ``asked`` (batch): rows with _batch, and (_batch, _error) of what failed three times."""
+    """(rows, failures) of the batches in ``asked`` (batch): rows with _batch, and (_batch, _error) of what failed three times.
+
+    The batches are looked up once and what came is written: rows and failures are of the same tries.
+    """
     last = asked.agg(F.max("batch").alias("last")).first()["last"]
     spark.dataSource.register(source)
-    found = spark.read.format(source.name()).schema(f"{schema}, _batch long, _error string").option("path", path).option("batches", str(0 if last is None else last + 1)).option("wait", str(wait)).load()
+    options = {"path": path, "batches": str(0 if last is None else last + 1), "wait": str(wait), "parts": str(4 * spark.sparkContext.defaultParallelism)}
+    found = stored(spark.read.format(source.name()).schema(f"{schema}, _batch long, _error string").options(**options).load(), "looked_up")
     return found.where("_error is null").drop("_error"), found.where("_error is not null").select("_batch", "_error")

@@ -2,6 +2,7 @@
 
 import json
 import os
+import uuid
 from collections import Counter
 
 import pytest
@@ -79,6 +80,34 @@ def test_landed_batches(spark, tmp_path):
     assert rows.count() == failures.count() == 0
 
 
+def test_landed_batches_share_tasks(spark, tmp_path):
+    """Tasks don't grow with the batches; each batch is looked up once, though rows and failures are both read."""
+    class Counting(landed.LandedBatches):
+        @classmethod
+        def name(cls):
+            return "counting_batches"
+
+        def reader(self, schema):
+            found = super().reader(schema)
+            fetch = found.fetch
+
+            def counted(batch):
+                (tmp_path / f"asked-{batch}-{uuid.uuid4().hex}").touch()
+                return fetch(batch)
+
+            found.fetch = counted
+            assert len(found.partitions()) <= found.parts < 400
+            return found
+
+    asked = spark.range(40_000).select(F.col("id").alias("k"), F.floor(F.col("id") / 100).alias("batch"))
+    for b in range(0, 400, 2):
+        (tmp_path / f"batch-{b:06d}.json").write_text("\n".join(json.dumps({"k": i}) for i in range(100 * b, 100 * b + 100)))
+    rows, failures = landed.read_landed(spark, str(tmp_path), asked, "k long", source=Counting, wait=0.0)
+    assert sorted(r["k"] for r in rows.collect()) == [i for i in range(40_000) if i // 100 % 2 == 0]
+    assert sorted(r["_batch"] for r in failures.collect()) == list(range(1, 400, 2))
+    assert len(list(tmp_path.glob("asked-*"))) == 200 + 3 * 200
+
+
 def test_structure_grammar():
     text = "#c\ndata_A\n_x 'it''s o'clock' # c\n_y \"a 'b'\"\n_z\n;line one\nloop_\n;\n_u ?\nloop_\n_p\n_q\n1 .\n'?' 2\n3\nloop_ _r 'a'\ndata_B\n_x 1.5(2)\n_lost\n"
     got = list(cif.items(text))
