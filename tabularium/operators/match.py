@@ -101,24 +101,33 @@ def substring_pairs(needles: DataFrame, item: str, needle: str, docs: DataFrame,
     """(doc, item) for each row of ``docs`` whose body contains a needle; empty and null needles are in nothing.
 
     An inverted index of grams: a needle's words are cut into grams of ``size`` letters (all of a shorter word), and the one
-    whose words stand in the fewest documents is its anchor. Only words that have an anchor are looked up in the table of
-    (doc, word), which is written once, and only the pairs that are left meet their bodies again. A needle with a gram that no
-    word has costs nothing further.
+    whose words stand in the fewest documents is its anchor. A document's word fits if it could be the anchor's word: one that
+    ends with a needle's first word, starts with its last, is one between, or holds a needle of one word, which is then found.
+    Only words that fit are looked up in the table of (doc, word), which is written once, and only what is left of needles of
+    several words meets its bodies again. A needle with a gram that no word has costs nothing further.
     """
     parts = F.split(needle, "[ \n]")
     asked = needles.where(F.length(needle) > 0).select(item, needle)
     long = F.least(F.array_max(F.transform(parts, F.length)), F.lit(size))
-    cut = asked.withColumn("_n", long).select(item, "_n", F.explode(F.array_distinct(F.flatten(F.transform(parts, lambda w: _grams(w, F.col("_n")))))).alias("_gram"))
+    cut = asked.select(item, long.alias("_n"), F.size(parts).alias("_k"), F.posexplode(parts).alias("_at", "_part"))
+    cut = cut.select("*", F.explode(_grams(F.col("_part"), F.col("_n"))).alias("_gram"))
     sizes = F.broadcast(cut.agg(F.collect_set("_n").alias("_sizes")))  # one row of at most ``size`` + 1 numbers
-    each = stored(docs.select(doc, F.explode(F.array_distinct(F.split(body, "[ \n]"))).alias("_word")), "words")
+    # Rows may share an id: each is told by a number of its own, which is written with it.
+    each = stored(docs.select(doc, F.monotonically_increasing_id().alias("_row"), body).select(doc, "_row", F.explode(F.array_distinct(F.split(body, "[ \n]"))).alias("_word")), "words")
     words = each.groupBy("_word").agg(F.count("*").alias("_docs")).join(sizes)
     shown = words.select("_word", "_docs", F.explode(F.flatten(F.transform("_sizes", lambda n: _grams(F.col("_word"), n)))).alias("_gram"))
     shown = stored(shown.join(cut.select("_gram").distinct(), "_gram"), "grams")
     weights = shown.groupBy("_gram").agg(F.sum("_docs").alias("_docs"))
-    anchors = cut.join(weights, "_gram", "left").groupBy(item).agg(F.min(F.struct(F.coalesce("_docs", F.lit(0)).alias("docs"), "_gram")).alias("_a")).select(item, F.col("_a._gram").alias("_gram"))
-    hits = shown.join(anchors, "_gram").select("_word", item)
-    near = each.join(hits, "_word").select(doc, item).distinct()
-    return near.join(docs.select(doc, body), doc).join(asked, item).where(F.col(body).contains(F.col(needle))).select(doc, item)
+    anchor = F.min(F.struct(F.coalesce("_docs", F.lit(0)).alias("docs"), "_gram", "_part", "_at", "_k")).alias("_a")
+    anchors = cut.join(weights, "_gram", "left").groupBy(item).agg(anchor).select(item, "_a.*")
+    word, part, alone = F.col("_word"), F.col("_part"), F.col("_k") == 1
+    fits = F.when(alone, word.contains(part)).when(F.col("_at") == 0, word.endswith(part)).when(F.col("_at") == F.col("_k") - 1, word.startswith(part)).otherwise(word == part)
+    # Written, so that Spark knows how few they are before it moves the table of words.
+    hits = stored(shown.join(anchors, "_gram").where(fits).select("_word", item, alone.alias("_alone")), "hits")
+    near = stored(each.join(hits, "_word").select(doc, "_row", item, "_alone").distinct(), "near")
+    rest = near.where("not _alone").select(F.col(doc).alias("_doc"), item).distinct().join(asked, item)
+    met = rest.join(docs.select(doc, body), F.col("_doc").eqNullSafe(F.col(doc))).where(F.col(body).contains(F.col(needle)))
+    return near.where("_alone").select(doc, item).unionByName(met.select(doc, item))
 
 
 def tolerance_match(left: DataFrame, right: DataFrame, keys: list[str], comp: str, other: str, tolerance: float, order: list[Column], keep: list[str], digits: int | None = None, but: tuple[str, str] | None = None) -> DataFrame:

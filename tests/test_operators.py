@@ -219,3 +219,13 @@ def test_hints_from_a_file_and_the_second_pass(spark, tmp_path):
     assert {r["row_id"]: (r["outcome"], r["cod_id"], r["cod_sg"], r["phase_name_verified"]) for r in found.collect()} == {1: ("matched", "8", "C 2/c", False), 2: ("no_structure_expected", None, None, None), 3: ("still_unmatched", None, None, None)}
     searched, none, still = toc.second_tables(found)
     assert searched.select("Formula", "cif_file").collect() == [("Fe0.877S", "Fe0.877S.cif")] and none.count() == 1 and still.count() == 1
+
+
+def test_substring_pairs_of_rows_that_share_an_id(spark):
+    """A row each, where ids are equal or null; a needle of one word needs no body, one of several only words that fit."""
+    docs = spark.createDataFrame([(1, "a cartoon here"), (1, "cart wheel"), (None, "the cartwheel"), (2, "art\nof"), (2, "art of"), (3, "smart office")], "d long, body string")
+    needles = spark.createDataFrame([(1, "art"), (2, "art of"), (3, "cart wheel"), (4, "here "), (5, "t o"), (6, "")], "i long, n string")
+    got = match.substring_pairs(needles, "i", "n", docs, "d", "body")
+    rows, asked = docs.collect(), needles.collect()
+    want = [(x["d"] or 0, y["i"]) for x in rows for y in asked if y["n"] and y["n"] in x["body"]]
+    assert sorted((r["d"] or 0, r["i"]) for r in got.select("d", "i").collect()) == sorted(want)
