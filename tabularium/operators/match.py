@@ -133,7 +133,18 @@ def substring_pairs(needles: DataFrame, item: str, needle: str, docs: DataFrame,
 def tolerance_match(left: DataFrame, right: DataFrame, keys: list[str], comp: str, other: str, tolerance: float, order: list[Column], keep: list[str], digits: int | None = None, but: tuple[str, str] | None = None) -> DataFrame:
     """``left`` with err and ``keep`` of its best right row of the same keys and elements within a tolerance, or nulls.
 
-    The error is the largest difference of shares (``chem.ratio_error``), to ``digits``; equal errors go by ``order``, then ``keep``.
+    The error is the largest difference of shares (``chem.ratio_error``), as ``nearest_shares`` takes it.
+    """
+    rows = left.withColumns({"_el": chem.element_key(F.col(comp)), "_at": chem.shares(F.col(comp))})
+    held = right.withColumns({"_el": chem.element_key(F.col(other)), "_to": chem.shares(F.col(other))})
+    return nearest_shares(rows, held, [*keys, "_el"], "_at", "_to", tolerance, order, keep, digits, but).select(*left.columns, "err", *keep)
+
+
+def nearest_shares(left: DataFrame, right: DataFrame, on: list[str], at: str, to: str, tolerance: float, order: list[Column], keep: list[str], digits: int | None = None, but: tuple[str, str] | None = None) -> DataFrame:
+    """``left`` with err and ``keep`` of its best right row of the same ``on`` within a tolerance, or nulls.
+
+    The error is the largest difference between the arrays ``at`` and ``to``, which have one length for one ``on``, to ``digits``;
+    equal errors go by ``order``, then ``keep``. Null arrays match nothing.
     ``but``: a left column and a kept one that must differ. Equal shares are compared once. Shares are put into cells
     of the tolerance's width and of its halves, quarters and so on: a row that has another in its own cell finds its best no
     farther than that cell's width, so it only meets the cells beside the smallest such one, however many lie within the tolerance.
@@ -142,14 +153,13 @@ def tolerance_match(left: DataFrame, right: DataFrame, keys: list[str], comp: st
     width = F.lit(tolerance) / F.pow(F.lit(2.0), F.col("_level"))
     levels = F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("_level")
     own = lambda at: F.transform(at, lambda x: F.floor(x / width))
-    # The last share follows from the others, and three tell enough apart; these cells leave room for rounding.
-    beside = lambda at: F.transform(F.slice(at, F.lit(1), F.least(F.size(at) - 1, F.lit(3))), lambda x: F.floor(x / (width * 1.01 + 2 * slack)))
+    # The last share mostly follows from the others, and three tell enough apart; these cells leave room for rounding.
+    beside = lambda at: F.transform(F.slice(at, F.lit(1), F.least(F.greatest(F.size(at) - 1, F.lit(1)), F.lit(3))), lambda x: F.floor(x / (width * 1.01 + 2 * slack)))
     step = lambda cells, c: F.flatten(F.transform(cells, lambda x: F.transform(F.array(c - 1, c, c + 1), lambda y: F.concat(x, F.array(y)))))
     around = lambda at: F.aggregate(beside(at), F.array(F.array().cast("array<bigint>")), step)
 
-    rows = left.withColumns({"_el": chem.element_key(F.col(comp)), "_at": chem.shares(F.col(comp))})
-    on = [*keys, "_el"]
-    held = right.select(*keys, chem.element_key(F.col(other)).alias("_el"), chem.shares(F.col(other)).alias("_to"), F.struct(*order, *keep).alias("_r")).where("_to is not null")
+    rows = left.withColumn("_at", F.col(at))
+    held = right.select(*on, F.col(to).alias("_to"), F.struct(*order, *keep).alias("_r")).where("_to is not null")
     first = W.partitionBy(*on, "_to").orderBy("_r")
     held = stored(held.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= some).drop("_n"), "shares")
     shared = held.select(*on, "_to", levels).groupBy(*on, "_level", own(F.col("_to")).alias("_cell")).agg(F.count("*").alias("_n")).where(F.col("_n") >= some).drop("_n")

@@ -115,15 +115,23 @@ sum(l_quantity) FILTER (l_returnflag = 'R') / sum(l_quantity) AS r FROM lineitem
 
 
 @query(f"""WITH v AS ({_SHARES}), p AS (SELECT x.l_suppkey AS id, y.l_suppkey AS other, round(greatest(abs(x.a - y.a), abs(x.n - y.n), abs(x.r - y.r)), 9) AS err
-FROM v x JOIN v y ON x.l_suppkey % 10 = y.l_suppkey % 10 AND x.l_suppkey <> y.l_suppkey), b AS (SELECT id, min((err, other)) AS m FROM p WHERE err <= 0.02 GROUP BY id)
+FROM v x JOIN v y ON x.l_suppkey <> y.l_suppkey), b AS (SELECT id, min((err, other)) AS m FROM p WHERE err <= 0.02 GROUP BY id)
 SELECT v.l_suppkey AS id, coalesce(m[2], -1) AS other, m[1] AS err FROM v LEFT JOIN b ON v.l_suppkey = b.id""")
 def ratio_tolerance_join(spark, d):
-    sums = table(spark, d, "lineitem").groupBy("l_suppkey").agg(*[F.sum(F.when(F.col("l_returnflag") == x, F.col("l_quantity"))).alias(x) for x in "ANR"])
-    comp = F.create_map(*[y for x in "ANR" for y in (F.lit(x), F.col(x))])
-    rows = store.stored(sums.select(F.col("l_suppkey").alias("id"), (F.col("l_suppkey") % 10).alias("block"), comp.alias("comp")), "compositions")
-    right = rows.select("block", F.col("id").alias("other"), F.col("comp").alias("other_comp"))
-    best = match.tolerance_match(rows, right, ["block"], "comp", "other_comp", 0.02, [], ["other"], digits=9, but=("id", "other"))
-    return best.select("id", F.coalesce("other", F.lit(-1).cast("long")).alias("other"), "err")
+    """Each supplier and the one, of all others, whose shares are nearest; a share that either lacks is not compared."""
+    quantity = lambda x: F.sum(F.when(F.col("l_returnflag") == x, F.col("l_quantity")))
+    sums = table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.sum("l_quantity").alias("all"), *[quantity(x).alias(x) for x in "ANR"])
+    held = F.filter(F.array(*[F.when(F.col(x).isNotNull(), x) for x in "ANR"]), lambda x: x.isNotNull())
+    shares = F.create_map(*[y for x in "ANR" for y in (F.lit(x), F.try_divide(x, "all"))])
+    rows = store.stored(sums.select(F.col("l_suppkey").alias("id"), held.alias("held"), shares.alias("shares")), "compositions")
+    # Rows of one set of flags meet rows of another by the flags of both: there are at most eight sets.
+    sets = F.broadcast(rows.select(F.col("held").alias("met")).distinct())
+    both = F.array_sort(F.array_intersect("held", "met"))
+    each = rows.join(sets, F.arrays_overlap("held", "met")).select("id", "held", "met", F.transform(both, lambda x: F.element_at("shares", x)).alias("at"))
+    right = each.where("id is not null").select(F.col("met").alias("held"), F.col("held").alias("met"), F.col("id").alias("other"), F.col("at").alias("to"))
+    best = match.nearest_shares(each, right, ["held", "met"], "at", "to", 0.02, [], ["other"], digits=9, but=("id", "other"))
+    best = best.where("other is not null").groupBy("id").agg(F.min(F.struct("err", "other")).alias("m"))
+    return rows.join(best, "id", "left").select("id", F.coalesce("m.other", F.lit(-1).cast("long")).alias("other"), "m.err")
 
 
 @query("""SELECT k.o_orderkey, CAST(coalesce(arg_min(g.o_orderkey, CASE WHEN g.o_orderkey <= k.o_orderkey THEN 2 * (k.o_orderkey - g.o_orderkey) - CASE WHEN g.o_orderkey = k.o_orderkey THEN 0 ELSE 1 END

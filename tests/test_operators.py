@@ -4,9 +4,11 @@ import math
 import random
 from itertools import combinations
 
+import duckdb
 from pyspark.sql import functions as F
 
 from tabularium.operators import match, outcomes, pages, series
+from tabularium.plans import registry
 from tabularium.sources import io
 from tabularium.streaming import pages as stream
 
@@ -229,3 +231,17 @@ def test_substring_pairs_of_rows_that_share_an_id(spark):
     rows, asked = docs.collect(), needles.collect()
     want = [(x["d"] or 0, y["i"]) for x in rows for y in asked if y["n"] and y["n"] in x["body"]]
     assert sorted((r["d"] or 0, r["i"]) for r in got.select("d", "i").collect()) == sorted(want)
+
+
+def test_ratio_tolerance_join_meets_all_suppliers(spark, tmp_path):
+    """Suppliers whose keys end in different digits are compared, also where one lacks a flag or is without a key."""
+    shares = {1: (50, 30, 20), 2: (50, 30, 20), 13: (51, 29, 20), 24: (90, 5, 5), 35: (0, 94, 6), 46: (1, 93, 6), 57: (0, 0, 9), 68: (2, 0, 98), None: (90, 5, 5)}
+    lines = [(k, f, float(q)) for k, v in shares.items() for f, q in zip("ANR", v, strict=True) if q]
+    spark.createDataFrame(lines, "l_suppkey long, l_returnflag string, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    db = duckdb.connect()
+    db.execute(f"create view lineitem as select * from '{tmp_path}/lineitem.parquet/*.parquet'")
+    want = db.execute(registry.ORACLE_SQL["ratio_tolerance_join"]).fetchall()
+    got = [(r["id"], r["other"], r["err"]) for r in registry.QUERIES["ratio_tolerance_join"](spark, str(tmp_path)).collect()]
+    plain = lambda rows: sorted((a or 0, b, -1.0 if c is None else round(c, 9)) for a, b, c in rows)
+    assert plain(got) == plain(want)
+    assert {(1, 2, 0.0), (2, 1, 0.0), (13, 1, 0.01), (35, 46, 0.01), (24, -1, -1.0), (57, 68, 0.02)} <= set(plain(got))
