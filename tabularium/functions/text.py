@@ -57,11 +57,21 @@ def missing_decimal(token: Column, first: Column) -> Column:
     return F.when(token.rlike(r"^-?\d{4,7}$"), F.concat(F.substr(token, F.lit(1), cut), F.lit("."), F.substr(token, cut + 1, places))).otherwise(token)
 
 
+def _exchange(text: Column, old: str, new: str) -> Column:
+    """``F.translate`` for a few characters of which none in ``new`` is in ``old``: a search for each takes less than a look-up of all."""
+    for a, b in zip(old, new, strict=True):
+        text = F.replace(text, F.lit(a), F.lit(b))
+    return text
+
+
 def row_repair(line: Column) -> Column:
     """A table row's usual misreadings: letters for digits, dashes, commas, split and glued numbers."""
     tokens = F.filter(F.split(F.trim(line), r"\s+"), lambda t: t != "")
-    line = F.array_join(F.transform(tokens, lambda t, i: missing_decimal(t, i == 0)), " ")
-    line = F.translate(line, "§BSOl—–−~_,", "58501-----.")
+    line = F.when(line.rlike(r"^\s|\s\z|\s\s|[^\S ]"), F.array_join(tokens, " ")).otherwise(line)
+    # As ``missing_decimal`` does for a token: in the first column two places, else three.
+    line = F.regexp_replace(line, r"^(-?\d{2,5})(\d{2})(?!\S)", "$1.$2")
+    line = F.regexp_replace(line, r"(?<= )(-?\d{1,4})(\d{3})(?!\S)", "$1.$2")
+    line = _exchange(line, "§BSOl—–−~_,", "58501-----.")
     line = F.regexp_replace(line, r"(?<=[.-])\s+(?=\d)", "")
     return F.regexp_replace(line, r"(?<=\d)-", " -")
 
@@ -87,10 +97,8 @@ def strip_first(line: Column, token: Column) -> Column:
 
 def match_key(text: Column) -> Column:
     """One spelling for page matching: letters, digits and brackets only, in capitals, O as 0, L as I."""
-    text = F.translate(text, "{}", "[]")
-    text = F.upper(F.regexp_replace(text, r"[^A-Za-z0-9\[\]]", ""))
-    text = F.regexp_replace(F.regexp_replace(text, r"\[+", "["), r"\]+", "]")
-    return F.translate(text, "OL", "0I")
+    text = F.upper(F.regexp_replace(_exchange(text, "{}", "[]"), r"[^A-Za-z0-9\[\]]+", ""))
+    return _exchange(F.regexp_replace(text, r"(?<=\[)\[+|(?<=\])\]+", ""), "OL", "0I")
 
 
 def looks_like_tag(text: Column) -> Column:

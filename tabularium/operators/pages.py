@@ -38,14 +38,9 @@ def clean_lines(lines: DataFrame) -> DataFrame:
     return lines.where((F.trim("text") != "") & ~F.col("text").rlike(rf"^\s*{X.NUMBER}\s*$"))
 
 
-def _window(lines: DataFrame) -> Column:
-    w = W.partitionBy("entry_id").orderBy("line_no")
-    return F.concat_ws(" ", *[F.lag("text", k).over(w) for k in (3, 2, 1)])
-
-
 def is_header(text: Column) -> Column:
     """Does a line head a table of data? The one of the references has an H there."""
-    return ~F.upper(F.regexp_extract(text, HEADER, 1)).isin("", "H")
+    return ~F.regexp_extract(text, HEADER, 1).isin("", "H", "h")
 
 
 def _ends(text: Column, most: int = 2) -> Column:
@@ -53,47 +48,54 @@ def _ends(text: Column, most: int = 2) -> Column:
     marks stand between its letters: only such lines are searched."""
     cuts = [len(ENDING) * i // (most + 1) for i in range(most + 2)]
     pieces = (r"[^A-Za-z0-9\[\]]*".join(ENDING[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True))
-    found = X.fuzzy_find(F.lit(ENDING), X.match_key(text), most) != -1
+    key = X.match_key(text)
+    found = key.contains(ENDING) | (X.fuzzy_find(F.lit(ENDING), key, most) != -1)
     return F.when(text.rlike(f"(?i){'|'.join(pieces)}"), found).otherwise(F.lit(False))
 
 
-def header_cut(lines: DataFrame, entries: DataFrame) -> DataFrame:
-    """Lines (entry_id, line_no, text) from the first header that names the entry (entry_id, formula, name).
-
-    Tiers are tried in order: a name in the three lines before a header, then a formula; nothing found cuts nothing.
-    """
-    header = is_header(F.col("text"))
-    rows = clean_lines(lines).withColumn("_before", _window(lines)).join(entries, "entry_id", "left")
-    hay = X.match_key(F.col("_before"))
-    has = lambda c: F.coalesce((F.length(X.match_key(F.col(c))) > 0) & hay.contains(X.match_key(F.col(c))), F.lit(False))
-    # Nested, so that keys are made for headers only.
-    tier = F.when(header, F.when(has("name"), 1).when(has("formula"), 2))
-    start = F.min(F.when(tier.isNotNull(), F.struct(tier.alias("tier"), F.col("line_no").alias("line_no")))).over(W.partitionBy("entry_id"))
-    return rows.withColumn("_start", start).where(F.col("_start").isNull() | (F.col("line_no") >= F.col("_start.line_no"))).select("entry_id", "line_no", "text")
-
+def segment(lines: DataFrame, entries: DataFrame) -> DataFrame:
+    """Lines (entry_id, line_no, text) of entries (entry_id, formula, name) to (entry_id, line_no, phase_seq, phase,
+    last_phase, opens, rest), in closed form and without the unfinished last phase.
 
-def segment(lines: DataFrame) -> DataFrame:
-    """Lines to (entry_id, line_no, phase_seq, phase, opens, rest), in closed form and without the unfinished last phase.
+    Lines count from the first header that names the entry: a name in the three lines before a header is tried first, then a
+    formula; nothing found cuts nothing. A line opens a phase if its first token has a letter, is no unit label and no
+    references heading, and a header is near or a phase is open; the first references heading that opens none ends the
+    table. ``last_phase``: is it the last of an entry's phases that ended?
 
-    A line opens a phase if its first token has a letter, is no unit label and no references heading, and a header
-    is near or a phase is open; the first references heading that opens none ends the table.
+    What a line says is worked out first, with a running count of the lines that could open a phase. Where an entry starts,
+    opens and ends are least lines, and phases are differences of counts: three passes over one order.
     """
-    w = W.partitionBy("entry_id").orderBy("line_no")
-    first = F.get(F.filter(F.split("text", r"\s+"), lambda t: t != ""), F.lit(0))
-    rows = lines.withColumns({"_raw": first, "_token": X.phase_token(first), "_near": _window(lines).contains("Phase")})
-    rows = rows.withColumn("_ref", F.coalesce(_ends(F.col("_token")), F.lit(False)))
-    base = F.col("_token").rlike(r"(?U)\p{L}") & ~F.col("_token").rlike(X.TEMP_LABEL) & ~F.col("_ref")
-    rows = rows.withColumn("_base", F.coalesce(base, F.lit(False)))
-    opened = F.min(F.when(F.col("_base") & F.col("_near"), F.col("line_no"))).over(W.partitionBy("entry_id"))
-    rows = rows.withColumn("_open", opened).withColumn("_starts", F.col("_base") & F.coalesce(F.col("line_no") >= F.col("_open"), F.lit(False)))
-    ends = F.col("_ref") | (~F.col("_starts") & _ends(F.col("text")))
-    rows = rows.withColumn("_end", F.min(F.when(ends, F.col("line_no"))).over(W.partitionBy("entry_id")))
-    rows = rows.where(F.col("_open").isNotNull() & (F.col("_end").isNull() | (F.col("line_no") < F.col("_end"))))
-    rows = rows.withColumn("phase_seq", F.sum(F.col("_starts").cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0))).where("phase_seq > 0")
-    rows = rows.withColumn("_last", F.max("phase_seq").over(W.partitionBy("entry_id"))).where(F.col("_end").isNotNull() | (F.col("phase_seq") < F.col("_last")))
-    phase = F.max(F.when(F.col("_starts"), F.col("_token"))).over(W.partitionBy("entry_id", "phase_seq"))
-    rest = F.when(F.col("_starts"), X.strip_first(F.col("text"), F.col("_raw"))).otherwise(F.col("text"))
-    return rows.select("entry_id", "line_no", "phase_seq", phase.alias("phase"), F.col("_starts").alias("opens"), rest.alias("rest"))
+    order, whole = W.partitionBy("entry_id").orderBy("line_no"), W.partitionBy("entry_id")
+    running, col = order.rowsBetween(W.unboundedPreceding, 0), F.col
+    rows = clean_lines(lines).select("entry_id", "line_no", "text", F.regexp_extract("text", r"(\S+)", 1).alias("_raw")).withColumn("_token", X.phase_token(col("_raw")))
+    rows = rows.withColumn("_ref", F.coalesce(_ends(col("_token")), F.lit(False))).withColumns({"_says": ~col("_ref") & _ends(col("text"))})
+    base = col("_token").rlike(r"(?U)\p{L}") & ~col("_token").rlike(X.TEMP_LABEL) & ~col("_ref")
+    rows = rows.withColumns({"_base": F.coalesce(base, F.lit(False)), "_at": F.when(col("text").contains("Phase"), F.coalesce(col("line_no").cast("long"), F.lit(-(2**63))))})
+    back = lambda c: [F.lag(c, k).over(order) for k in (3, 2, 1)]
+    rows = rows.withColumns({
+        "_near": F.greatest(*back("_at")), "_run": F.sum(col("_base").cast("int")).over(running), "_before": F.concat_ws(" ", *back("text")),
+        "phase": F.last(F.when(col("_base"), col("_token")), ignorenulls=True).over(running),
+    })
+    # Keys are made once an entry, and of lines for headers only.
+    rows = rows.select("entry_id", "line_no", "text", "_raw", "_ref", "_says", "_base", "_near", "_run", "phase", F.when(is_header(col("text")), X.match_key(col("_before"))).alias("_hay"))
+    rows = rows.join(entries.select("entry_id", X.match_key(col("name")).alias("_name"), X.match_key(col("formula")).alias("_formula")), "entry_id", "left")
+    has = lambda c: (F.length(c) > 0) & col("_hay").contains(col(c))
+    tier = F.when(has("_name"), 1).when(has("_formula"), 2)
+    rows = rows.withColumn("_tier", F.when(tier.isNotNull(), F.struct(tier.alias("tier"), "line_no"))).drop("_hay", "_name", "_formula")
+    rows = rows.withColumn("_start", F.min("_tier").over(whole)["line_no"]).drop("_tier").where(col("_start").isNull() | (col("line_no") >= col("_start")))
+
+    least = lambda test, n: F.min(F.when(test & col("line_no").isNotNull(), F.struct("line_no", n.alias("n")))).over(whole)
+    near = col("_near").isNotNull() & (col("_start").isNull() | (col("_near") >= col("_start")))
+    done = col("_run") - col("_base").cast("int")
+    # A heading on a line that could open a phase ends the table only before the first that does.
+    rows = rows.withColumns({
+        "_open": least(col("_base") & near, col("_run")), "_end": least(col("_ref") | (~col("_base") & col("_says")), done),
+        "_early": least(col("_base") & col("_says"), done), "_top": F.max("_run").over(whole),
+    })
+    rows = rows.where(col("_open").isNotNull() & (col("_run") >= col("_open.n")) & (col("_end").isNull() | (col("line_no") < col("_end.line_no"))) & ~F.coalesce(col("_early.line_no") < col("_open.line_no"), F.lit(False)))
+    last = F.coalesce(col("_end.n"), col("_top") - 1)
+    rest = F.when(col("_base"), X.strip_first(col("text"), col("_raw"))).otherwise(col("text"))
+    return rows.where(col("_run") <= last).select("entry_id", "line_no", (col("_run") - col("_open.n") + 1).alias("phase_seq"), "phase", (col("_run") == last).alias("last_phase"), col("_base").alias("opens"), rest.alias("rest"))
 
 
 def combination_table(spark: SparkSession, least: int = 9, most: int = 15) -> DataFrame:
@@ -111,19 +113,25 @@ def combination_table(spark: SparkSession, least: int = 9, most: int = 15) -> Da
 def recover_columns(df: DataFrame, found: str = "numbers", strict: float = 2.0, loose: float = 50.0) -> DataFrame:
     """``df`` with ``fit`` (ten numbers or null) and used_fallback: the first choice of ten, then nine, of up to 15
     numbers that satisfies G = H - T * S / 1000; else the first ten, or nine and 0, if nearly so."""
-    table = combination_table(df.sparkSession).withColumnRenamed("n", "_n")
-    rows = df.withColumn("_size", F.size(found)).join(F.broadcast(table), F.col("_size") == F.col("_n"), "left")
+    least, most = 9, 15
+    table = combination_table(df.sparkSession, least, most).withColumnRenamed("n", "_n")
     x = lambda i: F.get(F.col(found), i)
     off = lambda t, s, h, g: F.abs(h - F.abs(t) * s / 1000.0 - g)
+    apart = off(x(F.lit(0)), x(F.lit(2)), x(F.lit(4)), x(F.lit(6)))
+    # The first of all choices are the first numbers as they stand: rows that they satisfy don't meet the table.
+    rows = df.withColumn("_size", F.size(found))
+    rows = rows.withColumn("_plain", F.coalesce(F.col("_size").between(least, most) & (apart <= strict), F.lit(False)))
+    rows = rows.join(F.broadcast(table), F.when(~F.col("_plain"), F.col("_size")) == F.col("_n"), "left")
     good = F.filter("tests", lambda c: off(x(c["a"]), x(c["b"]), x(c["c"]), x(c["d"])) <= strict)
     rank = F.array_min(F.transform(good, lambda c: c["rank"]))
     pad = lambda a: F.when(F.size(a) == 9, F.concat(a, F.array(F.lit(0.0)))).otherwise(a)
     picked = lambda r: F.when(r.isNotNull(), _once(F.transform(F.get("picks", r), lambda i: x(i)), pad))
-    front = F.when((F.col("_size") >= 9) & (off(x(F.lit(0)), x(F.lit(2)), x(F.lit(4)), x(F.lit(6))) <= loose), pad(F.slice(found, 1, 10)))
+    front = F.when((F.col("_size") >= least) & (apart <= loose), pad(F.slice(found, 1, 10)))
+    fit = F.when(F.col("_plain"), pad(F.slice(found, 1, 10))).otherwise(_once(rank, picked))
     both = lambda b: F.struct(F.coalesce(b["fit"], b["front"]).alias("fit"), (b["fit"].isNull() & b["front"].isNotNull()).alias("used_fallback"))
     # Out of a generator, so that what is asked of ``fit`` later doesn't work the search out again.
-    made = F.transform(F.array(F.struct(_once(rank, picked).alias("fit"), front.alias("front"))), both)
-    return rows.select("*", F.inline(made)).drop("_n", "_size", "tests", "picks")
+    made = F.transform(F.array(F.struct(fit.alias("fit"), front.alias("front"))), both)
+    return rows.select("*", F.inline(made)).drop("_n", "_size", "_plain", "tests", "picks")
 
 
 def _once(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -138,12 +146,10 @@ def table_lines(lines: DataFrame, entries: DataFrame) -> DataFrame:
     A phase that ended stays though none of its lines be a row: the line that opened it is kept, with null numbers and not
     accepted. ``last_phase`` is true in the last phase of an entry that ended, whether it has rows or not.
     """
-    rows = segment(header_cut(lines, entries))
-    rows = rows.withColumn("last_phase", F.col("phase_seq") == F.max("phase_seq").over(W.partitionBy("entry_id")))
-    words = F.filter(F.split("rest", r"\s+"), lambda t: t != "")
-    shout = lambda w: (F.upper(w) == w) & w.rlike(r"\p{Lu}") & ~w.rlike(X.TEMP_LABEL)
-    bare = lambda w: F.when(shout(w), X.strip_first(F.col("rest"), w)).otherwise(F.col("rest"))
-    rest = _once(words, lambda ws: F.when(F.size(ws) > 3, _once(F.get(ws, F.lit(0)), bare)))
+    rows = segment(lines, entries).withColumn("_word", F.regexp_extract("rest", r"(\S+)", 1))
+    word, wide = F.col("_word"), F.col("rest").rlike(r"\S\s++\S++\s++\S++\s++\S")
+    shout = word.rlike(r"\p{Lu}") & (F.upper(word) == word) & ~word.rlike(X.TEMP_LABEL)
+    rest = F.when(wide, F.when(shout, X.strip_first(F.col("rest"), word)).otherwise(F.col("rest")))
     rows = recover_columns(rows.withColumn("numbers", X.numbers(X.row_repair(rest)))).where("fit is not null or opens")
     named = [(F.abs(F.get("fit", F.lit(i))) if i == 0 else F.get("fit", F.lit(i))).alias(c) for i, c in enumerate(COLUMNS)]
     rows = rows.select("entry_id", "phase_seq", "phase", "last_phase", F.col("line_no").alias("row_idx"), "used_fallback", *named)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -31,15 +32,32 @@ def monotone_gate(df: DataFrame, key: str, order: str, t: str, s: str, g: str, t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple | None = None
         for batch in batches:
-            out = []
-            cols = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (key, t, s, g)]
-            for k, tv, sv, gv in zip(*cols, strict=True):
+            n = batch.num_rows
+            if not n:
+                continue
+            keys, *cols = [batch.column(batch.schema.get_field_index(c)) for c in (key, t, s, g)]
+            tv, sv, gv = [c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in cols]
+            null = np.zeros(n, bool)
+            for c in cols:
+                null |= c.is_null().to_numpy(zero_copy_only=False)
+            codes = keys.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            group = np.concatenate([[0], np.cumsum(codes[1:] != codes[:-1])])
+            # A row that follows the one before it needs no state; only keys with another one are gone through.
+            off = null.copy()
+            off[1:] |= (group[1:] == group[:-1]) & ((tv[1:] < tv[:-1] - t_slack) | ((sv[:-1] >= 0) & (gv[1:] > gv[:-1] + g_slack)))
+            odd = np.zeros(group[-1] + 1, bool)
+            odd[group[off]] = True
+            odd[0] |= last is not None and last[0] == keys[0].as_py()
+            out = ~odd[group]
+            at = np.flatnonzero(~out)
+            for i, k, gone, ti, si, gi in zip(at.tolist(), keys.take(pa.array(at)).to_pylist(), null[at].tolist(), tv[at].tolist(), sv[at].tolist(), gv[at].tolist(), strict=True):
                 if last is not None and last[0] != k:
                     last = None
-                ok = None not in (tv, sv, gv) and (last is None or not (tv < last[1] - t_slack or (last[2] >= 0 and gv > last[3] + g_slack)))
-                if ok:
-                    last = (k, tv, sv, gv)
-                out.append(ok)
+                if not gone and (last is None or not (ti < last[1] - t_slack or (last[2] >= 0 and gi > last[3] + g_slack))):
+                    last = (k, ti, si, gi)
+                    out[i] = True
+            if not odd[-1]:
+                last = (keys[n - 1].as_py(), float(tv[-1]), float(sv[-1]), float(gv[-1]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.bool_())], schema=arrow)
 
     return df.repartition(F.col(key)).sortWithinPartitions(key, order).mapInArrow(run, schema)

@@ -654,7 +654,7 @@ def phase_table_rows(spark, d):
     t = 200.0 + 100 * F.col("k")
     numbers = [F.format_string("%.2f", t), *[F.format_string("%.3f", x) for x in (F.col("l_quantity"), F.lit(30.0), F.lit(1.0), t / 50, F.lit(0.5), t / 50 - t * 30 / 1000, F.lit(-5.0), F.lit(-4.0), F.lit(0.1))]]
     # The letter O for 0 and a comma for a point, as page readers give them.
-    text = F.translate(F.array_join(F.array(*numbers[1:]), " "), "0", "O")
+    text = F.replace(F.concat_ws(" ", *numbers[1:]), F.lit("0"), F.lit("O"))
     text = F.concat_ws(" ", F.when(F.col("k") == 1, "SOL").when(F.col("k") == 3, "LIQ"), F.replace(numbers[0], F.lit("."), F.lit(",")), text)
     body = lines.select("entry_id", (10 + F.col("k")).alias("line_no"), text.alias("text"))
     entries = lines.select("entry_id").distinct().select("entry_id", F.concat(F.lit("Fe"), "entry_id", F.lit("O")).alias("formula"), F.lit("IRON OXIDE").alias("name"))

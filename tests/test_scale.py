@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tabularium.functions import chem
-from tabularium.operators import match, toc
+from tabularium.operators import match, pages, toc
 from tabularium.sources import store
 
 
@@ -98,3 +98,33 @@ def test_per_value_keeps_nulls_and_drops(spark):
     got = store.per_value(df, ["x"], lambda each: each.withColumn("y", F.coalesce(F.upper("x"), F.lit("none"))).where("y <> 'B'"))
     assert got.columns == ["id", "x", "y"]
     assert sorted(map(tuple, got.collect()), key=str) == [(1, None, "none"), (2, "a", "A"), (4, None, "none"), (5, "a", "A")]
+
+
+def test_page_rows_in_few_passes(spark):
+    # Nine windows and two orders before; rows that stand as printed must not carry the table of choices.
+    lines = spark.createDataFrame([("a", 1, "x")], "entry_id string, line_no int, text string")
+    entries = spark.createDataFrame([("a", "MgO", "MAGNESIUM OXIDE")], "entry_id string, formula string, name string")
+    plan = pages.segment(lines, entries)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Window [") <= 3
+    good = [300.0, 40.0, 30.0, 1.0, 6.0, 0.5, -3.0, -5.0, -4.0, 0.1]
+    rows = spark.range(40_000).select("id", F.array(*map(F.lit, good)).alias("numbers")).union(spark.range(1).select(F.lit(-1), F.array(*map(F.lit, good[:3] + [99.9] + good[3:]))))
+    found = pages.recover_columns(rows)
+    assert found.where(F.col("fit") == F.array(*map(F.lit, good))).count() == 40_000
+    assert found.where("id = -1").first()["fit"] == good[:3] + [99.9] + good[4:]
+    met = [x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in x]
+    assert met and "CASE WHEN" in met[0]
+
+
+def test_headings_that_end_a_table(spark):
+    """A heading ends a table where it opens no phase, before the first phase or after; a near one counts, and so does the start."""
+    good = "300.00 40.000 30.000 1.000 6.000 0.500 -3.000 -5.000 -4.000 0.100"
+    texts = {
+        "a": ["Phase T Cp", f"SOL {good}", "REFERENCES 1", f"LIQ {good}"], "b": ["Phase T Cp", f"SOL {good}", f"LIQ {good}"], "c": ["1 REFERENCES", "Phase T Cp", f"SOL {good}", "REFERENCES"],
+        "d": ["Ref REFERENCES", "Phase T Cp", f"SOL {good}", "REFERENZEN 2"], "e": ["Phase T Cp", "GAS 1.000", "MgO", "Phase T Cp S", f"SOL {good}", good, f"LIQ {good}", "3 REFERENCES"], "f": ["Phase T Cp", f"SOL REFERENCES {good}", good, "REFERENCES"],
+    }
+    lines = spark.createDataFrame([(k, i, x) for k, xs in texts.items() for i, x in enumerate(xs)], "entry_id string, line_no int, text string")
+    entries = spark.createDataFrame([(k, "MgO", "MAGNESIUM OXIDE") for k in texts], "entry_id string, formula string, name string")
+    got = pages.segment(lines, entries).where("rest like '%300.00%'").orderBy("entry_id", "line_no").collect()
+    assert [(r["entry_id"], r["line_no"], r["phase_seq"], r["phase"], r["last_phase"]) for r in got] == [
+        ("a", 1, 1, "SOL", True), ("b", 1, 1, "SOL", True), ("e", 4, 1, "SOL", False), ("e", 5, 1, "SOL", False), ("e", 6, 2, "LIQ", True), ("f", 1, 1, "SOL", True), ("f", 2, 1, "SOL", True),
+    ]
