@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tabularium.functions import text as X
 from tabularium.operators import match, pages
+from tabularium.sources.store import stored
 
 
 def contents(toc: DataFrame) -> DataFrame:
@@ -28,7 +29,7 @@ def contents(toc: DataFrame) -> DataFrame:
 def page_headers(lines: DataFrame, back: int = 3) -> DataFrame:
     """(page, headers): for each page of (page, line_no, text), what stands in the ``back`` lines before its headers."""
     w = W.partitionBy("page").orderBy("line_no")
-    before = F.array_join(F.collect_list("text").over(w.rowsBetween(-back, -1)), " ")
+    before = F.concat_ws(" ", *[F.lag("text", k).over(w) for k in range(back, 0, -1)])
     found = lines.withColumn("_before", before).where(pages.is_header(F.col("text")))
     listed = F.array_sort(F.collect_list(F.struct("line_no", "_before")))
     return found.groupBy("page").agg(F.array_join(F.transform(listed, lambda x: x["_before"]), " ").alias("headers"))
@@ -44,10 +45,12 @@ def with_pages(entries: DataFrame, lines: DataFrame, radius: int = 3) -> DataFra
 
 def extracted(lines: DataFrame, toc: DataFrame, radius: int = 3) -> DataFrame:
     """Entries with their page, and the rows of their phases as ``pages.checked_rows`` gives them; an entry whose page
-    has no phase has one row of nulls."""
-    entries = with_pages(contents(toc), lines, radius)
+    has no phase has one row of nulls. ``lines`` are read twice: write them first if they take work. Entries with their
+    pages are written once."""
+    entries = stored(with_pages(contents(toc), lines, radius), "entries")
     own = entries.select("entry_id", "page").join(lines, "page").select("entry_id", "line_no", "text")
-    rows = pages.checked_rows(pages.table_lines(own, entries.select("entry_id", "formula", "name")))
+    # Dealt by entry once, for all that follows: series are parts of entries.
+    rows = pages.checked_rows(pages.table_lines(own, entries.select("entry_id", "formula", "name")).repartition("entry_id"))
     return entries.join(rows, "entry_id", "left")
 
 

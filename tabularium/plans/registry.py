@@ -703,7 +703,7 @@ def _book(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     row = ten(t, F.col("c") + F.when(F.col("l_tax") >= 0.07, 50).otherwise(0), s, h)
     # Misreadings by line: a lost point, a comma for a point, and the letter O for 0.
     first = F.when(F.col("k") % 3 == 0, F.replace(row[0], F.lit("."), F.lit(""))).when(F.col("k") % 3 == 1, F.replace(row[0], F.lit("."), F.lit(","))).otherwise(row[0])
-    rest = F.when(F.col("k") % 2 == 0, F.translate(F.concat_ws(" ", *row[1:]), "0", "O")).otherwise(F.concat_ws(" ", *row[1:]))
+    rest = F.when(F.col("k") % 2 == 0, F.replace(F.concat_ws(" ", *row[1:]), F.lit("0"), F.lit("O"))).otherwise(F.concat_ws(" ", *row[1:]))
     phase = F.when(F.col("turn"), F.when(F.col("l_returnflag") == "A", "§OL-A").when(F.col("l_returnflag") == "N", "LIQ").otherwise("GAS"))
     body = lines.select("page", (20 + F.col("k")).alias("line_no"), F.concat_ws(" ", phase, first, rest).alias("text"))
     toc = orders.select(F.col("o").alias("row_id"), F.concat(F.lit("Fe"), text(F.col("o")), F.lit("O")).alias("formula"), F.lit("IRON OXIDE").alias("name"), F.col("listed").alias("page"))
@@ -720,7 +720,8 @@ audit AS (SELECT o, count(*) AS flagged, max(t) AS last_flagged FROM f3 WHERE in
 SELECT page_number, coalesce(CAST(phases AS INTEGER), 0) AS phases, md5(coalesce(body, '')) AS body, coalesce(flagged, 0) AS flagged, last_flagged, CASE WHEN NOT verified THEN page_number END AS page_num_used FROM entry LEFT JOIN docs USING (o) LEFT JOIN audit USING (o)""")
 def extraction_run(spark, d):
     """A whole run from page lines to documents, beside what the two audits say of each."""
-    run = store.stored(extraction.extracted(*_book(spark, d)), "extraction")
+    lines, toc_ = _book(spark, d)
+    run = store.stored(extraction.extracted(store.stored(lines, "lines"), toc_), "extraction")
     rows = lambda v: F.transform(F.arrays_zip(v["t"], v["cp"], v["s"]), lambda r: F.format_string("%.2f/%.3f/%.3f", r["t"], r["cp"], r["s"]))
     blocks = F.transform(F.map_entries("phases"), lambda x: F.concat(x["key"], F.lit(":"), F.array_join(rows(x["value"]), " ")))
     documents = extraction.documents(run).select("formula", "page_number", F.size("phases").alias("phases"), F.md5(F.array_join(F.array_sort(blocks), ";").cast("binary")).alias("body"))

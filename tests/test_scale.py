@@ -7,7 +7,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tabularium.functions import chem
-from tabularium.operators import match, pages, toc
+from tabularium.operators import extraction, match, pages, toc
+from tabularium.plans import registry
 from tabularium.sources import store
 
 
@@ -128,3 +129,17 @@ def test_headings_that_end_a_table(spark):
     assert [(r["entry_id"], r["line_no"], r["phase_seq"], r["phase"], r["last_phase"]) for r in got] == [
         ("a", 1, 1, "SOL", True), ("b", 1, 1, "SOL", True), ("e", 4, 1, "SOL", False), ("e", 5, 1, "SOL", False), ("e", 6, 2, "LIQ", True), ("f", 1, 1, "SOL", True), ("f", 2, 1, "SOL", True),
     ]
+
+
+def test_extraction_makes_its_lines_once(spark, sf_dir, monkeypatch):
+    # Headers and tables were each read off lines that were made anew.
+    plans, stored = [], store.stored
+
+    def spy(df, tag):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stored(df, tag)
+
+    monkeypatch.setattr(store, "stored", spy)
+    monkeypatch.setattr(extraction, "stored", spy, raising=False)
+    assert registry.QUERIES["extraction_run"](spark, sf_dir).count() == 1_500
+    assert sum(p.count("Relation [l_orderkey") for p in plans) == 1
